@@ -74,8 +74,8 @@ def strip_point_zero(c) -> Column:
 
 # F5 -------------------------------------------------------------------------
 def clean_upc_key(c) -> Column:
-    """Drop the leading run of spaces and zeros, then every whitespace char."""
-    return F.regexp_replace(F.regexp_replace(_c(c).cast("string"), r"^[\s0]+", ""), r"\s", "")
+    """Drop leading spaces followed by a run of zeros, then every whitespace char."""
+    return F.regexp_replace(F.regexp_replace(_c(c).cast("string"), r"^\s*0+", ""), r"\s+", "")
 
 
 # F6 -------------------------------------------------------------------------
