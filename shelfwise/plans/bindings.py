@@ -144,12 +144,13 @@ FROM part WHERE p_partkey % 4 = 0"""
 
 
 # ------------------------------------------------------------ FG status feed
-# Finished-goods status: parts with p_size > 10; UPC = 11-char code + a check
-# digit, two rows for every 5th part (duplicate UPC prefix -> fan-out case).
+# Finished-goods status: parts with p_size > 10; UPC = the 11-char code, and
+# for every 5th part a second UPC with the same 11 chars plus 'X' (prefix
+# fan-out case, K13).
 def fg_feed(spark, d) -> DataFrame:
     p = table(spark, d, "part").filter(F.col("p_size") > 10)
     key11 = F.lpad(F.col("p_partkey").cast("string"), 11, "0")
-    one = p.select(F.concat(key11, (F.col("p_size") % 10).cast("string")).alias("upc"),
+    one = p.select(key11.alias("upc"),
                    F.col("p_brand").alias("mpg"), F.col("p_type").alias("ipg"),
                    F.concat(F.lit("BU"), (F.col("p_partkey") % 7).cast("string")).alias("bu"),
                    F.col("p_partkey").cast("string").alias("basic"),
@@ -164,7 +165,7 @@ def fg_feed(spark, d) -> DataFrame:
     return one.unionByName(two)
 
 
-FG_FEED_SQL = """SELECT lpad(CAST(p_partkey AS VARCHAR), 11, '0') || CAST(p_size % 10 AS VARCHAR) AS upc,
+FG_FEED_SQL = """SELECT lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS upc,
   p_brand AS mpg, p_type AS ipg, 'BU' || CAST(p_partkey % 7 AS VARCHAR) AS bu,
   CAST(p_partkey AS VARCHAR) AS basic, CAST(p_size % 10 AS VARCHAR) AS dash, 1 AS file_no, p_partkey AS row_no
 FROM part WHERE p_size > 10
@@ -302,10 +303,18 @@ def item_status(spark, d) -> DataFrame:
         F.col("l_returnflag").alias("status"),
         F.col("l_partkey").cast("string").alias("item_number"),
         F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
+        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("disc"), F.col("l_tax").alias("tax"),
+        F.col("l_linestatus").alias("lstatus"), F.col("l_shipdate").alias("ship"))
 
 
+# a total order inside one code (all remaining lineitem columns)
+ITEM_ORDER = ["part", "supp", "qty", "price", "disc", "tax", "status", "lstatus", "ship"]
+
 ITEM_STATUS_SQL = """SELECT lpad(CAST(l_orderkey AS VARCHAR), 11, '0') || CAST(l_linenumber AS VARCHAR) AS upc,
   l_returnflag AS status, CAST(l_partkey AS VARCHAR) AS item_number,
-  l_orderkey AS order_key, l_linenumber AS line, l_partkey AS part, l_suppkey AS supp
+  l_orderkey AS order_key, l_linenumber AS line, l_partkey AS part, l_suppkey AS supp,
+  l_quantity AS qty, l_extendedprice AS price, l_discount AS disc, l_tax AS tax,
+  l_linestatus AS lstatus, l_shipdate AS ship
 FROM lineitem"""
