@@ -8,6 +8,7 @@ AQE from its measured size, a large one is shuffled.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,9 +46,13 @@ def mark_deletes(stored: DataFrame, batch: DataFrame | None, keys: Sequence[str]
             raise ValueError(f"invalid search column(s) {bad}; allowed: {list(keys)}")
         if not all(k in conditions and len(conditions[k]) for k in keys):
             return stored.withColumn("_keep", F.lit(True))
+        types = {f.name: f.dataType for f in stored.schema.fields}
         pred = None
         for k in keys:
-            e = F.col(k).isin(*conditions[k])
+            # values may be given as text (CLI JSON): cast to the column type
+            vals = [F.lit(v.isoformat(sep=" ") if isinstance(v, (_dt.date, _dt.datetime)) else v)
+                    .cast(types[k]) for v in conditions[k]]
+            e = F.col(k).isin(*vals)
             pred = e if pred is None else pred & e
         return stored.withColumn("_keep", F.coalesce(~pred, F.lit(False)))
     if match == "pair":

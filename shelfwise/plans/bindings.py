@@ -270,21 +270,23 @@ def quotes(spark, d) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     return (o.join(c, o.o_custkey == c.c_custkey)
             .select(F.col("c_nationkey").alias("store"),
-                    F.col("o_totalprice").cast("string").alias("quote_total_text"),
+                    F.when(F.col("o_orderkey") % 13 == 0, F.lit("n/a"))
+                     .otherwise(F.col("o_totalprice").cast("string")).alias("quote_total_text"),
                     F.col("o_orderdate").alias("quote_date"),
                     F.col("c_mktsegment").alias("state"),
                     F.col("o_orderkey").alias("order_no"),
                     F.col("o_orderpriority").alias("priority")))
 
 
-QUOTES_SQL = """SELECT c_nationkey AS store, CAST(o_totalprice AS VARCHAR) AS quote_total_text,
+QUOTES_SQL = """SELECT c_nationkey AS store,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS quote_total_text,
   o_orderdate AS quote_date, c_mktsegment AS state, o_orderkey AS order_no, o_orderpriority AS priority
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
 def territory(spark, d) -> DataFrame:
-    """Store -> owner list. Nation 24 has no owner; a null store row matches
-    null-store quotes only in the null-safe join."""
+    """Store -> owner (DSR) list. Stores of nation 24 are not listed, so
+    their quotes get no owner."""
     n = table(spark, d, "nation").filter(F.col("n_nationkey") != 24)
     return n.select(F.col("n_nationkey").alias("store_no"),
                     F.concat(F.lit("DSR-"), (F.col("n_regionkey")).cast("string")).alias("owner"))
@@ -294,6 +296,17 @@ TERRITORY_SQL = """SELECT n_nationkey AS store_no, 'DSR-' || CAST(n_regionkey AS
 FROM nation WHERE n_nationkey <> 24"""
 
 
+def scorecard(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    return p.select(F.col("p_partkey").alias("item"), (F.col("p_retailprice") / 10).alias("total_score"),
+                    F.col("p_brand").alias("class_band"),
+                    F.concat(F.lit("V"), (F.col("p_partkey") % 17).cast("string")).alias("vendor_name"))
+
+
+SCORECARD_SQL = """SELECT p_partkey AS item, p_retailprice / 10 AS total_score, p_brand AS class_band,
+  'V' || CAST(p_partkey % 17 AS VARCHAR) AS vendor_name FROM part"""
+
+
 # ------------------------------------------------------------ item statuses
 def item_status(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
