@@ -105,7 +105,9 @@ def to_number(c, dtype: str = "double") -> Column:
 
 
 def to_timestamp_safe(c) -> Column:
-    return F.try_to_timestamp(_c(c).cast("string"))
+    """Lenient timestamp parse (naive, timestamp_ntz); bad -> null."""
+    t = _c(c).cast("string")
+    return F.coalesce(t.try_cast("timestamp_ntz"), F.try_to_timestamp(t).cast("timestamp_ntz"))
 
 
 # F11 ------------------------------------------------------------------------
