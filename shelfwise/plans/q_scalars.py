@@ -42,8 +42,8 @@ PLUS_RAW = "CASE WHEN p_size % 3 = 0 THEN NULL ELSE CAST(p_size AS STRING) END"
 
 @query("full_upc", sql=rf"""SELECT p_partkey, upc_raw, plus_raw,
   CASE WHEN upc_raw IS NULL OR trim(upc_raw) = '' THEN NULL
-       ELSE '0' || {_lz("regexp_replace(upc_raw, '\D', '', 'g')")}
-                || coalesce({_lz("regexp_replace(plus_raw, '\D', '', 'g')")}, '') END AS full_upc
+       ELSE '0' || {_lz(r"regexp_replace(upc_raw, '\D', '', 'g')")}
+                || coalesce({_lz(r"regexp_replace(plus_raw, '\D', '', 'g')")}, '') END AS full_upc
 FROM (SELECT p_partkey, {UPC_RAW} AS upc_raw, {PLUS_RAW} AS plus_raw FROM part)""")
 def full_upc(spark, d):
     p = B.table(spark, d, "part").selectExpr("p_partkey", f"{UPC_RAW} AS upc_raw", f"{PLUS_RAW} AS plus_raw")

@@ -155,7 +155,7 @@ def read_preamble_csv(spark: SparkSession, path: str, header_row: int, sep: str
     the whole file is one text (wholetext), lines are exploded and parsed.
     Blank header cells get `_c<i>` names and keep their position (K11)."""
     raw = spark.read.text(path, wholetext=True).withColumn("_file", F.col("_metadata.file_path"))
-    rows = preamble_rows(raw, "_file", "value", header_row, sep)
+    rows = preamble_rows(raw, "_file", "value", header_row, sep).filter(F.col("line") != "")
     header = rows.select("header").limit(1).first()
     if header is None:
         return spark.createDataFrame([], "dummy string").drop("dummy")
