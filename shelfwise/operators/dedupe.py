@@ -112,11 +112,25 @@ def prefer_active(df: DataFrame, key: str, status: str, obsolete: Sequence[str]
 
 def prefer_active_rollup(df: DataFrame, upc: str, status: str, item: str,
                          order: Sequence[str | Column], obsolete: Sequence[str] = OBSOLETE_STATUSES,
-                         ) -> DataFrame:
+                         sep: str = ",", null_text: str = "nan") -> DataFrame:
     """Clean the code (F5), prefer active rows, roll up status and item
-    number per code with ',' (null -> 'nan', input order)."""
-    x = df.withColumn("upc_key", F.coalesce(S.clean_upc_key(F.col(upc)), F.lit("nan")))
-    kept = prefer_active(x, "upc_key", status, obsolete)
-    out = rollup_text(kept, ["upc_key"], {status: (",", False), item: (",", False)}, order,
-                      null_text="nan")
-    return out.withColumnRenamed("upc_key", "upc")
+    number per code (input order, null -> 'nan').
+
+    One aggregation (one shuffle, partial aggregation on the map side)
+    instead of flag + join + roll-up: per code it rolls up the active rows
+    and all rows side by side and keeps the active roll-up unless every row
+    is obsolete."""
+    key = F.coalesce(S.clean_upc_key(F.col(upc)), F.lit(null_text))
+    x = df.select(key.alias("upc"), _order_struct(order).alias("_o"),
+                  F.coalesce(F.col(status).isin(*obsolete), F.lit(False)).alias("_obs"),
+                  F.coalesce(F.col(status).cast("string"), F.lit(null_text)).alias("_s"),
+                  F.coalesce(F.col(item).cast("string"), F.lit(null_text)).alias("_i"))
+    x = x.withColumns({"_s_act": F.when(~F.col("_obs"), F.col("_s")),
+                       "_i_act": F.when(~F.col("_obs"), F.col("_i"))})
+    g = x.groupBy("upc").agg(
+        F.bool_and("_obs").alias("_all_obs"),
+        ordered_listagg("_s", sep, "_o").alias("_s_all"), ordered_listagg("_i", sep, "_o").alias("_i_all"),
+        ordered_listagg("_s_act", sep, "_o").alias("_s_act"), ordered_listagg("_i_act", sep, "_o").alias("_i_act"))
+    return g.select("upc",
+                    F.when(F.col("_all_obs"), F.col("_s_all")).otherwise(F.col("_s_act")).alias(status),
+                    F.when(F.col("_all_obs"), F.col("_i_all")).otherwise(F.col("_i_act")).alias(item))

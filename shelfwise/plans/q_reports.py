@@ -11,6 +11,7 @@ from shelfwise.operators import kpis as K
 from shelfwise.plans import bindings as B
 from shelfwise.plans import sql_parts as Q
 from shelfwise.plans.registry import query
+from shelfwise.session import cut_lineage
 
 DIMS = ["dept", "class", "subclass"]
 
@@ -30,7 +31,7 @@ def recent(spark, d):
 
 
 def class_agg(spark, d):
-    return K.sales_kpis(recent(spark, d), DIMS)
+    return K.latest_kpis(report_base(spark, d), DIMS)
 
 
 KPI_COLS = ("ty_sales, ly_sales, ty_units, ly_units, returns, cancels, net_sales, sales_diff, "
@@ -117,11 +118,11 @@ SELECT 'ship_from', ship_from, CAST(sum(sales) AS DOUBLE), CAST(sum(sales_ly) AS
   CAST(sum(sales) AS DOUBLE) / (SELECT total FROM tot) * 100
 FROM recent GROUP BY ship_from""")
 def share_of_total(spark, d):
-    r = recent(spark, d)
-    a = K.share_of_total(r, "classification").select(
+    base = report_base(spark, d)
+    a = K.share_of_total(base, "classification", period="week").select(
         F.lit("classification").alias("dimension"), F.col("classification").alias("value"),
         "ty_sales", "ly_sales", "sales_share")
-    b = K.share_of_total(r, "ship_from").select(
+    b = K.share_of_total(base, "ship_from", period="week").select(
         F.lit("ship_from").alias("dimension"), F.col("ship_from").alias("value"),
         "ty_sales", "ly_sales", "sales_share")
     return a.unionByName(b)
@@ -150,7 +151,7 @@ SELECT total_ty, total_ly, (total_ty / {Q.nz('total_ly')} - 1) * 100 AS sales_gr
 FROM (SELECT CAST(coalesce(sum(sales), 0) AS DOUBLE) AS total_ty,
              CAST(coalesce(sum(sales_ly), 0) AS DOUBLE) AS total_ly FROM recent)""")
 def sales_growth(spark, d):
-    return K.sales_growth(recent(spark, d))
+    return K.sales_growth(report_base(spark, d), period="week")
 
 
 _CONV_SQL = f"""w AS ({B.website_sql()}),
@@ -166,7 +167,7 @@ conv AS (SELECT o / {Q.nz('v')} * 100 AS conv_ty, ol / {Q.nz('vl')} * 100 AS con
 @query("conversion_rate", sql=f"WITH {_CONV_SQL} SELECT * FROM conv")
 def conversion_rate(spark, d):
     """A19 on the latest week of the website feed."""
-    return K.conversion_rate(K.in_latest_week(B.website(spark, d)))
+    return K.conversion_rate(B.website(spark, d), period="week")
 
 
 @query("insights_row", sql=f"""WITH {Q.REPORT_CTES}, {Q.CLASS_AGG}, {_CONV_SQL},
@@ -192,15 +193,21 @@ SELECT (SELECT week FROM recent LIMIT 1) AS week, g.total_ty, g.total_ly,
 FROM g, conv, oo, yow, hr, hc""")
 def insights_row(spark, d):
     """C4 insights: one row with the recent week's totals, growth, conversion,
-    online-only and YOW shares and up to three flagged subclasses each."""
-    r = recent(spark, d)
-    agg = K.sales_kpis(r, DIMS)
-    lw = K.latest_week(r).select("week")
-    g = K.sales_growth(r)
-    conv = K.conversion_rate(K.in_latest_week(B.website(spark, d)))
-    oo = (K.share_of_total(r, "classification").filter(F.col("classification") == "Online only")
+    online-only and YOW shares and up to three flagged subclasses each.
+
+    The fact is read once: KPI sums by the finest grain the report needs
+    (week, dims, classification, ship-from) are aggregated, cut to the latest
+    week and checkpointed to the shared checkpoint folder; every part of the
+    row is a re-aggregation of that small table."""
+    fine = K.kpi_sums(report_base(spark, d), ["week", *DIMS, "classification", "ship_from"])
+    fine = cut_lineage(K.latest_period(fine, "week"))
+    agg = K.kpi_finish(K.kpi_rollup(fine, DIMS), DIMS)
+    lw = fine.agg(F.max("week").alias("week"))
+    g = K.sales_growth(fine, sales="_ty", sales_ly="_ly")
+    conv = K.conversion_rate(B.website(spark, d), period="week")
+    oo = (K.share_of_total(fine, "classification", "_ty", "_ly").filter(F.col("classification") == "Online only")
           .agg(F.coalesce(F.sum("sales_share"), F.lit(0.0)).alias("online_only_share")))
-    yow = (K.share_of_total(r, "ship_from").filter(F.col("ship_from") == "YOW")
+    yow = (K.share_of_total(fine, "ship_from", "_ty", "_ly").filter(F.col("ship_from") == "YOW")
            .agg(F.coalesce(F.sum("sales_share"), F.lit(0.0)).alias("yow_share")))
     order = [F.col("sales_diff").desc(), *DIMS]
     hr = K.top_labels(agg.filter(F.col("return_rate") > 20), "subclass", order, 3) \

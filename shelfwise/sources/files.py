@@ -135,16 +135,16 @@ def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
                   sep: str = ",") -> DataFrame:
     """S9 on whole texts: split into lines, the line at `header_row` (1-based)
     is the header, later lines are data rows whose fields are cut to the
-    header width; missing cells become ''."""
-    lines = df.select(id_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    lines = lines.withColumn("row_no", F.col("pos") + 1).drop("pos")
-    hdr = lines.filter(F.col("row_no") == header_row).select(
-        F.col(id_col).alias("_hid"), F.col("line").alias("header"))
-    data = lines.filter(F.col("row_no") > header_row)
-    j = data.join(hdr, data[id_col] == hdr["_hid"], "inner").drop("_hid")
+    header width. The header is taken from the same text before the lines
+    are exploded, so no join or shuffle is needed, however long a text is."""
+    lines = F.split(F.col(text_col), "\n")
+    x = df.select(id_col, F.try_element_at(lines, F.lit(header_row)).alias("header"),
+                  F.posexplode(lines).alias("pos", "line"))
+    x = x.withColumn("row_no", F.col("pos") + 1).drop("pos")
+    x = x.filter((F.col("row_no") > header_row) & F.col("header").isNotNull())
     width = F.size(F.split(F.col("header"), sep, -1))
     fields = F.split(F.col("line"), sep, -1)
-    return j.withColumns({
+    return x.withColumns({
         "fields": F.slice(fields, 1, width),
         "n_fields": F.least(F.size(fields), width),
     })
@@ -168,24 +168,29 @@ def read_preamble_csv(spark: SparkSession, path: str, header_row: int, sep: str
 def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[str] = ("UPC", "Item"),
                 ) -> DataFrame:
     """Rows of the first <table> per document whose header row holds all
-    `must_have` names. Output: id, row_no, and one text column per header
-    cell (empty cell -> null). Documents without such a table give no rows."""
-    t = df.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<table.*?</table>)"), 1))
-                  .alias("table_no", "table"))
-    r = t.select(id_col, "table_no", F.posexplode(F.regexp_extract_all("table", F.lit(r"(?s)<tr>(.*?)</tr>"), 1))
-                 .alias("row_no", "tr"))
-    r = r.withColumn("cells", F.transform(F.regexp_extract_all("tr", F.lit(r"(?s)<t[dh]>(.*?)</t[dh]>"), 1),
-                                          lambda c: F.trim(S.strip_tags(c))))
-    hdr = r.filter(F.col("row_no") == 0).select(F.col(id_col).alias("_hid"), F.col("table_no").alias("_tno"),
-                                                F.col("cells").alias("header"))
-    ok = F.lit(True)
-    for m in must_have:
-        ok &= F.array_contains("header", m)
-    first = (hdr.filter(ok).groupBy("_hid").agg(F.min_by(F.struct("_tno", "header"), "_tno").alias("h"))
-             .select("_hid", F.col("h._tno").alias("_tno"), F.col("h.header").alias("header")))
-    data = r.filter(F.col("row_no") > 0)
-    return data.join(first, (data[id_col] == first["_hid"]) & (data["table_no"] == first["_tno"]), "inner") \
-        .select(id_col, "row_no", "header", "cells")
+    `must_have` names. Output: id, row_no, header (cells of the header row)
+    and cells. The table is chosen inside each row with array functions, so
+    the operator is a pure map (no shuffle). Documents without such a table
+    give no rows."""
+    def cells(tr):
+        return F.transform(F.regexp_extract_all(tr, F.lit(r"(?s)<t[dh]>(.*?)</t[dh]>"), F.lit(1)),
+                           lambda c: F.trim(S.strip_tags(c)))
+
+    tables = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<table.*?</table>)"), F.lit(1)),
+                         lambda t: F.regexp_extract_all(t, F.lit(r"(?s)<tr>(.*?)</tr>"), F.lit(1)))
+
+    def has_all(rows):
+        h = cells(F.try_element_at(rows, F.lit(1)))
+        ok = F.lit(True)
+        for m in must_have:
+            ok = ok & F.coalesce(F.array_contains(h, F.lit(m)), F.lit(False))
+        return ok
+
+    chosen = F.try_element_at(F.filter(tables, has_all), F.lit(1))
+    x = df.select(id_col, chosen.alias("_rows")).filter(F.col("_rows").isNotNull())
+    x = x.select(id_col, cells(F.try_element_at(F.col("_rows"), F.lit(1))).alias("header"),
+                 F.posexplode("_rows").alias("row_no", "tr"))
+    return x.filter(F.col("row_no") > 0).select(id_col, "row_no", "header", cells(F.col("tr")).alias("cells"))
 
 
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
