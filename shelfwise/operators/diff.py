@@ -1,9 +1,9 @@
 """Week-over-week inventory snapshot comparison.
 
 Every label is decided on per-key aggregates (one row per key and side)
-and then applied to the snapshot rows with a semi join, so no (low row x
-high row) pairs are ever formed: a key with h rows on each side costs O(h),
-not O(h^2).
+and then applied to the snapshot rows with an equi-join on the labelled
+keys, so no (low row x high row) pairs are ever formed: a key with h rows on
+each side costs O(h), not O(h^2).
 """
 
 from __future__ import annotations
@@ -37,52 +37,60 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
                   inventory: Sequence[str] = ("oh_qty", "oo_qty"),
                   label_col: str = "change_type") -> DataFrame:
     """The four change labels. Rows of an id missing from high come from
-    low; all other labels emit the high rows of the flagged key/id once per
-    label (one row may carry several labels)."""
+    low; the other labels emit the high rows of the flagged key / id once
+    per label (one row may carry several labels).
+
+    Each snapshot is aggregated once to one row per (id, DC) key; all label
+    decisions are made on those key rows (a full outer join of the two key
+    tables plus an id-level aggregate of it), and each snapshot is read a
+    second time only to emit its labelled rows. A pair (low row, high row)
+    with an ON -> OFF change exists exactly when some low row of the key is
+    ON and some high row is OFF, so no row pairs are formed."""
     low, high = normalise_snapshot(low, id_col, dc_col), normalise_snapshot(high, id_col, dc_col)
     keys = [id_col, dc_col]
     inv = [c for c in inventory if c in low.columns and c in high.columns]
 
-    # (a) ids with no row in high: all their low rows
-    missing = low.select(id_col).distinct().join(high.select(id_col).distinct(), id_col, "left_anti")
-    out_a = low.join(missing, id_col, "left_semi").withColumn(label_col, F.lit(MISSING_ID))
-
-    # per-key flags; pairs (l, h) with an ON->OFF change exist iff some low
-    # row is ON and some high row is OFF for the same flag
-    lk = low.groupBy(*keys).agg(*[F.coalesce(F.max(F.col(f) == "ON"), F.lit(False)).alias(f"_l_{f}")
-                                  for f in flags])
-    hk = high.groupBy(*keys).agg(*[F.coalesce(F.max(F.col(f) == "OFF"), F.lit(False)).alias(f"_h_{f}")
-                                   for f in flags])
-
-    # (b) keys only in high
-    new_keys = hk.select(*keys).join(lk.select(*keys), keys, "left_anti")
-    out_b = high.join(new_keys, keys, "left_semi").withColumn(label_col, F.lit(NEW_COMBO))
-
-    # (c) keys in both with any flag going ON -> OFF
-    cond = None
-    for f in flags:
-        e = F.col(f"_l_{f}") & F.col(f"_h_{f}")
-        cond = e if cond is None else cond | e
-    changed = lk.join(hk, keys, "inner").filter(cond).select(*keys)
-    out_c = high.join(changed, keys, "left_semi").withColumn(label_col, F.lit(REPLEN_CHANGE))
-
-    # (d) ids whose flags are all OFF in both weeks, inventory > 0 then == 0
-    def id_stats(df, p):
+    def key_stats(df, p, state):
         all_off = None
         for f in flags:
             e = F.coalesce(F.col(f) == "OFF", F.lit(False))
             all_off = e if all_off is None else all_off & e
         inv_sum = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in inv), F.lit(0.0))
-        return df.groupBy(id_col).agg(F.bool_and(all_off).alias(f"{p}_off"),
-                                      F.sum(inv_sum).alias(f"{p}_inv"))
-    z = (id_stats(low, "l").join(id_stats(high, "h"), id_col)
-         .filter(F.col("l_off") & F.col("h_off") & (F.col("l_inv") > 0) & (F.col("h_inv") == 0))
-         .select(id_col))
+        return df.groupBy(*keys).agg(
+            F.lit(True).alias(f"{p}_in"),
+            *[F.coalesce(F.max(F.col(f) == state), F.lit(False)).alias(f"{p}_{f}") for f in flags],
+            F.bool_and(all_off).alias(f"{p}_off"), F.sum(inv_sum).alias(f"{p}_inv"))
+
+    kk = key_stats(low, "l", "ON").join(key_stats(high, "h", "OFF"), keys, "full_outer")
+    in_l, in_h = F.coalesce(F.col("l_in"), F.lit(False)), F.coalesce(F.col("h_in"), F.lit(False))
+    ids = kk.groupBy(id_col).agg(
+        F.max(in_l).alias("_id_l"), F.max(in_h).alias("_id_h"),
+        F.bool_and("l_off").alias("_id_l_off"), F.bool_and("h_off").alias("_id_h_off"),
+        F.sum("l_inv").alias("_id_l_inv"), F.sum("h_inv").alias("_id_h_inv"))
+    missing = F.col("_id_l") & ~F.col("_id_h")
+    zero = (F.col("_id_l") & F.col("_id_h") & F.col("_id_l_off") & F.col("_id_h_off") &
+            (F.col("_id_l_inv") > 0) & (F.col("_id_h_inv") == 0))
     if not inv:
-        z = z.limit(0)
-    out_d = high.join(z, id_col, "left_semi").withColumn(label_col, F.lit(ZERO_INVENTORY))
-
-    return out_a.unionByName(out_b).unionByName(out_c).unionByName(out_d)
+        zero = F.lit(False)
+    changed = None
+    for f in flags:
+        e = F.col(f"l_{f}") & F.col(f"h_{f}")
+        changed = e if changed is None else changed | e
+    labelled = kk.join(ids, id_col, "inner").select(
+        *keys,
+        F.when(in_l & missing, F.lit(MISSING_ID)).alias("_low_label"),
+        F.filter(F.array(F.when(in_h & ~in_l, F.lit(NEW_COMBO)),
+                         F.when(in_h & in_l & F.coalesce(changed, F.lit(False)), F.lit(REPLEN_CHANGE)),
+                         F.when(in_h & F.coalesce(zero, F.lit(False)), F.lit(ZERO_INVENTORY))),
+                 lambda x: x.isNotNull()).alias("_high_labels"))
+
+    lo_keys = labelled.filter(F.col("_low_label").isNotNull()).select(*keys, F.col("_low_label").alias(label_col))
+    hi_keys = labelled.filter(F.size("_high_labels") > 0).select(
+        *keys, F.explode("_high_labels").alias(label_col))
+    out_low = low.join(lo_keys, keys, "inner")
+    out_high = high.join(hi_keys, keys, "inner")
+    cols = [*low.columns, label_col]
+    return out_low.select(*cols).unionByName(out_high.select(*cols))
 
 
 def change_counts(changes: DataFrame, label_col: str = "change_type") -> DataFrame:
