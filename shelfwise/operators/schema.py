@@ -67,3 +67,9 @@ def insert_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFram
 def drop_all_null(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Drop rows where every column of the subset is null."""
     return df.dropna(how="all", subset=list(subset))
+
+
+def widen(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Widen stored columns (e.g. int -> float) before new data is
+    appended; absent columns are ignored."""
+    return df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in types.items() if c in df.columns})

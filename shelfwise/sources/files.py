@@ -89,6 +89,12 @@ def select_files(files: DataFrame, prefix: str = "", suffix: str = "", contains:
     return files.filter(cond).orderBy(name)
 
 
+def last_match(files: DataFrame, name: str = "file_name") -> DataFrame:
+    """When several files match, the last one by name wins (one row)."""
+    return files.agg(F.max_by(F.struct(*[F.col(c) for c in files.columns]), F.col(name)).alias("f")) \
+        .select("f.*")
+
+
 # ---------------------------------------------------------------- S6
 def name_date(name: Column, pattern: str = STORE_LIST_DATE_PATTERN) -> Column:
     """Date (M.D.YYYY) found in a file name; null when the name has none or
@@ -194,10 +200,16 @@ def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[s
 
 
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
-              must_have: Sequence[str] = ("UPC", "Item")) -> DataFrame:
+              must_have: Sequence[str] = ("UPC", "Item"), strict: bool = False) -> DataFrame:
     """S10 + P2: named columns from the matched table (absent -> null,
-    empty cell -> null)."""
+    empty cell -> null). strict=True raises, like the reference, when a
+    document has no table with the required header (one count job)."""
     t = html_tables(df, id_col, html_col, must_have)
+    if strict:
+        missing = df.select(id_col).join(t.select(id_col).distinct(), id_col, "left_anti").limit(5)
+        bad = [r[0] for r in missing.collect()]      # at most five ids, for the message
+        if bad:
+            raise RuntimeError(f"no table with {list(must_have)} in documents {bad}")
     out = [F.col(id_col), F.col("row_no")]
     for c in columns:
         pos = F.array_position("header", F.lit(c))

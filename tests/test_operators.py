@@ -187,3 +187,11 @@ def test_dq_and_profile(spark):
     prof = {r.column_name: r for r in DQ.profile(df).collect()}
     assert (prof["k"].null_count, prof["k"].unique_count, prof["k"].stat) == (0, 2, "Min: 1, Max: 2")
     assert (prof["s"].null_count, prof["s"].unique_count, prof["s"].stat) == (1, 3, "a, b")
+
+
+def test_distinct_count_null_rules_and_top_n(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4), ("b", 5), ("b", 6)], "k string, v int")
+    assert tuple(D.distinct_count(df, ["k"]).first()) == (2,)
+    assert tuple(D.distinct_count(df, ["k"], null_as_value=True).first()) == (3,)
+    top = D.top_n_per_group(df.dropna(), ["k"], [F.col("v").desc()], 2, buckets=3)
+    assert rows(top, "k", "v", "rank") == [("a", 1, 2), ("a", 2, 1), ("b", 5, 2), ("b", 6, 1)]

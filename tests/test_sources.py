@@ -120,3 +120,13 @@ def test_batch_ingest_audit(spark, tmp_path):
     # both files are read again (the reference re-reads the drop folder): the
     # delete step removes the stored rows whose day and item occur in them
     assert a["sales"].rows_removed == 3 and a["sales"].rows_added == 4
+
+
+def test_last_match_and_strict_tables(spark):
+    import pytest
+    files = spark.createDataFrame([("/d/Reviews_a.csv", "Reviews_a.csv"), ("/d/Reviews_b.csv", "Reviews_b.csv")],
+                                  "path string, file_name string")
+    assert FS.last_match(FS.select_files(files, contains="review")).first().file_name == "Reviews_b.csv"
+    df = spark.createDataFrame([(2, "<table><tr><th>X</th></tr></table>")], "id int, html string")
+    with pytest.raises(RuntimeError):
+        FS.html_rows(df, "id", "html", ["UPC"], strict=True)
