@@ -63,14 +63,22 @@ def key_spine(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def distribute_evenly(fact: DataFrame, metrics_by_key: DataFrame, keys: Sequence[str],
                       metrics: Sequence[str]) -> DataFrame:
-    """Attach per-key metrics to fact rows, divided by the number of
-    fact rows of that key, so the metric sums are conserved. The row count is
-    a per-key aggregate joined on the key (partial aggregation keeps a hot key
-    cheap); metrics with no fact row stay whole on their single spine row."""
+    """Every fact row gets its key's metrics divided by the
+    number of fact rows of that key, so metric sums are conserved; a key
+    with metrics but no fact row gives one row with the metrics whole (the
+    key spine of the reference = fact keys union metric keys).
+
+    Per-key work happens on one row per key: the row count is a partial
+    aggregate, joined with the metrics by a full outer join of the two key
+    tables; the fact rows are joined once with that key table (a hot key is
+    split by AQE's skew handling)."""
+    keys = list(keys)
     cnt = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
-    x = fact.join(cnt, on=list(keys), how="left").join(metrics_by_key, on=list(keys), how="left")
-    return x.withColumns({m: F.when(F.col("_n") > 0, F.col(m) / F.col("_n")).otherwise(F.col(m))
-                          for m in metrics}).drop("_n")
+    info = metrics_by_key.join(cnt, keys, "full_outer")
+    rows = fact.join(info.filter(F.col("_n").isNotNull()), keys, "left")
+    rows = rows.withColumns({m: F.col(m) / F.col("_n") for m in metrics}).drop("_n")
+    extra = info.filter(F.col("_n").isNull()).drop("_n")
+    return rows.unionByName(extra, allowMissingColumns=True)
 
 
 # ------------------------------------------------------------------ C2 / C7

@@ -181,9 +181,7 @@ LEFT JOIN w ON f.week = w.week AND f.item = w.item"""
 def distributed(spark, d):
     sales = B.sales(spark, d, 50).select("week", "item", "store", "day", "order_key", "line",
                                          F.col("sales").cast("double").alias("sales"))
-    spine = E.key_spine(sales, B.website(spark, d), ["week", "item"])
-    fact = spine.join(sales, ["week", "item"], "left")
-    return E.distribute_evenly(fact, web_totals(spark, d), ["week", "item"], TOTALS)
+    return E.distribute_evenly(sales, web_totals(spark, d), ["week", "item"], TOTALS)
 
 
 @query("distribute_evenly", sql=DIST_SQL)

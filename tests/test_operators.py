@@ -144,9 +144,8 @@ def test_distribute_evenly_conserves_sums(spark):
                                  "week string, item int, sales double")
     web = spark.createDataFrame([("w1", 1, 6.0), ("w1", 2, 9.0), ("w1", 3, 4.0)],
                                 "week string, item int, total_visits double")
-    spine = E.key_spine(fact, web, ["week", "item"])
-    base = spine.join(fact, ["week", "item"], "left")
-    out = E.distribute_evenly(base, web, ["week", "item"], ["total_visits"])
+    out = E.distribute_evenly(fact, web, ["week", "item"], ["total_visits"])
+    assert out.count() == 5 and rows(E.key_spine(fact, web, ["week", "item"]), "item") == [(1,), (2,), (3,)]
     assert out.agg(F.sum("total_visits")).first()[0] == pytest.approx(19.0)
     assert rows(out.filter("item = 2"), "total_visits") == [(3.0,), (3.0,), (3.0,)]
     assert rows(out.filter("item = 3"), "sales", "total_visits") == [(None, 4.0)]
