@@ -118,14 +118,16 @@ SELECT 'ship_from', ship_from, CAST(sum(sales) AS DOUBLE), CAST(sum(sales_ly) AS
   CAST(sum(sales) AS DOUBLE) / (SELECT total FROM tot) * 100
 FROM recent GROUP BY ship_from""")
 def share_of_total(spark, d):
-    base = report_base(spark, d)
-    a = K.share_of_total(base, "classification", period="week").select(
-        F.lit("classification").alias("dimension"), F.col("classification").alias("value"),
-        "ty_sales", "ly_sales", "sales_share")
-    b = K.share_of_total(base, "ship_from", period="week").select(
-        F.lit("ship_from").alias("dimension"), F.col("ship_from").alias("value"),
-        "ty_sales", "ly_sales", "sales_share")
-    return a.unionByName(b)
+    """A3 for the latest week by classification and by ship-from. Both shares
+    re-aggregate one (week, classification, ship-from) aggregate of the fact,
+    whose shuffle Spark reuses."""
+    fine = K.latest_period(K.kpi_sums(report_base(spark, d), ["week", "classification", "ship_from"]), "week")
+    out = None
+    for dim in ("classification", "ship_from"):
+        part = K.share_of_total(fine, dim, "_ty", "_ly").select(
+            F.lit(dim).alias("dimension"), F.col(dim).alias("value"), "ty_sales", "ly_sales", "sales_share")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("standouts", sql=f"""WITH {Q.REPORT_CTES}, {Q.CLASS_AGG}
