@@ -83,7 +83,12 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from shelfwise.session import build_session
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # a session with Spark's defaults only, as a driver may create it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("local[8]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
