@@ -82,6 +82,17 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return x.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
 
 
+def group_all_any(df: DataFrame, group: Sequence[str], conditions: Mapping[str, Column]) -> DataFrame:
+    """Per group, whether a condition holds for all rows (`<name>_all`)
+    and for any row (`<name>_any`); a null condition counts as false, as a
+    pandas comparison with a missing value does."""
+    aggs = []
+    for name, cond in conditions.items():
+        c = F.coalesce(cond, F.lit(False))
+        aggs += [F.bool_and(c).alias(f"{name}_all"), F.bool_or(c).alias(f"{name}_any")]
+    return df.groupBy(*group).agg(*aggs)
+
+
 def distinct_tuple_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of distinct key tuples (nulls count as a value)."""
     return df.select(*keys).distinct().agg(F.count("*").alias("distinct_count"))

@@ -194,3 +194,9 @@ def test_distinct_count_null_rules_and_top_n(spark):
     assert tuple(D.distinct_count(df, ["k"], null_as_value=True).first()) == (3,)
     top = D.top_n_per_group(df.dropna(), ["k"], [F.col("v").desc()], 2, buckets=3)
     assert rows(top, "k", "v", "rank") == [("a", 1, 2), ("a", 2, 1), ("b", 5, 2), ("b", 6, 1)]
+
+
+def test_group_all_any_null_is_false(spark):
+    df = spark.createDataFrame([(1, "OFF"), (1, None), (2, "OFF"), (2, "OFF")], "k int, r string")
+    got = rows(D.group_all_any(df, ["k"], {"off": F.col("r") == "OFF"}))
+    assert got == [(1, False, True), (2, True, True)]
