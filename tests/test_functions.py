@@ -69,3 +69,25 @@ def test_to_number_and_dates(spark):
 def test_zero_safe_division(spark):
     got = _one(spark, F.col("a") / S.nz("b"), [(5.0, 0.0), (6.0, 3.0)], "a double, b double")
     assert got == [5.0, 2.0]
+
+
+def test_file_safe_and_money_text(spark):
+    got = _one(spark, S.file_safe("v"), [("Fiscal Week 9 of 2025",), ("a:b c",)], "v string")
+    assert got == ["Fiscal_Week_9_of_2025", "ab_c"]
+    got = _one(spark, S.money_text("v"), [(1234567.891,)], "v double")
+    assert got == ["$1,234,567.89"]
+
+
+def test_schema_helpers(spark):
+    from shelfwise.operators import schema as P
+    from shelfwise.operators.backlog import sort_for_report
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "`oms id +` int, ` name ` string")
+    t = P.trim_headers(df)
+    assert t.columns == ["oms id +", "name"]
+    w = P.widen(t, {"oms id +": "float", "absent": "int"})
+    assert dict(w.dtypes)["oms id +"] == "float"
+    c = P.insert_constants(t, {"Price File": "p1"})
+    assert c.columns == ["Price File", "oms id +", "name"]
+    assert P.missing_columns(t, ["name", "x"]) == ["x"]
+    s = sort_for_report(t, ["name", "oms id +"])
+    assert [r[0] for r in s.collect()] == [3, 1, 2]
