@@ -24,15 +24,17 @@ SCALE_CONF = {
 def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a large cluster, sized from the bytes a job reads.
 
-    Shuffle partitions start at input / 256 MB (at least 2 per core) and AQE
+    Shuffle partitions start at input / 256 MB (at least 2 per core, at most
+    100,000 so the map x reduce shuffle bookkeeping stays bounded) and AQE
     coalesces them at run time, so small stages do not pay for the size of
     big ones; scans read 512 MB splits (several Parquet row groups); a
     partition counts as skewed above 512 MB and 3x the median and is split.
     The broadcast threshold stays small: what is broadcast is decided from
     measured sizes, never assumed."""
-    parts = max(2 * total_cores, input_bytes // target_partition_bytes)
+    parts = min(100_000, max(2 * total_cores, input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(int(parts)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(512 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
