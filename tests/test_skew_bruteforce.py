@@ -5,7 +5,6 @@ and duplicates mixed in."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from shelfwise.operators import dedupe as D
 from shelfwise.operators import diff as DF
