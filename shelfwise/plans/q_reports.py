@@ -204,20 +204,27 @@ def insights_row(spark, d):
     fine = K.kpi_sums(report_base(spark, d), ["week", *DIMS, "classification", "ship_from"])
     fine = cut_lineage(K.latest_period(fine, "week"))
     agg = K.kpi_finish(K.kpi_rollup(fine, DIMS), DIMS)
-    lw = fine.agg(F.max("week").alias("week"))
-    g = K.sales_growth(fine, sales="_ty", sales_ly="_ly")
+    # week, totals, growth and both shares come from one aggregate of `fine`
+    tot = F.col("_tot").cast("double")
+    head = fine.agg(
+        F.max("week").alias("week"), F.sum("_ty").alias("_tot"),
+        F.coalesce(F.sum("_ty"), F.lit(0)).cast("double").alias("total_ty"),
+        F.coalesce(F.sum("_ly"), F.lit(0)).cast("double").alias("total_ly"),
+        F.sum(F.when(F.col("classification") == "Online only", F.col("_ty"))).alias("_oo"),
+        F.sum(F.when(F.col("ship_from") == "YOW", F.col("_ty"))).alias("_yow"),
+    ).select(
+        "week", "total_ty", "total_ly",
+        ((F.col("total_ty") / S.nz(F.col("total_ly")) - 1) * 100).alias("sales_growth"),
+        F.coalesce(F.col("_oo").cast("double") / tot * 100, F.lit(0.0)).alias("online_only_share"),
+        F.coalesce(F.col("_yow").cast("double") / tot * 100, F.lit(0.0)).alias("yow_share"))
     conv = K.conversion_rate(B.website(spark, d), period="week")
-    oo = (K.share_of_total(fine, "classification", "_ty", "_ly").filter(F.col("classification") == "Online only")
-          .agg(F.coalesce(F.sum("sales_share"), F.lit(0.0)).alias("online_only_share")))
-    yow = (K.share_of_total(fine, "ship_from", "_ty", "_ly").filter(F.col("ship_from") == "YOW")
-           .agg(F.coalesce(F.sum("sales_share"), F.lit(0.0)).alias("yow_share")))
     order = [F.col("sales_diff").desc(), *DIMS]
     hr = K.top_labels(agg.filter(F.col("return_rate") > 20), "subclass", order, 3) \
         .withColumnRenamed("labels", "high_return_subclasses")
     hc = K.top_labels(agg.filter(F.col("cancel_rate") > 20), "subclass", order, 3) \
         .withColumnRenamed("labels", "high_cancel_subclasses")
-    out = lw
-    for part in (g, conv, oo, yow, hr, hc):
+    out = head
+    for part in (conv, hr, hc):                 # one-row frames
         out = out.crossJoin(part)
     return out.select("week", "total_ty", "total_ly", "sales_growth", "conv_ty", "conv_ly",
                       "online_only_share", "yow_share", "high_return_subclasses",

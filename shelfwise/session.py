@@ -73,6 +73,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss,
-    unlike localCheckpoint)."""
+    unlike localCheckpoint). The frame is persisted for the duration of the
+    checkpoint: an eager checkpoint runs one job to count and a second to
+    write, and without the cache the second would recompute the plan."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
