@@ -90,7 +90,7 @@ def write_partitioned(df: DataFrame, path: str, by: str, sort: Sequence[str] = (
 
 
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequence[str],
-                       partition_col: str) -> DataFrame:
+                       partition_col: str, match: str = "cross") -> DataFrame:
     """C1 for a large table partitioned by the first key (e.g. day): only the
     partitions whose value occurs in the batch can lose rows (two-set delete),
     so only those are rewritten. The new content of the touched partitions
@@ -103,7 +103,7 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
     stored = spark.read.parquet(table_path)
     touched = batch.select(partition_col).distinct()
     affected = stored.join(touched, partition_col, "left_semi")   # partition pruning via DPP
-    kept = delete_matching(affected, batch, keys, "cross")
+    kept = delete_matching(affected, batch, keys, match)
     new = kept.unionByName(conform(batch, stored.schema).select(*stored.columns))
     new = cut_lineage(new)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

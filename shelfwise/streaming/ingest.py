@@ -18,19 +18,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwise.operators.dq import path_exists
 from shelfwise.operators.upsert import upsert
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.files import apply_spec
-from shelfwise.sources.sinks import publish, read_published
+from shelfwise.sources.sinks import publish, read_published, upsert_partitioned
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, table_dir: str, columns: Sequence[str],
                   spec: Mapping[str, str], keys: Sequence[str], prefix: str = "",
                   dates: Sequence[str] = (), checkpoint: str | None = None,
-                  match: str = "cross") -> StreamingQuery:
+                  match: str = "cross", partition_col: str | None = None) -> StreamingQuery:
     """Start an availableNow stream over `in_dir`: every new file
     `<prefix>*.csv` is typed and upserted; un-keyed feeds (no keys) replace
-    the table with the latest batch (K12)."""
+    the table with the latest batch (K12).
+
+    With `partition_col` (the first key, e.g. day) the table is a plain
+    Parquet table partitioned by it and each batch rewrites only the
+    partitions it touches (sinks.upsert_partitioned) instead of publishing a
+    whole new version; a retried batch deletes and re-appends its own rows,
+    so retries are idempotent."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     src = (spark.readStream.schema(schema).option("header", True)
            .option("pathGlobFilter", f"{prefix}*.csv").csv(in_dir))
@@ -38,6 +45,12 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_dir: str, columns: Seq
 
     def apply(batch: DataFrame, epoch: int) -> None:
         typed = apply_spec(batch, spec, dates)
+        if partition_col and keys:
+            if path_exists(spark, table_dir):
+                upsert_partitioned(spark, table_dir, typed, keys, partition_col, match)
+            else:
+                typed.write.partitionBy(partition_col).parquet(table_dir)
+            return
         stored = read_published(spark, table_dir)
         if stored is None or not keys:
             merged = typed

@@ -130,3 +130,16 @@ def test_last_match_and_strict_tables(spark):
     df = spark.createDataFrame([(2, "<table><tr><th>X</th></tr></table>")], "id int, html string")
     with pytest.raises(RuntimeError):
         FS.html_rows(df, "id", "html", ["UPC"], strict=True)
+
+
+def test_ingest_stream_partitioned_table(spark, tmp_path):
+    from shelfwise.streaming.ingest import ingest_stream
+    drop, table = str(tmp_path / "drop"), str(tmp_path / "table")
+    spec = {"day": "int", "item": "int", "v": "double"}
+    _write(os.path.join(drop, "feed_1.csv"), "day,item,v\n1,10,1.0\n1,11,2.0\n2,10,3.0\n")
+    ingest_stream(spark, drop, table, ["day", "item", "v"], spec, ["day", "item"], prefix="feed_",
+                  checkpoint=str(tmp_path / "ck"), partition_col="day").awaitTermination()
+    _write(os.path.join(drop, "feed_2.csv"), "day,item,v\n1,10,5.0\n")
+    ingest_stream(spark, drop, table, ["day", "item", "v"], spec, ["day", "item"], prefix="feed_",
+                  checkpoint=str(tmp_path / "ck"), partition_col="day").awaitTermination()
+    assert rows(spark.read.parquet(table), "day", "item", "v") == [(1, 10, 5.0), (1, 11, 2.0), (2, 10, 3.0)]
