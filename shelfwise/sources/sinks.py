@@ -96,7 +96,12 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
     so only those are rewritten. The new content of the touched partitions
     is checkpointed to the shared checkpoint folder (cutting the lineage to
     the files about to be replaced), then written with dynamic partition
-    overwrite. Returns the per-partition row counts written."""
+    overwrite. Returns the per-partition row counts written.
+
+    Difference to the whole-table upsert: stored rows whose partition value
+    is null are never rewritten here (they sit in no touched partition),
+    while the whole-table two-set delete drops such a row when its other key
+    matches."""
     from shelfwise.operators.upsert import conform, delete_matching
     from shelfwise.session import cut_lineage
 
