@@ -67,7 +67,7 @@ def table_row_counts(spark, d):
 
 ROLL_RAW = ["CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_size = 50 THEN 'ALLNULL' ELSE p_type END AS grp",
             "CASE WHEN p_size % 7 = 0 OR p_size = 50 THEN NULL ELSE p_brand END AS brand"]
-_ROLL_SRC = f"(SELECT p_partkey, {', '.join(ROLL_RAW)} FROM part WHERE p_partkey % 11 <> 0)"
+_ROLL_SRC = f"(SELECT * FROM (SELECT p_partkey, {', '.join(ROLL_RAW)} FROM part) WHERE grp IS NOT NULL)"
 
 
 def _roll_src(spark, d):
