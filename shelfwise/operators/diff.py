@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import cut_lineage
+
 # The change labels of the reference, in its report order.
 NEW_COMBO = "New OMSID/DC Combo"
 REPLEN_CHANGE = "Replenishment Change OMSID/DC"
@@ -42,7 +44,7 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
 
     Each snapshot is aggregated once to one row per (id, DC) key; all label
     decisions are made on those key rows (a full outer join of the two key
-    tables plus an id-level aggregate of it), and each snapshot is read a
+    tables plus id-level facts over it), and each snapshot is read a
     second time only to emit its labelled rows. A pair (low row, high row)
     with an ON -> OFF change exists exactly when some low row of the key is
     ON and some high row is OFF, so no row pairs are formed."""
@@ -63,10 +65,14 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
 
     kk = key_stats(low, "l", "ON").join(key_stats(high, "h", "OFF"), keys, "full_outer")
     in_l, in_h = F.coalesce(F.col("l_in"), F.lit(False)), F.coalesce(F.col("h_in"), F.lit(False))
-    ids = kk.groupBy(id_col).agg(
-        F.max(in_l).alias("_id_l"), F.max(in_h).alias("_id_h"),
-        F.bool_and("l_off").alias("_id_l_off"), F.bool_and("h_off").alias("_id_h_off"),
-        F.sum("l_inv").alias("_id_l_inv"), F.sum("h_inv").alias("_id_h_inv"))
+    # id-level facts beside each key row: a window over the key table, whose
+    # partitions hold one row per DC of an id (a handful), however many
+    # snapshot rows the id has; the key table is used once, not recomputed
+    by_id = Window.partitionBy(id_col)
+    kk = kk.withColumns({
+        "_id_l": F.max(in_l).over(by_id), "_id_h": F.max(in_h).over(by_id),
+        "_id_l_off": F.bool_and("l_off").over(by_id), "_id_h_off": F.bool_and("h_off").over(by_id),
+        "_id_l_inv": F.sum("l_inv").over(by_id), "_id_h_inv": F.sum("h_inv").over(by_id)})
     missing = F.col("_id_l") & ~F.col("_id_h")
     zero = (F.col("_id_l") & F.col("_id_h") & F.col("_id_l_off") & F.col("_id_h_off") &
             (F.col("_id_l_inv") > 0) & (F.col("_id_h_inv") == 0))
@@ -76,7 +82,7 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
     for f in flags:
         e = F.col(f"l_{f}") & F.col(f"h_{f}")
         changed = e if changed is None else changed | e
-    labelled = kk.join(ids, id_col, "inner").select(
+    labelled = kk.select(
         *keys,
         F.when(in_l & missing, F.lit(MISSING_ID)).alias("_low_label"),
         F.filter(F.array(F.when(in_h & ~in_l, F.lit(NEW_COMBO)),
@@ -84,6 +90,10 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
                          F.when(in_h & F.coalesce(zero, F.lit(False)), F.lit(ZERO_INVENTORY))),
                  lambda x: x.isNotNull()).alias("_high_labels"))
 
+    # the labelled key table feeds both emissions; it is one row per key,
+    # far smaller than the snapshots, so it is checkpointed once instead of
+    # being recomputed (re-reading both snapshots) for each side
+    labelled = cut_lineage(labelled)
     lo_keys = labelled.filter(F.col("_low_label").isNotNull()).select(*keys, F.col("_low_label").alias(label_col))
     hi_keys = labelled.filter(F.size("_high_labels") > 0).select(
         *keys, F.explode("_high_labels").alias(label_col))

@@ -169,14 +169,18 @@ def weekly_trend(df: DataFrame, weeks_back: int, dims: Sequence[str] = (),
                  week: str = "week", sales: str = "sales", sales_ly: str = "sales_ly") -> DataFrame:
     """Trend over the last N weeks of the latest year (the week filter applies
     with and without dimensions, fixing K6). One aggregation by (week, dims);
-    the latest week is read from it."""
+    the latest week is read from it. As in `latest_period`, the max carries
+    every column and the join conditions are written so that no one-sided
+    isnotnull filter is inferred: both branches then share one shuffle."""
     g = with_week_parts(df.groupBy(week, *dims).agg(
         _dbl(F.coalesce(F.sum(sales), F.lit(0))).alias("ty_sales"),
         _dbl(F.coalesce(F.sum(sales_ly), F.lit(0))).alias("ly_sales")), week)
-    lw = (g.filter(F.col(week).isNotNull()).agg(F.max(F.struct("year", "week_num")).alias("_m"))
+    rest = [c for c in g.columns if c not in ("year", "week_num")]
+    lw = (g.agg(F.max(F.struct("year", "week_num", *rest)).alias("_m"))
           .select(F.col("_m.year").alias("_ly"), F.col("_m.week_num").alias("_lw")))
     lo = F.col("_lw") - weeks_back + 1 if weeks_back > 0 else F.lit(1)
-    x = g.join(F.broadcast(lw), (g.year == lw._ly) & (g.week_num >= lo)).drop("_ly", "_lw")
+    cond = g.year.eqNullSafe(lw._ly) & F.coalesce(g.week_num >= lo, F.lit(False))
+    x = g.join(F.broadcast(lw), cond).drop("_ly", "_lw")
     return x.select(week, "week_num", "year", *dims, "ty_sales", "ly_sales").orderBy("year", "week_num", *dims)
 
 

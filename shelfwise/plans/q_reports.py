@@ -120,8 +120,9 @@ FROM recent GROUP BY ship_from""")
 def share_of_total(spark, d):
     """A3 for the latest week by classification and by ship-from. Both shares
     re-aggregate one (week, classification, ship-from) aggregate of the fact,
-    whose shuffle Spark reuses."""
+    checkpointed once (it is small), so the fact is read once."""
     fine = K.latest_period(K.kpi_sums(report_base(spark, d), ["week", "classification", "ship_from"]), "week")
+    fine = cut_lineage(fine.select("classification", "ship_from", "_ty", "_ly"))   # small; read once
     out = None
     for dim in ("classification", "ship_from"):
         part = K.share_of_total(fine, dim, "_ty", "_ly").select(
