@@ -218,6 +218,18 @@ def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
     return t.select(*out)
 
 
+def html_row_maps(df: DataFrame, id_col: str, html_col: str,
+                  must_have: Sequence[str] = ("UPC", "Item")) -> DataFrame:
+    """S10 keeping every column of the table (K10: the reference keeps the
+    columns it meant to exclude): one map header -> cell per row, so tables
+    with different headers stay in one column without a driver-side schema."""
+    t = html_tables(df, id_col, html_col, must_have)
+    n = F.least(F.size("header"), F.size("cells"))
+    return t.select(id_col, "row_no", F.map_from_arrays(
+        F.slice("header", 1, n), F.transform(F.slice("cells", 1, n), lambda c: F.nullif(c, F.lit("")))
+    ).alias("cells"))
+
+
 def html_field(html: Column, pattern: str = DESCRIPTION_PATTERN, default: Column | None = None) -> Column:
     """A labelled header field from a document, tags stripped; the
     default (e.g. the file stem) when absent or blank."""

@@ -143,3 +143,10 @@ def test_ingest_stream_partitioned_table(spark, tmp_path):
     ingest_stream(spark, drop, table, ["day", "item", "v"], spec, ["day", "item"], prefix="feed_",
                   checkpoint=str(tmp_path / "ck"), partition_col="day").awaitTermination()
     assert rows(spark.read.parquet(table), "day", "item", "v") == [(1, 10, 5.0), (1, 11, 2.0), (2, 10, 3.0)]
+
+
+def test_html_row_maps_keep_all_columns(spark):
+    html = "<table><tr><th>UPC</th><th>Item</th><th>Trade1</th></tr><tr><td>1</td><td>A</td><td></td></tr></table>"
+    df = spark.createDataFrame([(1, html)], "id int, html string")
+    r = FS.html_row_maps(df, "id", "html").first()
+    assert r.cells == {"UPC": "1", "Item": "A", "Trade1": None}
