@@ -18,13 +18,19 @@ from shelfwise.operators.dedupe import first_nonnull_per_key, first_per_key
 
 def join_prefix(left: DataFrame, right: DataFrame, left_code: str, right_code: str,
                 n: int = 11, right_cols: Sequence[str] | None = None,
-                cut_right: bool = True, how: str = "left") -> DataFrame:
+                cut_right: bool = True, how: str = "left",
+                one_per_prefix: Sequence[str] | None = None) -> DataFrame:
     """Left join on the first n characters of a code. With cut_right the
     right code is cut too (both sides cut; may fan out, K13); otherwise the
-    right code already is the n-char key."""
+    right code already is the n-char key. `one_per_prefix` (an order) keeps
+    only the first right row per prefix, so left rows never fan out."""
     rk = S.prefix(F.col(right_code), n) if cut_right else F.col(right_code).cast("string")
     cols = right_cols if right_cols is not None else [c for c in right.columns if c != right_code]
-    r = right.select(rk.alias("_pk"), *cols)
+    if one_per_prefix:
+        r = first_per_key(right.select(rk.alias("_pk"), *cols, *[c for c in one_per_prefix if c not in cols]),
+                          ["_pk"], list(one_per_prefix)).select("_pk", *cols)
+    else:
+        r = right.select(rk.alias("_pk"), *cols)
     l = left.withColumn("_pk", S.prefix(F.col(left_code), n))
     return l.join(r, on="_pk", how=how).drop("_pk")
 

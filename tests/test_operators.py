@@ -172,6 +172,8 @@ def test_prefix_join_fans_out(spark):
                                   "code string, m string")
     out = E.join_prefix(left, right, "upc", "code", 11)
     assert rows(out, "upc", "m") == [("", "blank"), ("123456789011", "m1"), ("123456789011", "m2")]
+    one = E.join_prefix(left, right, "upc", "code", 11, right_cols=["m"], one_per_prefix=["code"])
+    assert rows(one, "upc", "m") == [("", "blank"), ("123456789011", "m1")]
 
 
 def test_dq_and_profile(spark):
