@@ -104,6 +104,14 @@ def to_number(c, dtype: str = "double") -> Column:
     return v
 
 
+def whole_int(c) -> Column:
+    """A numeric text/double as int only when it is a whole number in
+    int range (a fractional rating would not fit an int column); else null."""
+    v = to_number(c, "double")
+    ok = (v == F.floor(v)) & (F.abs(v) <= F.lit(2147483647))
+    return F.when(ok, v.cast("int"))
+
+
 def to_timestamp_safe(c) -> Column:
     """Lenient timestamp parse (naive, timestamp_ntz); bad -> null."""
     t = _c(c).cast("string")

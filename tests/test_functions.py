@@ -91,3 +91,8 @@ def test_schema_helpers(spark):
     assert P.missing_columns(t, ["name", "x"]) == ["x"]
     s = sort_for_report(t, ["name", "oms id +"])
     assert [r[0] for r in s.collect()] == [3, 1, 2]
+
+
+def test_whole_int(spark):
+    got = _one(spark, S.whole_int("v"), [("4",), ("4.0",), ("4.5",), ("x",), (None,), ("1e12",)], "v string")
+    assert got == [4, 4, None, None, None, None]
