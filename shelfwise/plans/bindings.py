@@ -73,7 +73,9 @@ WEB_METRICS = ["pip_visits", "pip_visits_ly", "orders_ty", "orders_ly", "current
 
 def website(spark, d) -> DataFrame:
     ev = table(spark, d, "events")
-    day = F.date_trunc("day", F.col("ts") - F.expr("INTERVAL 26 YEARS"))
+    # wall-clock day of a timestamp_ntz (a date round trip; date_trunc would
+    # return a session-time-zone timestamp)
+    day = (F.col("ts") - F.expr("INTERVAL 26 YEARS")).cast("date").cast("timestamp_ntz")
     g = (ev.select(day.alias("day"), (F.col("user_id") % 60).alias("item"),
                    "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
          .groupBy("day", "item")
