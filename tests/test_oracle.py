@@ -31,3 +31,18 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "ty_sales" in df.columns
+
+
+TIME_QUERIES = ["derived_order_counts", "typed_ingest", "review_backlog", "question_backlog",
+                "latest_dated_file", "first_per_key", "upsert_conditions", "weekly_totals"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_session_time_zone_does_not_change_results(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        st = compare(spark, con, name, QUERIES[name], SQL.get(name), SF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert st["status"] == "ok", st
