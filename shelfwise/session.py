@@ -66,7 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:   # a core setting may be read-only at run time; the context setting below counts
+            pass
     spark.sparkContext.setCheckpointDir(d)
     return d
 
