@@ -1,10 +1,11 @@
 """First-per-key, duplicate detection, prefer-active de-duplication and
 ordered text roll-ups (SURVEY A4, A5, A12-A16, C9, N1, N3).
 
-"First" always means first by an explicit order (K8). Everything is a
-hash aggregate with map-side partial aggregation (min_by / bool_and /
-count), so a hot key is pre-reduced in every task before the shuffle
-instead of being sorted in one window partition.
+"First" always means first by an explicit order (K8). The key operators
+are aggregates with map-side partial aggregation (min_by / bool_and /
+count; sort-based where the buffer is a struct), so a hot key is
+pre-reduced in every task before the shuffle instead of being sorted whole
+in one window partition.
 """
 
 from __future__ import annotations
