@@ -157,22 +157,17 @@ def prefer_active_rollup(df: DataFrame, upc: str, status: str, item: str,
     """Clean the code (F5), prefer active rows, roll up status and item
     number per code (input order, null -> 'nan').
 
-    One aggregation (one shuffle) instead of flag + join + roll-up: per code
-    the rows are gathered once with the "all obsolete" flag; the rows whose
-    flag equals it (the active ones, or all when every row is obsolete) are
-    sorted by the order and joined. The roll-up text of a code necessarily
-    holds all of that code's kept rows."""
+    One shuffle by code: the "all rows obsolete" flag is a window over the
+    code (its rows are streamed in sorted order and spill to disk if a code
+    is huge), the kept rows are rolled up by the aggregate that follows on
+    the same partitioning. The roll-up text of a code necessarily holds all
+    of that code's kept rows."""
     key = F.coalesce(S.clean_upc_key(F.col(upc)), F.lit(null_text))
     x = df.select(key.alias("upc"), _order_struct(order).alias("_o"),
                   F.coalesce(F.col(status).isin(*obsolete), F.lit(False)).alias("_obs"),
                   F.coalesce(F.col(status).cast("string"), F.lit(null_text)).alias("_s"),
                   F.coalesce(F.col(item).cast("string"), F.lit(null_text)).alias("_i"))
-    # one buffer per code: (obsolete?, order, status, item); afterwards keep
-    # the entries whose flag equals the group minimum (active rows when any
-    # exist, else all) and join them in order
-    g = x.groupBy("upc").agg(F.collect_list(F.struct("_obs", "_o", "_s", "_i")).alias("_rows"),
-                             F.bool_and("_obs").alias("_all_obs"))
-    keep = F.array_sort(F.filter(F.col("_rows"), lambda r: r["_obs"] == F.col("_all_obs")))
-    g = g.select("upc", keep.alias("_k"))
-    return g.select("upc", F.array_join(F.transform("_k", lambda r: r["_s"]), sep).alias(status),
-                    F.array_join(F.transform("_k", lambda r: r["_i"]), sep).alias(item))
+    x = x.withColumn("_all_obs", F.bool_and("_obs").over(Window.partitionBy("upc")))
+    kept = x.filter(~F.col("_obs") | F.col("_all_obs"))
+    return kept.groupBy("upc").agg(ordered_listagg("_s", sep, "_o").alias(status),
+                                   ordered_listagg("_i", sep, "_o").alias(item))
