@@ -100,42 +100,39 @@ def dq_report(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
     {"rule": "unique_key", "keys": [...]}, {"rule": "row_count_range", "min": a, "max": b},
     {"rule": "row_conservation", "before": DataFrame}, {"rule": "allowed_keys",
     "keys": [...], "allowed": [...]}, {"rule": "non_empty"}.
-    Schema rules are decided on the driver from the schema; data rules are
-    aggregates.
+
+    Schema rules are decided on the driver from the schema. All data rules
+    read one row of statistics: the frame's row count is one aggregate
+    shared by every rule that needs it, each unique-key rule and each
+    "before" frame adds one aggregate; the rule rows are then exploded from
+    that single row.
     """
-    spark = df.sparkSession
-    schema = "rule string, detail string, observed bigint, passed boolean"
-    parts = []
-    rows = df.agg(F.count("*").alias("n"))
-    for r in rules:
+    stats = df.agg(F.count("*").alias("n"))
+    entries = []
+    for i, r in enumerate(rules):
         kind = r["rule"]
         if kind == "required_columns":
             miss = [c for c in r["columns"] if c not in df.columns]
-            parts.append(spark.createDataFrame([(kind, ",".join(miss), len(miss), not miss)], schema))
+            entries.append((kind, F.lit(",".join(miss)), F.lit(len(miss)), F.lit(not miss)))
         elif kind == "allowed_keys":
             bad = [k for k in r["keys"] if k not in r["allowed"]]
-            parts.append(spark.createDataFrame([(kind, ",".join(bad), len(bad), not bad)], schema))
+            entries.append((kind, F.lit(",".join(bad)), F.lit(len(bad)), F.lit(not bad)))
         elif kind == "unique_key":
             dup = (df.groupBy(*r["keys"]).agg(F.count("*").alias("c")).filter("c > 1")
-                   .agg(F.count("*").alias("observed")))
-            parts.append(dup.select(F.lit(kind).alias("rule"), F.lit(",".join(r["keys"])).alias("detail"),
-                                    "observed", (F.col("observed") == 0).alias("passed")))
+                   .agg(F.count("*").alias(f"_d{i}")))
+            stats = stats.crossJoin(F.broadcast(dup))          # one row
+            entries.append((kind, F.lit(",".join(r["keys"])), F.col(f"_d{i}"), F.col(f"_d{i}") == 0))
         elif kind == "row_count_range":
             lo, hi = r["min"], r["max"]
-            parts.append(rows.select(F.lit(kind).alias("rule"), F.lit(f"{lo}-{hi}").alias("detail"),
-                                     F.col("n").alias("observed"),
-                                     F.col("n").between(lo, hi).alias("passed")))
+            entries.append((kind, F.lit(f"{lo}-{hi}"), F.col("n"), F.col("n").between(lo, hi)))
         elif kind == "row_conservation":
-            before = r["before"].agg(F.count("*").alias("b"))
-            parts.append(rows.crossJoin(before).select(
-                F.lit(kind).alias("rule"), F.concat(F.lit("before="), F.col("b").cast("string")).alias("detail"),
-                F.col("n").alias("observed"), (F.col("n") == F.col("b")).alias("passed")))
+            stats = stats.crossJoin(F.broadcast(r["before"].agg(F.count("*").alias(f"_b{i}"))))
+            entries.append((kind, F.concat(F.lit("before="), F.col(f"_b{i}").cast("string")), F.col("n"),
+                            F.col("n") == F.col(f"_b{i}")))
         elif kind == "non_empty":
-            parts.append(rows.select(F.lit(kind).alias("rule"), F.lit("").alias("detail"),
-                                     F.col("n").alias("observed"), (F.col("n") > 0).alias("passed")))
+            entries.append((kind, F.lit(""), F.col("n"), F.col("n") > 0))
         else:
             raise ValueError(f"unknown rule {kind}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    structs = [F.struct(F.lit(k).alias("rule"), d.alias("detail"), o.cast("bigint").alias("observed"),
+                        p.alias("passed")) for k, d, o, p in entries]
+    return stats.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
