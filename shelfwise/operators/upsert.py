@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _membership(df: DataFrame, col: str, values: DataFrame, tag: str) -> tuple[DataFrame, Column]:
@@ -49,10 +50,13 @@ def mark_deletes(stored: DataFrame, batch: DataFrame | None, keys: Sequence[str]
         types = {f.name: f.dataType for f in stored.schema.fields}
         pred = None
         for k in keys:
-            # values may be given as text (CLI JSON): cast to the column type
-            vals = [F.lit(v.isoformat(sep=" ") if isinstance(v, (_dt.date, _dt.datetime)) else v)
-                    .cast(types[k]) for v in conditions[k]]
-            e = F.col(k).isin(*vals)
+            # values may be given as text (CLI JSON): one array literal cast to
+            # the column's type (a single constant, however long the list;
+            # membership of a null value is null, as with IN)
+            vals = [v.isoformat(sep=" ") if isinstance(v, (_dt.date, _dt.datetime)) else v
+                    for v in conditions[k]]
+            arr = F.lit(vals).cast(T.ArrayType(types[k]))
+            e = F.array_contains(arr, F.col(k))
             pred = e if pred is None else pred & e
         return stored.withColumn("_keep", F.coalesce(~pred, F.lit(False)))
     if match == "pair":
