@@ -8,6 +8,7 @@ word is a longest run of other characters.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.session import ensure_checkpoint_dir
+
 WS_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 WS_BYTES = b" \t\n\x0b\x0c\r"
@@ -142,7 +145,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def chain(*parts: np.ndarray) -> np.ndarray:
     """Order-dependent hash of equally long arrays of hashes."""
-    h = np.full(len(parts[0]), _U(len(parts)) * _U(0x9E3779B97F4A7C15), _U)
+    h = np.full(len(parts[0]), len(parts), _U) * _U(0x9E3779B97F4A7C15)
     for p in parts:
         h = mix64(h * _U(0xC2B2AE3D27D4EB4F) + p)
     return h
@@ -150,3 +153,12 @@ def chain(*parts: np.ndarray) -> np.ndarray:
 
 def sha256_hex(b: bytes) -> str:
     return hashlib.sha256(b).hexdigest()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a frame once into the shared checkpoint folder and read it back:
+    cuts the lineage, survives lost executors and computes the plan one time."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

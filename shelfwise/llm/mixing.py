@@ -22,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import quoted, words
-from shelfwise.session import cut_lineage
+from shelfwise.llm.common import quoted, staged, words
 
 #: Fixed values of the mix: weights by source order, share of all sizes, cap.
 WEIGHTS = (3, 1, 2)
@@ -72,7 +71,7 @@ def with_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int
     """(rec: the input row, size, source_size, target, copies)."""
     base = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("rec"), F.col("source").alias("_src"),
                        token_count(F.col("text")).alias("size"))
-    sizes = cut_lineage(base.groupBy("_src").agg(F.sum("size").alias("source_size"))
+    sizes = staged(base.groupBy("_src").agg(F.sum("size").alias("source_size"))
                         .select(F.col("_src").alias("source"), "source_size"))
     targets = source_targets(sizes, weights, share, cap)
     if sizes.count() <= BROADCAST_SOURCES:

@@ -92,3 +92,11 @@ def op7_exact_dedup(spark, sf_dir):
     """Owner, group size and digest of every document."""
     from shelfwise.llm.exact_dedup import owners
     return owners(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_near_dedup")
+def op9_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document: 3-word shingles, similarity 0.85."""
+    from shelfwise.llm.near_dedup import near_components
+    out = near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
