@@ -100,3 +100,46 @@ def op9_near_dedup(spark, sf_dir):
     from shelfwise.llm.near_dedup import near_components
     out = near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document; rows of the held-out fifth never train."""
+    from shelfwise.llm.toxicity import fit, held_out, score
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    return score(docs, fit(docs, labels)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op8_bpe")
+def op8_bpe(spark, sf_dir):
+    """Token count and digests of the ids and of the decoded text of every document."""
+    from shelfwise.llm.bpe import encode
+    out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(), decode=True)
+    return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """Base counts, distances and verdict of every document."""
+    from shelfwise.llm.quality import judge
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("chars")
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    """Base and discovered spans of personal data of every document."""
+    from shelfwise.llm.pii import KINDS, find, joined
+    out = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.array_remove(F.transform("base", lambda x: F.when(x["kind"] == F.lit(k), 1).otherwise(0)), 0))
+              .cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                      joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
