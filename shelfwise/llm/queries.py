@@ -143,3 +143,15 @@ def op10_pii(spark, sf_dir):
               .cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                       joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+def _warc_sql() -> str:
+    from shelfwise.llm.warc import oracle
+    return oracle()
+
+
+@query("op2_warc", _warc_sql())
+def op2_warc(spark, sf_dir):
+    """Metadata and conversion records of every page."""
+    from shelfwise.llm.warc import derivatives, responses
+    return derivatives(responses(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
