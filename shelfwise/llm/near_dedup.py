@@ -9,16 +9,18 @@ sets' Jaccard similarity, so bands of registers find candidates.
 
 1. Rows with the same set become one node, the smallest doc_id.
 2. Nodes that agree in all registers of a band share a bucket. Each is paired
-   with the bucket's smallest node only: buckets give rows, not pairs, however
-   large they are.
+   with the bucket's hub only, the node whose buckets are largest in total:
+   buckets give rows, not pairs, however large they are.
 3. The joint maximum-likelihood estimate of the similarity, from the register
    comparison and both set sizes, drops pairs that are ESTIMATE_MARGIN below
    the threshold (more than five standard errors).
 4. Remaining pairs are confirmed on their full sets; first each node's best
    pair, then pairs whose ends are still apart.
-5. Buckets that still hold several components are finished exactly: nodes
-   outside a bucket's largest component meet all nodes of the bucket that are
-   in other components, through steps 3 and 4. Nothing is capped.
+5. Hubs whose nodes still lie in several components are finished exactly: the
+   nodes outside the hub's largest component are compared with all its nodes,
+   in blocks of bounded size that are dealt over tasks and count common
+   elements with a matrix product. Only links between components come out;
+   nothing is capped.
 
 A linked pair shares no band with probability (1 - t^R)^BANDS, 3e-7 at the
 default threshold and less above it.
@@ -48,6 +50,8 @@ R, BANDS = 6, 32
 ESTIMATE_MARGIN = 0.14
 #: Candidate ids are broadcast to the text scan up to this count (16 MB of ids), else joined by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Rows of a block of step 5: nodes that look for links, and nodes they are compared with.
+PROBES, MEMBERS = 512, 4096
 SEED = 5
 
 
@@ -241,30 +245,19 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs with 100 * intersection >= percent * union."""
     s = _Search(docs, width, percent)
     bands = staged(_multi(s.bands()))
-    pivots = bands.groupBy("key").agg(F.min("id").alias("b"))
-    pairs = staged(bands.join(pivots, "key").where("id <> b").groupBy(F.col("id").alias("a"), "b")
+    score = bands.groupBy("id").agg(F.sum("n").alias("score"))
+    scored = bands.join(score, "id")
+    hubs = scored.groupBy("key").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("b"))
+    pairs = staged(bands.join(hubs, "key").where("id <> b").groupBy(F.col("id").alias("a"), "b")
                    .agg(F.count(F.lit(1)).alias("n")))
     label = s.nodes.select("id", F.col("id").alias("component")).distinct()
 
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     label = staged(_labels(label, components(s.confirmed(best))))
     rest = _apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), label).select("a", "b")
-    label = _joined(s, rest, label)
-
-    # Buckets with several components: who is outside the largest one meets the others.
-    marked = bands.join(label, "id")
-    per = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (per.groupBy("key").agg(F.count(F.lit(1)).alias("parts"),
-                                    F.max_by("component", F.struct("n", "component")).alias("main"))
-             .where("parts > 1").select("key", "main"))
-    open_ = staged(marked.join(mixed, "key").join(s.nodes.select("id", "n_shingles"), "id"))
-    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"),
-                                                F.col("n_shingles").alias("na"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), "main", F.col("n_shingles").alias("nb"))
-    meet = (f"ca <> cb and (cb = main or a < b) and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    left = (x.join(y, "key").where(meet).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-            .join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    label = _joined(s, left, label)
+    links = _apart(s.confirmed(rest), label).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    label = staged(_labels(label, components(links)))
+    label = staged(_labels(label, components(_block_links(s, pairs, label))))
 
     sets = s.nodes.select("n_shingles", "s1", "s2", "id").join(label, "id").drop("id")
     return (s.rows.select("doc_id", "n_shingles", "s1", "s2")
@@ -274,15 +267,89 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def _multi(bands: DataFrame) -> DataFrame:
-    """Band rows of buckets with at least two nodes."""
-    many = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return bands.join(many, "key", "left_semi")
-
-
-def _joined(s: _Search, pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """Components after confirming ``pairs``; (id, component)."""
-    links = _apart(s.confirmed(pairs), label).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    return staged(_labels(label, components(links)))
+    """(key, id, n): band rows of buckets with n >= 2 nodes."""
+    many = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return bands.join(many, "key")
+
+
+def _block_links(s: _Search, pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Links (a, b) between components of nodes that share a hub. All pairs with
+    the hub itself are decided already, so a hub counts if its other nodes lie
+    in several components."""
+    nodes = pairs.select(F.col("b").alias("hub"), F.col("a").alias("id")).join(label, "id")
+    per = nodes.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per.groupBy("hub").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("k"), F.max("n").alias("most"),
+                                   F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
+    blocks = mixed.select("hub", "main", F.ceil(F.col("k") / MEMBERS).alias("kb"),
+                          F.ceil((F.col("k") - F.col("most")) / PROBES).alias("tb"))
+    open_ = staged(nodes.join(blocks, "hub"))
+    need = staged(open_.select(F.col("id").alias("doc_id")).distinct())
+    ids = F.broadcast(need) if need.count() <= BROADCAST_IDS else need
+    sets = staged(s.docs.join(ids, "doc_id", "left_semi").mapInArrow(
+        partial(_set_rows, width=s.width), "id long, items array<bigint>"))
+    h = F.xxhash64("id")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    probes = open_.where("component <> main").select(
+        "hub", "id", "component", F.lit(True).alias("probe"), F.pmod(h, F.col("tb")).alias("i"), every("kb").alias("j"))
+    members = open_.select("hub", "id", "component", F.lit(False).alias("probe"), every("tb").alias("i"),
+                           F.pmod(h, F.col("kb")).alias("j"))
+    return (probes.union(members).join(sets, "id").groupBy("hub", "i", "j")
+            .applyInArrow(_block(s.percent), "a long, b long").distinct())
+
+
+def _block(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        return linked_components(table, percent)
+    return run
+
+
+def linked_components(table: pa.Table, percent: int) -> pa.Table:
+    """Component pairs (a, b) linked between probes and members of one block,
+    counted exactly: frequent elements by matrix product, the others by their rows."""
+    probe = table.column("probe").to_numpy(zero_copy_only=False).astype(bool)
+    comp = table.column("component").to_numpy()
+    flat = table.column("items").combine_chunks()
+    offsets, values = flat.offsets.to_numpy(), flat.values.to_numpy()
+    size = np.diff(offsets)
+    _, code = np.unique(values[offsets[0]:offsets[-1]], return_inverse=True)
+    row = np.repeat(np.arange(len(size)), size)
+    p, m = np.flatnonzero(probe), np.flatnonzero(~probe)
+    at = np.empty(len(size), np.int64)
+    at[p], at[m] = np.arange(len(p)), np.arange(len(m))
+    common = np.zeros((len(p), len(m)), np.float32)
+    of_probe = probe[row]
+    pc, pr, mc, mr = code[of_probe], at[row[of_probe]], code[~of_probe], at[row[~of_probe]]
+    total = int(code.max()) + 1 if len(code) else 0
+    df, pf = np.bincount(mc, minlength=total), np.bincount(pc, minlength=total)
+    both = (df > 0) & (pf > 0)
+    often = np.flatnonzero(both & (df * pf > 4096))
+    slot = np.full(total, -1)
+    for i in range(0, len(often), 1024):
+        part = often[i:i + 1024]
+        slot[:] = -1
+        slot[part] = np.arange(len(part))
+        x, y = np.zeros((len(p), len(part)), np.float32), np.zeros((len(m), len(part)), np.float32)
+        k = slot[pc] >= 0
+        x[pr[k], slot[pc[k]]] = 1
+        k = slot[mc] >= 0
+        y[mr[k], slot[mc[k]]] = 1
+        common += x @ y.T
+    seldom = both.copy()
+    seldom[often] = False
+    k = seldom[mc]
+    order = np.argsort(mc[k], kind="stable")
+    mc, mr = mc[k][order], mr[k][order]
+    k = seldom[pc]
+    pc, pr = pc[k], pr[k]
+    lo, n = np.searchsorted(mc, pc, "left"), df[pc]
+    for i in range(0, len(pc), 65536):
+        c = n[i:i + 65536]
+        first = np.repeat(lo[i:i + 65536] - np.concatenate([[0], np.cumsum(c)[:-1]]), c)
+        np.add.at(common, (np.repeat(pr[i:i + 65536], c), mr[first + np.arange(len(first))]), 1)
+    sizes = size[p][:, None] + size[m][None, :]
+    a, b = np.nonzero((100 * common >= percent * (sizes - common)) & (comp[p][:, None] != comp[m][None, :]))
+    pairs = np.unique(np.stack([comp[p][a], comp[m][b]], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
