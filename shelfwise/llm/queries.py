@@ -155,3 +155,11 @@ def op2_warc(spark, sf_dir):
     """Metadata and conversion records of every page."""
     from shelfwise.llm.warc import derivatives, responses
     return derivatives(responses(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+
+
+@query("op5_licences")
+def op5_licences(spark, sf_dir):
+    """Licence families of every document's paragraphs."""
+    from shelfwise.llm.licenses import fit, scan_documents
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_documents(docs, fit(docs))
