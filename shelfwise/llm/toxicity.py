@@ -42,7 +42,7 @@ BITS = 18
 BIAS = 1 << BITS          # one more coordinate, without L1
 KEY = BITS + 1            # bits of a coordinate in a feature key
 BEGINNINGS, TIMES = (4, 5, 6, 7), 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 1.0
 SHARDS, ROUNDS = 8, 4
 MAX_TRAIN_ROWS = 16_000
 FIXED = float(1 << 24)    # states are averaged as integers of this step
