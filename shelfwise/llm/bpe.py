@@ -26,11 +26,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import bounded_batches, quoted
+from shelfwise.llm.common import append_columns, quoted
 
 #: Fixed value: how byte-level vocabularies of this family split text.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -141,7 +141,7 @@ class Codec:
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-def _encode(batches, path: str, text: str, decode: bool):
+def _encode(batches, text: str, path: str, decode: bool):
     codec = Codec(path)
     for batch in batches:
         for i in range(0, max(1, batch.num_rows), 64):    # outputs of few rows at a time stay small
@@ -157,14 +157,12 @@ def _encode(batches, path: str, text: str, decode: bool):
 def encode(docs: DataFrame, path: str, text: str = "text", decode: bool = False) -> DataFrame:
     """The input's columns plus token_ids (little-endian unsigned 32-bit
     integers as binary) and n_tokens; with ``decode`` also the decoded text."""
-    bounded_batches(docs.sparkSession)
-    docs = docs.drop("token_ids", "n_tokens", *["decoded"] * decode)
     more = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
             *[T.StructField("decoded", T.StringType())] * decode]
-    return docs.mapInArrow(partial(_encode, path=path, text=text, decode=decode), T.StructType([*docs.schema.fields, *more]))
+    return append_columns(docs, text, partial(_encode, path=path, decode=decode), more)
 
 
-def _decode(batches, path: str, ids: str):
+def _decode(batches, ids: str, path: str):
     codec = Codec(path)
     for batch in batches:
         texts = [None if b is None else codec.decode(b) for b in batch.column(ids).to_pylist()]
@@ -173,14 +171,14 @@ def _decode(batches, path: str, ids: str):
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """The input's columns plus the decoded text; null ids decode to null."""
-    bounded_batches(encoded.sparkSession)
-    encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(partial(_decode, path=path, ids=ids),
-                              T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
+    return append_columns(encoded, ids, partial(_decode, path=path), [T.StructField("decoded", T.StringType())])
 
 
-def id_array(ids: str = "token_ids"):
+def id_array(ids: str = "token_ids") -> Column:
     """token_ids as array<bigint>, with SQL functions."""
-    n = F.octet_length(ids) / 4
-    return F.transform(F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>")),
-                       lambda i: F.conv(F.hex(F.reverse(F.substring(quoted(ids), i * 4 + 1, F.lit(4)))), 16, 10).cast("long"))
+    n = (F.octet_length(quoted(ids)) / 4).cast("int")
+
+    def one(i):
+        h = F.hex(F.substring(quoted(ids), i * 4 + 1, F.lit(4)))
+        return F.conv(F.concat(*[F.substring(h, at, 2) for at in (7, 5, 3, 1)]), 16, 10).cast("long")
+    return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), one)

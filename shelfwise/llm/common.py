@@ -62,6 +62,20 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def append_columns(docs: DataFrame, text: str, fn, fields: list[T.StructField]) -> DataFrame:
+    """``docs`` plus the columns ``fields`` that ``fn(batches, name)`` appends to
+    Arrow batches; ``name`` is the text's column there. Columns travel under
+    plain names, so any column name is fine; those named like the new ones go."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.drop(*[f.name for f in fields])
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    kinds = [T.StructField(p, f.dataType) for p, f in zip(plain, docs.schema.fields)]
+    at = plain[names.index(text)]
+    return (docs.toDF(*plain).mapInArrow(lambda batches: fn(batches, at), T.StructType([*kinds, *fields]))
+            .toDF(*names, *[f.name for f in fields]))
+
+
 # ---- hashing of words in numpy ------------------------------------------------
 
 _U = np.uint64

@@ -76,6 +76,7 @@ SAMPLE_DOCS = 1500
 FALSE_SHARE = 0.001
 LEAST_PROBABILITY, LEAST_SIMILARITY = 0.5, 0.6
 REG = 0.0005
+NO_EVIDENCE = 100.0       # weight of the training row without any n-gram
 
 
 def _words(p: Column) -> Column:
@@ -150,6 +151,8 @@ def fit(docs: DataFrame) -> Model:
     taught = (spark.createDataFrame(pieces, "family string, p string").withColumn("w", _words(F.col("p")))
               .withColumn("weight", F.lit(1.0)).select("family", "w", "weight"))
     taught = taught.union(sample.where("part = 0").select(F.lit(UNKNOWN).alias("family"), "w", F.lit(0.1).alias("weight")))
+    # a text without evidence is of the unknown class, whatever the sample holds
+    taught = taught.union(spark.range(1).select(F.lit(UNKNOWN), F.array().cast("array<string>"), F.lit(NO_EVIDENCE)))
     grams = F.concat("w", _bigrams(F.col("w")))
     one_hot = F.transform(F.array(*map(F.lit, vocab)), lambda v: F.array_contains("g", v).cast("double"))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1

@@ -10,8 +10,8 @@ al., 2013): per-coordinate rates alpha / (beta + sqrt(n)) and L1 sparsity, so
 the fitted weights are a short list of (coordinate, weight), broadcast to the
 scoring tasks with a bound of 2^BITS entries.
 
-Training is distributed: labelled rows are dealt to SHARDS shards by a hash of
-doc_id; each round every shard runs one pass from the common state, and the
+Training is distributed: labelled rows are dealt to up to SHARDS shards (of
+LEAST_SHARD_ROWS rows or more) by a hash of doc_id; each round every shard runs one pass from the common state, and the
 states are averaged over shards in fixed point, so reruns agree. A row's shard
 and order depend on its content alone.
 
@@ -22,7 +22,7 @@ Scoring covers every row and whole texts.
 Defined results: null, empty and blank texts get the bias's score; labels
 without a value, and rows without a doc_id, do not train; a document labelled
 twice trains twice; repeated rows score alike; without usable labels every
-score is 0.5 - the least step; an empty table gives no rows.
+score is just under 0.5; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,15 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import (IS_WS, LOWER, bounded_batches, chain, keep_bytes, mix64, staged, text_bytes,
-                                  word_hashes, word_spans)
+from shelfwise.llm.common import (IS_WS, LOWER, append_columns, bounded_batches, chain, keep_bytes, mix64, staged,
+                                  text_bytes, word_hashes, word_spans)
 
 BITS = 18
 BIAS = 1 << BITS          # one more coordinate, without L1
 KEY = BITS + 1            # bits of a coordinate in a feature key
 BEGINNINGS, TIMES = (4, 5, 6, 7), 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 1.0
-SHARDS, ROUNDS = 8, 4
+SHARDS, ROUNDS, LEAST_SHARD_ROWS = 8, 4, 500
 MAX_TRAIN_ROWS = 16_000
 FIXED = float(1 << 24)    # states are averaged as integers of this step
 
@@ -153,11 +153,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(
         "doc_id is not null and y is not null").withColumn("place", F.xxhash64("doc_id"))
     total = usable.count()
+    if not total:
+        return np.array([BIAS]), np.array([-1e-9])
     share = min(1.0, max_rows / max(1, total))
+    shards = max(1, min(SHARDS, int(total * share) // LEAST_SHARD_ROWS))
     usable = usable.where(F.pmod("place", F.lit(1 << 20)) < int(share * (1 << 20)))
     ids = F.broadcast(usable)     # at most about max_rows rows by the line above
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
-             .withColumn("shard", F.pmod(F.shiftright("place", 20), F.lit(SHARDS)).cast("int")))
+             .withColumn("shard", F.pmod(F.shiftright("place", 20), F.lit(shards)).cast("int")))
     rows = staged(texts.select("shard", "place", "y", "text").mapInArrow(
         _feature_rows, "shard int, place long, y int, coords array<int>"))
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
@@ -167,8 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
         step = (rows.groupBy("shard").applyInArrow(_shard_pass(state), "coord long, dz long, dn long")
                 .groupBy("coord").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn")).toArrow())
         c = step.column("coord").to_numpy()
-        z[c] += step.column("dz").to_numpy() / FIXED / SHARDS
-        n[c] += step.column("dn").to_numpy() / FIXED / SHARDS
+        z[c] += step.column("dz").to_numpy() / FIXED / shards
+        n[c] += step.column("dn").to_numpy() / FIXED / shards
         state.unpersist()
     l1 = np.full(BIAS + 1, L1)
     l1[BIAS] = 0.0
@@ -177,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     return keep, w[keep]
 
 
-def _score(batches, model, text: str):
+def _score(batches, text: str, model):
     coords, values = model.value
     w = np.zeros(BIAS + 1)
     w[coords] = values
@@ -191,11 +194,8 @@ def _score(batches, model, text: str):
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
     """The input's columns plus ``toxicity``, the probability of label 1."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    docs = docs.drop("toxicity")
-    return docs.mapInArrow(partial(_score, model=spark.sparkContext.broadcast(model), text=text),
-                           T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+    return append_columns(docs, text, partial(_score, model=docs.sparkSession.sparkContext.broadcast(model)),
+                          [T.StructField("toxicity", T.DoubleType())])
 
 
 def held_out(doc_id: Column, parts: int = 5) -> Column:

@@ -110,8 +110,9 @@ def serialised(records: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFr
 
 
 def write(records: DataFrame, path: str) -> None:
-    """WARC files, records end to end."""
-    serialised(records).select("warc").write.option("lineSep", "").option("compression", "gzip").text(path)
+    """WARC files, records end to end (the writer's line end is the last byte of each record)."""
+    rows = serialised(records).select(F.expr("substring(warc, 1, char_length(warc) - 1)").alias("warc"))
+    rows.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def _sql_text(expr: str) -> str:
