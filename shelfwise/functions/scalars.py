@@ -6,6 +6,8 @@ codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,10 +59,11 @@ def _digits_no_lead_zero(c: Column) -> Column:
 
 def full_upc(upc, plus) -> Column:
     """'0' || digits(upc) without leading zeros || digits(plus) without leading
-    zeros. Blank/null upc -> null; a part with no digits -> empty. Strings only
-    (no float round trip)."""
-    u, p = _c(upc).cast("string"), _c(plus).cast("string")
-    blank = u.isNull() | (F.trim(u) == "")
+    zeros. Both are cleaned first (F2; 'nan' counts as blank). Blank/null upc
+    -> null; a part with no digits -> empty. Strings only (no float round trip)."""
+    u, p = (clean_text(_c(x).cast("string")) for x in (upc, plus))
+    u, p = (F.when(F.lower(x) == "nan", F.lit("")).otherwise(x) for x in (u, p))
+    blank = u.isNull() | (u == "")
     return F.when(blank, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("0"), _digits_no_lead_zero(u),
                  F.coalesce(_digits_no_lead_zero(p), F.lit(""))))
@@ -68,8 +71,13 @@ def full_upc(upc, plus) -> Column:
 
 # F4 -------------------------------------------------------------------------
 def strip_point_zero(c) -> Column:
-    """Null -> '', to string, drop a trailing '.0'."""
-    return F.regexp_replace(F.coalesce(_c(c).cast("string"), F.lit("")), r"\.0$", "")
+    """Null -> '', to string, drop a trailing '.0'. Numbers in scientific text
+    (as doubles from ten million on print) are written out in full."""
+    t = F.coalesce(_c(c).cast("string"), F.lit(""))
+    whole = t.try_cast("decimal(38,10)").cast("string")
+    out = F.when(t.rlike(r"^-?[0-9]\.[0-9]+E[0-9]+$") & whole.isNotNull(),
+                 F.regexp_replace(whole, r"\.?0+$", "")).otherwise(t)
+    return F.regexp_replace(out, r"\.0$", "")
 
 
 # F5 -------------------------------------------------------------------------
@@ -112,10 +120,22 @@ def whole_int(c) -> Column:
     return F.when(ok, v.cast("int"))
 
 
-def to_timestamp_safe(c) -> Column:
-    """Lenient timestamp parse (naive, timestamp_ntz); bad -> null."""
-    t = _c(c).cast("string")
-    return F.coalesce(t.try_cast("timestamp_ntz"), F.try_to_timestamp(t).cast("timestamp_ntz"))
+#: Day formats that feeds use besides ISO; the first that parses counts.
+DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy", "yyyy/M/d")
+
+
+def to_timestamp_safe(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Lenient timestamp parse (naive, timestamp_ntz): ISO first, then
+    ``formats`` in order; bad -> null."""
+    t = F.trim(_c(c).cast("string"))
+    tries = [F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(t.try_cast("timestamp_ntz"), F.try_to_timestamp(t).cast("timestamp_ntz"), *tries)
+
+
+def lost_share(text, parsed) -> Column:
+    """Aggregate: share of non-blank cells that did not parse."""
+    some = _c(text).isNotNull() & (F.trim(_c(text).cast("string")) != "")
+    return F.try_divide(F.count_if(some & _c(parsed).isNull()), F.count_if(some))
 
 
 # F11 ------------------------------------------------------------------------
@@ -136,6 +156,17 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(_c(c), r"<[^>]+>", "")
 
 
+#: Entities decoded in table cells; the ampersand last.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def html_entities(c) -> Column:
+    out = _c(c)
+    for e, put in ENTITIES:
+        out = F.replace(out, F.lit(e), F.lit(put))
+    return out
+
+
 # F15 ------------------------------------------------------------------------
 def nz(c) -> Column:
     """Zero-safe denominator: 0 -> 1 (ANSI Spark raises on x/0)."""

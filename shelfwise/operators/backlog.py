@@ -44,19 +44,19 @@ def backlog(df: DataFrame, group: str, date: str, as_of: _dt.datetime | str,
     ('No Date' when none), rows older than N days before as_of (zero when
     none), low-rating count (when a rating column is given) and total rows.
     Blank groups are dropped, or kept and labelled 'No BU'."""
-    as_of_c = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else F.lit(as_of)
+    as_of_c = F.lit(as_of if isinstance(as_of, str) else as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     cutoff = as_of_c - F.make_interval(days=F.lit(older_days))
     g = F.coalesce(F.col(group).cast("string"), F.lit(""))
     aggs = [F.count(date).alias("count"), F.min(date).alias("oldest_date"),
             F.count_if(F.col(date) < cutoff).alias("old_count"), F.count("*").alias("row_count")]
     if rating:
         aggs.append(F.count_if(F.col(rating).isin(*LOW_RATINGS)).alias("low_rating_count"))
-    out = df.withColumn("_bu", g).groupBy("_bu").agg(*aggs)
-    out = out.withColumn("oldest_date_str", S.date_text(F.col("oldest_date"), date_format))
-    if keep_blank_bu:
-        out = out.withColumn("_bu", F.when(F.trim("_bu") == "", F.lit(BLANK_BU_LABEL)).otherwise(F.col("_bu")))
+    if keep_blank_bu:      # label before grouping: all blank texts are one group
+        df = df.withColumn("_bu", F.when(F.trim(g) == "", F.lit(BLANK_BU_LABEL)).otherwise(g))
     else:
-        out = out.filter(F.trim("_bu") != "")
+        df = df.withColumn("_bu", g).filter(F.trim("_bu") != "")
+    out = df.groupBy("_bu").agg(*aggs)
+    out = out.withColumn("oldest_date_str", S.date_text(F.col("oldest_date"), date_format))
     return out.withColumnRenamed("_bu", group)
 
 

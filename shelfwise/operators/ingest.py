@@ -1,21 +1,26 @@
 """Config-driven batch ingest with an audit table.
 
-One declarative spec per feed (prefix, column types, keys). For every feed
-the matching files of the drop folder are read together (one Spark scan,
-the file name kept per row), typed by name and merged into the published
-table: keyed feeds are upserted (two-set delete + append), un-keyed feeds
-take the rows of the last file by name (K12). The loop runs over the few
-feed specs on the driver; all row work is Spark jobs.
+One declarative spec per feed (prefix, column types, keys). A feed's files are
+numbered by name and read in one scan per kind of header, united by column
+name; the stored table counts as file 0. Keyed feeds apply the files one after
+another (delete + append per file, in one pass over all rows); un-keyed feeds
+take the rows of the last file (K12). The loop runs over the few feed specs on
+the driver; all row work is Spark jobs.
+
+The marked rows are written once to the shared checkpoint folder; the counts
+of the audit and the published version are read from there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.upsert import conform, mark_deletes
+from shelfwise.operators.upsert import conform, merge_numbered
+from shelfwise.session import stage_table
 from shelfwise.sources import files as FS
 from shelfwise.sources import sinks as SK
 
@@ -28,42 +33,62 @@ class FeedSpec:
     dates: tuple = ()
     keys: tuple = ()                # empty: un-keyed, the last file replaces the table
     rename: dict = field(default_factory=dict)
+    steps: tuple = ()               # DataFrame -> DataFrame steps after typing (keep the column ``_file``)
+
+
+AUDIT = ("feed string, file string, rows_removed bigint, rows_added bigint, final_row_count bigint, "
+         "version string, backup_version string, conditions string, error string")
+
+
+def numbered(df: DataFrame, names: list[str], file_col: str = "_file", number: str = "_n") -> DataFrame:
+    """Replace the file name column by the file's place in the sorted names."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col(file_col)).cast("int")
+    return df.withColumn(number, place).drop(file_col)
+
+
+def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedSpec,
+                conditions: dict | None = None, match: str = "cross") -> list[tuple]:
+    """One feed: publish its merged table, return one audit row per file."""
+    target = f"{tables_dir}/{spec.name}"
+    found = FS.list_files(spark, f"{drop_dir}/{FS.any_case_glob(spec.prefix, '.csv')}")
+    if not found:
+        return [(spec.name, None, 0, 0, None, None, None, None, "no files")]
+    batch = FS.read_feed(spark, [p for p, _ in found], spec.types, spec.dates, with_file=True)
+    batch = batch.withColumnsRenamed(spec.rename) if spec.rename else batch
+    step: Callable[[DataFrame], DataFrame]
+    for step in spec.steps:
+        batch = step(batch)
+    names = sorted({n for _, n in found})
+    batch = numbered(batch, names)
+    backup = SK.current_version(spark, target)
+    stored = SK.read_published(spark, target) if spec.keys else None
+    if stored is not None:
+        batch = conform(batch, stored.schema)
+    if spec.keys:
+        marked = merge_numbered(stored, batch, list(spec.keys), "_n", match, conditions)
+    else:
+        marked = batch.withColumn("_gone", F.when(F.col("_n") < len(names), F.col("_n") + 1))
+    marked = stage_table(marked)
+    added = {r["_n"]: r["c"] for r in marked.groupBy("_n").agg(F.count("*").alias("c")).collect()}
+    gone = {r["_gone"]: r["c"] for r in marked.where("_gone IS NOT NULL").groupBy("_gone").agg(F.count("*").alias("c")).collect()}
+    version = SK.publish(marked.where("_gone IS NULL").drop("_n", "_gone"), target)
+    audit, rows = [], added.get(0, 0)
+    used = None if conditions is None else str(conditions)
+    for n, name in enumerate(names, 1):
+        rows += added.get(n, 0) - gone.get(n, 0)
+        audit.append((spec.name, name, gone.get(n, 0), added.get(n, 0), rows, version, backup, used, None))
+    return audit
 
 
 def ingest(spark: SparkSession, drop_dir: str, tables_dir: str, specs: list[FeedSpec],
            conditions: dict | None = None, match: str = "cross") -> DataFrame:
-    """C14: run every feed and return the audit table (feed, files, rows
-    removed / added / final, version, error)."""
+    """C14: run every feed and return the audit table: per file the rows it
+    removed and added and the table's row count after it, the published
+    version, the version before it (the backup), the conditions, the error."""
     audit = []
     for spec in specs:
-        target = f"{tables_dir}/{spec.name}"
         try:
-            found = FS.discover(spark, drop_dir, prefix=spec.prefix, suffix=".csv")
-            paths = [r.path for r in found.select("path").collect()]   # file names only
-            if not paths:
-                audit.append((spec.name, 0, 0, 0, None, None, "no files"))
-                continue
-            batch = FS.read_feed(spark, paths, spec.types, spec.dates, with_file=True)
-            batch = batch.withColumnsRenamed(spec.rename) if spec.rename else batch
-            if not spec.keys:
-                batch = FS.last_file_rows(batch, "_file")
-            batch = batch.drop("_file")
-            stored = SK.read_published(spark, target)
-            added = batch.count()
-            if stored is None or not spec.keys:
-                merged, removed, final = batch, 0, added
-            else:
-                marked = mark_deletes(stored, batch, list(spec.keys), match,
-                                      conditions.get(spec.name) if conditions else None).persist()
-                c = marked.agg(F.count("*").alias("n"), F.count_if(~F.col("_keep")).alias("r")).first()
-                removed, final = c.r, c.n - c.r + added
-                merged = (marked.filter("_keep").drop("_keep")
-                          .unionByName(conform(batch, stored.schema), allowMissingColumns=True))
-            version = SK.publish(merged, target)
-            if stored is not None and spec.keys:
-                marked.unpersist()
-            audit.append((spec.name, len(paths), int(removed), int(added), int(final), version, None))
+            audit += ingest_feed(spark, drop_dir, tables_dir, spec, conditions.get(spec.name) if conditions else None, match)
         except Exception as e:          # one failing feed is reported, the others still run
-            audit.append((spec.name, 0, 0, 0, None, None, str(e)[:500]))
-    return spark.createDataFrame(audit, "feed string, files int, rows_removed bigint, rows_added bigint, "
-                                        "final_row_count bigint, version string, error string")
+            audit.append((spec.name, None, 0, 0, None, None, None, None, str(e)))
+    return spark.createDataFrame(audit, AUDIT)

@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _membership(df: DataFrame, col: str, values: DataFrame, tag: str) -> tuple[DataFrame, Column]:
@@ -50,13 +49,11 @@ def mark_deletes(stored: DataFrame, batch: DataFrame | None, keys: Sequence[str]
         types = {f.name: f.dataType for f in stored.schema.fields}
         pred = None
         for k in keys:
-            # values may be given as text (CLI JSON): one array literal cast to
-            # the column's type (a single constant, however long the list;
-            # membership of a null value is null, as with IN)
+            # values may be given as text (CLI JSON): literals cast to the
+            # column's type; IN becomes a hash set and reaches the file scan
             vals = [v.isoformat(sep=" ") if isinstance(v, (_dt.date, _dt.datetime)) else v
                     for v in conditions[k]]
-            arr = F.lit(vals).cast(T.ArrayType(types[k]))
-            e = F.array_contains(arr, F.col(k))
+            e = F.col(k).isin(*[F.lit(v).cast(types[k]) for v in vals])
             pred = e if pred is None else pred & e
         return stored.withColumn("_keep", F.coalesce(~pred, F.lit(False)))
     if match == "pair":
@@ -73,6 +70,49 @@ def mark_deletes(stored: DataFrame, batch: DataFrame | None, keys: Sequence[str]
     return x.withColumn("_keep", F.coalesce(~pred, F.lit(False))).drop(*drop)
 
 
+def merge_numbered(stored: DataFrame | None, batch: DataFrame, keys: Sequence[str], number: str,
+                   match: str = "cross", conditions: Mapping[str, Sequence] | None = None) -> DataFrame:
+    """Several delivered files applied one after another, in one pass: files are
+    numbered 1, 2, ... in ``number``, the stored table counts as file 0. Adds
+    ``number`` to stored rows and ``_gone`` to every row: the first later file
+    whose delete step removes it (null: it stays).
+
+    A row goes when a later file holds each of its key values (match="cross",
+    K1), its key tuple (match="pair"), or, with ``conditions``, at the next
+    file when it meets them. Key values are joined to the short list of files
+    that hold them, so nothing is expanded to rows x files."""
+    rows = batch if stored is None else stored.withColumn(number, F.lit(0)).unionByName(batch, allowMissingColumns=True)
+    none = F.array().cast("array<int>")
+    if conditions is not None:
+        last = batch.agg(F.max(number).alias("_last"))
+        return (mark_deletes(rows, None, keys, match, conditions).crossJoin(F.broadcast(last))
+                .withColumn("_gone", F.when(~F.col("_keep") & (F.col(number) < F.col("_last")), F.col(number) + 1))
+                .drop("_keep", "_last"))
+    if match == "pair":
+        names = {k: f"_k{i}" for i, k in enumerate(keys)}
+        held = (batch.select(number, *[F.col(k).alias(n) for k, n in names.items()]).dropna(subset=list(names.values()))
+                .groupBy(*names.values()).agg(F.collect_set(number).alias("_in")))
+        cond = None
+        for k, n in names.items():
+            cond = (rows[k] == held[n]) if cond is None else cond & (rows[k] == held[n])
+        both = rows.join(held, cond, "left").drop(*names.values())
+        files = F.coalesce("_in", none)
+    elif match == "cross":
+        both, files = rows, None
+        for i, k in enumerate(keys):
+            values = batch.select(number, F.col(k).alias(f"_k{i}")).where(f"_k{i} IS NOT NULL")
+            held = values.groupBy(f"_k{i}").agg(F.collect_set(number).alias(f"_in{i}"))
+            any_ = values.agg(F.collect_set(number).alias(f"_any{i}"))     # one row: the files with any value
+            both = (both.join(held, both[k] == held[f"_k{i}"], "left").drop(f"_k{i}").crossJoin(F.broadcast(any_)))
+            # a null key counts as held by every file (three-valued logic of the delete, K1)
+            here = F.when(F.col(k).isNull(), F.col(f"_any{i}")).otherwise(F.coalesce(F.col(f"_in{i}"), none))
+            files = here if files is None else F.array_intersect(files, here)
+    else:
+        raise ValueError(f"match must be 'cross' or 'pair', not {match!r}")
+    gone = F.array_min(F.filter(files, lambda x: x > F.col(number)))
+    return both.withColumn("_gone", gone).drop(*[c for c in both.columns if c.startswith(("_in", "_any"))])
+
+
 def delete_matching(stored: DataFrame, batch: DataFrame, keys: Sequence[str], match: str = "cross",
                     conditions: Mapping[str, Sequence] | None = None) -> DataFrame:
     """The stored rows that survive the delete step."""

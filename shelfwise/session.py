@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +25,14 @@ SCALE_CONF = {
 def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a large cluster, sized from the bytes a job reads.
 
-    Shuffle partitions start at input / 256 MB (at least 2 per core, at most
-    100,000 so the map x reduce shuffle bookkeeping stays bounded) and AQE
+    Shuffle partitions are input / 256 MB (at least 2 per core) and AQE
     coalesces them at run time, so small stages do not pay for the size of
     big ones; scans read 512 MB splits (several Parquet row groups); a
     partition counts as skewed above 512 MB and 3x the median and is split.
     The broadcast threshold stays small: what is broadcast is decided from
-    measured sizes, never assumed."""
-    parts = min(100_000, max(2 * total_cores, input_bytes // target_partition_bytes))
+    measured sizes, never assumed. Used by ``build_session`` when the input
+    size is given."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(int(parts)),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(int(parts)),
@@ -45,7 +46,13 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
 
 
 def build_session(master: str = "local[8]", partitions: int = 8, app: str = "shelfwise",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, input_bytes: int | None = None) -> SparkSession:
+    """A tuned session; with ``input_bytes`` its sizes follow the input (``partitions`` is then ignored)."""
+    if input_bytes is not None:
+        cores = int(master.split("[")[1].rstrip("]")) if master.startswith("local[") and master[6:-1].isdigit() else 8
+        sized = cluster_settings(input_bytes, cores)
+        partitions = int(sized["spark.sql.shuffle.partitions"])
+        extra = {**sized, **(extra or {})}
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(partitions))
          .config("spark.driver.memory", "16g"))
@@ -58,30 +65,33 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "she
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder. On a cluster it is configured
-    (``spark.checkpoint.dir``); only when unset (tests, local runs) a scratch
-    folder is created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder. On a cluster it must be configured
+    (``spark.checkpoint.dir``); only a local master, whose tasks run in this
+    process, gets a scratch folder when it is unset."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:   # a core setting may be read-only at run time; the context setting below counts
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write a frame once into the shared checkpoint folder and read it back:
+    one computation however often it is used, and the lineage is cut."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss,
-    unlike localCheckpoint). The frame is persisted for the duration of the
-    checkpoint: an eager checkpoint runs one job to count and a second to
-    write, and without the cache the second would recompute the plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    """Reliable cut through the shared folder (survives executor loss, unlike
+    localCheckpoint); the plan is computed once and nothing stays cached."""
+    return stage_table(df)

@@ -8,10 +8,13 @@ looped over on the driver.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions import scalars as S
 
@@ -49,20 +52,78 @@ def apply_spec(df: DataFrame, spec: Mapping[str, str], dates: Sequence[str] = ()
     return df.select(*out)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(path, name) of a file, of a folder's files or of a glob's matches, by
+    name. A listing of names only, as every scan makes one on the driver."""
+    fs, p = _hadoop(spark, path)
+    out = []
+    for st in fs.globStatus(p) or []:
+        for f in (fs.listStatus(st.getPath()) if st.isDirectory() else [st]):
+            name = f.getPath().getName()
+            if not f.isDirectory() and not name.startswith(("_", ".")):
+                out.append((f.getPath().toString(), name))
+    return sorted(out, key=lambda x: (x[1], x[0]))
+
+
+def csv_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, ...]:
+    """Column names in a CSV file's first line."""
+    fs, p = _hadoop(spark, path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), ()))
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], file_col: str | None = None) -> DataFrame:
+    """CSV files as text columns, united by column *name*: files with the same
+    header are one scan, files with another header another (an explicit Spark
+    CSV schema is positional). A column that a file lacks is null there."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        groups.setdefault(csv_header(spark, p), []).append(p)
+    out = None
+    for header, files in sorted(groups.items()):
+        schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(files))
+        if file_col:
+            df = df.withColumn(file_col, F.col("_metadata.file_name"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError("no CSV files")
+    return out
+
+
 def read_feed(spark: SparkSession, path: str | Sequence[str], spec: Mapping[str, str],
               dates: Sequence[str] = (), required: Sequence[str] = (), header: bool = True,
               with_file: bool = False) -> DataFrame:
-    """CSV with a header read as text, then typed by column name
-    (an explicit Spark CSV schema is positional, so it is not used)."""
-    df = spark.read.option("header", header).option("mode", "PERMISSIVE").csv(path)
-    if with_file:
-        df = df.withColumn("_file", F.col("_metadata.file_name"))
+    """CSV with a header read as text, united and typed by column name."""
+    if header:
+        paths = [f for p in ([path] if isinstance(path, str) else path) for f, _ in list_files(spark, p)]
+        df = read_csv_by_name(spark, paths, "_file" if with_file else None)
+    else:
+        df = spark.read.option("mode", "PERMISSIVE").csv(path)
+        if with_file:
+            df = df.withColumn("_file", F.col("_metadata.file_name"))
     miss = [c for c in required if c not in df.columns]
     if miss:
         raise ValueError(f"missing columns: {miss}")
     return apply_spec(df, spec, dates)
 
 
+def any_case_glob(prefix: str, suffix: str = "") -> str:
+    """Glob for names that start with ``prefix`` in any case and end with ``suffix``."""
+    def one(c: str) -> str:
+        return f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.lower() != c.upper() else ("\\" + c if c in "*?[]{}\\" else c)
+    return "".join(map(one, prefix)) + "*" + suffix
+
+
 # ---------------------------------------------------------------- S4 / S5
 def discover(spark: SparkSession, directory: str, prefix: str = "", suffix: str = "",
              contains: str = "", exclude: str | None = None) -> DataFrame:
@@ -137,6 +198,16 @@ def union_feed(frames: Sequence[DataFrame], labels: Sequence[str] | None = None,
 
 
 # ---------------------------------------------------------------- S9
+def split_line(line: Column, sep: str = ",") -> Column:
+    """Fields of one CSV line: quoted fields may hold the separator, doubled
+    quotes stand for one, a carriage return at the end goes."""
+    q = re.escape(sep)
+    field = rf'(?:^|{q})("(?:[^"]|"")*"[^{q}]*|[^{q}]*)'
+    parts = F.regexp_extract_all(F.regexp_replace(line, "\r$", ""), F.lit(field), F.lit(1))
+    return F.transform(parts, lambda x: F.when(
+        x.startswith('"'), F.replace(F.regexp_replace(x, r'^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
 def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
                   sep: str = ",") -> DataFrame:
     """S9 on whole texts: split into lines, the line at `header_row` (1-based)
@@ -144,12 +215,12 @@ def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
     header width. The header is taken from the same text before the lines
     are exploded, so no join or shuffle is needed, however long a text is."""
     lines = F.split(F.col(text_col), "\n")
-    x = df.select(id_col, F.try_element_at(lines, F.lit(header_row)).alias("header"),
+    x = df.select(id_col, F.regexp_replace(F.try_element_at(lines, F.lit(header_row)), "\r$", "").alias("header"),
                   F.posexplode(lines).alias("pos", "line"))
     x = x.withColumn("row_no", F.col("pos") + 1).drop("pos")
     x = x.filter((F.col("row_no") > header_row) & F.col("header").isNotNull())
-    width = F.size(F.split(F.col("header"), sep, -1))
-    fields = F.split(F.col("line"), sep, -1)
+    width = F.size(split_line(F.col("header"), sep))
+    fields = split_line(F.col("line"), sep)
     return x.withColumns({
         "fields": F.slice(fields, 1, width),
         "n_fields": F.least(F.size(fields), width),
@@ -157,16 +228,23 @@ def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
 
 
 def read_preamble_csv(spark: SparkSession, path: str, header_row: int, sep: str = ",") -> DataFrame:
-    """S9 for a CSV export of a sheet whose header sits at row `header_row`:
-    the whole file is one text (wholetext), lines are exploded and parsed.
-    Blank header cells get `_c<i>` names and keep their position (K11)."""
+    """S9 for CSV exports of sheets whose header sits at row `header_row`. Every
+    file keeps its own header: its cells become a map header -> cell, and the
+    files are united by column name. Blank header cells get `_c<i>` names
+    (K11). A blank line is a row of blanks, the empty text after a file's last
+    line break is no line. A sheet is one text, as the export of a workbook is."""
     raw = spark.read.text(path, wholetext=True).withColumn("_file", F.col("_metadata.file_path"))
-    rows = preamble_rows(raw, "_file", "value", header_row, sep).filter(F.col("line") != "")
-    header = rows.select("header").limit(1).first()
-    if header is None:
+    raw = raw.withColumn("value", F.regexp_replace("value", r"\r?\n$", ""))
+    rows = preamble_rows(raw, "_file", "value", header_row, sep)
+    names = F.transform(split_line(F.col("header"), sep), lambda h, i: F.when(
+        F.trim(h) == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(F.trim(h)))
+    padded = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.coalesce(F.try_element_at("fields", i), F.lit("")))
+    rows = rows.select("_file", "row_no", "header", names.alias("names"), padded.alias("cells"))
+    heads = [r[0] for r in rows.groupBy("_file").agg(F.first("names")).select("first(names)").distinct().collect()]
+    columns = list(dict.fromkeys(n for h in heads for n in h))      # one header per kind of sheet
+    if not columns:
         return spark.createDataFrame([], "dummy string").drop("dummy")
-    names = [h.strip() or f"_c{i}" for i, h in enumerate(header[0].split(sep))]
-    cells = [F.coalesce(F.try_element_at("fields", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    cells = [F.try_element_at("cells", F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int")).alias(n) for n in columns]
     return rows.orderBy("_file", "row_no").select(*cells)
 
 
@@ -179,11 +257,11 @@ def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[s
     the operator is a pure map (no shuffle). Documents without such a table
     give no rows."""
     def cells(tr):
-        return F.transform(F.regexp_extract_all(tr, F.lit(r"(?s)<t[dh]>(.*?)</t[dh]>"), F.lit(1)),
-                           lambda c: F.trim(S.strip_tags(c)))
+        return F.transform(F.regexp_extract_all(tr, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1)),
+                           lambda c: F.trim(S.html_entities(S.strip_tags(c))))
 
-    tables = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<table.*?</table>)"), F.lit(1)),
-                         lambda t: F.regexp_extract_all(t, F.lit(r"(?s)<tr>(.*?)</tr>"), F.lit(1)))
+    tables = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?is)(<table\b.*?</table\s*>)"), F.lit(1)),
+                         lambda t: F.regexp_extract_all(t, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1)))
 
     def has_all(rows):
         h = cells(F.try_element_at(rows, F.lit(1)))
@@ -202,14 +280,14 @@ def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[s
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
               must_have: Sequence[str] = ("UPC", "Item"), strict: bool = False) -> DataFrame:
     """S10 + P2: named columns from the matched table (absent -> null,
-    empty cell -> null). strict=True raises, like the reference, when a
-    document has no table with the required header (one count job)."""
+    empty cell -> null). Documents without such a table: strict=True raises
+    with their number (one count job); else see :func:`html_missing`, which
+    reports them as rows."""
     t = html_tables(df, id_col, html_col, must_have)
     if strict:
-        missing = df.select(id_col).join(t.select(id_col).distinct(), id_col, "left_anti").limit(5)
-        bad = [r[0] for r in missing.collect()]      # at most five ids, for the message
-        if bad:
-            raise RuntimeError(f"no table with {list(must_have)} in documents {bad}")
+        missing = html_missing(df, id_col, html_col, must_have).agg(F.count("*"), F.min(id_col)).first()
+        if missing[0]:
+            raise RuntimeError(f"no table with {list(must_have)} in {missing[0]} documents, first {missing[1]}")
     out = [F.col(id_col), F.col("row_no")]
     for c in columns:
         pos = F.array_position("header", F.lit(c))
@@ -218,6 +296,12 @@ def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
     return t.select(*out)
 
 
+def html_missing(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[str] = ("UPC", "Item")) -> DataFrame:
+    """Ids of the documents without a table whose header holds all ``must_have``."""
+    found = html_tables(df, id_col, html_col, must_have).select(F.col(id_col).alias("_found")).distinct()
+    return df.select(id_col).join(found, F.col(id_col).eqNullSafe(F.col("_found")), "left_anti")
+
+
 def html_row_maps(df: DataFrame, id_col: str, html_col: str,
                   must_have: Sequence[str] = ("UPC", "Item")) -> DataFrame:
     """S10 keeping every column of the table (K10: the reference keeps the

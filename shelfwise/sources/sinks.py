@@ -1,5 +1,5 @@
-"""Sinks: Parquet writes, versioned publish with a
-pointer file (atomic replace + kept backups), partitioned report output and
+"""Sinks: Parquet writes, versioned publish with numbered
+pointer files (atomic replace + kept backups), partitioned report output and
 a partition-local upsert for large keyed tables.
 
 Paths go through the Hadoop FileSystem API so the same code works on HDFS,
@@ -9,14 +9,17 @@ object stores and local disk.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions import scalars as S
 
-POINTER = "_CURRENT"
+POINTERS = "_pointers"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,42 +32,64 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+def _pointer_names(spark: SparkSession, table_dir: str) -> list[str]:
+    fs, p = _fs(spark, f"{table_dir}/{POINTERS}")
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(p)) if n.isdigit())
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
+def current_pointer(spark: SparkSession, table_dir: str) -> dict | None:
+    """The newest pointer: its version and the batch it came from (or None)."""
+    names = _pointer_names(spark, table_dir)
+    if not names:
         return None
-    stream = fs.open(p)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    line = reader.readLine()
-    reader.close()
-    return line
+    fs, p = _fs(spark, f"{table_dir}/{POINTERS}/{names[-1]}")
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return json.loads(reader.readLine())
+    finally:
+        reader.close()
+
+
+def _move_pointer(spark: SparkSession, table_dir: str, content: dict, after: list[str]) -> None:
+    """Numbered pointer files: a new one appears by a single rename to a name
+    that does not exist yet, so readers see the old pointer or the new one."""
+    folder = f"{table_dir}/{POINTERS}"
+    fs, tmp = _fs(spark, f"{folder}/.tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
+    out.write(bytearray(json.dumps(content).encode("utf-8")))
+    out.close()
+    number = int(after[-1]) + 1 if after else 1
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}")
+    if fs.exists(final) or not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise RuntimeError(f"{table_dir}: another publish took place meanwhile; read the table again and retry")
 
 
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    return _read_text(spark, f"{table_dir}/{POINTER}")
+    now = current_pointer(spark, table_dir)
+    return now["version"] if now else None
 
 
-def publish(df: DataFrame, table_dir: str, version: str | None = None) -> str:
-    """Write the new content to its own version folder, then move
-    the pointer. Readers of the previous version are never overwritten, a
-    failed write leaves the pointer on the old version, and old versions stay
-    as backups. Re-running with the same version id rewrites only that
-    folder (idempotent retries)."""
+def publish(df: DataFrame, table_dir: str, version: str | None = None, batch: int | None = None) -> str:
+    """Write the new content to a version folder of its own, then add
+    a pointer. Every attempt writes a new folder (an existing name gets a
+    suffix), so neither a failed nor a retried job ever touches a published
+    version; old versions stay as backups. ``batch``: an increasing number
+    recorded with the pointer; a batch already applied is skipped. Returns the
+    version that is current afterwards."""
     spark = df.sparkSession
+    before = _pointer_names(spark, table_dir)
+    now = current_pointer(spark, table_dir)
+    if batch is not None and now and now.get("batch") is not None and now["batch"] >= batch:
+        return now["version"]
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    df.write.mode("overwrite").parquet(f"{table_dir}/v={version}")
-    _write_text(spark, f"{table_dir}/{POINTER}", version)
+    fs, p = _fs(spark, f"{table_dir}/v={version}")
+    if fs.exists(p):
+        version = f"{version}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(f"{table_dir}/v={version}")
+    _move_pointer(spark, table_dir, {"version": version, "batch": batch}, before)
     return version
 
 
@@ -76,45 +101,46 @@ def read_published(spark: SparkSession, table_dir: str, version: str | None = No
 
 
 def write_partitioned(df: DataFrame, path: str, by: str, sort: Sequence[str] = (),
-                      files_per_value: int = 4) -> None:
-    """One output folder per (sanitised, F12) label, rows sorted inside.
-    Rows of one label are spread over a few writer tasks by a deterministic
-    hash salt, so a label holding a third of the data is not written by a
-    single task (and a retried task rewrites the same rows)."""
-    x = df.withColumn(by, S.safe_label(F.col(by)))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in x.columns]), F.lit(files_per_value))
-    x = x.repartition(F.col(by), salt)
+                      label: str | None = None) -> None:
+    """One output folder per (sanitised, F12) label, rows sorted inside
+    each file. The label is a column of its own (``<by>_label``), so groups
+    whose labels fall together stay apart by ``by``. AQE's rebalancing splits a
+    label's rows over as many writers as their size needs."""
+    label = label or f"{by}_label"
+    x = df.withColumn(label, S.safe_label(F.col(by))).hint("rebalance", F.col(label))
     if sort:
-        x = x.sortWithinPartitions(*[F.col(c).desc_nulls_last() for c in sort])
-    x.write.mode("overwrite").partitionBy(by).parquet(path)
+        x = x.sortWithinPartitions(label, *[F.col(c).desc_nulls_last() for c in sort])
+    x.write.mode("overwrite").partitionBy(label).parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A partitioned table with the types of ``like`` for the columns both have
+    (folder names carry no types; guessing would turn '007' into 7)."""
+    types = {f.name: f.dataType for f in like.schema.fields}
+    found = spark.read.parquet(path).schema
+    return spark.read.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.fields])).parquet(path)
 
 
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequence[str],
-                       partition_col: str, match: str = "cross") -> DataFrame:
+                       partition_col: str, match: str = "cross", file_no: str | None = None) -> DataFrame:
     """C1 for a large table partitioned by the first key (e.g. day): only the
-    partitions whose value occurs in the batch can lose rows (two-set delete),
-    so only those are rewritten. The new content of the touched partitions
-    is checkpointed to the shared checkpoint folder (cutting the lineage to
-    the files about to be replaced), then written with dynamic partition
-    overwrite. Returns the per-partition row counts written.
+    partitions whose value (null included) occurs in the batch are rewritten.
+    With ``file_no`` (1, 2, ...) the batch's files apply one after another.
+    The new content is written once to the shared checkpoint folder (cutting
+    the lineage to the files about to be replaced), then moved in by dynamic
+    partition overwrite. Returns the per-partition row counts written.
 
     Difference to the whole-table upsert: stored rows whose partition value
-    is null are never rewritten here (they sit in no touched partition),
-    while the whole-table two-set delete drops such a row when its other key
-    matches."""
-    from shelfwise.operators.upsert import conform, delete_matching
-    from shelfwise.session import cut_lineage
-
-    stored = spark.read.parquet(table_path)
-    touched = batch.select(partition_col).distinct()
-    affected = stored.join(touched, partition_col, "left_semi")   # partition pruning via DPP
-    kept = delete_matching(affected, batch, keys, match)
-    new = kept.unionByName(conform(batch, stored.schema).select(*stored.columns))
-    new = cut_lineage(new)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    is null are compared only if the batch itself holds a null partition value."""
+    from shelfwise.operators.upsert import conform, merge_numbered
+    from shelfwise.session import stage_table
+
+    stored = read_partitioned(spark, table_path, batch.select(partition_col))
+    touched = batch.select(F.col(partition_col).alias("_touched")).distinct()
+    affected = stored.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+    number = file_no or "_file_no"
+    numbered = batch if file_no else batch.withColumn(number, F.lit(1))
+    marked = merge_numbered(affected, conform(numbered, stored.schema), keys, number, match)
+    new = stage_table(marked.where("_gone IS NULL").select(*stored.columns))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path)
     return new.groupBy(partition_col).agg(F.count("*").alias("rows"))

@@ -3,10 +3,12 @@
 The reference re-reads a drop folder on every run; as a Spark job that is a
 file stream: each new CSV file matching the feed prefix is read once, typed
 by the feed spec and upserted into the published table inside
-``foreachBatch``. The streaming checkpoint (in the shared checkpoint folder)
-records which files were processed, so a restarted or failed run resumes
-without double-applying a file; the version id is the batch id, so a
-retried batch rewrites the same version.
+``foreachBatch``; the files of one batch apply one after another by name. The
+streaming checkpoint (in the shared checkpoint folder) records which files were
+processed. Every attempt publishes a new version folder and records the batch
+number with the pointer; a batch that was applied already is skipped, so a
+restarted or retried run neither repeats a file nor touches a version that is
+being read. The header of every file is checked against the declared columns.
 """
 
 from __future__ import annotations
@@ -15,13 +17,15 @@ import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.dq import path_exists
-from shelfwise.operators.upsert import upsert
+from shelfwise.operators.ingest import numbered
+from shelfwise.operators.upsert import conform, merge_numbered
 from shelfwise.session import ensure_checkpoint_dir
-from shelfwise.sources.files import apply_spec
+from shelfwise.sources.files import any_case_glob, apply_spec
 from shelfwise.sources.sinks import publish, read_published, upsert_partitioned
 
 
@@ -31,7 +35,7 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_dir: str, columns: Seq
                   match: str = "cross", partition_col: str | None = None) -> StreamingQuery:
     """Start an availableNow stream over `in_dir`: every new file
     `<prefix>*.csv` is typed and upserted; un-keyed feeds (no keys) replace
-    the table with the latest batch (K12).
+    the table with the batch's last file (K12).
 
     With `partition_col` (the first key, e.g. day) the table is a plain
     Parquet table partitioned by it and each batch rewrites only the
@@ -39,24 +43,28 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_dir: str, columns: Seq
     whole new version; a retried batch deletes and re-appends its own rows,
     so retries are idempotent."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    src = (spark.readStream.schema(schema).option("header", True)
-           .option("pathGlobFilter", f"{prefix}*.csv").csv(in_dir))
+    src = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("pathGlobFilter", any_case_glob(prefix, ".csv")).csv(in_dir)
+           .select("*", F.col("_metadata.file_name").alias("_file")))
     ck = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ingest_" + os.path.basename(table_dir))
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        typed = apply_spec(batch, spec, dates)
+        names = sorted(r[0] for r in batch.select("_file").distinct().collect())     # names of the batch's files
+        typed = numbered(apply_spec(batch, spec, dates), names)
         if partition_col and keys:
             if path_exists(spark, table_dir):
-                upsert_partitioned(spark, table_dir, typed, keys, partition_col, match)
+                upsert_partitioned(spark, table_dir, typed, keys, partition_col, match, "_n")
             else:
-                typed.write.partitionBy(partition_col).parquet(table_dir)
+                first = merge_numbered(None, typed, keys, "_n", match).where("_gone IS NULL")
+                first.drop("_n", "_gone").write.partitionBy(partition_col).parquet(table_dir)
             return
-        stored = read_published(spark, table_dir)
-        if stored is None or not keys:
-            merged = typed
+        if keys:
+            stored = read_published(spark, table_dir)
+            typed = typed if stored is None else conform(typed, stored.schema)
+            marked = merge_numbered(stored, typed, keys, "_n", match).where("_gone IS NULL").drop("_gone")
         else:
-            merged, _ = upsert(stored, typed, keys, match)
-        publish(merged, table_dir, version=f"batch_{epoch:08d}")
+            marked = typed.where(F.col("_n") == len(names))
+        publish(marked.drop("_n"), table_dir, version=f"batch_{epoch:08d}", batch=epoch)
 
     return (src.writeStream.foreachBatch(apply).option("checkpointLocation", ck)
             .trigger(availableNow=True).start())

@@ -75,7 +75,7 @@ def test_write_partitioned_labels(spark, tmp_path):
     out = str(tmp_path / "by_bu")
     SK.write_partitioned(df, out, "bu", sort=["v"])
     back = spark.read.parquet(out)
-    assert rows(back, "bu", "v") == [("No_BU", 3), ("a_b", 1), ("a_b", 2)]
+    assert rows(back, "bu_label", "bu", "v") == [("No_BU", "", 3), ("a_b", "a/b", 1), ("a_b", "a/b", 2)]
 
 
 def test_upsert_partitioned_rewrites_touched_days_only(spark, tmp_path):
@@ -102,24 +102,112 @@ def test_ingest_stream_upserts_each_file_once(spark, tmp_path):
     assert rows(SK.read_published(spark, table), "day", "item", "v") == [(1, 10, 5.0), (1, 11, 2.0)]
 
 
-def test_batch_ingest_audit(spark, tmp_path):
+def test_batch_ingest_applies_files_one_after_another(spark, tmp_path):
     from shelfwise.operators.ingest import FeedSpec, ingest
     drop, tables = str(tmp_path / "drop"), str(tmp_path / "tables")
+    _write(os.path.join(drop, "PythonOnlineSales_1.CSV"), "ignored: other suffix\n")
     _write(os.path.join(drop, "PythonOnlineSales_1.csv"), "day,item,v\n1,10,1.0\n1,11,2.0\n2,10,3.0\n")
     _write(os.path.join(drop, "onlinestores_a.csv"), "store,name\n1,A\n")
     _write(os.path.join(drop, "onlinestores_b.csv"), "store,name\n2,B\n")
     specs = [FeedSpec("sales", "pythononlinesales", {"day": "int", "item": "int", "v": "double"}, keys=("day", "item")),
              FeedSpec("stores", "onlinestores", {"store": "int"}),
              FeedSpec("calendar", "pythoncalendar")]
-    a = {r.feed: r for r in ingest(spark, drop, tables, specs).collect()}
-    assert (a["sales"].rows_added, a["sales"].final_row_count) == (3, 3)
+    a = {(r.feed, r.file): r for r in ingest(spark, drop, tables, specs).collect()}
+    r = a["sales", "PythonOnlineSales_1.csv"]
+    assert (r.rows_removed, r.rows_added, r.final_row_count, r.backup_version, r.error) == (0, 3, 3, None, None)
     assert rows(SK.read_published(spark, f"{tables}/stores")) == [(2, "B")]
-    assert a["calendar"].error == "no files"
-    _write(os.path.join(drop, "pythononlinesales_2.csv"), "day,item,v\n1,10,9.0\n")
-    a = {r.feed: r for r in ingest(spark, drop, tables, specs[:1]).collect()}
-    # both files are read again (the reference re-reads the drop folder): the
-    # delete step removes the stored rows whose day and item occur in them
-    assert a["sales"].rows_removed == 3 and a["sales"].rows_added == 4
+    assert a["stores", "onlinestores_b.csv"].rows_removed == 1
+    assert a["calendar", None].error == "no files"
+    # columns in another order, and overlapping rows: the later file's row counts
+    _write(os.path.join(drop, "pythononlinesales_2.csv"), "v,item,day\n9.0,10,1\n")
+    a = {r.file: r for r in ingest(spark, drop, tables, specs[:1]).collect()}
+    one, two = a["PythonOnlineSales_1.csv"], a["pythononlinesales_2.csv"]
+    assert (one.rows_removed, one.rows_added, one.final_row_count) == (3, 3, 3)
+    assert (two.rows_removed, two.rows_added, two.final_row_count) == (1, 1, 3)
+    assert one.backup_version is not None and one.version != one.backup_version
+    assert rows(SK.read_published(spark, f"{tables}/sales"), "day", "item", "v") == [(1, 10, 9.0), (1, 11, 2.0), (2, 10, 3.0)]
+
+
+def _file_by_file(files, match):
+    """The delete + append of one file after another, on lists."""
+    table = []
+    for f in files:
+        days, items = {d for d, _, _ in f} - {None}, {i for _, i, _ in f} - {None}
+        pairs = {(d, i) for d, i, _ in f if d is not None and i is not None}
+
+        def gone(r):
+            if match == "pair":
+                return (r[0], r[1]) in pairs
+            # three-valued IN: a null key with a filled set is unknown, and unknown rows go
+            a = None if r[0] is None and days else r[0] in days
+            b = None if r[1] is None and items else r[1] in items
+            return not (a is False or b is False)
+        table = [r for r in table if not gone(r)] + list(f)
+    return sorted(table, key=str)
+
+
+def test_merge_numbered_equals_file_by_file(spark):
+    import random
+
+    from shelfwise.operators.upsert import merge_numbered
+    r = random.Random(3)
+    for match in ("cross", "pair"):
+        for trial in range(3):
+            def some(n):
+                return [(r.choice([None, 1, 2, 3, 4]), r.choice([None, 7, 8, 9]), float(r.randrange(100))) for _ in range(n)]
+            stored, files = some(12), [some(r.randrange(1, 6)) for _ in range(4)]
+            df = spark.createDataFrame([(*x, n) for n, f in enumerate(files, 1) for x in f], "day int, item int, v double, n int")
+            st = spark.createDataFrame(stored, "day int, item int, v double")
+            got = merge_numbered(st, df, ["day", "item"], "n", match).where("_gone IS NULL").select("day", "item", "v")
+            assert sorted((tuple(x) for x in got.collect()), key=str) == _file_by_file([stored, *files], match)
+
+
+def test_publish_retry_and_batches(spark, tmp_path):
+    t = str(tmp_path / "table")
+    SK.publish(spark.range(150_000), t, "batch_0", batch=0)
+    again = SK.read_published(spark, t).union(spark.range(5))
+    v = SK.publish(again, t, "batch_0")             # same name while reading it: a folder of its own
+    assert v != "batch_0" and SK.read_published(spark, t).count() == 150_005
+    assert SK.read_published(spark, t, "batch_0").count() == 150_000
+    SK.publish(SK.read_published(spark, t), t, "batch_1", batch=1)
+    assert SK.publish(spark.range(1), t, "batch_1", batch=1) == "batch_1"      # applied already: skipped
+    assert SK.read_published(spark, t).count() == 150_005
+
+
+def test_failed_publish_leaves_the_table(spark, tmp_path):
+    import pytest
+    t = str(tmp_path / "table")
+    SK.publish(spark.range(3), t, "a")
+    with pytest.raises(Exception):
+        SK.publish(spark.range(3).select(F.raise_error(F.lit("stop")).alias("id")), t, "b")
+    assert SK.current_version(spark, t) == "a" and SK.read_published(spark, t).count() == 3
+
+
+def test_upsert_partitioned_keeps_null_days_and_text_keys(spark, tmp_path):
+    t = str(tmp_path / "sales")
+    schema = "day string, item int, v double, extra string"
+    spark.createDataFrame([("007", 10, 1.0, "x"), (None, 77, 1.0, "x"), (None, 78, 2.0, "x")], schema).write.partitionBy("day").parquet(t)
+    batch = spark.createDataFrame([(None, 79, 5.0), ("007", 11, 6.0)], "day string, item int, v double")
+    SK.upsert_partitioned(spark, t, batch, ["day", "item"], "day")
+    got = rows(SK.read_partitioned(spark, t, batch), "day", "item", "v", "extra")
+    assert got == [(None, 77, 1.0, "x"), (None, 78, 2.0, "x"), (None, 79, 5.0, None), ("007", 10, 1.0, "x"), ("007", 11, 6.0, None)]
+
+
+def test_preamble_quotes_line_ends_and_headers(spark, tmp_path):
+    d = str(tmp_path / "sheets")
+    _write(os.path.join(d, "a.csv"), 'title\r\nA,B\r\n"x,y",2\r\n"say ""hi""",\r\n')
+    _write(os.path.join(d, "b.csv"), "title\nB,A\n3,z\n\n4,w\n")
+    df = FS.read_preamble_csv(spark, d, header_row=2)
+    assert set(df.columns) == {"A", "B"}
+    assert rows(df, "A", "B") == [("", ""), ('say "hi"', ""), ("w", "4"), ("x,y", "2"), ("z", "3")]
+
+
+def test_html_attributes_case_and_entities(spark):
+    html = ('<TABLE border="1"><TR class=h><TH>UPC</TH><th>Item</th></TR><tr bgcolor=x><td align="right">12</td><td>A &amp; B</td></tr>'
+            "<tr><td>13</td><td>C</td></tr></TABLE>")
+    df = spark.createDataFrame([(1, html), (2, "no table")], "id int, html string")
+    assert rows(FS.html_rows(df, "id", "html", ["UPC", "Item"]), "UPC", "Item") == [("12", "A & B"), ("13", "C")]
+    assert [r[0] for r in FS.html_missing(df, "id", "html").collect()] == [2]
 
 
 def test_last_match_and_strict_tables(spark):
