@@ -84,13 +84,16 @@ def kpi_sums(df: DataFrame, dims: Sequence[str], sales: str = "sales", sales_ly:
              cancels: str = "cancel_units") -> DataFrame:
     """The additive part of A2: one aggregation (partial + final) of the KPI
     sums by `dims`. Money stays decimal, so sums of these sums are exact."""
-    s, u, c = F.col(sales), F.col(units), F.col(cancels)
-    per_row_cancel = _dbl(c) * (_dbl(s) / S.nz(u))
+    s, u, c, r = F.col(sales), F.col(units), F.col(cancels), F.col(returns)
+    # net sales per row: sales - returns - cancels * unit price; a row with a
+    # null in any of them has none. Its parts are summed apart (money exactly).
+    gross, cancelled = s - r, _dbl(c) * (_dbl(s) / S.nz(u))
+    has_net = gross.isNotNull() & cancelled.isNotNull()
     return df.groupBy(*dims).agg(
         F.sum(s).alias("_ty"), F.sum(sales_ly).alias("_ly"), F.sum(u).alias("_u"),
-        F.sum(units_ly).alias("_uly"), F.sum(F.abs(F.col(returns))).alias("_ret"),
-        F.sum(F.abs(c)).alias("_can"), F.sum(s - F.col(returns)).alias("_gross"),
-        F.sum(per_row_cancel).alias("_cv"))
+        F.sum(units_ly).alias("_uly"), F.sum(F.abs(r)).alias("_ret"),
+        F.sum(F.abs(c)).alias("_can"), F.sum(F.when(has_net, gross)).alias("_gross"),
+        F.sum(F.when(has_net, cancelled)).alias("_cv"))
 
 
 def kpi_rollup(sums: DataFrame, dims: Sequence[str]) -> DataFrame:
@@ -110,7 +113,7 @@ def kpi_finish(sums: DataFrame, dims: Sequence[str], positive_only: bool = True,
         F.coalesce(F.col("_uly"), z).cast("bigint").alias("ly_units"),
         _dbl(F.coalesce(F.col("_ret"), z)).alias("returns"),
         F.coalesce(F.col("_can"), z).cast("bigint").alias("cancels"),
-        F.round(_dbl(F.coalesce(F.col("_gross"), z)) - F.coalesce(F.col("_cv"), F.lit(0.0)), 2).alias("net_sales"))
+        (_dbl(F.coalesce(F.col("_gross"), z)) - F.coalesce(F.col("_cv"), F.lit(0.0))).alias("net_sales"))
     g = g.withColumns({
         "sales_diff": F.col("ty_sales") - F.col("ly_sales"),
         "sales_growth_pct": (F.col("ty_sales") / S.nz(F.col("ly_sales")) - 1) * 100,
@@ -143,7 +146,7 @@ def share_of_total(df: DataFrame, dim: str, measure: str = "sales",
     tot = g.agg(_dbl(F.sum("_ty")).alias("_total"))
     return (g.crossJoin(F.broadcast(tot))
             .select(dim, _dbl(F.col("_ty")).alias("ty_sales"), _dbl(F.col("_ly")).alias("ly_sales"),
-                    (_dbl(F.col("_ty")) / F.col("_total") * 100).alias("sales_share")))
+                    (_dbl(F.col("_ty")) / S.nz(F.col("_total")) * 100).alias("sales_share")))
 
 
 def standouts(agg: DataFrame, metric: str = "sales_diff", top_n: int = 5, bottom_n: int = 5,

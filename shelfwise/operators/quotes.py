@@ -17,9 +17,11 @@ from shelfwise.operators.enrich import join_null_safe
 QUOTE_THRESHOLD = 15000
 
 
-def money_mean(c: str, scale: int = 2) -> Column:
-    """Mean of a money column: decimal sum / count, as double."""
-    return F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double") / F.count(c)
+def money_mean(c: str) -> Column:
+    """Mean of a money column as double. The sum is exact (decimal with twelve
+    places, finer than any amount), so it does not depend on the order in
+    which partitions are combined."""
+    return F.sum(F.col(c).cast("decimal(38,12)")).cast("double") / F.count(c)
 
 
 def quotes_above(quotes: DataFrame, territory: DataFrame, threshold: float = QUOTE_THRESHOLD,

@@ -46,9 +46,11 @@ def sales(spark, d, item_mod: int | None = None) -> DataFrame:
         sales_amt.alias("sales"),
         (sales_amt * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")))
         .alias("sales_ly"),
-        F.when(F.col("l_returnflag") == "R", sales_amt)
+        F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 3), F.lit(None).cast("decimal(18,2)"))
+         .when(F.col("l_returnflag") == "R", sales_amt)
          .otherwise(F.lit(0).cast("decimal(18,2)")).alias("return_amt"),
-        F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 4 == 0), units)
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 2), F.lit(None).cast("int"))
+         .when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 4 == 0), units)
          .otherwise(F.lit(0)).alias("cancel_units"),
     )
 
@@ -61,8 +63,8 @@ def sales_sql(item_mod: int | None = None) -> str:
   CASE WHEN l_linenumber = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS units_ly,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS sales,
   CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS sales_ly,
-  CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS return_amt,
-  CASE WHEN l_linestatus = 'F' AND l_linenumber % 4 = 0 THEN CAST(l_quantity AS INTEGER) ELSE 0 END AS cancel_units
+  CASE WHEN l_returnflag = 'A' AND l_linenumber = 3 THEN NULL WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS return_amt,
+  CASE WHEN l_linestatus = 'O' AND l_linenumber = 2 THEN NULL WHEN l_linestatus = 'F' AND l_linenumber % 4 = 0 THEN CAST(l_quantity AS INTEGER) ELSE 0 END AS cancel_units
 FROM lineitem"""
 
 
@@ -190,7 +192,8 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 
 # --------------------------------------------------- weekly inventory snapshots
 def snapshot(spark, d, year: int) -> DataFrame:
-    li = table(spark, d, "lineitem").filter(F.year("l_shipdate") == year)
+    first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    li = table(spark, d, "lineitem").filter((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < after))
     off = F.col("l_partkey") % 7 == 0
     dc = F.when(F.col("l_suppkey") % 13 == 0, F.lit(None).cast("string")) \
         .otherwise(F.concat(F.lit("DC"), (F.col("l_suppkey") % 4).cast("string"), F.lit("-EAST")))
@@ -273,7 +276,7 @@ def quotes(spark, d) -> DataFrame:
     return (o.join(c, o.o_custkey == c.c_custkey)
             .select(F.col("c_nationkey").alias("store"),
                     F.when(F.col("o_orderkey") % 13 == 0, F.lit("n/a"))
-                     .otherwise(F.col("o_totalprice").cast("string")).alias("quote_total_text"),
+                     .otherwise(F.concat(F.col("o_totalprice").cast("string"), F.lit("7"))).alias("quote_total_text"),   # three decimals
                     F.col("o_orderdate").alias("quote_date"),
                     F.col("c_mktsegment").alias("state"),
                     F.col("o_orderkey").alias("order_no"),
@@ -281,7 +284,7 @@ def quotes(spark, d) -> DataFrame:
 
 
 QUOTES_SQL = """SELECT c_nationkey AS store,
-  CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS quote_total_text,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) || '7' END AS quote_total_text,
   o_orderdate AS quote_date, c_mktsegment AS state, o_orderkey AS order_no, o_orderpriority AS priority
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 

@@ -160,18 +160,19 @@ _PIVOT_KEYS = ["owner", "quote_date", "store", "state", "order_no"]
 
 
 @query("quote_pivot_mean", sql=f"""SELECT {', '.join(_PIVOT_KEYS)},
-  CAST(sum(CAST(quote_total AS DECIMAL(18,2))) AS DOUBLE) / count(quote_total) AS quote_total
+  round(avg(quote_total), 6) AS quote_total
 FROM ({QUOTES_ABOVE_SQL}) WHERE {' AND '.join(f'{k} IS NOT NULL' for k in _PIVOT_KEYS)}
 GROUP BY {', '.join(_PIVOT_KEYS)}""")
 def quote_pivot_mean(spark, d):
-    return QT.pivot_mean(quotes_above_df(spark, d), _PIVOT_KEYS)
+    # rounded for the comparison only: the oracle adds doubles
+    return QT.pivot_mean(quotes_above_df(spark, d), _PIVOT_KEYS).withColumn("quote_total", F.round("quote_total", 6))
 
 
 @query("owner_summary", sql=f"""SELECT owner, count(DISTINCT order_no) AS unique_orders,
-  CAST(sum(CAST(quote_total AS DECIMAL(18,2))) AS DOUBLE) / count(quote_total) AS avg_quote_total
+  round(avg(quote_total), 6) AS avg_quote_total
 FROM ({QUOTES_ABOVE_SQL}) WHERE owner IS NOT NULL GROUP BY owner""")
 def owner_summary(spark, d):
-    return QT.owner_summary(quotes_above_df(spark, d))
+    return QT.owner_summary(quotes_above_df(spark, d)).withColumn("avg_quote_total", F.round("avg_quote_total", 6))
 
 
 # ----------------------------------------------------------------------- C1

@@ -16,22 +16,27 @@ from shelfwise.session import cut_lineage
 DIMS = ["dept", "class", "subclass"]
 
 
+def report_window(s):
+    """The report's weeks; the day range reaches the file scan, the label's
+    pattern stays as the rule."""
+    first, after = (F.lit(x).cast("timestamp_ntz") for x in Q.REPORT_DAYS)
+    return s.filter((F.col("day") >= first) & (F.col("day") < after) & F.col("week").rlike(Q.REPORT_WEEKS))
+
+
 def report_base(spark, d):
     """W1 + W2 + W3, J1 (catalogue, left) and J2 (stores, inner)."""
-    s = B.sales(spark, d)
-    s = s.filter((F.col("sales") > 0) & F.col("week").rlike(Q.REPORT_WEEKS) & F.col("store").isNotNull())
+    s = report_window(B.sales(spark, d))
+    s = s.filter((F.col("sales") > 0) & F.col("store").isNotNull())
     c = E.classification_clean(B.classification_feed(spark, d)).select(
         "item", *DIMS, "classification", "ship_from")
     st = B.stores(spark, d).select("store", "market", "region")
     return s.join(c, "item", "left").join(st, "store", "inner")
 
 
-def recent(spark, d):
-    return K.in_latest_week(report_base(spark, d))
-
-
 def class_agg(spark, d):
-    return K.latest_kpis(report_base(spark, d), DIMS)
+    """KPIs per class of the latest week; net sales (a sum of doubles, whose
+    last digits depend on the order of adding) to cents for the comparison."""
+    return K.latest_kpis(report_base(spark, d), DIMS).withColumn("net_sales", F.round("net_sales", 2))
 
 
 KPI_COLS = ("ty_sales, ly_sales, ty_units, ly_units, returns, cancels, net_sales, sales_diff, "
@@ -87,8 +92,7 @@ def latest_week(spark, d):
 SELECT item, store, day, week, CAST(sales AS DOUBLE) AS sales FROM s
 WHERE regexp_matches(week, '{Q.REPORT_WEEKS}')""")
 def filter_week_regex(spark, d):
-    s = B.sales(spark, d)
-    return s.filter(F.col("week").rlike(Q.REPORT_WEEKS)).select(
+    return report_window(B.sales(spark, d)).select(
         "item", "store", "day", "week", F.col("sales").cast("double").alias("sales"))
 
 

@@ -8,6 +8,8 @@ from shelfwise.plans import bindings as B
 # Fixed value: the report's week window, a parameter in place of the
 # hard-coded "weeks 1-8 of 2025" (K4), aimed at a year present in the data.
 REPORT_WEEKS = r"Fiscal Week (?:[1-8]) of 1998"
+# the same window as days, which the file scan can use: weeks are 7-day blocks from January 1
+REPORT_DAYS = ("1998-01-01", "1998-02-26")
 AS_OF = "2024-03-01 00:00:00"
 
 
@@ -45,7 +47,7 @@ lw AS (SELECT year AS l_year, week_num AS l_num FROM wk WHERE week IS NOT NULL
 recent AS (SELECT wk.* FROM wk JOIN lw ON wk.year = lw.l_year AND wk.week_num = lw.l_num)"""
 
 KPI_SELECT = f"""ty_sales, ly_sales, ty_units, ly_units, returns, cancels,
-  round(gross - cancel_value, 2) AS net_sales,
+  round(net, 2) AS net_sales,
   ty_sales - ly_sales AS sales_diff,
   (ty_sales / {nz('ly_sales')} - 1) * 100 AS sales_growth_pct,
   returns / {nz('ty_sales')} * 100 AS return_rate,
@@ -57,8 +59,8 @@ KPI_AGGS = f"""CAST(coalesce(sum(sales), 0) AS DOUBLE) AS ty_sales,
   CAST(coalesce(sum(units_ly), 0) AS BIGINT) AS ly_units,
   CAST(coalesce(sum(abs(return_amt)), 0) AS DOUBLE) AS returns,
   CAST(coalesce(sum(abs(cancel_units)), 0) AS BIGINT) AS cancels,
-  CAST(coalesce(sum(sales - return_amt), 0) AS DOUBLE) AS gross,
-  coalesce(sum(CAST(cancel_units AS DOUBLE) * (CAST(sales AS DOUBLE) / {nz('units')})), 0.0) AS cancel_value"""
+  coalesce(sum(CAST(sales AS DOUBLE) - CAST(return_amt AS DOUBLE)
+    - CAST(cancel_units AS DOUBLE) * (CAST(sales AS DOUBLE) / {nz('units')})), 0.0) AS net"""
 
 CLASS_AGG = f"""class_agg AS (SELECT dept, class, subclass, {KPI_SELECT}
   FROM (SELECT dept, class, subclass, {KPI_AGGS} FROM recent GROUP BY dept, class, subclass)
