@@ -70,11 +70,13 @@ def distinct_count(df: DataFrame, columns: Sequence[str], null_as_value: bool =
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
-                    buckets: int = 16) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """N4 per group: the first n rows of each group by `order` (make the order
     total for a deterministic result). Each group is first cut to n rows per
     hash bucket of its rows, so a group holding a third of the data is ranked
-    by many tasks; the final ranking per group sees at most buckets * n rows."""
+    by many tasks; the final ranking per group sees at most buckets * n rows.
+    The buckets default to the session's shuffle partitions."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets))
     x = df.withColumn("_salt", salt)
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
@@ -157,17 +159,16 @@ def prefer_active_rollup(df: DataFrame, upc: str, status: str, item: str,
     """Clean the code (F5), prefer active rows, roll up status and item
     number per code (input order, null -> 'nan').
 
-    One shuffle by code: the "all rows obsolete" flag is a window over the
-    code (its rows are streamed in sorted order and spill to disk if a code
-    is huge), the kept rows are rolled up by the aggregate that follows on
-    the same partitioning. The roll-up text of a code necessarily holds all
-    of that code's kept rows."""
+    One aggregate by code: the texts of the active rows, those of all rows and
+    whether any row is active; the choice follows per code. A code's text
+    necessarily holds all of that code's kept rows."""
     key = F.coalesce(S.clean_upc_key(F.col(upc)), F.lit(null_text))
     x = df.select(key.alias("upc"), _order_struct(order).alias("_o"),
                   F.coalesce(F.col(status).isin(*obsolete), F.lit(False)).alias("_obs"),
                   F.coalesce(F.col(status).cast("string"), F.lit(null_text)).alias("_s"),
                   F.coalesce(F.col(item).cast("string"), F.lit(null_text)).alias("_i"))
-    x = x.withColumn("_all_obs", F.bool_and("_obs").over(Window.partitionBy("upc")))
-    kept = x.filter(~F.col("_obs") | F.col("_all_obs"))
-    return kept.groupBy("upc").agg(ordered_listagg("_s", sep, "_o").alias(status),
-                                   ordered_listagg("_i", sep, "_o").alias(item))
+    x = x.withColumns({f"_active{c}": F.when(~F.col("_obs"), F.col(c)) for c in ("_s", "_i")})
+    g = x.groupBy("upc").agg(F.bool_and("_obs").alias("_all_obs"), *[
+        ordered_listagg(c, sep, "_o").alias(c) for c in ("_s", "_i", "_active_s", "_active_i")])
+    pick = lambda c: F.when(F.col("_all_obs"), F.col(c)).otherwise(F.col(f"_active{c}"))
+    return g.select("upc", pick("_s").alias(status), pick("_i").alias(item))

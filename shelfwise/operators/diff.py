@@ -93,7 +93,7 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
     # the labelled key table feeds both emissions; it is one row per key,
     # far smaller than the snapshots, so it is checkpointed once instead of
     # being recomputed (re-reading both snapshots) for each side
-    labelled = cut_lineage(labelled)
+    labelled = cut_lineage(labelled.filter(F.col("_low_label").isNotNull() | (F.size("_high_labels") > 0)))
     lo_keys = labelled.filter(F.col("_low_label").isNotNull()).select(*keys, F.col("_low_label").alias(label_col))
     hi_keys = labelled.filter(F.size("_high_labels") > 0).select(
         *keys, F.explode("_high_labels").alias(label_col))

@@ -3,7 +3,7 @@ C13, C14).
 
 Checks return DataFrames (one row per rule / column) instead of printing.
 Every statistic is a distributed aggregate; string examples are taken with
-``orderBy(..).limit(k)`` (a bounded top-k), never by collecting a column.
+``orderBy(..).limit(k)`` over the different values (a bounded top-k), never by collecting a column.
 """
 
 from __future__ import annotations
@@ -29,35 +29,37 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def table_row_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """Row count per table; a missing table gives status 'missing' and a
     null count instead of an error."""
-    parts = []
-    for name, path in tables.items():
-        if path_exists(spark, path):
-            parts.append(spark.read.parquet(path).agg(F.count("*").alias("row_count"))
-                         .select(F.lit(name).alias("table_name"), "row_count", F.lit("ok").alias("status")))
-        else:
-            parts.append(spark.createDataFrame([(name, None, "missing")],
-                                               "table_name string, row_count bigint, status string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = {n: path_exists(spark, p) for n, p in tables.items()}
+    names = spark.createDataFrame([(n, "ok" if ok else "missing") for n, ok in found.items()], "table_name string, status string")
+    scans = None        # column-less scans (row counts come from the file footers), one grouped count
+    for n, p in tables.items():
+        if found[n]:
+            one = spark.read.parquet(p).select(F.lit(n).alias("_name"))
+            scans = one if scans is None else scans.unionAll(one)
+    if scans is None:
+        return names.select("table_name", F.lit(None).cast("bigint").alias("row_count"), "status")
+    counts = scans.groupBy("_name").agg(F.count("*").alias("_rows"))
+    return (F.broadcast(names).join(counts, F.col("table_name") == F.col("_name"), "left")
+            .select("table_name", F.when(F.col("status") == "ok", F.coalesce("_rows", F.lit(0))).alias("row_count"), "status"))
 
 
 def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame:
     """Per column null count, unique count (null counts as a value,
-    as Polars n_unique does), min/max for numeric columns, the first
-    `examples` non-null values (sorted) for strings, else 'N/A'.
+    as Polars n_unique does), min/max for numeric columns, the `examples`
+    smallest different non-null values for strings (a table has no first row),
+    else 'N/A'. Rows come in column order.
 
-    All column statistics come from one aggregate; approx=True swaps the exact
-    distinct count for HyperLogLog (approx_count_distinct) on very wide data.
-    """
+    Null counts and ranges are one aggregate. Unique values are taken column by
+    column, each reading its own column only and reduced in every task before
+    the shuffle; approx=True estimates them (HyperLogLog) in the one aggregate."""
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        nd = F.approx_count_distinct(c) if approx else F.countDistinct(c)
-        aggs += [F.count_if(c.isNull()).alias(f"n{i}"),
-                 (nd + F.max(F.when(c.isNull(), 1).otherwise(0))).cast("bigint").alias(f"u{i}")]
+        aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
+        if approx:
+            aggs.append((F.approx_count_distinct(c) + F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0)))
+                        .cast("bigint").alias(f"u{i}"))
         if isinstance(f.dataType, NUMERIC):
             aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
     stats = df.agg(*aggs)
@@ -69,27 +71,32 @@ def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame
         else:
             stat = F.lit(None).cast("string")
         rows.append(F.struct(F.lit(i).alias("pos"), F.lit(f.name).alias("column_name"),
-                             F.lit(f.dataType.simpleString()).alias("data_type"),
-                             F.col(f"n{i}").alias("null_count"), F.col(f"u{i}").alias("unique_count"),
+                             F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"n{i}").alias("null_count"),
+                             (F.col(f"u{i}") if approx else F.lit(None).cast("bigint")).alias("approx_count"),
                              stat.alias("stat")))
     long = stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    ex_parts = []
+    own = None          # per column: unique count and, for text, examples
     for i, f in enumerate(fields):
-        if isinstance(f.dataType, T.StringType):
-            c = F.col(f"`{f.name}`")
-            top = df.select(c.alias("v")).filter(F.col("v").isNotNull()).orderBy("v").limit(examples)
-            ex_parts.append(top.agg(F.expr("listagg(v, ', ') WITHIN GROUP (ORDER BY v)").alias("ex"))
-                            .select(F.lit(i).alias("pos"), "ex"))
-    if ex_parts:
-        ex = ex_parts[0]
-        for p in ex_parts[1:]:
-            ex = ex.unionByName(p)
-        long = long.join(F.broadcast(ex), "pos", "left")
-        long = long.withColumn("stat", F.coalesce(F.col("stat"), F.col("ex"),
-                                                  F.when(F.col("ex").isNull() & F.col("data_type").eqNullSafe("string"),
-                                                         F.lit("")))).drop("ex")
-    long = long.withColumn("stat", F.coalesce(F.col("stat"), F.lit("N/A")))
-    return long.orderBy("pos").drop("pos")
+        text = isinstance(f.dataType, T.StringType)
+        values = df.select(F.col(f"`{f.name}`").alias("v")).groupBy("v").agg(F.lit(1).alias("one"))
+        parts = []
+        if not approx:
+            parts.append(values.agg(F.count("*").alias("unique_count")).select(F.lit(i).alias("p"), "unique_count",
+                                                                               F.lit(None).cast("string").alias("ex")))
+        if text:
+            few = values.where("v IS NOT NULL").orderBy("v").limit(examples)
+            parts.append(few.agg(F.expr("listagg(v, ', ') WITHIN GROUP (ORDER BY v)").alias("ex")).select(
+                F.lit(i).alias("p"), F.lit(None).cast("bigint").alias("unique_count"), F.coalesce("ex", F.lit("")).alias("ex")))
+        for part in parts:
+            own = part if own is None else own.unionByName(part)
+    if own is not None:
+        own = own.groupBy("p").agg(F.max("unique_count").alias("unique_count"), F.max("ex").alias("ex"))
+        long = long.join(F.broadcast(own), F.col("pos") == F.col("p"), "left")       # one row per column
+    else:
+        long = long.withColumns({"unique_count": F.lit(None).cast("bigint"), "ex": F.lit(None).cast("string")})
+    return long.orderBy("pos").select("column_name", "data_type", "null_count",
+                                      F.coalesce("unique_count", "approx_count").alias("unique_count"),
+                                      F.coalesce("stat", "ex", F.lit("N/A")).alias("stat"))
 
 
 # ------------------------------------------------------------------- C13

@@ -148,12 +148,13 @@ FROM part WHERE p_partkey % 4 = 0"""
 
 
 # ------------------------------------------------------------ FG status feed
-# Finished-goods status: parts with p_size > 10; UPC = the 11-char code, and
+# Finished-goods status: UPC = the 11-char code (of parts up to size 10 one
+# that no catalogue code starts with, so those items find no status), and
 # for every 5th part a second UPC with the same 11 chars plus 'X' (prefix
 # fan-out case, K13).
 def fg_feed(spark, d) -> DataFrame:
-    p = table(spark, d, "part").filter(F.col("p_size") > 10)
-    key11 = F.lpad(F.col("p_partkey").cast("string"), 11, "0")
+    p = table(spark, d, "part")
+    key11 = F.lpad(F.col("p_partkey").cast("string"), 11, F.when(F.col("p_size") > 10, "0").otherwise("9"))
     one = p.select(key11.alias("upc"),
                    F.col("p_brand").alias("mpg"), F.col("p_type").alias("ipg"),
                    F.concat(F.lit("BU"), (F.col("p_partkey") % 7).cast("string")).alias("bu"),
@@ -169,13 +170,14 @@ def fg_feed(spark, d) -> DataFrame:
     return one.unionByName(two)
 
 
-FG_FEED_SQL = """SELECT lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS upc,
+_KEY11 = "lpad(CAST(p_partkey AS VARCHAR), 11, CASE WHEN p_size > 10 THEN '0' ELSE '9' END)"
+FG_FEED_SQL = f"""SELECT {_KEY11} AS upc,
   p_brand AS mpg, p_type AS ipg, 'BU' || CAST(p_partkey % 7 AS VARCHAR) AS bu,
   CAST(p_partkey AS VARCHAR) AS basic, CAST(p_size % 10 AS VARCHAR) AS dash, 1 AS file_no, p_partkey AS row_no
-FROM part WHERE p_size > 10
+FROM part
 UNION ALL
-SELECT lpad(CAST(p_partkey AS VARCHAR), 11, '0') || 'X', p_brand, '', '', CAST(p_partkey AS VARCHAR), 'X', 2, p_partkey
-FROM part WHERE p_size > 10 AND p_partkey % 5 = 0"""
+SELECT {_KEY11} || 'X', p_brand, '', '', CAST(p_partkey AS VARCHAR), 'X', 2, p_partkey
+FROM part WHERE p_partkey % 5 = 0"""
 
 
 # ------------------------------------------------------------------- stores
@@ -290,15 +292,15 @@ FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
 def territory(spark, d) -> DataFrame:
-    """Store -> owner (DSR) list. Stores of nation 24 are not listed, so
-    their quotes get no owner."""
-    n = table(spark, d, "nation").filter(F.col("n_nationkey") != 24)
-    return n.select(F.col("n_nationkey").alias("store_no"),
+    """Store -> owner (DSR) list. Store 24 is listed under another number, so
+    its quotes get no owner."""
+    n = table(spark, d, "nation")
+    return n.select(F.when(F.col("n_nationkey") == 24, -24).otherwise(F.col("n_nationkey")).cast("bigint").alias("store_no"),
                     F.concat(F.lit("DSR-"), (F.col("n_regionkey")).cast("string")).alias("owner"))
 
 
-TERRITORY_SQL = """SELECT n_nationkey AS store_no, 'DSR-' || CAST(n_regionkey AS VARCHAR) AS owner
-FROM nation WHERE n_nationkey <> 24"""
+TERRITORY_SQL = """SELECT CASE WHEN n_nationkey = 24 THEN -24 ELSE n_nationkey END AS store_no, 'DSR-' || CAST(n_regionkey AS VARCHAR) AS owner
+FROM nation"""
 
 
 def scorecard(spark, d) -> DataFrame:

@@ -177,6 +177,30 @@ def owner_summary(spark, d):
 
 # ----------------------------------------------------------------------- C1
 _STORED, _BATCH = J._STORED_SQL, J._BATCH_SQL
+
+# Files that arrive one after another: the stored table is file 0, the line
+# numbers above 3 are files 1 to 4.
+_FILES_SQL = """SELECT l_orderkey AS order_key, l_linenumber AS line, greatest(l_linenumber - 3, 0) AS n,
+  CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_shipdate END AS day,
+  CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE l_partkey END AS item, l_quantity AS qty FROM lineitem"""
+
+
+@query("ingest_multi_file", sql=f"""WITH r AS ({_FILES_SQL}),
+d AS (SELECT DISTINCT n, day FROM r WHERE n > 0 AND day IS NOT NULL),
+i AS (SELECT DISTINCT n, item FROM r WHERE n > 0 AND item IS NOT NULL)
+SELECT * FROM r WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT n FROM r WHERE n > 0) f WHERE f.n > r.n
+    AND (r.day IS NULL OR EXISTS (SELECT 1 FROM d WHERE d.n = f.n AND d.day = r.day))
+    AND (r.item IS NULL OR EXISTS (SELECT 1 FROM i WHERE i.n = f.n AND i.item = r.item)))""")
+def ingest_multi_file(spark, d):
+    """Several delivered files applied one after another; a row goes
+    when a later file holds its day and its item (a null key counts as held)."""
+    r = B.table(spark, d, "lineitem").selectExpr(
+        "l_orderkey AS order_key", "l_linenumber AS line", "cast(greatest(l_linenumber - 3, 0) AS int) AS n",
+        "CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_shipdate END AS day",
+        "CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE l_partkey END AS item", "l_quantity AS qty")
+    stored, files = r.where("n = 0").drop("n"), r.where("n > 0")
+    return U.merge_numbered(stored, files, ["day", "item"], "n").where("_gone IS NULL").drop("_gone")
 _KEEP_ROWS = f"""SELECT * FROM ({_STORED}) s
 WHERE NOT (day IN (SELECT day FROM ({_BATCH}) WHERE day IS NOT NULL)
            AND item IN (SELECT item FROM ({_BATCH}) WHERE item IS NOT NULL))"""
@@ -336,7 +360,7 @@ def _profile_sql(table: str, cols) -> str:
     for c, t in cols:
         if t == "string":
             stat = (f"(SELECT coalesce(string_agg(v, ', ' ORDER BY v), '') FROM "
-                    f"(SELECT {c} AS v FROM {table} WHERE {c} IS NOT NULL ORDER BY v LIMIT 3))")
+                    f"(SELECT DISTINCT {c} AS v FROM {table} WHERE {c} IS NOT NULL ORDER BY v LIMIT 3))")
         else:
             stat = (f"'Min: ' || coalesce(CAST(min({c}) AS VARCHAR), 'null') || ', Max: ' || "
                     f"coalesce(CAST(max({c}) AS VARCHAR), 'null')")

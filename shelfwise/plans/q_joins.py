@@ -24,12 +24,13 @@ def join_left_catalog(spark, d):
 
 @query("join_inner_store", sql=f"""SELECT s.item, s.store, s.day, CAST(s.sales AS DOUBLE) AS sales,
   st.market, st.region
-FROM ({B.sales_sql()}) s JOIN ({B.STORES_SQL}) st ON s.store = st.store
-WHERE st.region <> 'AFRICA'""")
+FROM ({B.sales_sql()}) s JOIN (SELECT CASE WHEN store % 5 = 0 THEN -store ELSE store END AS store, market, region
+  FROM ({B.STORES_SQL})) st ON s.store = st.store""")
 def join_inner_store(spark, d):
-    """Sales -> stores (inner); sales of stores outside the store list
-    (here: the African region is not delivered) drop out."""
-    st = B.stores(spark, d).filter(F.col("region") != "AFRICA").select("store", "market", "region")
+    """Sales -> stores (inner); sales of stores outside the store list drop
+    out (here: every fifth store is listed under another number)."""
+    st = B.stores(spark, d).select(F.when(F.col("store") % 5 == 0, -F.col("store")).otherwise(F.col("store")).alias("store"),
+                                   "market", "region")
     s = B.sales(spark, d).select("item", "store", "day", F.col("sales").cast("double").alias("sales"))
     return s.join(st, "store", "inner")
 
@@ -121,19 +122,20 @@ STORED_COLS = ["l_orderkey AS order_key", "l_linenumber AS line",
                "l_quantity AS qty", "CAST(l_extendedprice AS FLOAT) AS sales"]
 BATCH_COLS = ["l_orderkey AS order_key", "l_linenumber AS line", "l_shipdate AS day", "l_partkey AS item",
               "CAST(l_quantity AS INTEGER) AS qty", "CAST(l_extendedprice AS FLOAT) AS sales"]
-_STORED_SQL = f"SELECT {', '.join(STORED_COLS)} FROM lineitem WHERE l_linenumber <= 6"
-_BATCH_SQL = (f"SELECT {', '.join(BATCH_COLS)} FROM lineitem WHERE l_linenumber = 7 "
-              "AND l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-03-01'")
+# The batch is a delivery of two months' seventh lines, the stored table all other rows.
+_IN_BATCH = "l_linenumber = 7 AND l_shipdate >= {t} '1998-01-01' AND l_shipdate < {t} '1998-03-01'"
+_STORED_SQL = f"SELECT {', '.join(STORED_COLS)} FROM lineitem WHERE NOT coalesce({_IN_BATCH.format(t='TIMESTAMP')}, false)"
+_BATCH_SQL = f"SELECT {', '.join(BATCH_COLS)} FROM lineitem WHERE {_IN_BATCH.format(t='TIMESTAMP')}"
 
 
 def stored_table(spark, d):
-    return B.table(spark, d, "lineitem").filter("l_linenumber <= 6").selectExpr(*STORED_COLS)
+    return B.table(spark, d, "lineitem").filter(
+        f"NOT coalesce({_IN_BATCH.format(t='TIMESTAMP_NTZ')}, false)").selectExpr(*STORED_COLS)
 
 
 def batch_table(spark, d):
     return B.table(spark, d, "lineitem").filter(
-        "l_linenumber = 7 AND l_shipdate >= TIMESTAMP_NTZ '1998-01-01' AND l_shipdate < TIMESTAMP_NTZ '1998-03-01'"
-    ).selectExpr(*BATCH_COLS)
+        _IN_BATCH.format(t="TIMESTAMP_NTZ")).selectExpr(*BATCH_COLS)
 
 
 _KEEP_SQL = f"""WITH stored AS ({_STORED_SQL}), batch AS ({_BATCH_SQL})

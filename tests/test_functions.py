@@ -96,3 +96,19 @@ def test_schema_helpers(spark):
 def test_whole_int(spark):
     got = _one(spark, S.whole_int("v"), [("4",), ("4.0",), ("4.5",), ("x",), (None,), ("1e12",)], "v string")
     assert got == [4, 4, None, None, None, None]
+
+
+def test_codes_dates_and_numbers_as_delivered(spark):
+    from shelfwise.functions import scalars as S
+    one = spark.range(1)
+    assert one.select(S.strip_point_zero(F.lit(12345678901.0)), S.strip_point_zero(F.lit(12345678901234.0)),
+                      S.strip_point_zero(F.lit(12.0)), S.strip_point_zero(F.lit(12345678.5))).first()[:] == (
+        "12345678901", "12345678901234", "12", "12345678.5")
+    got = one.select(S.full_upc(F.lit('=""'), F.lit("1")), S.full_upc(F.lit("nan"), F.lit("1")),
+                     S.full_upc(F.lit('="0012"'), F.lit("nan")), S.full_upc(F.lit("012"), F.lit('="03"'))).first()[:]
+    assert got == (None, None, "012", "0123")
+    texts = ["10/15/2024", "Oct 15, 2024", "2024-10-15", "15-Oct-2024", "10/15/2024 8:30"]
+    days = one.select(*[S.to_timestamp_safe(F.lit(t)).cast("date").cast("string") for t in texts]).first()[:]
+    assert set(days) == {"2024-10-15"}
+    df = spark.createDataFrame([("10/15/2024",), ("junk",), (None,), ("",)], "t string")
+    assert df.agg(S.lost_share("t", S.to_timestamp_safe(F.col("t")))).first()[0] == 0.5

@@ -202,3 +202,40 @@ def test_group_all_any_null_is_false(spark):
     df = spark.createDataFrame([(1, "OFF"), (1, None), (2, "OFF"), (2, "OFF")], "k int, r string")
     got = rows(D.group_all_any(df, ["k"], {"off": F.col("r") == "OFF"}))
     assert got == [(1, False, True), (2, True, True)]
+
+
+def test_net_sales_skips_rows_with_nulls_and_is_not_rounded(spark):
+    from shelfwise.operators import kpis as K
+    df = spark.createDataFrame([("a", 10.0, 1.0, 2, 2, 0.0, 0), ("a", 6.0, 1.0, None, 2, 0.0, 0), ("a", 5.0, 1.0, 1, 1, None, 0),
+                                ("b", 0.333, 0.0, 1, 1, 0.0, 0)],
+                               "d string, sales double, sales_ly double, units int, units_ly int, return_amt double, cancel_units int")
+    got = {r.d: r for r in K.sales_kpis(df, ["d"]).collect()}
+    assert got["a"].net_sales == 10.0 and got["a"].ty_sales == 21.0 and abs(got["b"].net_sales - 0.333) < 1e-12
+
+
+def test_share_of_a_zero_total(spark):
+    from shelfwise.operators import kpis as K
+    df = spark.createDataFrame([("a", 0.0, 0.0)], "d string, sales double, sales_ly double")
+    assert K.share_of_total(df, "d").first().sales_share == 0.0
+
+
+def test_money_mean_is_not_rounded(spark):
+    from shelfwise.operators import quotes as QT
+    df = spark.createDataFrame([("o", 1, 1.004), ("o", 2, 1.004)], "owner string, order_no int, quote_total double")
+    assert QT.owner_summary(df).first().avg_quote_total == 1.004
+
+
+def test_blank_groups_are_one(spark):
+    from shelfwise.operators import backlog as BL
+    df = spark.createDataFrame([("", None), ("  ", None), (None, None), ("x", None)], "bu string, d timestamp_ntz")
+    got = {r.bu: r.row_count for r in BL.backlog(df, "bu", "d", "2024-01-01", keep_blank_bu=True).collect()}
+    assert got == {"No BU": 3, "x": 1}
+
+
+def test_row_counts_of_missing_and_empty_tables(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "a"))
+    spark.range(0).write.parquet(str(tmp_path / "b"))
+    got = {r.table_name: (r.row_count, r.status) for r in DQ.table_row_counts(
+        spark, {n: str(tmp_path / n) for n in "abc"}).collect()}
+    assert got == {"a": (5, "ok"), "b": (0, "ok"), "c": (None, "missing")}
+    assert DQ.profile(spark.createDataFrame([("a",), ("a",), ("b",)], "s string")).first().stat == "a, b"

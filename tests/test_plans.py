@@ -35,3 +35,14 @@ def test_plan_shape(spark, name):
         for table, n in _scans(qe.sparkPlan()):
             if table == "lineitem.parquet":
                 assert n < 11, (table, n)
+
+
+@pytest.mark.parametrize("name", ["sales_kpis", "weekly_trend", "filter_week_regex", "snapshot_diff", "join_anti_missing"])
+def test_day_range_reaches_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")       # whole filter lists in the plan's text
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x and "l_shipdate" in x]
+    assert scans and all("GreaterThanOrEqual(l_shipdate" in x and "LessThan(l_shipdate" in x for x in scans)
