@@ -11,9 +11,12 @@ unknown class a bounded sample of corpus paragraphs that resemble no template
 (about SAMPLE_DOCS documents, chosen by a hash: documented bound), plus the
 sentences of NOT_LICENCES. Scoring covers every paragraph (line) of every text.
 
-A text without any n-gram that speaks for a family cannot be predicted as one
-(the intercepts favour ``unknown``; asserted at fitting), so only texts with
-such an n-gram are taken apart into paragraphs; this is exact, not a heuristic.
+N-grams made of common words only (in more than COMMON_SHARE of the sampled
+paragraphs) are no features, so every feature holds an uncommon word. A text
+without any n-gram that speaks for a family cannot be predicted as one (the
+intercepts favour ``unknown``; asserted at fitting), hence only texts with one
+of those n-grams' uncommon words are taken apart into paragraphs; this is
+exact, not a heuristic.
 
 Defined results: null and empty texts have no paragraph with a licence; blank
 paragraphs count as paragraphs only if they hold a word; repeated rows are
@@ -76,6 +79,7 @@ SAMPLE_DOCS = 1500
 FALSE_SHARE = 0.001
 LEAST_PROBABILITY, LEAST_SIMILARITY = 0.5, 0.6
 REG = 0.0005
+COMMON_SHARE = 0.005
 NO_EVIDENCE = 100.0       # weight of the training row without any n-gram
 
 
@@ -99,23 +103,24 @@ class Model:
     families: list[str]                    # with UNKNOWN
     intercepts: list[float]
     weights: dict[str, list[float]]        # n-gram -> weight per family; at most the templates' n-grams
+    common: list[str]                      # words of the templates that are common in the corpus
     threshold: float
 
 
-def _spoken(model: Model) -> list[str]:
-    """N-grams with a larger weight for some family than for the unknown class."""
+def _anchors(model: Model) -> list[str]:
+    """The uncommon words of the n-grams with a larger weight for some family
+    than for the unknown class: a predicted paragraph holds one of them."""
     u = model.families.index(UNKNOWN)
-    return sorted(g for g, w in model.weights.items() if max(w) > w[u])
+    return sorted({w for g, x in model.weights.items() if max(x) > x[u] for w in g.split() if w not in model.common})
 
 
-def _similarity(w: str, family: Column | None = None) -> Column:
-    """Largest share of a template's word pairs (words, for one-word templates) that column ``w`` holds."""
+def _similarity(bigrams: str, family: Column | None = None) -> Column:
+    """Largest share of a template's word pairs that the array column holds."""
     t = F.array(*[F.struct(F.lit(f).alias("f"), F.array(*map(F.lit, [g for g in dict.fromkeys(_local_grams(x)) if " " in g])).alias("b"))
                   for f, xs in TEMPLATES.items() for x in xs])
     if family is not None:
         t = F.filter(t, lambda x: x["f"] == family)
-    have = _bigrams(F.col(w))
-    return F.coalesce(F.array_max(F.transform(t, lambda x: F.size(F.array_intersect(x["b"], have)) / F.size(x["b"]))), F.lit(0.0))
+    return F.coalesce(F.array_max(F.transform(t, lambda x: F.size(F.array_intersect(x["b"], F.col(bigrams))) / F.size(x["b"]))), F.lit(0.0))
 
 
 def _scores(model: Model, grams: Column) -> Column:
@@ -135,9 +140,9 @@ def fit(docs: DataFrame) -> Model:
     h = F.xxhash64(F.lit("licence"), F.col("doc_id").cast("string"), "text")
     sample = (docs.where(F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20)))
               .select(h.alias("h"), F.posexplode(F.split("text", "\n")).alias("k", "p"))
-              .withColumn("w", _words(F.col("p"))).where(F.size("w") > 0)
-              .withColumn("s", _similarity("w")).where("s < 0.5")
-              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w"))
+              .withColumn("w", _words(F.col("p"))).where(F.size("w") > 0).withColumn("b", _bigrams(F.col("w")))
+              .withColumn("s", _similarity("b")).where("s < 0.5")
+              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w", "b"))
     sample = staged(sample)
     pieces = []
     for family, texts in TEMPLATES.items():
@@ -147,7 +152,13 @@ def fit(docs: DataFrame) -> Model:
             pieces += [(family, c) for c in sorted(cuts)]
     pieces += [(UNKNOWN, x) for x in NOT_LICENCES]
     families = [UNKNOWN, *TEMPLATES]
-    vocab = sorted({g for xs in TEMPLATES.values() for x in xs for g in _local_grams(x)})
+    every = sorted({g for xs in TEMPLATES.values() for x in xs for g in _local_grams(x)})
+    words = [g for g in every if " " not in g]
+    n = sample.count()
+    seen = (sample.select(F.explode(F.array_distinct(F.filter("w", lambda x: x.isin(words)))).alias("g"))
+            .groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON_SHARE * n).select("g"))
+    common = sorted(r["g"] for r in seen.collect())        # at most the templates' words
+    vocab = [g for g in every if not set(g.split()) <= set(common)]
     taught = (spark.createDataFrame(pieces, "family string, p string").withColumn("w", _words(F.col("p")))
               .withColumn("weight", F.lit(1.0)).select("family", "w", "weight"))
     taught = taught.union(sample.where("part = 0").select(F.lit(UNKNOWN).alias("family"), "w", F.lit(0.1).alias("weight")))
@@ -156,18 +167,21 @@ def fit(docs: DataFrame) -> Model:
     grams = F.concat("w", _bigrams(F.col("w")))
     one_hot = F.transform(F.array(*map(F.lit, vocab)), lambda v: F.array_contains("g", v).cast("double"))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = staged(taught.withColumn("g", grams).select(label.alias("label"), one_hot.alias("x"), "weight"))
-    lr = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=REG, maxIter=200, standardization=False,
+    # texts with the same features are one weighted row; most hold none
+    held = F.array_sort(F.array_distinct(F.filter(grams, lambda x: x.isin(vocab))))
+    rows = (taught.select("family", held.alias("g"), "weight").groupBy("family", "g").agg(F.sum("weight").alias("weight")))
+    rows = staged(rows.select(label.alias("label"), one_hot.alias("x"), "weight").coalesce(4))
+    lr = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=REG, maxIter=100, standardization=False,
                             weightCol="weight")
     m = lr.fit(rows.select("label", "weight", array_to_vector("x").alias("features")))
     matrix = m.coefficientMatrix.toArray()
     weights = {g: [float(v) for v in matrix[:, i]] for i, g in enumerate(vocab) if matrix[:, i].any()}
-    model = Model(families, [float(v) for v in m.interceptVector.toArray()], weights, LEAST_PROBABILITY)
+    model = Model(families, [float(v) for v in m.interceptVector.toArray()], weights, common, LEAST_PROBABILITY)
     u = families.index(UNKNOWN)
     if max(model.intercepts) > model.intercepts[u]:
         raise ValueError("the unknown class must be the likeliest one without evidence")
     # calibration: the unknown class's paragraphs kept from training
-    p = F.array_max(F.slice(_scores(model, F.concat("w", _bigrams(F.col("w")))), 2, len(families) - 1))
+    p = F.array_max(F.slice(_scores(model, F.concat("w", "b")), 2, len(families) - 1))
     above = sample.where("part = 1").select(p.alias("p")).agg(F.percentile("p", 1 - FALSE_SHARE)).first()[0]
     model.threshold = max(LEAST_PROBABILITY, float(above or 0.0))
     return model
@@ -176,27 +190,27 @@ def fit(docs: DataFrame) -> Model:
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per paragraph predicted as a licence: uid and doc_id of its text,
     paragraph number, family, probability, similarity, confirmed."""
-    spoken = _spoken(model)
     d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    return _scan(d, model, spoken).where("family is not null")
+    return _scan(d, model).where("family is not null")
 
 
-def _scan(d: DataFrame, model: Model, spoken: list[str]) -> DataFrame:
-    n = len(model.families)
-    d = d.withColumn("w", _words(F.col("t")))
-    any_ = F.exists(F.concat("w", _bigrams(F.col("w"))), lambda g: g.isin(spoken))
+def _scan(d: DataFrame, model: Model) -> DataFrame:
+    n, anchors = len(model.families), _anchors(model)
+    any_ = F.exists(_words(F.col("t")), lambda g: g.isin(anchors))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = d.select("uid", "doc_id", F.size(lines).cast("long").alias("n_paragraphs"),
                  F.when(any_, F.split("t", "\n")).alias("lines"))
     d = d.select("uid", "doc_id", "n_paragraphs", F.posexplode_outer("lines").alias("paragraph", "p"))
     d = d.withColumn("w", F.when(F.col("p").isNotNull(), _words(F.col("p"))))
-    d = d.withColumn("s", F.when(F.size("w") > 0, _scores(model, F.concat("w", _bigrams(F.col("w"))))))
+    d = d.withColumn("b", F.when(F.size("w") > 0, _bigrams(F.col("w"))))
+    spoken = F.exists("w", lambda g: g.isin(anchors))
+    d = d.withColumn("s", F.when((F.size("w") > 0) & spoken, _scores(model, F.concat("w", "b"))))
     best = F.array_max(F.slice("s", 2, n - 1))
     d = d.withColumn("probability", best)
     names = F.array(*map(F.lit, model.families))
     hit = (F.col("probability") >= model.threshold) & (F.col("probability") > F.get("s", F.lit(0)))
     d = d.withColumn("family", F.when(hit, F.element_at(names, F.array_position("s", F.col("probability")).cast("int"))))
-    d = d.withColumn("similarity", F.when(F.col("family").isNotNull(), _similarity("w", F.col("family"))))
+    d = d.withColumn("similarity", F.when(F.col("family").isNotNull(), _similarity("b", F.col("family"))))
     return d.select("uid", "doc_id", "n_paragraphs", "paragraph", "family", "probability", "similarity",
                     (F.col("similarity") >= LEAST_SIMILARITY).alias("confirmed"))
 
@@ -205,7 +219,7 @@ def scan_documents(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: its paragraphs, those predicted as licences, the
     confirmed families, and families of predictions without a matching template."""
     d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    rows = _scan(d, model, _spoken(model))
+    rows = _scan(d, model)
 
     def names(when: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(when, F.col("family")))), ",")
