@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.schema import widen
 from shelfwise.operators.upsert import conform, merge_numbered
 from shelfwise.session import stage_table
 from shelfwise.sources import files as FS
@@ -33,7 +34,9 @@ class FeedSpec:
     dates: tuple = ()
     keys: tuple = ()                # empty: un-keyed, the last file replaces the table
     rename: dict = field(default_factory=dict)
-    steps: tuple = ()               # DataFrame -> DataFrame steps after typing (keep the column ``_file``)
+    steps: tuple = ()               # DataFrame -> DataFrame steps after typing (they see ``_file`` and ``_row``)
+    widen: dict = field(default_factory=dict)   # stored columns to widen before new rows are appended (P9)
+    header_row: int = 1             # above 1: a sheet's export whose header sits there (S9)
 
 
 AUDIT = ("feed string, file string, rows_removed bigint, rows_added bigint, final_row_count bigint, "
@@ -41,8 +44,10 @@ AUDIT = ("feed string, file string, rows_removed bigint, rows_added bigint, fina
 
 
 def numbered(df: DataFrame, names: list[str], file_col: str = "_file", number: str = "_n") -> DataFrame:
-    """Replace the file name column by the file's place in the sorted names."""
-    place = F.array_position(F.array(*map(F.lit, names)), F.col(file_col)).cast("int")
+    """Replace the file name column by the file's place in the sorted names
+    (a name that is not listed is an error)."""
+    place = F.nullif(F.array_position(F.array(*map(F.lit, names)), F.col(file_col)), F.lit(0)).cast("int")
+    place = F.coalesce(place, F.raise_error(F.concat(F.lit("rows of a file that is not listed: "), F.col(file_col))).cast("int"))
     return df.withColumn(number, place).drop(file_col)
 
 
@@ -53,16 +58,22 @@ def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedS
     found = FS.list_files(spark, f"{drop_dir}/{FS.any_case_glob(spec.prefix, '.csv')}")
     if not found:
         return [(spec.name, None, 0, 0, None, None, None, None, "no files")]
-    batch = FS.read_feed(spark, [p for p, _ in found], spec.types, spec.dates, with_file=True)
-    batch = batch.withColumnsRenamed(spec.rename) if spec.rename else batch
+    paths = [p for p, _ in found]
+    if spec.header_row > 1:
+        batch = FS.read_preamble_csv(spark, paths, spec.header_row, with_file=True)
+    else:
+        batch = FS.read_csv_by_name(spark, paths, "_file", "_row")
+    batch = FS.apply_spec(batch.withColumnsRenamed(spec.rename), spec.types, spec.dates)
     step: Callable[[DataFrame], DataFrame]
     for step in spec.steps:
         batch = step(batch)
+    batch = batch.drop("_row")
     names = sorted({n for _, n in found})
     batch = numbered(batch, names)
     backup = SK.current_version(spark, target)
     stored = SK.read_published(spark, target) if spec.keys else None
     if stored is not None:
+        stored = widen(stored, spec.widen)
         batch = conform(batch, stored.schema)
     if spec.keys:
         marked = merge_numbered(stored, batch, list(spec.keys), "_n", match, conditions)

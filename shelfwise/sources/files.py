@@ -57,6 +57,11 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def file_name() -> Column:
+    """Name of the file a row was read from (the metadata column escapes blanks and the like)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(path, name) of a file, of a folder's files or of a glob's matches, by
     name. A listing of names only, as every scan makes one on the driver."""
@@ -81,10 +86,12 @@ def csv_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, ...
     return tuple(next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), ()))
 
 
-def read_csv_by_name(spark: SparkSession, paths: Sequence[str], file_col: str | None = None) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], file_col: str | None = None,
+                     row_col: str | None = None) -> DataFrame:
     """CSV files as text columns, united by column *name*: files with the same
     header are one scan, files with another header another (an explicit Spark
-    CSV schema is positional). A column that a file lacks is null there."""
+    CSV schema is positional). A column that a file lacks is null there.
+    ``row_col`` orders the rows of one file as they stand in it."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         groups.setdefault(csv_header(spark, p), []).append(p)
@@ -92,8 +99,11 @@ def read_csv_by_name(spark: SparkSession, paths: Sequence[str], file_col: str |
     for header, files in sorted(groups.items()):
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
         df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(files))
+        if row_col:     # rows of a split are numbered upwards, splits by where they begin
+            df = df.withColumn(row_col, F.struct(F.col("_metadata.file_block_start").alias("at"),
+                                                 F.monotonically_increasing_id().alias("no")))
         if file_col:
-            df = df.withColumn(file_col, F.col("_metadata.file_name"))
+            df = df.withColumn(file_col, file_name())
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError("no CSV files")
@@ -110,7 +120,7 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], spec: Mapping[str,
     else:
         df = spark.read.option("mode", "PERMISSIVE").csv(path)
         if with_file:
-            df = df.withColumn("_file", F.col("_metadata.file_name"))
+            df = df.withColumn("_file", file_name())
     miss = [c for c in required if c not in df.columns]
     if miss:
         raise ValueError(f"missing columns: {miss}")
@@ -227,13 +237,14 @@ def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
     })
 
 
-def read_preamble_csv(spark: SparkSession, path: str, header_row: int, sep: str = ",") -> DataFrame:
+def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], header_row: int, sep: str = ",",
+                      with_file: bool = False) -> DataFrame:
     """S9 for CSV exports of sheets whose header sits at row `header_row`. Every
     file keeps its own header: its cells become a map header -> cell, and the
     files are united by column name. Blank header cells get `_c<i>` names
     (K11). A blank line is a row of blanks, the empty text after a file's last
     line break is no line. A sheet is one text, as the export of a workbook is."""
-    raw = spark.read.text(path, wholetext=True).withColumn("_file", F.col("_metadata.file_path"))
+    raw = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True).withColumn("_file", file_name())
     raw = raw.withColumn("value", F.regexp_replace("value", r"\r?\n$", ""))
     rows = preamble_rows(raw, "_file", "value", header_row, sep)
     names = F.transform(split_line(F.col("header"), sep), lambda h, i: F.when(
@@ -245,6 +256,8 @@ def read_preamble_csv(spark: SparkSession, path: str, header_row: int, sep: str
     if not columns:
         return spark.createDataFrame([], "dummy string").drop("dummy")
     cells = [F.try_element_at("cells", F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int")).alias(n) for n in columns]
+    if with_file:
+        return rows.select(*cells, "_file", F.col("row_no").alias("_row"))
     return rows.orderBy("_file", "row_no").select(*cells)
 
 

@@ -25,7 +25,7 @@ from shelfwise.operators.dq import path_exists
 from shelfwise.operators.ingest import numbered
 from shelfwise.operators.upsert import conform, merge_numbered
 from shelfwise.session import ensure_checkpoint_dir
-from shelfwise.sources.files import any_case_glob, apply_spec
+from shelfwise.sources.files import any_case_glob, apply_spec, file_name
 from shelfwise.sources.sinks import publish, read_published, upsert_partitioned
 
 
@@ -45,7 +45,7 @@ def ingest_stream(spark: SparkSession, in_dir: str, table_dir: str, columns: Seq
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     src = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
            .option("pathGlobFilter", any_case_glob(prefix, ".csv")).csv(in_dir)
-           .select("*", F.col("_metadata.file_name").alias("_file")))
+           .select("*", file_name().alias("_file")))
     ck = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ingest_" + os.path.basename(table_dir))
 
     def apply(batch: DataFrame, epoch: int) -> None:

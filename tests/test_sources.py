@@ -238,3 +238,46 @@ def test_html_row_maps_keep_all_columns(spark):
     df = spark.createDataFrame([(1, html)], "id int, html string")
     r = FS.html_row_maps(df, "id", "html").first()
     assert r.cells == {"UPC": "1", "Item": "A", "Trade1": None}
+
+
+def _csv(path, text_columns, rows_):
+    """A CSV with all declared columns; rows give some of them by name."""
+    names = list(text_columns)
+    lines = [",".join(names)] + [",".join(str(r.get(n, "")) for n in names) for r in rows_]
+    _write(path, "\n".join(lines) + "\n")
+
+
+def test_seven_feeds_and_the_merged_catalogue(spark, tmp_path):
+    from shelfwise.sources import feeds
+    drop, tables = str(tmp_path / "drop"), str(tmp_path / "tables")
+    web = [c for c in feeds.columns(feeds.WEBSITE) if not c.startswith("order count")]
+    raw = ["online product interaction conversion rate " if c == "online product interaction conversion rate" else c for c in web]
+    day = {"day": "10/15/2024", "oms id +": 7}
+    _csv(f"{drop}/PythonOnlineWebsiteAnalysis_1.csv", raw, [
+        {**day, "online product interaction conversion rate ": 0.5, "online pip visits +": 10, "online pip conversion rate +": 0.2}])
+    _csv(f"{drop}/PythonOnlineSales_1.csv", feeds.columns(feeds.SALES), [{**day, "online sales $ +": 3.5, "online return units +": 1.5}])
+    _csv(f"{drop}/PythonOnlineSales_2.csv", feeds.columns(feeds.SALES), [{**day, "online sales $ +": 4.5}])
+    _csv(f"{drop}/PythonOnlineClassification.csv", feeds.columns(feeds.CLASSIFICATION), [
+        {"oms id +": 7, "online upc +": "000000000123", "online class +": "first"}, {"oms id +": 7, "online upc +": "000000000123", "online class +": "second"},
+        {"oms id +": 8, "online upc +": "short"}])
+    score = [c for c in feeds.columns(feeds.SCORECARD) if c]
+    _csv(f"{drop}/sheet.csv", score, [{"OMSID": 7, "TOTAL SCORE": 2.5}])
+    with open(f"{drop}/sheet.csv") as f:
+        _write(f"{drop}/BA Scorecard 1.csv", "x\n" * 27 + f.read())
+    _csv(f"{drop}/OnlineStores.csv", feeds.columns(feeds.STORES), [{"icr store nbr +": "0012", "icr byo nbr +": 3}])
+    _csv(f"{drop}/PythonCalendar_Full.csv", ["week"], [{"week": "Fiscal Week 1 of 2025"}])
+    fg = feeds.columns(feeds.FG_STATUS)
+    _csv(f"{drop}/FG Status Report.csv", [*fg, *[c for c in ("Basic", "Dash") if c not in fg]], [
+        {"UPC": "00000000012", "M P G": "m1", "Basic": "b", "Dash": "d"}, {"UPC": "00000000012", "M P G": "m2", "Basic": "b", "Dash": "d"}])
+    audit = feeds.run(spark, drop, tables).collect()
+    assert not [r for r in audit if r.error], [r.error for r in audit if r.error]
+    assert {r.feed for r in audit} == {f.name for f in feeds.feed_specs()} and len(audit) == 8
+    get = lambda t: SK.read_published(spark, f"{tables}/{t}").collect()
+    w = get("online_website_anaylsis")[0]
+    assert w["order count TY"] == 2.0 and w["online product interaction conversion rate"] == 0.5 and w["day"].day == 15
+    assert [r["online sales $ +"] for r in get("online_sales")] == [4.5]
+    assert [r["online class +"] for r in get("online_classification")] == ["first"]
+    assert [(r["OMSID"], r["TOTAL SCORE"]) for r in get("BA_scorecard")] == [(7, 2.5)]
+    assert get("online_stores")[0]["icr store nbr +"] == "0012" and len(get("calendar")) == 1
+    m = get("merged_classification")
+    assert len(m) == 1 and (m[0]["oms id +"], m[0]["M P G"], m[0]["Basic-Dash"]) == (7, "m1", "b-d")
