@@ -13,6 +13,7 @@ from shelfwise.operators import backlog as BL
 from shelfwise.operators import diff as DF
 from shelfwise.operators import dq as DQ
 from shelfwise.operators import enrich as E
+from shelfwise.operators import jobs as JB
 from shelfwise.operators import quotes as QT
 from shelfwise.operators import upsert as U
 from shelfwise.plans import bindings as B
@@ -65,9 +66,7 @@ def fg_grouped(spark, d):
 
 # ------------------------------------------------------------------ C5 / C6
 def reviews_enriched_df(spark, d):
-    r = BL.keep_unless_equal(B.reviews(spark, d), "network", "de")
-    r = r.withColumns({c: S.strip_point_zero(c) for c in ["network", "product_id", "upc"]})
-    return BL.enrich_with_fg(r, E.fg_grouped(B.fg_feed(spark, d))).select(
+    return JB.reviews(B.reviews(spark, d), E.fg_grouped(B.fg_feed(spark, d)), ("network", "de")).select(
         "network", "product_id", "upc", "review_date", "rating", "mpg", "ipg", "bu", "mpg_ipg", "basic_dash")
 
 
@@ -114,9 +113,7 @@ def low_rating_count(spark, d):
 
 
 def questions_enriched_df(spark, d):
-    q = B.questions(spark, d)
-    q = q.withColumns({c: S.strip_point_zero(c) for c in ["product_id", "upc"]})
-    return BL.enrich_with_fg(q, E.fg_grouped(B.fg_feed(spark, d))).select(
+    return JB.questions(B.questions(spark, d), E.fg_grouped(B.fg_feed(spark, d))).select(
         "product_id", "upc", "question_date", "mpg", "ipg", "bu", "mpg_ipg", "basic_dash")
 
 
@@ -252,11 +249,10 @@ LEFT JOIN ({B.STORES_SQL}) st ON x.store = st.store""")
 def combined_wide(spark, d):
     """Key spine, sales, evenly distributed web totals, catalogue,
     scorecard and store columns in one wide fact."""
-    x = J.distributed(spark, d)
     c = E.classification_clean(B.classification_feed(spark, d)).select(
         "item", "dept", "class", "subclass", "classification", "ship_from")
-    return (x.join(c, "item", "left").join(B.scorecard(spark, d), "item", "left")
-            .join(B.stores(spark, d), "store", "left"))
+    return JB.combine(J.distribution_sales(spark, d), J.web_totals(spark, d), c, B.scorecard(spark, d),
+                      B.stores(spark, d), J.TOTALS)
 
 
 # ----------------------------------------------------------------------- C8

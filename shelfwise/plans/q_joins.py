@@ -180,10 +180,13 @@ FROM f LEFT JOIN n ON f.week = n.week AND f.item = n.item
 LEFT JOIN w ON f.week = w.week AND f.item = w.item"""
 
 
+def distribution_sales(spark, d):
+    return B.sales(spark, d, 50).select("week", "item", "store", "day", "order_key", "line",
+                                        F.col("sales").cast("double").alias("sales"))
+
+
 def distributed(spark, d):
-    sales = B.sales(spark, d, 50).select("week", "item", "store", "day", "order_key", "line",
-                                         F.col("sales").cast("double").alias("sales"))
-    return E.distribute_evenly(sales, web_totals(spark, d), ["week", "item"], TOTALS)
+    return E.distribute_evenly(distribution_sales(spark, d), web_totals(spark, d), ["week", "item"], TOTALS)
 
 
 @query("distribute_evenly", sql=DIST_SQL)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as S
 from shelfwise.operators import enrich as E
+from shelfwise.operators import jobs as JB
 from shelfwise.operators import kpis as K
 from shelfwise.plans import bindings as B
 from shelfwise.plans import sql_parts as Q
@@ -25,12 +26,10 @@ def report_window(s):
 
 def report_base(spark, d):
     """W1 + W2 + W3, J1 (catalogue, left) and J2 (stores, inner)."""
-    s = report_window(B.sales(spark, d))
-    s = s.filter((F.col("sales") > 0) & F.col("store").isNotNull())
     c = E.classification_clean(B.classification_feed(spark, d)).select(
         "item", *DIMS, "classification", "ship_from")
     st = B.stores(spark, d).select("store", "market", "region")
-    return s.join(c, "item", "left").join(st, "store", "inner")
+    return JB.report_base(B.sales(spark, d), c, st, Q.REPORT_WEEKS, Q.REPORT_DAYS)
 
 
 def class_agg(spark, d):

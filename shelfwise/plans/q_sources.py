@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as S
+from shelfwise.operators import jobs as JB
 from shelfwise.operators import schema as P
 from shelfwise.plans import bindings as B
 from shelfwise.plans.q_scalars import _lz
@@ -221,13 +222,6 @@ def price_list_merge(spark, d):
     """Table rows of every price page, included columns cleaned (F2),
     the page's Description as Price File (S11, page stem as fallback), Full
     UPC (F3), rows without UPC and Item dropped (W8), all pages unioned."""
-    pages = price_pages(spark, d)
-    rows = html_rows_df(spark, d)
-    rows = rows.withColumns({a: S.clean_text(a) for _, a in _TABLE_COLS})
-    label = pages.select("page_no", FS.html_field(
-        F.col("html"), FS.DESCRIPTION_PATTERN,
-        F.concat(F.lit("page_"), F.col("page_no").cast("string"))).alias("price_file"))
-    out = rows.join(label, "page_no", "inner")
-    out = out.withColumn("full_upc", S.full_upc("upc", "upc_plus"))
-    out = P.drop_all_null(out, ["upc", "item"])
+    out = JB.price_list(price_pages(spark, d), "page_no", "html", dict(_TABLE_COLS))
+    out = out.withColumn("row_no", F.col("row_no").cast("bigint"))
     return out.select("price_file", "full_upc", "upc", "upc_plus", "item", "description", "page_no", "row_no")

@@ -263,7 +263,7 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], header_row
 
 # ---------------------------------------------------------------- S10 / S11
 def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[str] = ("UPC", "Item"),
-                ) -> DataFrame:
+                keep: Sequence[str] = ()) -> DataFrame:
     """Rows of the first <table> per document whose header row holds all
     `must_have` names. Output: id, row_no, header (cells of the header row)
     and cells. The table is chosen inside each row with array functions, so
@@ -284,24 +284,24 @@ def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[s
         return ok
 
     chosen = F.try_element_at(F.filter(tables, has_all), F.lit(1))
-    x = df.select(id_col, chosen.alias("_rows")).filter(F.col("_rows").isNotNull())
-    x = x.select(id_col, cells(F.try_element_at(F.col("_rows"), F.lit(1))).alias("header"),
+    x = df.select(id_col, *keep, chosen.alias("_rows")).filter(F.col("_rows").isNotNull())
+    x = x.select(id_col, *keep, cells(F.try_element_at(F.col("_rows"), F.lit(1))).alias("header"),
                  F.posexplode("_rows").alias("row_no", "tr"))
-    return x.filter(F.col("row_no") > 0).select(id_col, "row_no", "header", cells(F.col("tr")).alias("cells"))
+    return x.filter(F.col("row_no") > 0).select(id_col, *keep, "row_no", "header", cells(F.col("tr")).alias("cells"))
 
 
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
-              must_have: Sequence[str] = ("UPC", "Item"), strict: bool = False) -> DataFrame:
+              must_have: Sequence[str] = ("UPC", "Item"), strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """S10 + P2: named columns from the matched table (absent -> null,
     empty cell -> null). Documents without such a table: strict=True raises
     with their number (one count job); else see :func:`html_missing`, which
     reports them as rows."""
-    t = html_tables(df, id_col, html_col, must_have)
+    t = html_tables(df, id_col, html_col, must_have, keep)
     if strict:
         missing = html_missing(df, id_col, html_col, must_have).agg(F.count("*"), F.min(id_col)).first()
         if missing[0]:
             raise RuntimeError(f"no table with {list(must_have)} in {missing[0]} documents, first {missing[1]}")
-    out = [F.col(id_col), F.col("row_no")]
+    out = [F.col(id_col), *[F.col(k) for k in keep], F.col("row_no")]
     for c in columns:
         pos = F.array_position("header", F.lit(c))
         v = F.when(pos > 0, F.try_element_at("cells", pos.cast("int")))

@@ -239,3 +239,35 @@ def test_row_counts_of_missing_and_empty_tables(spark, tmp_path):
         spark, {n: str(tmp_path / n) for n in "abc"}).collect()}
     assert got == {"a": (5, "ok"), "b": (0, "ok"), "c": (None, "missing")}
     assert DQ.profile(spark.createDataFrame([("a",), ("a",), ("b",)], "s string")).first().stat == "a, b"
+
+
+def test_combine_dense_has_every_item_in_every_week(spark):
+    from shelfwise.operators import jobs as JB
+    sales = spark.createDataFrame([("w1", 1, 5, 2.0), ("w1", 1, 6, 3.0)], "week string, item int, store int, sales double")
+    totals = spark.createDataFrame([("w1", 1, 10.0), ("w2", 2, 4.0)], "week string, item int, total_visits double")
+    cat = spark.createDataFrame([(1, "c")], "item int, class string")
+    score = spark.createDataFrame([(1, 9.0)], "item int, total_score double")
+    stores = spark.createDataFrame([(5, "S")], "store int, store_name string")
+    cal = spark.createDataFrame([("w1",), ("w2",), ("w3",)], "week string")
+    out = JB.combine(sales, totals, cat, score, stores, ["total_visits"])
+    assert rows(out, "week", "item", "store", "total_visits", "class", "store_name") == [
+        ("w1", 1, 5, 5.0, "c", "S"), ("w1", 1, 6, 5.0, "c", None), ("w2", 2, None, 4.0, None, None)]
+    dense = JB.combine(sales, totals, cat, score, stores, ["total_visits"], calendar=cal, dense=True)
+    assert dense.select("week", "item").distinct().count() == 6 and dense.count() == 7
+    few = JB.combine(sales, totals, cat, score, stores, ["total_visits"], calendar=cal.where("week = 'w2'"))
+    assert rows(few, "week", "item") == [("w2", 2)]
+
+
+def test_weekly_report_tables(spark):
+    from shelfwise.operators import jobs as JB
+    sales = spark.createDataFrame(
+        [(1, 1, dt.datetime(1998, 1, 2), "Fiscal Week 1 of 1998", 10.0, 5.0, 1, 1, 0.0, 0), (1, 1, dt.datetime(1998, 1, 9), "Fiscal Week 2 of 1998", 8.0, 5.0, 1, 1, 4.0, 0),
+         (1, 9, dt.datetime(1998, 1, 9), "Fiscal Week 2 of 1998", 8.0, 5.0, 1, 1, 4.0, 0), (1, 1, dt.datetime(1999, 1, 9), "Fiscal Week 2 of 1999", 8.0, 5.0, 1, 1, 4.0, 0)],
+        "item int, store int, day timestamp_ntz, week string, sales double, sales_ly double, units int, units_ly int, return_amt double, cancel_units int")
+    cat = spark.createDataFrame([(1, "d")], "item int, dept string")
+    st = spark.createDataFrame([(1, "m")], "store int, market string")
+    base = JB.report_base(sales, cat, st, "of 1998", ("1998-01-01", "1998-02-26"))
+    t = JB.weekly_report(base, ["dept"], share_dims=["market"])
+    assert base.count() == 2 and [(r.dept, r.ty_sales, r.return_rate) for r in t["kpis"].collect()] == [("d", 8.0, 50.0)]
+    assert t["trend"].count() == 2 and t["high_return"].count() == 1 and t["high_cancel"].count() == 0
+    assert t["share_market"].first().sales_share == 100.0 and t["standouts"].count() == 2
