@@ -79,7 +79,8 @@ def test_registers_merge_and_estimate():
     r = np.random.default_rng(3)
     x = r.integers(0, 2 ** 64, 3000, dtype=np.uint64)
     a, b = x[:2500], x[500:]
-    m = near_dedup.R * near_dedup.BANDS
+    m = near_dedup.M
+    assert near_dedup.banding(85) == (6, 32) and near_dedup.banding(80) == (5, 38)
     regs = [near_dedup.registers(np.unique(s), np.array([0, len(np.unique(s))]), m)[0] for s in (a, b, x)]
     assert (np.maximum(regs[0], regs[1]) == regs[2]).all()
     j = near_dedup.joint_estimate(regs[0][None], regs[1][None], np.array([2500.0]), np.array([2500.0]))[0]
