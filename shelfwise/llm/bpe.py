@@ -37,7 +37,7 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SHORT = 64
 #: Pieces a task remembers before it starts its cache anew.
-CACHE = 400_000
+CACHE = 150_000
 NO_RANK = 1 << 60
 
 

@@ -24,9 +24,9 @@ WS_BYTES = b" \t\n\x0b\x0c\r"
 
 #: Rows per Arrow batch: with texts of some kilobytes a batch stays in the low
 #: megabytes, and a batch of unusually long texts still fits a Python worker.
-BATCH_ROWS = 512
+BATCH_ROWS = 128
 #: Bytes hashed at once by :func:`word_hashes` (bounds its temporary arrays).
-HASH_BLOCK = 4 << 20
+HASH_BLOCK = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

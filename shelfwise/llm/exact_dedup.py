@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import WS_BYTES, bounded_batches, hashable, quoted
 
 #: Bytes of text a task's trie holds before its finished subtrees are sent on.
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 8 << 20
 _NONE = 1 << 63   # sorts after every doc_id
 
 
