@@ -110,20 +110,30 @@ def _feature_rows(batches):
         key = features(batch.column("text"))
         row, coord = key >> KEY, key & ((1 << KEY) - 1)
         at = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(coord, pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("place"), batch.column("y"), lists],
+        packed = [pack(coord[a:b]) for a, b in zip(at[:-1], at[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("place"), batch.column("y"), pa.array(packed, pa.binary())],
                                          names=["shard", "place", "y", "coords"])
 
 
+def pack(coord: np.ndarray) -> bytes:
+    """Sorted coordinates in two bytes each: how many share each upper part, then the lower parts."""
+    high = np.bincount(coord >> 16, minlength=1 << (BITS - 16)).astype("<u4")
+    return high.tobytes() + (coord & 0xFFFF).astype("<u2").tobytes()
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    parts = 1 << (BITS - 16)
+    high = np.frombuffer(blob, "<u4", parts)
+    return np.repeat(np.arange(parts) << 16, high) + np.frombuffer(blob, "<u2", offset=4 * parts)
+
+
 def _pass(table: pa.Table, state) -> pa.Table:
     """One FTRL pass of a shard from the common state; touched coordinates as integers."""
     table = table.sort_by("place")
     z, n = (np.frombuffer(a).copy() for a in state.value)
     touched = np.zeros(len(z), bool)
-    flat = table.column("coords").combine_chunks()
-    at, values = flat.offsets.to_numpy(), flat.values.to_numpy()
-    for k, y in enumerate(table.column("y").to_pylist()):
-        c = np.append(values[at[k]:at[k + 1]], BIAS)
+    for y, blob in zip(table.column("y").to_pylist(), table.column("coords")):
+        c = np.append(unpack(blob.as_buffer()), BIAS)
         l1 = np.where(c == BIAS, 0.0, L1)
         zc, nc = z[c], n[c]
         w = _weights(zc, nc, l1)
@@ -162,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
              .withColumn("shard", F.pmod(F.shiftright("place", 20), F.lit(shards)).cast("int")))
     rows = staged(texts.select("shard", "place", "y", "text").mapInArrow(
-        _feature_rows, "shard int, place long, y int, coords array<int>"))
+        _feature_rows, "shard int, place long, y int, coords binary"))
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z.tobytes(), n.tobytes()))

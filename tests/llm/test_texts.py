@@ -133,6 +133,11 @@ def test_toxicity_edges(spark, edge, none, clashing):
     assert toxicity.score(none, toxicity.fit(none, nulls)).count() == 0
 
 
+def test_coordinates_pack_and_unpack():
+    for c in ([], [0], [1, 65535, 65536, 131072, 262143], list(range(0, 262144, 97))):
+        assert toxicity.unpack(toxicity.pack(np.array(c, np.int64))).tolist() == c
+
+
 def test_beginnings_count_occurrences():
     a, b = (toxicity.features(pa.array([t])) for t in ("compoundone", "compoundone compoundtwo"))
     assert len(set(b.tolist()) - set(a.tolist())) > len(toxicity.BEGINNINGS)
