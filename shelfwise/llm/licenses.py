@@ -7,9 +7,17 @@ calibrated on corpus paragraphs kept from training, and it is confirmed if the
 paragraph also holds most word pairs of one of the family's templates.
 
 Training texts: the templates below with their beginnings and ends, and as
-unknown class a bounded sample of corpus paragraphs that resemble no template
+unknown class a bounded sample of corpus lines that resemble no template, also
+not together with the lines around them
 (about SAMPLE_DOCS documents, chosen by a hash: documented bound), plus the
-sentences of NOT_LICENCES. Scoring covers every paragraph (line) of every text.
+sentences of NOT_LICENCES. Scoring covers every line of every text, and every
+window of neighbouring lines between blank lines that is no longer than a
+notice can be (a line and what follows until the longest template's words are
+reached), so wrapped notices are found too. Words are runs of letters and
+digits, so comment marks neither join nor part lines, and a line of marks only
+is blank. A window counts if it is predicted and confirmed, and of overlapping
+windows of one family the most similar one counts, where its paragraph number
+is that of its first line.
 
 N-grams made of common words only (in more than COMMON_SHARE of the sampled
 paragraphs) are no features, so every feature holds an uncommon word. A text
@@ -98,6 +106,13 @@ def _local_grams(text: str) -> list[str]:
     return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
 
 
+_PAIRS = {x: [g for g in dict.fromkeys(_local_grams(x)) if " " in g] for xs in TEMPLATES.values() for x in xs}
+#: All word pairs of the templates, the words of the longest one, and the fewest pairs that confirm.
+ALL_PAIRS = sorted({g for b in _PAIRS.values() for g in b})
+LONGEST = max(sum(" " not in g for g in _local_grams(x)) for x in _PAIRS)
+FEWEST = min(-int(-LEAST_SIMILARITY * len(b) // 1) for b in _PAIRS.values())
+
+
 @dataclass
 class Model:
     families: list[str]                    # with UNKNOWN
@@ -114,9 +129,14 @@ def _anchors(model: Model) -> list[str]:
     return sorted({w for g, x in model.weights.items() if max(x) > x[u] for w in g.split() if w not in model.common})
 
 
+def _pairs_held(w: str) -> Column:
+    """The templates' word pairs in an array of words."""
+    return F.filter(_bigrams(F.col(w)), lambda g: g.isin(ALL_PAIRS))
+
+
 def _similarity(bigrams: str, family: Column | None = None) -> Column:
     """Largest share of a template's word pairs that the array column holds."""
-    t = F.array(*[F.struct(F.lit(f).alias("f"), F.array(*map(F.lit, [g for g in dict.fromkeys(_local_grams(x)) if " " in g])).alias("b"))
+    t = F.array(*[F.struct(F.lit(f).alias("f"), F.array(*map(F.lit, _PAIRS[x])).alias("b"))
                   for f, xs in TEMPLATES.items() for x in xs])
     if family is not None:
         t = F.filter(t, lambda x: x["f"] == family)
@@ -133,16 +153,57 @@ def _scores(model: Model, grams: Column) -> Column:
     return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
 
 
+def _reach(following: Column) -> Column:
+    """How many of the following lines (arrays of words) belong to a window: up
+    to a blank line, while fewer than LONGEST words have followed."""
+    def step(s, x):
+        on = s["open"] & (F.size(x) > 0) & (s["words"] < LONGEST)
+        return F.struct(on.alias("open"), (s["words"] + F.when(on, F.size(x)).otherwise(0)).alias("words"),
+                        (s["n"] + F.when(on, 1).otherwise(0)).alias("n"))
+    start = F.struct(F.lit(True).alias("open"), F.lit(0).alias("words"), F.lit(0).alias("n"))
+    return F.aggregate(following, start, step, lambda s: s["n"])
+
+
+def _near(lines: str) -> Column:
+    """Array of (k, w, near): every line with its words, and with those of the
+    lines around it, as far as a notice it belongs to can reach."""
+    every = F.col(lines)
+
+    def of(w, i):
+        back = _reach(F.reverse(F.slice(every, F.greatest(i - LONGEST, F.lit(0)) + 1, F.least(i, F.lit(LONGEST)))))
+        on = _reach(F.slice(every, i + 2, F.lit(LONGEST)))
+        near = F.when(F.size(w) > 0, F.flatten(F.slice(every, i - back + 1, back + on + 1)))
+        return F.struct(i.alias("k"), w.alias("w"), near.alias("near"))
+    return F.transform(every, of)
+
+
+def _windows(lines: str) -> Column:
+    """Array of (paragraph, more, w): every line with its words (more = 0), and
+    windows of it with ``more`` following lines. Windows start only at lines that
+    bring a template's word pair; the others equal a shorter window's evidence."""
+    every = F.col(lines)
+
+    def of(w, i):
+        following = F.slice(every, i + 2, F.lit(LONGEST))
+        # the line's own pairs and the one across its end
+        own = _bigrams(F.concat(w, F.slice(F.coalesce(F.get(following, F.lit(0)), F.array().cast("array<string>")), 1, 1)))
+        more = F.when((F.size(w) > 0) & F.exists(own, lambda g: g.isin(ALL_PAIRS)), _reach(following)).otherwise(0)
+        return F.transform(F.sequence(F.lit(0), more), lambda k: F.struct(
+            i.alias("paragraph"), k.alias("more"), F.flatten(F.slice(every, i + 1, k + 1)).alias("w")))
+    return F.flatten(F.transform(every, of))
+
+
 def fit(docs: DataFrame) -> Model:
     """Model from the templates and a bounded sample of the corpus."""
     spark = docs.sparkSession
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     h = F.xxhash64(F.lit("licence"), F.col("doc_id").cast("string"), "text")
     sample = (docs.where(F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20)))
-              .select(h.alias("h"), F.posexplode(F.split("text", "\n")).alias("k", "p"))
-              .withColumn("w", _words(F.col("p"))).where(F.size("w") > 0).withColumn("b", _bigrams(F.col("w")))
-              .withColumn("s", _similarity("b")).where("s < 0.5")
-              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w", "b"))
+              .select(h.alias("h"), F.transform(F.split("text", "\n"), _words).alias("lines"))
+              .select("h", F.explode(_near("lines")).alias("x")).select("h", "x.*").where(F.size("w") > 0)
+              # lines of a wrapped notice resemble a template only together
+              .withColumn("b", _pairs_held("near")).withColumn("s", F.when(F.size("b") > 0, _similarity("b")).otherwise(0.0)).where("s < 0.5")
+              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w", _bigrams(F.col("w")).alias("b")))
     sample = staged(sample)
     pieces = []
     for family, texts in TEMPLATES.items():
@@ -189,42 +250,83 @@ def fit(docs: DataFrame) -> Model:
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per paragraph predicted as a licence: uid and doc_id of its text,
-    paragraph number, family, probability, similarity, confirmed."""
+    paragraph number (of its first line), following lines, family, probability,
+    similarity, confirmed."""
     d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    return _scan(d, model).where("family is not null")
+    return (_scan(d, model).select("uid", "doc_id", "n_paragraphs", F.explode("hits").alias("x"))
+            .select("uid", "doc_id", "n_paragraphs", *[F.col(f"x.{c}").alias(c) for c in (
+                "paragraph", "more", "family", "probability", "similarity", "confirmed")]))
 
 
 def _scan(d: DataFrame, model: Model) -> DataFrame:
+    """One row per text: uid, doc_id, n_paragraphs and its licence paragraphs ``hits``."""
     n, anchors = len(model.families), _anchors(model)
     any_ = F.exists(_words(F.col("t")), lambda g: g.isin(anchors))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = d.select("uid", "doc_id", F.size(lines).cast("long").alias("n_paragraphs"),
-                 F.when(any_, F.split("t", "\n")).alias("lines"))
-    d = d.select("uid", "doc_id", "n_paragraphs", F.posexplode_outer("lines").alias("paragraph", "p"))
-    d = d.withColumn("w", F.when(F.col("p").isNotNull(), _words(F.col("p"))))
-    d = d.withColumn("b", F.when(F.size("w") > 0, _bigrams(F.col("w"))))
-    spoken = F.exists("w", lambda g: g.isin(anchors))
-    d = d.withColumn("s", F.when((F.size("w") > 0) & spoken, _scores(model, F.concat("w", "b"))))
+                 F.when(any_, F.transform(F.split("t", "\n"), _words)).alias("lines"))
+    d = d.withColumn("windows", F.when(F.col("lines").isNotNull(), _windows("lines"))).drop("lines")
+    d = d.select("uid", "doc_id", "n_paragraphs", F.explode_outer("windows").alias("x")).select("uid", "doc_id", "n_paragraphs", "x.*")
+    spoken = (F.size("w") > 0) & F.exists("w", lambda g: g.isin(anchors))
+    d = d.withColumn("b", F.when(spoken, _pairs_held("w")))
+    # a window of several lines counts only if it can be confirmed
+    able = (F.col("more") == 0) | (F.size(F.array_distinct("b")) >= FEWEST)
+    d = d.withColumn("s", F.when(spoken & able, _scores(model, F.concat("w", "b"))))       # features are words and pairs of templates
     best = F.array_max(F.slice("s", 2, n - 1))
     d = d.withColumn("probability", best)
     names = F.array(*map(F.lit, model.families))
     hit = (F.col("probability") >= model.threshold) & (F.col("probability") > F.get("s", F.lit(0)))
     d = d.withColumn("family", F.when(hit, F.element_at(names, F.array_position("s", F.col("probability")).cast("int"))))
     d = d.withColumn("similarity", F.when(F.col("family").isNotNull(), _similarity("b", F.col("family"))))
-    return d.select("uid", "doc_id", "n_paragraphs", "paragraph", "family", "probability", "similarity",
-                    (F.col("similarity") >= LEAST_SIMILARITY).alias("confirmed"))
+    d = d.withColumn("confirmed", F.col("similarity") >= LEAST_SIMILARITY)
+    # ordered by first line, then the best window of that line
+    one = F.struct("paragraph", (~F.col("confirmed")).alias("last"), (-F.col("similarity")).alias("far"), "more", "family", "probability",
+                   "similarity", "confirmed")
+    d = d.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_paragraphs").alias("n_paragraphs"),
+                             F.array_sort(F.collect_list(F.when(F.col("confirmed") | (F.col("family").isNotNull() & (F.col("more") == 0)),
+                                                                one))).alias("hits"))
+    d = d.withColumn("hits", F.filter("hits", lambda x, k: ~F.coalesce(F.get("hits", k - 1)["paragraph"] == x["paragraph"], F.lit(False))))
+    return d.withColumn("hits", _needed("hits")).withColumn("hits", _apart("hits"))
+
+
+def _end(x: Column) -> Column:
+    return x["paragraph"] + x["more"]
+
+
+def _needed(hits: str) -> Column:
+    """Without windows whose first line adds nothing to the next line's window."""
+    def spare(x, k):
+        y = F.get(hits, k + 1)
+        return F.coalesce((y["paragraph"] == x["paragraph"] + 1) & (x["more"] > 0) & y["confirmed"] & (y["family"] == x["family"])
+                          & (_end(y) <= _end(x)) & (y["similarity"] >= x["similarity"]), F.lit(False))
+    return F.filter(hits, lambda x, k: ~spare(x, k))
+
+
+def _apart(hits: str) -> Column:
+    """Without windows that a better one of their family overlaps, and without
+    unconfirmed lines inside a confirmed window. A window has at most LONGEST
+    further lines and every hit its own first line, so LONGEST neighbours on
+    either side are all that can overlap."""
+    def beaten(x, k):
+        before = F.slice(hits, F.greatest(k - LONGEST, F.lit(0)) + 1, F.least(k, F.lit(LONGEST)))
+        after = F.slice(hits, k + 2, F.lit(LONGEST))
+
+        def over(y, better):
+            return (y["confirmed"] & (y["paragraph"] <= _end(x)) & (_end(y) >= x["paragraph"])
+                    & (~x["confirmed"] | ((y["family"] == x["family"]) & better)))
+        return (F.exists(before, lambda y: over(y, y["similarity"] >= x["similarity"]))
+                | F.exists(after, lambda y: over(y, y["similarity"] > x["similarity"])))
+    return F.filter(hits, lambda x, k: ~beaten(x, k))
 
 
 def scan_documents(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: its paragraphs, those predicted as licences, the
     confirmed families, and families of predictions without a matching template."""
     d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    rows = _scan(d, model)
-
-    def names(when: Column) -> Column:
-        return F.array_join(F.array_sort(F.collect_set(F.when(when, F.col("family")))), ",")
-    return (rows.groupBy("uid").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_paragraphs").alias("n_paragraphs"),
-        F.count("family").alias("n_licence_paragraphs"), names(F.col("confirmed")).alias("families"),
-        names(~F.col("confirmed")).alias("unconfirmed"), F.max(F.when(F.col("family").isNotNull(), F.col("probability")))
-        .alias("probability"), F.max("similarity").alias("similarity")).drop("uid"))
+
+    def names(when) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("hits", when), lambda x: x["family"]))), ",")
+    return _scan(d, model).select(
+        "doc_id", "n_paragraphs", F.size("hits").cast("long").alias("n_licence_paragraphs"), names(lambda x: x["confirmed"]).alias("families"),
+        names(lambda x: ~x["confirmed"]).alias("unconfirmed"), F.array_max(F.transform("hits", lambda x: x["probability"])).alias("probability"),
+        F.array_max(F.transform("hits", lambda x: x["similarity"])).alias("similarity"))

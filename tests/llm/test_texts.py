@@ -277,6 +277,29 @@ def test_licences(spark, edge, none, clashing):
     assert licenses.scan_documents(none, licenses.fit(none)).count() == 0
 
 
+def test_wrapped_notices(spark):
+    import textwrap
+    long = {f: max(licenses.TEMPLATES[f], key=len) for f in ("apache-2.0", "mit", "gpl-3.0", "bsd", "cc-by-sa")}
+    styles = [("# ", 76, "\n#\n"), (" * ", 60, "\n *\n"), ("", 40, "\n\n"), ("// ", 50, "\n")]     # the last one without blank lines
+    rows, want = [], {}
+    for i, (family, notice) in enumerate(long.items()):
+        for j, (mark, width, gap) in enumerate(styles):
+            d = 10 * i + j
+            wrapped = textwrap.fill(notice, width, initial_indent=mark, subsequent_indent=mark)
+            rows.append((d, f"{mark}{prose(9500 + d, 12).strip()}{gap}{wrapped}{gap}{mark}{prose(9600 + d, 12).strip()}"))
+            want[d] = family
+    rows.append((900, "# " + long["mit"][:60] + "\n\n# " + long["bsd"][:50]))         # beginnings only
+    both = textwrap.fill(long["gpl-3.0"], 50) + "\n" + textwrap.fill(long["bsd"], 50)
+    rows.append((901, both))
+    df = spark.createDataFrame(rows + [(1000 + i, prose(700 + i, 80)) for i in range(40)], "doc_id long, text string").repartition(3)
+    model = licenses.fit(df)
+    got = {r["doc_id"]: r for r in licenses.scan_documents(df, model).collect()}
+    assert {d: got[d]["families"] for d in want} == want
+    assert all(got[d]["n_licence_paragraphs"] >= 1 for d in want)
+    assert got[900]["families"] == "" and got[901]["families"] == "bsd,gpl-3.0"
+    assert all(got[1000 + i]["families"] == "" for i in range(40))
+
+
 # ---- derivatives ----------------------------------------------------------------
 
 def test_derivatives(spark, tmp_path):
