@@ -197,6 +197,19 @@ def test_quality_rejects_odd_texts_only(spark, none):
     assert quality.judge(none).count() == 0
 
 
+def test_quality_judges_short_texts(spark):
+    r = random.Random(5)
+    common = "the of and to a in is that it was for on are as with".split()
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9)))
+    clean = [" ".join(r.choice(common) if r.random() < 0.5 else word() for _ in range(n)) + "." for n in [200] * 60 + [30] * 10]
+    junk = [" ".join("%$#&*|<>"[k % 8] * (1 + k % 5) + "#" * (k // 8) for k in range(24)), " ".join(str(r.randrange(10 ** 6)) for _ in range(25)),
+            " ".join(f"{word()}" for _ in range(60))]
+    rows = [(i, t, "en") for i, t in enumerate(clean)] + [(900 + i, t, "en") for i, t in enumerate(junk)]
+    got = {x["doc_id"]: x for x in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i]["kept"] for i in range(70))
+    assert all(not got[d]["kept"] and not got[d]["base_failed"] for d in (900, 901, 902))
+
+
 def test_quality_ignores_clashing_columns(clashing):
     assert quality.judge(clashing).count() == len(edge_rows())
 
