@@ -154,7 +154,7 @@ def _warc_sql() -> str:
 def op2_warc(spark, sf_dir):
     """Metadata and conversion records of every page."""
     from shelfwise.llm.warc import derivatives, responses
-    return derivatives(responses(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    return derivatives(responses(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).drop("date")
 
 
 @query("op5_licences")

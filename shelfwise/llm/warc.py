@@ -12,20 +12,26 @@ response's payload digest. Record ids are name-based (hash of the response's
 id and the record type), so a rerun or a retried task writes the same ids.
 
 Text extraction: comments, scripts, styles and templates go; block-level tags
-break lines; other tags go; the common entities are decoded; runs of blanks
-and blank lines shrink.
+break lines; other tags go; entities are decoded once (HTML's named list,
+decimal and hexadecimal numbers); runs of blanks and blank lines shrink.
 
-Defined results: a null payload is an empty block with its digest; a null URI,
-date or header stays null (its header line is left out of the serialised
-record); repeated responses give repeated records with equal ids; input
+Defined results: a null payload is an empty block with its digest; a null URI
+or header stays null (its header line is left out of the serialised record); a
+null date stays null (the serialised record, which must have one, takes the
+writer's); repeated responses give repeated records with equal ids; input
 columns beyond those named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from html import unescape
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import bounded_batches
+
 #: Extraction rules in order: (pattern, replacement); the same text is used in SQL.
 RULES = [
     (r"(?s)<!--.*?-->", ""),
@@ -37,18 +43,22 @@ RULES = [
      r"|body|html|head|blockquote|pre|form)\b[^>]*>", "\n"),
     (r"</?[a-zA-Z!?][^>]*>", ""),
 ]
-#: Entities decoded in order; the ampersand comes last so nothing is decoded twice.
+#: Entities of the SQL form, which knows no others, in order; the ampersand comes
+#: last so nothing is decoded twice.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&")]
 SPACING = [("[ \\t\\r\\f\\x0B ]+", " "), (r" ?\n ?", "\n"), (r"\n\n+", "\n"), (r"^\s+|\s+$", "")]
 
 
+def _unescaped(texts: pa.Array) -> pa.Array:
+    return pa.array([x if x is None or "&" not in x else unescape(x) for x in texts.to_pylist()], pa.string())
+
+
 def plain_text(html: Column) -> Column:
     text = F.coalesce(html, F.lit(""))
     for pattern, put in RULES:
         text = F.regexp_replace(text, pattern, put)
-    for entity, put in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(put))
+    text = F.arrow_udf(_unescaped, "string")(text)
     for pattern, put in SPACING:
         text = F.regexp_replace(text, pattern, put)
     return text
@@ -66,18 +76,21 @@ def name_uuid(name: Column) -> Column:
 
 
 def responses(pages: DataFrame) -> DataFrame:
-    """Response records of fetched pages (page_id, url, html)."""
+    """Response records of fetched pages (page_id, url, html, and date if there is one)."""
+    date = F.col("date") if "date" in pages.columns else F.lit(None).cast("string")
     html = F.coalesce("html", F.lit(""))
     headers = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                        F.octet_length(html).cast("string"))
     name = F.concat_ws("|", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
                        F.coalesce("url", F.lit("")), F.md5(html))
     return pages.select("page_id", name_uuid(name).alias("record_id"), F.col("url").alias("target_uri"),
-                        headers.alias("http_headers"), F.col("html").alias("payload"), digest(html).alias("payload_digest"))
+                        headers.alias("http_headers"), F.col("html").alias("payload"), digest(html).alias("payload_digest"),
+                        date.alias("date"))
 
 
 def derivatives(resp: DataFrame) -> DataFrame:
     """Metadata and conversion records of response records; two rows per response."""
+    bounded_batches(resp.sparkSession)
     html = F.coalesce("payload", F.lit(""))
     title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)
     lang = F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([a-z-]+)", 1)
@@ -90,20 +103,23 @@ def derivatives(resp: DataFrame) -> DataFrame:
         F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
                  plain_text(F.col("payload")).alias("block")))
     own = F.concat_ws("|", "record_type", F.coalesce("refers_to", F.lit("")))
-    return (resp.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "http_headers", "payload_digest",
+    return (resp.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "http_headers", "payload_digest", "date",
                         F.explode(kinds).alias("k"))
-            .select("page_id", "refers_to", "target_uri", "http_headers", "payload_digest", "k.*")
+            .select("page_id", "refers_to", "target_uri", "http_headers", "payload_digest", "date", "k.*")
             .select("page_id", "record_type", name_uuid(own).alias("record_id"), "refers_to", "target_uri", "content_type",
                     F.octet_length("block").cast("long").alias("content_length"), digest(F.col("block")).alias("block_digest"),
-                    "payload_digest", "http_headers", "block"))
+                    "payload_digest", "http_headers", "block", "date"))
 
 
 def serialised(records: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Adds ``warc``, the record in WARC 1.1 text form."""
+    """Adds ``warc``, the record in WARC 1.1 text form; ``date`` is for records without one."""
+    kind = records.schema["date"].dataType.typeName()
+    own = (F.date_format(F.to_utc_timestamp("date", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'") if kind == "timestamp"
+           else F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'") if kind in ("date", "timestamp_ntz") else F.col("date").cast("string"))
     line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
     head = F.concat(F.lit("WARC/1.1\r\n"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", F.col("record_id")),
                     line("WARC-Refers-To", F.col("refers_to")), line("WARC-Target-URI", F.col("target_uri")),
-                    F.lit(f"WARC-Date: {date}\r\n"), line("WARC-Block-Digest", F.col("block_digest")),
+                    line("WARC-Date", F.coalesce(own, F.lit(date))), line("WARC-Block-Digest", F.col("block_digest")),
                     line("WARC-Payload-Digest", F.col("payload_digest")), line("Content-Type", F.col("content_type")),
                     line("Content-Length", F.col("content_length").cast("string")))
     return records.withColumn("warc", F.concat(head, F.lit("\r\n"), F.col("block"), F.lit("\r\n\r\n")))

@@ -341,6 +341,18 @@ def test_derivatives(spark, tmp_path):
     assert warc.derivatives(warc.responses(pages.withColumn("block", F.lit(1)).withColumn("record_id", F.lit(2)))).count() == 8
 
 
+def test_entities_and_dates(spark):
+    html = "<title>Caf&eacute; &#8217;</title><p>&#x27;a&#x27; &rsquo;&euro; &#233; &amp;lt; &amp;amp; &nosuch; &#x1F389; &#150;</p>"
+    pages = spark.createDataFrame([(1, "u", html, "2024-05-06T07:08:09Z"), (2, "v", "x", None)],
+                                  "page_id long, url string, html string, date string")
+    out = warc.derivatives(warc.responses(pages))
+    got = {(r["page_id"], r["record_type"]): r for r in warc.serialised(out).collect()}
+    assert got[1, "conversion"]["block"] == "Café ’\n'a' ’€ é &lt; &amp; &nosuch; 🎉 –"
+    assert "title: Café ’\r\n" in got[1, "metadata"]["block"]
+    assert all("WARC-Date: 2024-05-06T07:08:09Z\r\n" in got[1, k]["warc"] for k in ("metadata", "conversion"))
+    assert got[2, "metadata"]["date"] is None
+
+
 # ---- pipeline and queries -------------------------------------------------------
 
 def test_pipeline_stages(spark):
