@@ -19,12 +19,16 @@ is blank. A window counts if it is predicted and confirmed, and of overlapping
 windows of one family the most similar one counts, where its paragraph number
 is that of its first line.
 
-N-grams made of common words only (in more than COMMON_SHARE of the sampled
-paragraphs) are no features, so every feature holds an uncommon word. A text
-without any n-gram that speaks for a family cannot be predicted as one (the
-intercepts favour ``unknown``; asserted at fitting), hence only texts with one
-of those n-grams' uncommon words are taken apart into paragraphs; this is
-exact, not a heuristic.
+All n-grams of the templates are features. The probability threshold is
+calibrated on all lines of the corpus outside the fitted half of the sample, in
+one aggregated pass over fixed classes of probability.
+
+The intercepts favour ``unknown`` (asserted at fitting), so n-grams whose
+weights for a family add up to less than that lead cannot make a prediction
+among themselves. The commonest ones are set aside that way (word counts of the
+sample choose which, a matter of speed only); a predicted paragraph holds one
+of the other n-grams, hence only texts with a word of those are taken apart
+into paragraphs. This is exact, not a heuristic.
 
 Defined results: null and empty texts have no paragraph with a licence; blank
 paragraphs count as paragraphs only if they hold a word; repeated rows are
@@ -34,6 +38,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -83,11 +88,10 @@ NOT_LICENCES = [
     "A creative work of the commons attracts attention.", "The source of the river is subject to debate.",
 ]
 SAMPLE_DOCS = 1500
-#: Half of the sampled paragraphs fit, half calibrate: at most this share of them above the threshold.
+#: At most this share of the corpus's other lines has a probability above the threshold.
 FALSE_SHARE = 0.001
 LEAST_PROBABILITY, LEAST_SIMILARITY = 0.5, 0.6
 REG = 0.0005
-COMMON_SHARE = 0.005
 NO_EVIDENCE = 100.0       # weight of the training row without any n-gram
 
 
@@ -118,15 +122,24 @@ class Model:
     families: list[str]                    # with UNKNOWN
     intercepts: list[float]
     weights: dict[str, list[float]]        # n-gram -> weight per family; at most the templates' n-grams
-    common: list[str]                      # words of the templates that are common in the corpus
+    counts: dict[str, int]                 # sampled lines with each of the templates' words; for speed only
     threshold: float
 
 
 def _anchors(model: Model) -> list[str]:
-    """The uncommon words of the n-grams with a larger weight for some family
-    than for the unknown class: a predicted paragraph holds one of them."""
+    """Words of which every predicted paragraph holds one: the rarest word of
+    each n-gram that speaks for a family, without n-grams that together weigh
+    less than the unknown class's lead."""
     u = model.families.index(UNKNOWN)
-    return sorted({w for g, x in model.weights.items() if max(x) > x[u] for w in g.split() if w not in model.common})
+    lift = {g: max(x) - x[u] for g, x in model.weights.items() if max(x) > x[u]}
+    lead = 0.999 * (model.intercepts[u] - max(x for i, x in enumerate(model.intercepts) if i != u))
+
+    def rarest(g):
+        return min(g.split(), key=lambda w: (model.counts.get(w, 0), w))
+    for g in sorted(lift, key=lambda g: (-model.counts.get(rarest(g), 0), lift[g], g)):
+        if lift[g] < lead:
+            lead -= lift.pop(g)
+    return sorted(set(map(rarest, lift)))
 
 
 def _pairs_held(w: str) -> Column:
@@ -198,12 +211,13 @@ def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
     h = F.xxhash64(F.lit("licence"), F.col("doc_id").cast("string"), "text")
-    sample = (docs.where(F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20)))
+    taken = F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20))
+    sample = (docs.where(taken)
               .select(h.alias("h"), F.transform(F.split("text", "\n"), _words).alias("lines"))
               .select("h", F.explode(_near("lines")).alias("x")).select("h", "x.*").where(F.size("w") > 0)
               # lines of a wrapped notice resemble a template only together
               .withColumn("b", _pairs_held("near")).withColumn("s", F.when(F.size("b") > 0, _similarity("b")).otherwise(0.0)).where("s < 0.5")
-              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w", _bigrams(F.col("w")).alias("b")))
+              .select(F.pmod(F.xxhash64("h", "k"), F.lit(2)).alias("part"), "w"))
     sample = staged(sample)
     pieces = []
     for family, texts in TEMPLATES.items():
@@ -215,11 +229,10 @@ def fit(docs: DataFrame) -> Model:
     families = [UNKNOWN, *TEMPLATES]
     every = sorted({g for xs in TEMPLATES.values() for x in xs for g in _local_grams(x)})
     words = [g for g in every if " " not in g]
-    n = sample.count()
     seen = (sample.select(F.explode(F.array_distinct(F.filter("w", lambda x: x.isin(words)))).alias("g"))
-            .groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON_SHARE * n).select("g"))
-    common = sorted(r["g"] for r in seen.collect())        # at most the templates' words
-    vocab = [g for g in every if not set(g.split()) <= set(common)]
+            .groupBy("g").agg(F.count(F.lit(1)).alias("n")))
+    counts = {r["g"]: r["n"] for r in seen.collect()}        # at most the templates' words
+    vocab = every
     taught = (spark.createDataFrame(pieces, "family string, p string").withColumn("w", _words(F.col("p")))
               .withColumn("weight", F.lit(1.0)).select("family", "w", "weight"))
     taught = taught.union(sample.where("part = 0").select(F.lit(UNKNOWN).alias("family"), "w", F.lit(0.1).alias("weight")))
@@ -232,22 +245,51 @@ def fit(docs: DataFrame) -> Model:
     held = F.array_sort(F.array_distinct(F.filter(grams, lambda x: x.isin(vocab))))
     rows = (taught.select("family", held.alias("g"), "weight").groupBy("family", "g").agg(F.sum("weight").alias("weight")))
     rows = staged(rows.select(label.alias("label"), one_hot.alias("x"), "weight").coalesce(4))
-    lr = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=REG, maxIter=100, standardization=False,
+    lr = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=REG, maxIter=200, standardization=False,
                             weightCol="weight")
     m = lr.fit(rows.select("label", "weight", array_to_vector("x").alias("features")))
     matrix = m.coefficientMatrix.toArray()
     weights = {g: [float(v) for v in matrix[:, i]] for i, g in enumerate(vocab) if matrix[:, i].any()}
-    model = Model(families, [float(v) for v in m.interceptVector.toArray()], weights, common, LEAST_PROBABILITY)
+    model = Model(families, [float(v) for v in m.interceptVector.toArray()], weights, counts, LEAST_PROBABILITY)
     u = families.index(UNKNOWN)
     if max(model.intercepts) > model.intercepts[u]:
         raise ValueError("the unknown class must be the likeliest one without evidence")
-    # calibration: the unknown class's paragraphs kept from training
-    p = F.array_max(F.slice(_scores(model, F.concat("w", "b")), 2, len(families) - 1))
-    above = sample.where("part = 1").select(p.alias("p")).agg(F.percentile("p", 1 - FALSE_SHARE)).first()[0]
-    model.threshold = max(LEAST_PROBABILITY, float(above or 0.0))
+    model.threshold = _calibrated(docs, model, h, taken)
     return model
 
 
+def _calibrated(docs: DataFrame, model: Model, h: Column, taken: Column) -> float:
+    """Least probability that at most FALSE_SHARE of all lines exceed which did
+    not fit the model and do not belong to something like a template."""
+    anchors = _anchors(model)
+    d = docs.select(h.alias("h"), taken.alias("taken"), F.coalesce("text", F.lit("")).alias("t"))
+
+    def other(k):
+        return ~(F.col("taken") & (F.pmod(F.xxhash64("h", k), F.lit(2)) == 0))
+    any_ = F.exists(_words(F.col("t")), lambda g: g.isin(anchors))
+    n = F.size(F.filter(F.split("t", "\n"), lambda x, k: x.rlike("[A-Za-z0-9]") & other(k)))
+    lines = F.when(any_, F.transform(F.split("t", "\n"), _words))
+    d = d.select("h", "taken", n.cast("long").alias("n"), lines.alias("lines"))
+    spoken = F.filter(_near("lines"), lambda x: other(x["k"]) & F.exists(x["w"], lambda g: g.isin(anchors)))
+    d = d.select("n", F.when(F.col("lines").isNotNull(), spoken).alias("x"))
+    d = d.select("n", F.posexplode_outer("x").alias("i", "x")).select("n", "i", "x.*")
+    d = d.withColumn("s", F.when(F.col("i").isNotNull(), _scores(model, F.concat("w", _bigrams(F.col("w"))))))
+    best = F.array_max(F.slice("s", 2, len(model.families) - 1))
+    d = d.withColumn("p", F.when((best >= LEAST_PROBABILITY) & (best > F.get("s", F.lit(0))), best))
+    d = d.withColumn("b", F.when(F.col("p").isNotNull(), _pairs_held("near")))
+    d = d.withColumn("p", F.when(F.col("b").isNotNull() & (_similarity("b") < 0.5), F.col("p")))
+    # classes of a hundredth in log odds, a few thousand at most
+    odds = F.ceil(100 * F.log(F.col("p") / F.greatest(1 - F.col("p"), F.lit(1e-16))))
+    rows = d.groupBy(odds.alias("bin")).agg(F.count(F.lit(1)).alias("m"),
+                                            F.sum(F.when(F.coalesce("i", F.lit(0)) == 0, F.col("n"))).alias("n")).collect()
+    room = FALSE_SHARE * sum(r["n"] or 0 for r in rows)
+    for r in sorted((r for r in rows if r["bin"] is not None), key=lambda r: -r["bin"]):
+        room -= r["m"]
+        if room < 0:
+            return max(LEAST_PROBABILITY, 1 / (1 + math.exp(-r["bin"] / 100)))
+    return LEAST_PROBABILITY
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per paragraph predicted as a licence: uid and doc_id of its text,
     paragraph number (of its first line), following lines, family, probability,

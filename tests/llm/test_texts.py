@@ -313,6 +313,21 @@ def test_wrapped_notices(spark):
     assert all(got[1000 + i]["families"] == "" for i in range(40))
 
 
+def test_common_words_stay_features(spark):
+    common = "released under the mit license this software is licensed".split()
+    rows = [(i, f"{prose(3000 + i, 30)}\n{common[i % 9]} {prose(4000 + i, 9)}") for i in range(90)]
+    rows.append((500, "Released under the MIT License."))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.scan_documents(df, licenses.fit(df)).collect()}
+    assert got[500] == "mit" and not any(got[i] for i in range(90))
+
+
+def test_anchors_leave_out_only_what_cannot_predict():
+    m = licenses.Model(["unknown", "mit"], [3.0, 0.0], {"the": [0.0, 1.0], "of": [0.0, 1.5], "mit license": [0.0, 4.0], "a": [1.0, 0.0]},
+                       {"the": 90, "of": 80, "mit": 2, "license": 5}, 0.5)
+    assert licenses._anchors(m) == ["mit"]
+
+
 # ---- derivatives ----------------------------------------------------------------
 
 def test_derivatives(spark, tmp_path):
