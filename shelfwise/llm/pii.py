@@ -15,14 +15,15 @@ Snowball: a lexical pattern is the pair of words left of an identifier.
    its occurrences, an instance's confidence is that of its best pattern (seeds
    have 1). Patterns with MIN_SUPPORT different instances and MIN_CONFIDENCE
    are accepted; the tokens in them are new instances and count as evidence in
-   their other contexts, until a round finds nothing new (at most ROUNDS).
+   their other contexts, until a round changes no value, kind or confidence.
+   Evidence only grows, and confidences are rounded down, so that happens.
 4. Every occurrence of a discovered identifier outside base spans is a span of
    the kind it was found as.
 
 Defined results: offsets are code points, ends exclusive; null text counts as
 empty and has no spans; a value found as two kinds takes the more confident,
-then the first listed; repeated rows get equal spans; contexts do not reach
-over the start of a text; an empty table gives no rows.
+then the first listed; repeated rows get equal spans; in place of
+words before the start of a text, contexts hold a mark; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ from shelfwise.llm.common import LOWER, bounded_batches, chain, staged, text_byt
 
 #: Fixed order of the kinds in results.
 KINDS = ("email", "ip", "card", "phone")
-MIN_SUPPORT, MIN_CONFIDENCE, ROUNDS = 5, 0.8, 5
+MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.8
+DIGITS = 6             # decimals of confidences, rounded down, so that rounds come to an end
 BITMAP_BITS = 24       # 2 MB, whatever the corpus
 TOKEN_MIN, TOKEN_MAX = 5, 200
 
@@ -90,6 +92,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+#: Stands for a word before the start of a text in contexts.
+START = np.uint64(0x5EED0FA7E47B0001)
 _MARKS = np.zeros(256, bool)
 _MARKS[[*range(48, 58), 64]] = True
 _ITEM = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("ctx", pa.int64())])
@@ -97,7 +101,7 @@ _ITEM = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64
 
 def _items(text: str, raw: np.ndarray) -> list[dict]:
     """Base spans (kind 0 to 3) and other identifier-like tokens (kind -1) of a
-    text, with their left pair of words (0: none)."""
+    text, with their left pair of words (START for words before the text)."""
     spans = base_spans(text)
     low = LOWER[raw]
     starts, ends, _ = word_spans(low, np.array([0, len(raw)]))
@@ -108,10 +112,9 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
 
     def add(kind, a, b, value):
         k = int(np.searchsorted(word_at, a, "right")) - 1
-        ctx = 0
-        if k >= 2:
-            h = word_hashes(low, starts[k - 2:k], ends[k - 2:k])
-            ctx = int(chain(h[:1], h[1:]).view(np.int64)[0])
+        lo = max(k - 2, 0)
+        h = np.concatenate([np.full(2 - (k - lo), START), word_hashes(low, starts[lo:k], ends[lo:k])])
+        ctx = int(chain(h[:1], h[1:]).view(np.int64)[0])
         out.append({"kind": kind, "start": int(a), "end": int(b), "value": value, "ctx": ctx})
 
     for kind, a, b in spans:
@@ -156,11 +159,13 @@ def _count_contexts(bitmap):
             low = LOWER[raw]
             starts, ends, first = word_spans(low, offsets)
             w = word_hashes(low, starts, ends)
-            if len(w) < 2:
+            if not len(w):
                 continue
-            pair = chain(w[:-1], w[1:]).view(np.int64)
-            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-            pair = pair[(row[:-1] == row[1:])]
+            # two marks before the first word of every text that has one
+            row = np.flatnonzero(np.diff(first))
+            w = np.insert(w, np.repeat(first[row], 2), START)
+            row = np.repeat(row, np.diff(first)[row] + 2)
+            pair = chain(w[:-1], w[1:]).view(np.int64)[row[:-1] == row[1:]]
             ctx, n = np.unique(pair[bits[_bit(pair)]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(ctx, pa.int64()), pa.array(n, pa.int64())], names=["ctx", "n"])
     return run
@@ -199,27 +204,27 @@ def patterns(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = staged(total.join(wide, "ctx"))
     graph = staged(edges.join(total, "ctx"))
 
-    new = None     # discovered so far: (value, kind, confidence)
-    accepted = None
-    count = 0
-    for _ in range(ROUNDS):
+    def down(c: Column) -> Column:
+        return F.floor(c * 10 ** DIGITS) / 10 ** DIGITS
+
+    new = None     # discovered so far, for every kind: (value, kind, confidence)
+    while True:
         known = graph.where("kind >= 0").withColumn("c", F.lit(1.0))
         if new is not None:
             known = known.unionByName(graph.where("kind < 0").drop("kind").join(
                 new.withColumnRenamed("confidence", "c"), "value").select(*known.columns))
         accepted = (known.groupBy("ctx", "kind").agg(
-            (F.sum(F.col("n") * F.col("c")) / F.max("total")).alias("confidence"), F.count_distinct("value").alias("values"))
+            down(F.sum(F.col("n") * F.col("c")) / F.max("total") + 1e-9).alias("confidence"), F.count_distinct("value").alias("values"))
             .where((F.col("values") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE)).select("ctx", "kind", "confidence"))
         accepted = staged(accepted)
-        best = F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind")
         now = staged(graph.where("kind < 0").select("ctx", "value").join(accepted, "ctx")
-                     .groupBy("value").agg(best, F.max("confidence").alias("confidence")))
-        n = now.count()
+                     .groupBy("value", "kind").agg(F.max("confidence").alias("confidence")))
+        same = now.isEmpty() if new is None else now.join(new, ["value", "kind", "confidence"], "left_anti").isEmpty()
         new = now
-        if n == count:
+        if same:
             break
-        count = n
-    return accepted, new
+    best = F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind")
+    return accepted, new.groupBy("value").agg(best, F.max("confidence").alias("confidence"))
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -265,6 +265,20 @@ def test_contexts_discover_identifiers(spark, none, clashing):
     assert pii.find(none).count() == 0 and pii.find(clashing).count() == len(edge_rows())
 
 
+def test_rounds_reach_the_fixpoint_and_starts_of_texts(spark):
+    # each value links a context to the next one: eight rounds from the seeds
+    links = 8
+    rows = [f"zz at0 key0: user{i}@mail.example.com" for i in range(400)] + [f"zz at0 key0: val0x{i}" for i in range(6)]
+    for k in range(1, links):
+        rows += [f"zz at{k} key{k}: val{k - 1}x{i}" for i in range(6) for _ in range(90)] + [f"zz at{k} key{k}: val{k}x{i}" for i in range(6)]
+    rows += [f"mail: person{i}@mail.example.com" for i in range(30)] + ["mail: someone77"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    _, new = pii.patterns(df, pii.extract(df))
+    values = {r["value"] for r in new.collect()}
+    assert "someone77" in values
+    assert {v for v in values if v[0] == "v"} == {f"val{k}x{i}" for k in range(links) for i in range(6)}
+
+
 def test_span_text(spark):
     d = spark.createDataFrame([([(0, 3, 9), (3, 1, 2)],), ([],)], "base array<struct<kind:int,start:bigint,end:bigint>>")
     assert [x[0] for x in d.select(pii.joined(F.col("base"))).collect()] == ["email:3:9,phone:1:2", ""]
