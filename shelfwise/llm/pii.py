@@ -5,7 +5,9 @@ They seed a bootstrap over lexical patterns, in the manner of DIPRE and
 Snowball: a lexical pattern is the pair of words left of an identifier.
 
 1. One pass over the texts takes every base span and every other token that
-   looks like an identifier (it holds a digit or "@"), each with its left pair.
+   looks like an identifier (it holds a digit or "@"), each with its left pair. Neighbouring tokens of digits, brackets and
+   the like on one line are also taken together, as one identifier; a span
+   inside a longer added one is left out.
 2. Contexts that precede at least MIN_SUPPORT different identifiers may become
    patterns. A second pass counts how often those contexts occur at all,
    whatever follows. The contexts travel as a bitmap of fixed size; counts are
@@ -49,6 +51,9 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: A word that may be a part of a number of several words, and what ends one.
+_RUN = re.compile(r"[(\[]*[0-9][0-9()\[\]./+-]*")
+_ENDS = re.compile(r"\n|[,;:!?.](?=[\x20\x09-\x0D])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TRIM = "\"'`([{<)]}>.,;:!?*%$&#|=\\/"
 
@@ -121,18 +126,42 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
         add(kind, a, b, text[a:b].lower())
     covered = sorted((a, b) for _, a, b in spans)
     reach, i = 0, 0
+    run = []               # places of neighbouring words that may be parts of one number
+
+    def close():
+        """Add the words of the run as one identifier."""
+        if len(run) > 1:
+            a, b = int(point[starts[run[0]]]), int(point[ends[run[-1]]])
+            whole = text[a:b].rstrip(_TRIM.replace(")", ""))
+            a += len(whole) - len(whole.lstrip(_TRIM.replace("(", "")))
+            whole = whole.lstrip(_TRIM.replace("(", ""))
+            while whole.endswith(")") and whole.count("(") < whole.count(")"):
+                whole = whole[:-1]
+            if whole.startswith("(") and ")" not in whole:
+                a, whole = a + 1, whole[1:]
+            if TOKEN_MIN <= len(whole) <= TOKEN_MAX:
+                add(-1, a, a + len(whole), whole.lower())
+        run.clear()
+
     for k in np.flatnonzero(marks[ends] > marks[starts]):
         a, b = int(point[starts[k]]), int(point[ends[k]])
         while i < len(covered) and covered[i][0] < b:
             reach = max(reach, covered[i][1])
             i += 1
         if a < reach:
+            close()
             continue
+        if not (run and run[-1] == k - 1 and _RUN.fullmatch(text[a:b].rstrip(_TRIM) or " ") and not _ENDS.search(
+                text[int(point[starts[k - 1]]):a])):
+            close()
+        if run or _RUN.fullmatch(text[a:b]):
+            run.append(k)
         token = text[a:b]
         a += len(token) - len(token.lstrip(_TRIM))
         token = token.strip(_TRIM)
         if TOKEN_MIN <= len(token) <= TOKEN_MAX and any(c in "0123456789@" for c in token):
             add(-1, a, a + len(token), token.lower())
+    close()
     return out
 
 
@@ -237,6 +266,10 @@ def find(docs: DataFrame) -> DataFrame:
     tokens = found.select("uid", F.explode("items").alias("i")).select("uid", "i.*").where("kind < 0").drop("kind")
     added = (tokens.join(new.select("value", "kind"), "value")
              .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added")))
+    # of a run and its parts only the longest discovered one
+    inside = lambda x: F.exists("added", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"])
+                                & (y["end"] - y["start"] > x["end"] - x["start"]))
+    added = added.withColumn("added", F.filter("added", lambda x: ~inside(x)))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
     return (found.select("uid", "doc_id", base.alias("base")).join(added, "uid", "left")
             .select("doc_id", "base", F.coalesce("added", none).alias("added")))

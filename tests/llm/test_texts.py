@@ -279,6 +279,14 @@ def test_rounds_reach_the_fixpoint_and_starts_of_texts(spark):
     assert {v for v in values if v[0] == "v"} == {f"val{k}x{i}" for k in range(links) for i in range(6)}
 
 
+def test_runs_of_tokens_are_one_identifier(spark):
+    rows = [f"please call us: +1 555 0{i}1 99{i:02d} today" for i in range(30)]
+    rows += ["please call us: (555) 123-4567 today", "please call us: 5551 234 567, thanks", "or (555) 123-4567."]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: [rows[r["doc_id"]][s["start"]:s["end"]] for s in r["added"]] for r in pii.find(df).collect()}
+    assert got[30] == ["(555) 123-4567"] and got[31] == ["5551 234 567"] and got[32] == ["(555) 123-4567"]
+
+
 def test_span_text(spark):
     d = spark.createDataFrame([([(0, 3, 9), (3, 1, 2)],), ([],)], "base array<struct<kind:int,start:bigint,end:bigint>>")
     assert [x[0] for x in d.select(pii.joined(F.col("base"))).collect()] == ["email:3:9,phone:1:2", ""]
