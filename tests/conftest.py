@@ -13,10 +13,3 @@ def spark(tmp_path_factory):
                       extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collected rows as tuples, sorted (None first)."""
-    sel = df.select(*cols) if cols else df
-    out = [tuple(r) for r in sel.collect()]
-    return sorted(out, key=lambda t: tuple((x is not None, str(x)) for x in t))

@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfwise.operators import backlog as BL
 from shelfwise.operators import dedupe as D
 from shelfwise.operators import diff as DF

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfwise.sources import files as FS
 from shelfwise.sources import sinks as SK
 
