@@ -163,3 +163,51 @@ def op5_licences(spark, sf_dir):
     from shelfwise.llm.licenses import fit, scan_documents
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scan_documents(docs, fit(docs))
+
+
+_RESAMPLING_SQL = r"""
+WITH t8 AS (
+  SELECT list(list_reduce(list_prepend(b::UINTEGER, range(8)::UINTEGER[]),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END) ORDER BY b) AS tab
+  FROM range(256) r(b)),
+d AS (
+  SELECT doc_id, 0 AS side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+dw AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM d) GROUP BY w),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM b) GROUP BY w),
+vocab AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+crc AS (
+  SELECT w, (xor(list_reduce(list_prepend(4294967295::UINTEGER,
+      list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::UINTEGER)),
+      lambda c, y: xor(tab[1 + (xor(c, y) & 255)], c >> 8)), 4294967295::UINTEGER) % 10000)::INTEGER AS bucket
+  FROM vocab, t8),
+s AS (SELECT bucket, sum(n)::DOUBLE AS s FROM dw JOIN crc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::DOUBLE AS t FROM bw JOIN crc USING (w) GROUP BY bucket),
+tot AS (SELECT coalesce((SELECT sum(s) FROM s), 0.0)::DOUBLE AS ss, coalesce((SELECT sum(t) FROM t), 0.0)::DOUBLE AS tt),
+g AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((coalesce(t, 0.0)::DOUBLE + 1.0::DOUBLE) * (ss + 10000.0::DOUBLE)
+      / ((coalesce(s, 0.0)::DOUBLE + 1.0::DOUBLE) * (tt + 10000.0::DOUBLE))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket), tot),
+wg AS (SELECT w, gain FROM crc JOIN g USING (bucket)),
+u AS (SELECT row_number() OVER () AS uid, doc_id, ws FROM d),
+wt AS (SELECT uid, sum(gain)::BIGINT AS weight FROM (SELECT uid, unnest(ws) AS w FROM u) JOIN wg USING (w) GROUP BY uid),
+sc AS (
+  SELECT u.uid, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE
+      + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT)::BIGINT AS score
+  FROM u LEFT JOIN wt USING (uid)),
+rk AS (
+  SELECT uid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, uid) AS rank, count(*) OVER () AS n
+  FROM sc WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM sc LEFT JOIN rk USING (uid)
+"""
+
+
+@query("op11_resampling", _RESAMPLING_SQL)
+def op11_resampling(spark, sf_dir):
+    """Weight, score and rank of every document, drawn towards the benchmark's words."""
+    from shelfwise.llm.resampling import resample
+    return resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("n_words")
