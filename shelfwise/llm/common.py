@@ -169,10 +169,15 @@ def sha256_hex(b: bytes) -> str:
     return hashlib.sha256(b).hexdigest()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write a frame once into the shared checkpoint folder and read it back:
     cuts the lineage, survives lost executors and computes the plan one time."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -211,3 +211,19 @@ def op11_resampling(spark, sf_dir):
     """Weight, score and rank of every document, drawn towards the benchmark's words."""
     from shelfwise.llm.resampling import resample
     return resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def _secret_sql() -> str:
+    from shelfwise.llm.secret_scan import oracle
+    return oracle()
+
+
+@query("op13_secrets", _secret_sql())
+def op13_secrets(spark, sf_dir):
+    """Secrets in every document, through a ledger that starts empty."""
+    from shelfwise.llm.common import scratch_folder
+    from shelfwise.llm.secret_scan import BASE, joined, scan
+    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_folder(spark, "ledger"))
+    kinds = [F.size(F.filter("spans", lambda x: x["kind"] == F.lit(r.name))).cast("long").alias(f"n_{r.name}") for r in BASE]
+    base = F.filter("spans", lambda x: x["place"] < len(BASE))
+    return out.select("doc_id", *kinds, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
