@@ -16,7 +16,8 @@ way a repository's history is: most versions repeat content that is known.
 4. One copy of each unseen blob is scanned (copies are reduced before the
    shuffle, so a text that a third of all rows share travels once a task), and
    the facts are appended.
-5. The findings of all current rules are joined back to every row by address.
+5. The findings of all current rules are joined back to every row by address;
+   rows of one blob are dealt over SALTS keys, as a third of all rows may share it.
 
 A rule matches greedy runs from the left, without overlaps; a match that fails
 the rule's length or form is dropped and the search goes on behind it. No
@@ -42,6 +43,8 @@ from shelfwise.llm.common import bounded_batches, quoted, staged
 #: Up to so many unseen blobs (some 100 bytes each) are sent to all tasks, so that
 #: only their texts are shuffled; beyond, all texts are reduced to one a blob first.
 BROADCAST_BLOBS = 200_000
+#: Rows of one blob are dealt over so many keys when findings are joined to them.
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -161,14 +164,15 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text
     start, place, end, kind). ``ledger`` is brought up to date on the way."""
     spark = versions.sparkSession
     rec = F.struct(*[quoted(c) for c in versions.columns if c not in (text, "blob", "spans")])
-    rows = staged(versions.select(rec.alias("rec"), blob(quoted(text)).alias("blob")))
+    rows = staged(versions.select(rec.alias("rec"), blob(quoted(text)).alias("blob"),
+                                  (F.monotonically_increasing_id() % SALTS).cast("int").alias("salt")))
     todo = staged(unseen(rows, read_ledger(spark, ledger), rules))
     if not todo.isEmpty():
         body = F.coalesce(quoted(text).cast("string"), F.lit(""))
         scan_unseen(versions.select(blob(quoted(text)).alias("blob"), body.alias("text")), todo, rules, ledger)
-    found = known_findings(read_ledger(spark, ledger), rules)
+    found = known_findings(read_ledger(spark, ledger), rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
-    return rows.join(found, "blob", "left").select("rec.*", "blob", F.coalesce("spans", none).alias("spans"))
+    return rows.join(found, ["blob", "salt"], "left").select("rec.*", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def joined(found: Column) -> Column:
