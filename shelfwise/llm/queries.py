@@ -227,3 +227,15 @@ def op13_secrets(spark, sf_dir):
     kinds = [F.size(F.filter("spans", lambda x: x["kind"] == F.lit(r.name))).cast("long").alias(f"n_{r.name}") for r in BASE]
     base = F.filter("spans", lambda x: x["place"] < len(BASE))
     return out.select("doc_id", *kinds, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    """Whitened coordinates of every usable vector, one row per component."""
+    from shelfwise.llm.whitening import whiten
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    both = F.explode(F.arrays_zip(F.sequence(F.lit(1), F.size("explained")).alias("component"), "whitened", "explained"))
+    return (out.where(F.size("explained") > 0).select("vec_id", "n", "deviation", "identity_error", both.alias("c"))
+            .select("vec_id", F.col("c.component").cast("int").alias("component"), "n",
+                    F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.col("c.whitened").alias("whitened"),
+                    F.col("c.explained").alias("explained"), "identity_error"))
