@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions.dates import to_timestamp_lenient
+
 # Fixed values that must equal the reference's for identical results.
 FISCAL_WEEK_PATTERN = r"Fiscal Week (\d+) of (\d+)"
 SAFE_LABEL_BAD_CHARS = r"[\\*?:/\[\]]"     # \ * ? : / [ ]  -> _
@@ -120,16 +122,11 @@ def whole_int(c) -> Column:
     return F.when(ok, v.cast("int"))
 
 
-#: Day formats that feeds use besides ISO; the first that parses counts.
-DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy", "yyyy/M/d")
-
-
-def to_timestamp_safe(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Lenient timestamp parse (naive, timestamp_ntz): ISO first, then
-    ``formats`` in order; bad -> null."""
-    t = F.trim(_c(c).cast("string"))
-    tries = [F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(t.try_cast("timestamp_ntz"), F.try_to_timestamp(t).cast("timestamp_ntz"), *tries)
+def to_timestamp_safe(c, day_first: Column | bool = False) -> Column:
+    """Lenient timestamp parse (naive, timestamp_ntz), one attempt per cell;
+    bad -> null. See :mod:`shelfwise.functions.dates`, which also finds a
+    column's order of day and month."""
+    return to_timestamp_lenient(c, day_first)
 
 
 def lost_share(text, parsed) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as S
+from shelfwise.functions.dates import date_report, with_dates
 from shelfwise.operators import jobs as JB
 from shelfwise.operators import schema as P
 from shelfwise.plans import bindings as B
@@ -37,6 +38,42 @@ def typed_ingest(spark, d):
     return FS.apply_spec(text, FEED_SPEC, dates=["ship"])
 
 
+# ------------------------------------------------------------------ S3 / F10
+# One day, written in many ways: a column of mixed forms, a column of a day-first
+# export, a column of a month-first one with a 12-hour clock. The day itself is the oracle.
+_FORMS = ["M/d/yyyy", "d MMMM yyyy", "MM-dd-yyyy", "yyyyMMdd", "MMM d yyyy", "yyyy-MM-dd", "d-MMM-yy", "EEE, MMM d, yyyy",
+          "yyyy/M/d", "M/d/yy"]
+_MIXED = "CASE " + " ".join(f"WHEN l_orderkey % {len(_FORMS)} = {i} THEN date_format(l_shipdate, '{f}')"
+                            for i, f in enumerate(_FORMS)) + " END"
+_CLOCK = "make_timestamp_ntz(year(l_shipdate), month(l_shipdate), day(l_shipdate), CAST(l_orderkey % 24 AS INT), CAST(l_linenumber * 7 AS INT), 0)"
+DATE_TEXTS = ["l_orderkey AS order_key", "l_linenumber AS line_no", f"{_MIXED} AS mixed",
+              "CASE WHEN l_linenumber = 5 THEN 'soon' WHEN l_linenumber = 6 THEN '31/02/1996' "
+              "ELSE date_format(l_shipdate, 'dd/MM/yyyy') END AS day_first",
+              f"date_format({_CLOCK}, 'M/d/yyyy h:mm a') AS clock"]
+DATE_COLUMNS = ["mixed", "day_first", "clock"]
+
+
+@query("date_forms", sql="""SELECT l_orderkey AS order_key, l_linenumber AS line_no, CAST(l_shipdate AS TIMESTAMP) AS mixed,
+  CASE WHEN l_linenumber NOT IN (5, 6) THEN CAST(l_shipdate AS TIMESTAMP) END AS day_first,
+  CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_orderkey % 24 AS INTEGER)) + to_minutes(CAST(l_linenumber * 7 AS INTEGER)) AS clock
+FROM lineitem""")
+def date_forms(spark, d):
+    """Dates in the forms of exports, each column in the order that
+    reads more of its cells."""
+    return with_dates(B.table(spark, d, "lineitem").selectExpr(*DATE_TEXTS), DATE_COLUMNS)
+
+
+@query("date_report", sql=f"""WITH c AS (SELECT l_orderkey % {len(_FORMS)} AS f, l_linenumber AS n FROM lineitem)
+SELECT 'mixed' AS "column", count(*) AS cells, CAST(0 AS BIGINT) AS blank, 'month first' AS day_order,
+  count(*) FILTER (f = 5) AS iso, count(*) FILTER (f IN (0, 2, 9)) AS numbers, count(*) FILTER (f = 3) AS compact,
+  count(*) FILTER (f = 8) AS slashed, count(*) FILTER (f IN (1, 4, 6, 7)) AS named, CAST(0 AS BIGINT) AS lost FROM c
+UNION ALL SELECT 'day_first', count(*), 0, 'day first', 0, count(*) FILTER (n <> 5), 0, 0, 0, count(*) FILTER (n IN (5, 6)) FROM c
+UNION ALL SELECT 'clock', count(*), 0, 'month first', 0, count(*), 0, 0, 0, 0 FROM c""")
+def date_report_query(spark, d):
+    """per column its cells by form, its order of day and month, and the cells lost."""
+    return date_report(B.table(spark, d, "lineitem").selectExpr(*DATE_TEXTS), DATE_COLUMNS)
+
+
 # ------------------------------------------------------------------ S9
 HEADER_ROW = 2
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import scalars as S
+from shelfwise.functions.dates import with_dates
 
 # Fixed values from the reference.
 STORE_LIST_DATE_PATTERN = r"Team Territory Store List (\d{1,2})\.(\d{1,2})\.(\d{4})\.xlsx"
@@ -36,15 +37,20 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 
 # ---------------------------------------------------------------- S2 / S3
-def apply_spec(df: DataFrame, spec: Mapping[str, str], dates: Sequence[str] = ()) -> DataFrame:
+def apply_spec(df: DataFrame, spec: Mapping[str, str], dates: Sequence[str] = (), day_first: bool | None = None,
+               file_col: str = "_file") -> DataFrame:
     """Type text columns by *name*: declared columns are try_cast (bad cell ->
     null, the row survives), date columns parsed leniently, undeclared
-    columns kept as text."""
+    columns kept as text. Unless ``day_first`` is given, the order of day and
+    month is found for each date column, of each file if ``file_col`` is there."""
+    if day_first is None:
+        df = with_dates(df, dates, file_col if file_col in df.columns else None)
+        dates = ()
     out = []
     for c in df.columns:
         col = F.col(f"`{c}`")
         if c in dates:
-            out.append(S.to_timestamp_safe(col).alias(c))
+            out.append(S.to_timestamp_safe(col, day_first).alias(c))
         elif c in spec:
             out.append(col.cast("string").try_cast(spec[c]).alias(c))
         else:
