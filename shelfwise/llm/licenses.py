@@ -128,20 +128,31 @@ class Model:
 
 def _anchors(model: Model) -> list[str]:
     """Words of which every predicted paragraph holds one: the rarest word of
-    each n-gram that speaks for a family, without n-grams that together weigh
-    less than the unknown class's lead."""
+    each n-gram that speaks for a family, without n-grams that even together
+    weigh less, for every family, than the unknown class's lead over it."""
     u = model.families.index(UNKNOWN)
-    lift = {g: max(x) - x[u] for g, x in model.weights.items() if max(x) > x[u]}
-    lead = 0.999 * (model.intercepts[u] - max(x for i, x in enumerate(model.intercepts) if i != u))
+    others = [i for i in range(len(model.families)) if i != u]
+    lift = {g: [max(x[i] - x[u], 0.0) for i in others] for g, x in model.weights.items()}
+    lift = {g: x for g, x in lift.items() if any(x)}
+    lead = [0.999 * (model.intercepts[u] - model.intercepts[i]) for i in others]
 
     def rarest(g):
         return min(g.split(), key=lambda w: (model.counts.get(w, 0), w))
-    for g in sorted(lift, key=lambda g: (-model.counts.get(rarest(g), 0), lift[g], g)):
-        if lift[g] < lead:
-            lead -= lift.pop(g)
+    for g in sorted(lift, key=lambda g: (-model.counts.get(rarest(g), 0), max(lift[g]), g)):
+        if all(x < rest for x, rest in zip(lift[g], lead)):
+            lead = [rest - x for x, rest in zip(lift.pop(g), lead)]
     return sorted(set(map(rarest, lift)))
 
 
+def _speaks(text: Column, anchors: list[str]) -> Column:
+    """Whether a text holds an anchor as a word; a search for the bare strings comes first."""
+    low = F.lower(text)
+    bare = F.lit(False)
+    for w in anchors:
+        bare = bare | low.contains(w)
+    return bare & F.exists(_words(text), lambda g: g.isin(anchors))
+
+
 def _pairs_held(w: str) -> Column:
     """The templates' word pairs in an array of words."""
     return F.filter(_bigrams(F.col(w)), lambda g: g.isin(ALL_PAIRS))
@@ -207,11 +218,22 @@ def _windows(lines: str) -> Column:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Model from the templates and a bounded sample of the corpus."""
+    """Model from the templates and a bounded sample of the corpus, its threshold from all lines."""
+    return _fitted(docs)[0]
+
+
+def _fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The calibrated model and the corpus's lines, written once."""
+    h, taken = _sampled(docs)
+    model = _trained(docs, h, taken)
+    lines = staged(_apart_lines(docs, model, h, taken))
+    model.threshold = _calibrated(lines, model)
+    return model, lines
+
+
+def _trained(docs: DataFrame, h: Column, taken: Column) -> Model:
+    """Model with a threshold yet to be calibrated."""
     spark = docs.sparkSession
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    h = F.xxhash64(F.lit("licence"), F.col("doc_id").cast("string"), "text")
-    taken = F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20))
     sample = (docs.where(taken)
               .select(h.alias("h"), F.transform(F.split("text", "\n"), _words).alias("lines"))
               .select("h", F.explode(_near("lines")).alias("x")).select("h", "x.*").where(F.size("w") > 0)
@@ -254,36 +276,49 @@ def fit(docs: DataFrame) -> Model:
     u = families.index(UNKNOWN)
     if max(model.intercepts) > model.intercepts[u]:
         raise ValueError("the unknown class must be the likeliest one without evidence")
-    model.threshold = _calibrated(docs, model, h, taken)
     return model
 
 
-def _calibrated(docs: DataFrame, model: Model, h: Column, taken: Column) -> float:
+def _sampled(docs: DataFrame) -> tuple[Column, Column]:
+    """A row's hash, and whether its document is in the fitted sample."""
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    h = F.xxhash64(F.lit("licence"), F.col("doc_id").cast("string"), "text")
+    return h, F.pmod(h, F.lit(1 << 20)) < int(share * (1 << 20))
+
+
+def _other(k: Column) -> Column:
+    """Whether line k did not fit the model."""
+    return ~(F.col("taken") & (F.pmod(F.xxhash64("h", k), F.lit(2)) == 0))
+
+
+def _apart_lines(docs: DataFrame, model: Model, h: Column | None = None, taken: Column | None = None) -> DataFrame:
+    """The one pass over whole texts: uid, doc_id, paragraphs, lines outside the
+    fit, and for texts with an anchor the words of all their lines."""
+    d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", (F.lit(0) if h is None else h).cast("long").alias("h"),
+                    (F.lit(False) if taken is None else taken).alias("taken"), F.coalesce("text", F.lit("")).alias("t"))
+    solid = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    n_other = F.filter(F.split("t", "\n"), lambda x, k: x.rlike("[A-Za-z0-9]") & _other(k))
+    return d.select("uid", "doc_id", "h", "taken", F.size(solid).cast("long").alias("n_paragraphs"), F.size(n_other).cast("long").alias("n"),
+                    F.when(_speaks(F.col("t"), _anchors(model)), F.transform(F.split("t", "\n"), _words)).alias("lines"))
+
+
+def _calibrated(d: DataFrame, model: Model) -> float:
     """Least probability that at most FALSE_SHARE of all lines exceed which did
     not fit the model and do not belong to something like a template."""
     anchors = _anchors(model)
-    d = docs.select(h.alias("h"), taken.alias("taken"), F.coalesce("text", F.lit("")).alias("t"))
-
-    def other(k):
-        return ~(F.col("taken") & (F.pmod(F.xxhash64("h", k), F.lit(2)) == 0))
-    any_ = F.exists(_words(F.col("t")), lambda g: g.isin(anchors))
-    n = F.size(F.filter(F.split("t", "\n"), lambda x, k: x.rlike("[A-Za-z0-9]") & other(k)))
-    lines = F.when(any_, F.transform(F.split("t", "\n"), _words))
-    d = d.select("h", "taken", n.cast("long").alias("n"), lines.alias("lines"))
-    spoken = F.filter(_near("lines"), lambda x: other(x["k"]) & F.exists(x["w"], lambda g: g.isin(anchors)))
-    d = d.select("n", F.when(F.col("lines").isNotNull(), spoken).alias("x"))
-    d = d.select("n", F.posexplode_outer("x").alias("i", "x")).select("n", "i", "x.*")
-    d = d.withColumn("s", F.when(F.col("i").isNotNull(), _scores(model, F.concat("w", _bigrams(F.col("w"))))))
+    spoken = F.filter(_near("lines"), lambda x: _other(x["k"]) & F.exists(x["w"], lambda g: g.isin(anchors)))
+    total = d.agg(F.sum("n")).first()[0] or 0
+    d = d.where("lines IS NOT NULL").select(F.explode(spoken).alias("x")).select("x.*")
+    d = d.withColumn("s", _scores(model, F.concat("w", _bigrams(F.col("w")))))
     best = F.array_max(F.slice("s", 2, len(model.families) - 1))
     d = d.withColumn("p", F.when((best >= LEAST_PROBABILITY) & (best > F.get("s", F.lit(0))), best))
     d = d.withColumn("b", F.when(F.col("p").isNotNull(), _pairs_held("near")))
-    d = d.withColumn("p", F.when(F.col("b").isNotNull() & (_similarity("b") < 0.5), F.col("p")))
+    d = d.withColumn("p", F.when(F.col("b").isNotNull() & (_similarity("b") < 0.5), F.col("p"))).where("p IS NOT NULL")
     # classes of a hundredth in log odds, a few thousand at most
     odds = F.ceil(100 * F.log(F.col("p") / F.greatest(1 - F.col("p"), F.lit(1e-16))))
-    rows = d.groupBy(odds.alias("bin")).agg(F.count(F.lit(1)).alias("m"),
-                                            F.sum(F.when(F.coalesce("i", F.lit(0)) == 0, F.col("n"))).alias("n")).collect()
-    room = FALSE_SHARE * sum(r["n"] or 0 for r in rows)
-    for r in sorted((r for r in rows if r["bin"] is not None), key=lambda r: -r["bin"]):
+    rows = d.groupBy(odds.alias("bin")).agg(F.count(F.lit(1)).alias("m")).collect()
+    room = FALSE_SHARE * total
+    for r in sorted(rows, key=lambda r: -r["bin"]):
         room -= r["m"]
         if room < 0:
             return max(LEAST_PROBABILITY, 1 / (1 + math.exp(-r["bin"] / 100)))
@@ -294,8 +329,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per paragraph predicted as a licence: uid and doc_id of its text,
     paragraph number (of its first line), following lines, family, probability,
     similarity, confirmed."""
-    d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    return (_scan(d, model).select("uid", "doc_id", "n_paragraphs", F.explode("hits").alias("x"))
+    return (_scan(_apart_lines(docs, model), model).select("uid", "doc_id", "n_paragraphs", F.explode("hits").alias("x"))
             .select("uid", "doc_id", "n_paragraphs", *[F.col(f"x.{c}").alias(c) for c in (
                 "paragraph", "more", "family", "probability", "similarity", "confirmed")]))
 
@@ -303,10 +337,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
 def _scan(d: DataFrame, model: Model) -> DataFrame:
     """One row per text: uid, doc_id, n_paragraphs and its licence paragraphs ``hits``."""
     n, anchors = len(model.families), _anchors(model)
-    any_ = F.exists(_words(F.col("t")), lambda g: g.isin(anchors))
-    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.select("uid", "doc_id", F.size(lines).cast("long").alias("n_paragraphs"),
-                 F.when(any_, F.transform(F.split("t", "\n"), _words)).alias("lines"))
+    d = d.select("uid", "doc_id", "n_paragraphs", "lines")
     d = d.withColumn("windows", F.when(F.col("lines").isNotNull(), _windows("lines"))).drop("lines")
     d = d.select("uid", "doc_id", "n_paragraphs", F.explode_outer("windows").alias("x")).select("uid", "doc_id", "n_paragraphs", "x.*")
     spoken = (F.size("w") > 0) & F.exists("w", lambda g: g.isin(anchors))
@@ -364,11 +395,20 @@ def _apart(hits: str) -> Column:
 def scan_documents(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: its paragraphs, those predicted as licences, the
     confirmed families, and families of predictions without a matching template."""
-    d = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    return _by_document(_scan(_apart_lines(docs, model), model))
+
+
+def fit_and_scan(docs: DataFrame) -> DataFrame:
+    """:func:`fit` and :func:`scan_documents` of one corpus, with a single pass
+    over its texts for both the calibration and the scan."""
+    model, lines = _fitted(docs)
+    return _by_document(_scan(lines, model))
+
 
+def _by_document(hits: DataFrame) -> DataFrame:
     def names(when) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("hits", when), lambda x: x["family"]))), ",")
-    return _scan(d, model).select(
+    return hits.select(
         "doc_id", "n_paragraphs", F.size("hits").cast("long").alias("n_licence_paragraphs"), names(lambda x: x["confirmed"]).alias("families"),
         names(lambda x: ~x["confirmed"]).alias("unconfirmed"), F.array_max(F.transform("hits", lambda x: x["probability"])).alias("probability"),
         F.array_max(F.transform("hits", lambda x: x["similarity"])).alias("similarity"))

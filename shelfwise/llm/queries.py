@@ -160,9 +160,8 @@ def op2_warc(spark, sf_dir):
 @query("op5_licences")
 def op5_licences(spark, sf_dir):
     """Licence families of every document's paragraphs."""
-    from shelfwise.llm.licenses import fit, scan_documents
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_documents(docs, fit(docs))
+    from shelfwise.llm.licenses import fit_and_scan
+    return fit_and_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 _RESAMPLING_SQL = r"""
