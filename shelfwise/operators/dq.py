@@ -2,14 +2,15 @@
 C13, C14).
 
 Checks return DataFrames (one row per rule / column) instead of printing.
-Every statistic is a distributed aggregate; string examples are taken with
-``orderBy(..).limit(k)`` over the different values (a bounded top-k), never by collecting a column.
+Every statistic is a distributed aggregate; first rows and examples are taken
+with ``orderBy(..).limit(k)`` (a bounded top-k), never by collecting a column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,17 +44,41 @@ def table_row_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFram
             .select("table_name", F.when(F.col("status") == "ok", F.coalesce("_rows", F.lit(0))).alias("row_count"), "status"))
 
 
-def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame:
-    """Per column null count, unique count (null counts as a value,
-    as Polars n_unique does), min/max for numeric columns, the `examples`
-    smallest different non-null values for strings (a table has no first row),
-    else 'N/A'. Rows come in column order.
+def in_file_order(df: DataFrame, place: str = "_place") -> DataFrame | None:
+    """The rows of a file scan with their place: file name, then row number in
+    the file. None for a frame that is no scan of Parquet files."""
+    try:
+        return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(place))
+    except AnalysisException:
+        return None
 
-    Null counts and ranges are one aggregate. Unique values are taken column by
-    column, each reading its own column only and reduced in every task before
-    the shuffle; approx=True estimates them (HyperLogLog) in the one aggregate."""
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a table by file name and row number. Only rows
+    that are among the first ``n`` of their file are compared."""
+    placed = in_file_order(df)
+    if placed is None:
+        raise ValueError("rows have an order only in a scan of files")
+    return placed.where(F.col("_place.row") < n).orderBy("_place").limit(n).drop("_place")
+
+
+def profile(df: DataFrame, examples: int = 3, approx: bool = False, sample: int = 2) -> DataFrame:
+    """Per column the table's row count, the column's values in
+    the first `sample` rows, null count, unique count (null counts as a value,
+    as Polars n_unique does), min/max for numeric columns, the first `examples`
+    non-null values for strings, else 'N/A'. Rows come in column order.
+
+    First means by file name and row number in the file. A frame that is no file
+    scan has no first rows: its sample is null and its examples are the
+    smallest different values.
+
+    Row count, null counts and ranges are one aggregate. Unique values are taken
+    column by column, each reading its own column only and reduced in every task
+    before the shuffle; approx=True estimates them (HyperLogLog) in the one
+    aggregate. First values are a bounded top-k per column."""
     fields = df.schema.fields
-    aggs = []
+    placed = in_file_order(df)
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
@@ -63,6 +88,15 @@ def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame
         if isinstance(f.dataType, NUMERIC):
             aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
     stats = df.agg(*aggs)
+    if placed is None:
+        stats = stats.withColumn("samples", F.lit(None).cast("array<string>"))
+    else:
+        texts = F.array(*[F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("null")) for f in fields])
+        some = (placed.where(F.col("_place.row") < sample).select("_place", texts.alias("t")).orderBy("_place").limit(sample)
+                .agg(F.array_sort(F.collect_list(F.struct("_place", "t"))).alias("firsts")))
+        stats = stats.crossJoin(F.broadcast(some)).withColumn("samples", F.transform(
+            F.sequence(F.lit(0), F.lit(len(fields) - 1)),
+            lambda i: F.array_join(F.transform("firsts", lambda r: F.get(r["t"], i)), ", ")))
     rows = []
     for i, f in enumerate(fields):
         if isinstance(f.dataType, NUMERIC):
@@ -71,22 +105,27 @@ def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame
         else:
             stat = F.lit(None).cast("string")
         rows.append(F.struct(F.lit(i).alias("pos"), F.lit(f.name).alias("column_name"),
-                             F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"n{i}").alias("null_count"),
+                             F.lit(f.dataType.simpleString()).alias("data_type"), F.get("samples", F.lit(i)).alias("sample_values"),
+                             F.col(f"n{i}").alias("null_count"),
                              (F.col(f"u{i}") if approx else F.lit(None).cast("bigint")).alias("approx_count"),
                              stat.alias("stat")))
-    long = stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    long = stats.select("rows", F.explode(F.array(*rows)).alias("r")).select(F.col("rows").alias("row_count"), "r.*")
     own = None          # per column: unique count and, for text, examples
     for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
         text = isinstance(f.dataType, T.StringType)
-        values = df.select(F.col(f"`{f.name}`").alias("v")).groupBy("v").agg(F.lit(1).alias("one"))
+        values = df.select(c.alias("v")).groupBy("v").agg(F.lit(1).alias("one"))
         parts = []
         if not approx:
             parts.append(values.agg(F.count("*").alias("unique_count")).select(F.lit(i).alias("p"), "unique_count",
                                                                                F.lit(None).cast("string").alias("ex")))
         if text:
-            few = values.where("v IS NOT NULL").orderBy("v").limit(examples)
-            parts.append(few.agg(F.expr("listagg(v, ', ') WITHIN GROUP (ORDER BY v)").alias("ex")).select(
-                F.lit(i).alias("p"), F.lit(None).cast("bigint").alias("unique_count"), F.coalesce("ex", F.lit("")).alias("ex")))
+            if placed is None:
+                few = values.where("v IS NOT NULL").select("v", F.col("v").alias("o")).orderBy("o").limit(examples)
+            else:
+                few = placed.select(c.alias("v"), F.col("_place").alias("o")).where("v IS NOT NULL").orderBy("o").limit(examples)
+            joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "v"))), lambda x: x["v"]), ", ")
+            parts.append(few.agg(joined.alias("ex")).select(F.lit(i).alias("p"), F.lit(None).cast("bigint").alias("unique_count"), "ex"))
         for part in parts:
             own = part if own is None else own.unionByName(part)
     if own is not None:
@@ -94,7 +133,7 @@ def profile(df: DataFrame, examples: int = 3, approx: bool = False) -> DataFrame
         long = long.join(F.broadcast(own), F.col("pos") == F.col("p"), "left")       # one row per column
     else:
         long = long.withColumns({"unique_count": F.lit(None).cast("bigint"), "ex": F.lit(None).cast("string")})
-    return long.orderBy("pos").select("column_name", "data_type", "null_count",
+    return long.orderBy("pos").select("row_count", "column_name", "data_type", "sample_values", "null_count",
                                       F.coalesce("unique_count", "approx_count").alias("unique_count"),
                                       F.coalesce("stat", "ex", F.lit("N/A")).alias("stat"))
 

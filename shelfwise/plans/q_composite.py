@@ -352,22 +352,38 @@ _PART_COLS = [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string
 
 
 def _profile_sql(table: str, cols) -> str:
+    """Rows are numbered in the order of the file."""
     parts = []
-    for c, t in cols:
+    for i, (c, t) in enumerate(cols):
         if t == "string":
-            stat = (f"(SELECT coalesce(string_agg(v, ', ' ORDER BY v), '') FROM "
-                    f"(SELECT DISTINCT {c} AS v FROM {table} WHERE {c} IS NOT NULL ORDER BY v LIMIT 3))")
+            stat = f"(SELECT coalesce(string_agg({c}, ', ' ORDER BY n), '') FROM (SELECT {c}, n FROM t WHERE {c} IS NOT NULL ORDER BY n LIMIT 3))"
         else:
             stat = (f"'Min: ' || coalesce(CAST(min({c}) AS VARCHAR), 'null') || ', Max: ' || "
                     f"coalesce(CAST(max({c}) AS VARCHAR), 'null')")
-        parts.append(f"""SELECT '{c}' AS column_name, '{t}' AS data_type,
+        parts.append(f"""SELECT count(*) AS row_count, '{c}' AS column_name, '{t}' AS data_type,
+  (SELECT string_agg(coalesce(CAST({c} AS VARCHAR), 'null'), ', ' ORDER BY n) FROM t WHERE n <= 2) AS sample_values,
   count(*) FILTER (WHERE {c} IS NULL) AS null_count,
   CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unique_count,
-  {stat} AS stat FROM {table}""")
-    return "\nUNION ALL\n".join(parts)
+  {stat} AS stat FROM t""")
+    return f"WITH t AS (SELECT *, row_number() OVER () AS n FROM {table})\n" + "\nUNION ALL\n".join(parts)
 
 
 @query("profile_columns", sql=_profile_sql("part", _PART_COLS))
 def profile_columns(spark, d):
-    """Column profile of the part table."""
+    """Profile of the part table, with its row count, first two rows and first values."""
     return DQ.profile(B.table(spark, d, "part"))
+
+
+_DOC_COLS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")]
+
+
+@query("profile_documents", sql=_profile_sql("documents", _DOC_COLS))
+def profile_documents(spark, d):
+    """C12 / A21 over a table of whole texts."""
+    return DQ.profile(B.table(spark, d, "documents"))
+
+
+@query("first_rows", sql="SELECT * FROM lineitem LIMIT 25")
+def first_rows(spark, d):
+    """The first rows of a table, in the order of its files (a top-k report)."""
+    return DQ.first_rows(B.table(spark, d, "lineitem"), 25)

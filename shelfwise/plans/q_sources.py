@@ -215,6 +215,38 @@ def html_table_rows(spark, d):
     return html_rows_df(spark, d)
 
 
+# Pages whose tables span cells: a brand's cell covers all its rows of the page, some
+# names cover the columns of name and size, the price is a table of its own.
+_SPAN_HEAD = "<table><tr><th>Brand</th><th>Item</th><th colspan=2>Pack</th><th>Price</th></tr>"
+
+
+def spanned_pages(spark, d):
+    p = B.table(spark, d, "part").selectExpr(f"p_partkey DIV {PAGE_SIZE} AS page_no", "p_partkey", "p_brand", "p_name", "p_size", "p_retailprice")
+    brands = p.groupBy("page_no", "p_brand").agg(F.min("p_partkey").alias("first"), F.count("*").alias("n"))
+    p = p.join(brands, ["page_no", "p_brand"])
+    brand = F.when(F.col("p_partkey") == F.col("first"), F.concat(F.lit("<td rowspan='"), F.col("n").cast("string"), F.lit("'>"), F.col("p_brand"), F.lit("</td>")))
+    pack = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('<td colspan="2">'), "p_name")).otherwise(
+        F.concat(F.lit("<td>"), "p_name", F.lit("<td>"), F.col("p_size").cast("string"), F.lit("</td>")))
+    tr = F.concat(F.lit("<tr>"), F.coalesce(brand, F.lit("")), F.lit("<td>"), F.col("p_partkey").cast("string"), F.lit("</td>"), pack,
+                  F.lit("<td><table><tr><td>"), F.col("p_retailprice").cast("string"), F.lit("</td></tr></table></td></tr>"))
+    pages = (p.select("page_no", "p_brand", "p_partkey", tr.alias("tr")).groupBy("page_no")
+             .agg(F.array_sort(F.collect_list(F.struct("p_brand", "p_partkey", "tr"))).alias("x")))
+    body = F.array_join(F.transform("x", lambda r: r["tr"]), "")
+    return pages.select("page_no", F.concat(F.lit("<p>UPC, Item</p><table><tr><td>Item"), F.lit("</table>"), F.lit(_SPAN_HEAD), body,
+                                            F.lit("</table>")).alias("html"))
+
+
+@query("html_spanned_cells", sql=f"""SELECT p_partkey // {PAGE_SIZE} AS page_no,
+  row_number() OVER (PARTITION BY p_partkey // {PAGE_SIZE} ORDER BY p_brand, p_partkey) AS row_no,
+  p_brand AS brand, CAST(p_partkey AS VARCHAR) AS item, p_name AS pack,
+  CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE CAST(p_size AS VARCHAR) END AS pack_1, CAST(p_retailprice AS VARCHAR) AS price FROM part""")
+def html_spanned_cells(spark, d):
+    """Tables with row spans, column spans in header and cells, and nested tables."""
+    r = FS.html_rows(spanned_pages(spark, d), "page_no", "html", ["Brand", "Item", "Pack", "Pack.1", "Price"], must_have=("Brand", "Item"))
+    return r.select("page_no", F.col("row_no").cast("bigint").alias("row_no"), F.col("Brand").alias("brand"), F.col("Item").alias("item"),
+                    F.col("Pack").alias("pack"), F.col("`Pack.1`").alias("pack_1"), F.col("Price").alias("price"))
+
+
 _TITLE = r"<title>(.*?)</title>"
 _H1 = r"<h1>(.*?)</h1>"
 

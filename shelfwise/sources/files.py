@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from shelfwise.functions import scalars as S
 from shelfwise.functions.dates import with_dates
+from shelfwise.sources import grids as G
 
 # Fixed values from the reference.
 STORE_LIST_DATE_PATTERN = r"Team Territory Store List (\d{1,2})\.(\d{1,2})\.(\d{4})\.xlsx"
@@ -270,30 +271,20 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], header_row
 # ---------------------------------------------------------------- S10 / S11
 def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[str] = ("UPC", "Item"),
                 keep: Sequence[str] = ()) -> DataFrame:
-    """Rows of the first <table> per document whose header row holds all
-    `must_have` names. Output: id, row_no, header (cells of the header row)
-    and cells. The table is chosen inside each row with array functions, so
-    the operator is a pure map (no shuffle). Documents without such a table
-    give no rows."""
-    def cells(tr):
-        return F.transform(F.regexp_extract_all(tr, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1)),
-                           lambda c: F.trim(S.html_entities(S.strip_tags(c))))
-
-    tables = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(r"(?is)(<table\b.*?</table\s*>)"), F.lit(1)),
-                         lambda t: F.regexp_extract_all(t, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1)))
-
-    def has_all(rows):
-        h = cells(F.try_element_at(rows, F.lit(1)))
-        ok = F.lit(True)
-        for m in must_have:
-            ok = ok & F.coalesce(F.array_contains(h, F.lit(m)), F.lit(False))
-        return ok
-
-    chosen = F.try_element_at(F.filter(tables, has_all), F.lit(1))
-    x = df.select(id_col, *keep, chosen.alias("_rows")).filter(F.col("_rows").isNotNull())
-    x = x.select(id_col, *keep, cells(F.try_element_at(F.col("_rows"), F.lit(1))).alias("header"),
-                 F.posexplode("_rows").alias("row_no", "tr"))
-    return x.filter(F.col("row_no") > 0).select(id_col, *keep, "row_no", "header", cells(F.col("tr")).alias("cells"))
+    """Rows of the first table per document whose header row holds all
+    `must_have` names. Output: id, row_no, header (names of the columns) and
+    cells, spanned cells in every place they cover (see :mod:`grids`). The
+    table is chosen inside each row with array functions, so the operator is a
+    pure map (no shuffle). Documents without such a table give no rows."""
+    names = F.array(*[F.lit(m) for m in must_have])
+    named = lambda g: F.transform(F.coalesce(F.get(g, F.lit(0)), F.array().cast("array<string>")), lambda h: F.trim(h))
+    has_all = lambda g: F.size(F.array_except(names, named(g))) == 0
+    # a table whose text lacks a name cannot be it; the others are laid out
+    may = F.filter(G.tables(F.col(html_col)), lambda t: F.forall(names, lambda m: F.contains(G.text_of(t), m)))
+    x = df.select(id_col, *keep, F.transform(may, lambda t: G.grid(G.cells(t))).alias("_grids"))
+    x = x.select(id_col, *keep, F.get(F.filter("_grids", has_all), F.lit(0)).alias("_rows")).filter(F.col("_rows").isNotNull())
+    x = x.select(id_col, *keep, G.header_names(named(F.col("_rows"))).alias("header"), F.posexplode("_rows").alias("row_no", "cells"))
+    return x.filter(F.col("row_no") > 0).select(id_col, *keep, "row_no", "header", "cells")
 
 
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],
