@@ -7,8 +7,8 @@ another (delete + append per file, in one pass over all rows); un-keyed feeds
 take the rows of the last file (K12). The loop runs over the few feed specs on
 the driver; all row work is Spark jobs.
 
-The marked rows are written once to the shared checkpoint folder; the counts
-of the audit and the published version are read from there.
+The published version is written in one job, which also yields the counts of the
+audit as metrics in flight.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.schema import widen
@@ -39,6 +39,9 @@ class FeedSpec:
     header_row: int = 1             # above 1: a sheet's export whose header sits there (S9)
 
 
+#: Most files of a feed whose rows are counted in flight.
+OBSERVED = 200
+
 AUDIT = ("feed string, file string, rows_removed bigint, rows_added bigint, final_row_count bigint, "
          "version string, backup_version string, conditions string, error string")
 
@@ -51,6 +54,28 @@ def numbered(df: DataFrame, names: list[str], file_col: str = "_file", number: s
     return df.withColumn(number, place).drop(file_col)
 
 
+def counted(marked: DataFrame, files: int, name: str) -> tuple[DataFrame, Callable[[], tuple[dict, dict]]]:
+    """``marked`` with counts taken while it is written, and a call that gives
+    them afterwards: rows each file (0: the stored table) added, and rows each
+    removed. The counts are metrics of the stage that writes, whose tasks count
+    once however often they are retried, so one job writes and counts.
+
+    One metric holds a counter per file; from OBSERVED files on, the rows are
+    written to the shared folder first and counted there."""
+    if files > OBSERVED:
+        marked = stage_table(marked)
+        sums = [marked.groupBy(c).agg(F.count("*")).where(f"{c} IS NOT NULL") for c in ("_n", "_gone")]
+        return marked, lambda: tuple({r[0]: r[1] for r in x.collect()} for x in sums)
+    seen = Observation(f"ingest {name}")
+    each = [F.count_if(F.col("_n") == n).alias(f"added{n}") for n in range(files + 1)]
+    each += [F.count_if(F.col("_gone") == n).alias(f"gone{n}") for n in range(1, files + 1)]
+
+    def counts():
+        got = seen.get
+        return ({n: got[f"added{n}"] for n in range(files + 1)}, {n: got[f"gone{n}"] for n in range(1, files + 1)})
+    return marked.observe(seen, *each), counts
+
+
 def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedSpec,
                 conditions: dict | None = None, match: str = "cross") -> list[tuple]:
     """One feed: publish its merged table, return one audit row per file."""
@@ -79,10 +104,9 @@ def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedS
         marked = merge_numbered(stored, batch, list(spec.keys), "_n", match, conditions)
     else:
         marked = batch.withColumn("_gone", F.when(F.col("_n") < len(names), F.col("_n") + 1))
-    marked = stage_table(marked)
-    added = {r["_n"]: r["c"] for r in marked.groupBy("_n").agg(F.count("*").alias("c")).collect()}
-    gone = {r["_gone"]: r["c"] for r in marked.where("_gone IS NOT NULL").groupBy("_gone").agg(F.count("*").alias("c")).collect()}
+    marked, counts = counted(marked, len(names), spec.name)
     version = SK.publish(marked.where("_gone IS NULL").drop("_n", "_gone"), target)
+    added, gone = counts()
     audit, rows = [], added.get(0, 0)
     used = None if conditions is None else str(conditions)
     for n, name in enumerate(names, 1):

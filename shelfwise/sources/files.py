@@ -12,12 +12,13 @@ import csv
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import scalars as S
 from shelfwise.functions.dates import with_dates
+from shelfwise.session import stage_table
 from shelfwise.sources import grids as G
 
 # Fixed values from the reference.
@@ -244,24 +245,42 @@ def preamble_rows(df: DataFrame, id_col: str, text_col: str, header_row: int,
     })
 
 
+def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(_file, row_no, line) of text files, numbered from 1 in each file, however
+    large: files are read in splits; a first pass counts the lines of each split,
+    the splits before give the offset. A place in a split is the distance from
+    its first line's running number, which is the same in both passes since the
+    same files make the same splits."""
+    raw = (spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path))
+           .select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("_path"), file_name().alias("_file"),
+                   F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_no")))
+    splits = raw.groupBy("_path", "_at").agg(F.min("_no").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return raw.join(splits, ["_path", "_at"]).select("_path", "_file", (F.col("_before") + F.col("_no") - F.col("_first") + 1).alias("row_no"), "line")
+
+
 def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], header_row: int, sep: str = ",",
                       with_file: bool = False) -> DataFrame:
     """S9 for CSV exports of sheets whose header sits at row `header_row`. Every
     file keeps its own header: its cells become a map header -> cell, and the
     files are united by column name. Blank header cells get `_c<i>` names
     (K11). A blank line is a row of blanks, the empty text after a file's last
-    line break is no line. A sheet is one text, as the export of a workbook is."""
-    raw = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True).withColumn("_file", file_name())
-    raw = raw.withColumn("value", F.regexp_replace("value", r"\r?\n$", ""))
-    rows = preamble_rows(raw, "_file", "value", header_row, sep)
+    line break is no line. Sheets are read line by line in splits, and a file's
+    header is joined to its rows, so a sheet may be of any size."""
+    lines = numbered_lines(spark, path)
+    heads = lines.where(F.col("row_no") == header_row).select("_path", F.col("line").alias("header"))
     names = F.transform(split_line(F.col("header"), sep), lambda h, i: F.when(
         F.trim(h) == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(F.trim(h)))
-    padded = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.coalesce(F.try_element_at("fields", i), F.lit("")))
-    rows = rows.select("_file", "row_no", "header", names.alias("names"), padded.alias("cells"))
-    heads = [r[0] for r in rows.groupBy("_file").agg(F.first("names")).select("first(names)").distinct().collect()]
-    columns = list(dict.fromkeys(n for h in heads for n in h))      # one header per kind of sheet
+    heads = stage_table(heads.withColumn("names", names).drop("header"))            # one row a file
+    kinds = [r[0] for r in heads.select("names").distinct().collect()]              # one row a kind of sheet
+    columns = list(dict.fromkeys(n for h in sorted(kinds) for n in h))
     if not columns:
         return spark.createDataFrame([], "dummy string").drop("dummy")
+    rows = lines.where(F.col("row_no") > header_row).join(heads, "_path")
+    fields = split_line(F.col("line"), sep)
+    padded = F.transform(F.sequence(F.lit(1), F.size("names")), lambda i: F.coalesce(F.try_element_at(fields, i), F.lit("")))
+    rows = rows.select("_file", "row_no", "names", padded.alias("cells"))
     cells = [F.try_element_at("cells", F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int")).alias(n) for n in columns]
     if with_file:
         return rows.select(*cells, "_file", F.col("row_no").alias("_row"))
