@@ -3,7 +3,7 @@ registers their queries."""
 
 import importlib
 
-AREAS = ["q_reports", "q_scalars", "q_dedupe", "q_joins", "q_composite", "q_sources"]
+AREAS = ["q_reports", "q_scalars", "q_dedupe", "q_joins", "q_composite", "q_sources", "q_layout"]
 
 
 def load_all() -> None:

@@ -182,13 +182,15 @@ _FILES_SQL = """SELECT l_orderkey AS order_key, l_linenumber AS line, greatest(l
   CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE l_partkey END AS item, l_quantity AS qty FROM lineitem"""
 
 
-@query("ingest_multi_file", sql=f"""WITH r AS ({_FILES_SQL}),
-d AS (SELECT DISTINCT n, day FROM r WHERE n > 0 AND day IS NOT NULL),
-i AS (SELECT DISTINCT n, item FROM r WHERE n > 0 AND item IS NOT NULL)
-SELECT * FROM r WHERE NOT EXISTS (
+ORACLE_INGESTED = """d AS (SELECT DISTINCT n, day FROM r WHERE n > 0 AND day IS NOT NULL),
+i AS (SELECT DISTINCT n, item FROM r WHERE n > 0 AND item IS NOT NULL),
+ingested AS (SELECT * FROM r WHERE NOT EXISTS (
   SELECT 1 FROM (SELECT DISTINCT n FROM r WHERE n > 0) f WHERE f.n > r.n
     AND (r.day IS NULL OR EXISTS (SELECT 1 FROM d WHERE d.n = f.n AND d.day = r.day))
-    AND (r.item IS NULL OR EXISTS (SELECT 1 FROM i WHERE i.n = f.n AND i.item = r.item)))""")
+    AND (r.item IS NULL OR EXISTS (SELECT 1 FROM i WHERE i.n = f.n AND i.item = r.item))))"""
+
+
+@query("ingest_multi_file", sql=f"WITH r AS ({_FILES_SQL}), {ORACLE_INGESTED} SELECT * FROM ingested")
 def ingest_multi_file(spark, d):
     """Several delivered files applied one after another; a row goes
     when a later file holds its day and its item (a null key counts as held)."""

@@ -12,9 +12,12 @@ from shelfwise.plans import sql_parts as Q
 from shelfwise.plans.registry import query
 
 
-@query("join_left_catalog", sql=f"""SELECT s.item, s.store, s.day, CAST(s.sales AS DOUBLE) AS sales,
+LEFT_CATALOG_SQL = f"""SELECT s.item, s.store, s.day, CAST(s.sales AS DOUBLE) AS sales,
   c.dept, c.class, c.subclass
-FROM ({B.sales_sql()}) s LEFT JOIN ({Q.CLASSIFICATION_CLEAN}) c ON s.item = c.item""")
+FROM ({B.sales_sql()}) s LEFT JOIN ({Q.CLASSIFICATION_CLEAN}) c ON s.item = c.item"""
+
+
+@query("join_left_catalog", sql=LEFT_CATALOG_SQL)
 def join_left_catalog(spark, d):
     """Fact -> catalogue on item id (left)."""
     c = E.classification_clean(B.classification_feed(spark, d)).select("item", "dept", "class", "subclass")

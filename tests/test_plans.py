@@ -11,7 +11,7 @@ from shelfwise.plans.registry import QUERIES
 SF = "/root/testdata/sf0.001"
 load_all()
 # these order by every lineitem column (a total order), so they read them all
-ALL_LINEITEM = ("first_per_key", "first_nonnull_per_key", "prefer_active_rollup")
+ALL_LINEITEM = ("first_per_key", "first_nonnull_per_key", "prefer_active_rollup", "first_rows")
 
 
 def _scans(plan):
