@@ -2,25 +2,30 @@
 
 Base spans (e-mail, IP address, payment card, phone) come from fixed patterns.
 They seed a bootstrap over lexical patterns, in the manner of DIPRE and
-Snowball: a lexical pattern is the pair of words left of an identifier.
-
-1. One pass over the texts takes every base span and every other token that
-   looks like an identifier (it holds a digit or "@"), each with its left pair. Neighbouring tokens of digits, brackets and
-   the like on one line are also taken together, as one identifier; a span
-   inside a longer added one is left out.
-2. Contexts that precede at least MIN_SUPPORT different identifiers may become
-   patterns. A second pass counts how often those contexts occur at all,
-   whatever follows. The contexts travel as a bitmap of fixed size; counts are
-   then joined to the contexts exactly.
+Snowball. Long tokens that mix letters and digits (keys, account and device
+numbers) are weak seeds of a kind of their own, ``id``: they are evidence, but
+are reported only where a pattern confirms them.
+
+1. One pass over the texts takes every base span, every weak seed and every
+   other token with a digit or "@", of any length, each with its contexts. Four
+   kinds of context are nodes of the graph: the word left of the identifier, the
+   two words left, the word right, and the words left and right. Neighbouring
+   tokens of digits, brackets and the like on one line are also taken together,
+   as one identifier; a span inside a longer added one is left out.
+2. Contexts with two or more different values may become patterns. A second pass
+   counts how often those contexts stand around any word at all. The contexts
+   travel as a bitmap of fixed size; counts are then joined to them exactly.
 3. Spark scores the graph of patterns and instances in rounds: a pattern's
    confidence for a kind is the confidence of the instances seen in it over all
    its occurrences, an instance's confidence is that of its best pattern (seeds
-   have 1). Patterns with MIN_SUPPORT different instances and MIN_CONFIDENCE
-   are accepted; the tokens in them are new instances and count as evidence in
-   their other contexts, until a round changes no value, kind or confidence.
-   Evidence only grows, and confidences are rounded down, so that happens.
-4. Every occurrence of a discovered identifier outside base spans is a span of
-   the kind it was found as.
+   have 1). How many different instances a pattern needs depends on its
+   confidence (SUPPORT). The tokens in accepted patterns are new instances; those
+   of FIRM characters or more count as evidence in their other contexts, until a
+   round changes no value, kind or confidence. Evidence only grows, and
+   confidences are rounded down, so that happens.
+4. Tokens outside base spans are spans where they stand in an accepted pattern,
+   and firm discovered values wherever they stand (a value like "5" says
+   something in its context only).
 
 Defined results: offsets are code points, ends exclusive; null text counts as
 empty and has no spans; a value found as two kinds takes the more confident,
@@ -37,14 +42,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import LOWER, bounded_batches, chain, staged, text_bytes, word_hashes, word_spans
+from shelfwise.llm.common import LOWER, bounded_batches, chain, sha256_hex, staged, text_bytes, word_hashes, word_spans
 
 #: Fixed order of the kinds in results.
-KINDS = ("email", "ip", "card", "phone")
-MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.8
+KINDS = ("email", "ip", "card", "phone", "id")
+#: Kinds that the base patterns find; the last one is found by contexts alone.
+BASE_KINDS, ID = KINDS[:4], 4
+#: Least confidence of patterns, and the different instances that they need from which confidence on.
+SUPPORT = ((1.0, 2), (0.9, 3), (0.8, 5))
+#: Characters from which a discovered value stands for itself, without its context.
+FIRM = 6
 DIGITS = 6             # decimals of confidences, rounded down, so that rounds come to an end
 BITMAP_BITS = 24       # 2 MB, whatever the corpus
-TOKEN_MIN, TOKEN_MAX = 5, 200
+#: Longer values are known by their digest.
+LONG_VALUE = 200
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -54,6 +65,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A word that may be a part of a number of several words, and what ends one.
 _RUN = re.compile(r"[(\[]*[0-9][0-9()\[\]./+-]*")
 _ENDS = re.compile(r"\n|[,;:!?.](?=[\x20\x09-\x0D])")
+#: A weak seed: 16 ASCII letters and digits or more, at least three of either.
+_MIXED = re.compile(r"(?=(?:[A-Za-z]*[0-9]){3})(?=(?:[0-9]*[A-Za-z]){3})[A-Za-z0-9]{16,}")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TRIM = "\"'`([{<)]}>.,;:!?*%$&#|=\\/"
 
@@ -97,16 +110,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-#: Stands for a word before the start of a text in contexts.
-START = np.uint64(0x5EED0FA7E47B0001)
+#: Stand for words before the start and after the end of a text in contexts.
+START, END = np.uint64(0x5EED0FA7E47B0001), np.uint64(0x5EED0FA7E47B0002)
+_TAGS = np.arange(1, 5, dtype=np.uint64)        # kinds of context
+
+
+def _contexts(two: np.ndarray, one: np.ndarray, right: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the four contexts of places with these words before and after them."""
+    tag = [np.full(len(one), t) for t in _TAGS]
+    return [chain(tag[0], one), chain(tag[1], two, one), chain(tag[2], right), chain(tag[3], one, right)]
+
+
 _MARKS = np.zeros(256, bool)
 _MARKS[[*range(48, 58), 64]] = True
-_ITEM = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("ctx", pa.int64())])
+_ITEM = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()),
+                   ("ctx", pa.list_(pa.int64()))])
 
 
 def _items(text: str, raw: np.ndarray) -> list[dict]:
-    """Base spans (kind 0 to 3) and other identifier-like tokens (kind -1) of a
-    text, with their left pair of words (START for words before the text)."""
+    """Base spans (kind 0 to 3), weak seeds (kind ID) and other identifier-like
+    tokens (kind -1) of a text, each with its contexts."""
     spans = base_spans(text)
     low = LOWER[raw]
     starts, ends, _ = word_spans(low, np.array([0, len(raw)]))
@@ -116,14 +139,17 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
     out = []
 
     def add(kind, a, b, value):
-        k = int(np.searchsorted(word_at, a, "right")) - 1
+        k, m = (int(np.searchsorted(word_at, x, "right")) - 1 for x in (a, b - 1))
         lo = max(k - 2, 0)
-        h = np.concatenate([np.full(2 - (k - lo), START), word_hashes(low, starts[lo:k], ends[lo:k])])
-        ctx = int(chain(h[:1], h[1:]).view(np.int64)[0])
+        left = np.concatenate([np.full(2 - (k - lo), START), word_hashes(low, starts[lo:k], ends[lo:k])])
+        right = word_hashes(low, starts[m + 1:m + 2], ends[m + 1:m + 2]) if m + 1 < len(starts) else np.array([END])
+        ctx = [int(h.view(np.int64)[0]) for h in _contexts(left[:1], left[1:], right)]
+        value = value.lower()
+        value = value if len(value) <= LONG_VALUE else sha256_hex(value.encode())
         out.append({"kind": kind, "start": int(a), "end": int(b), "value": value, "ctx": ctx})
 
     for kind, a, b in spans:
-        add(kind, a, b, text[a:b].lower())
+        add(kind, a, b, text[a:b])
     covered = sorted((a, b) for _, a, b in spans)
     reach, i = 0, 0
     run = []               # places of neighbouring words that may be parts of one number
@@ -139,8 +165,8 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
                 whole = whole[:-1]
             if whole.startswith("(") and ")" not in whole:
                 a, whole = a + 1, whole[1:]
-            if TOKEN_MIN <= len(whole) <= TOKEN_MAX:
-                add(-1, a, a + len(whole), whole.lower())
+            if whole:
+                add(-1, a, a + len(whole), whole)
         run.clear()
 
     for k in np.flatnonzero(marks[ends] > marks[starts]):
@@ -159,8 +185,8 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
         token = text[a:b]
         a += len(token) - len(token.lstrip(_TRIM))
         token = token.strip(_TRIM)
-        if TOKEN_MIN <= len(token) <= TOKEN_MAX and any(c in "0123456789@" for c in token):
-            add(-1, a, a + len(token), token.lower())
+        if any(c in "0123456789@" for c in token):
+            add(ID if _MIXED.fullmatch(token) else -1, a, a + len(token), token)
     close()
     return out
 
@@ -190,20 +216,29 @@ def _count_contexts(bitmap):
             w = word_hashes(low, starts, ends)
             if not len(w):
                 continue
-            # two marks before the first word of every text that has one
+            # two marks before the first word of every text that has one, one behind its last
             row = np.flatnonzero(np.diff(first))
-            w = np.insert(w, np.repeat(first[row], 2), START)
-            row = np.repeat(row, np.diff(first)[row] + 2)
-            pair = chain(w[:-1], w[1:]).view(np.int64)[row[:-1] == row[1:]]
-            ctx, n = np.unique(pair[bits[_bit(pair)]], return_counts=True)
+            n = np.diff(first)[row]
+            w = np.insert(w, np.concatenate([np.repeat(first[row], 2), first[row] + n]),
+                          np.concatenate([np.full(2 * len(row), START), np.full(len(row), END)]))
+            # places of the words themselves
+            at = np.arange(n.sum()) + np.repeat(3 * np.arange(len(row)) + 2, n)
+            every = np.concatenate(_contexts(w[at - 2], w[at - 1], w[at + 1])).view(np.int64)
+            ctx, n = np.unique(every[bits[_bit(every)]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(ctx, pa.int64()), pa.array(n, pa.int64())], names=["ctx", "n"])
     return run
 
 
-def _set_bits(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(batch.column("ctx").to_numpy(zero_copy_only=False))), pa.int64())],
-                                         names=["bit"])
+def _bitmap(contexts: DataFrame) -> np.ndarray:
+    """Mask of the contexts' leading bits: parts of it are put together by Spark,
+    so 2 MB reach the driver whatever the number of contexts."""
+    bit = F.shiftrightunsigned("ctx", 64 - BITMAP_BITS) + 1
+    parts = (contexts.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")))
+    out = np.zeros(1 << BITMAP_BITS, bool)
+    for r in parts.collect():
+        held = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little").astype(bool)
+        out[(r["part"] - 1) * len(held):r["part"] * len(held)] = held
+    return out
 
 
 def extract(docs: DataFrame) -> DataFrame:
@@ -212,41 +247,44 @@ def extract(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     slim = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return staged(slim.mapInArrow(_extract, "uid long, doc_id long, items array<struct<kind:int,start:bigint,end:bigint,"
-                                            "value:string,ctx:bigint>>"))
+                                            "value:string,ctx:array<bigint>>>"))
 
 
 def patterns(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted patterns (kind, ctx, confidence) and discovered instances
     (value, kind, confidence) after the last round."""
     spark = docs.sparkSession
-    every = found.select("uid", F.explode("items").alias("i")).select("uid", "i.*")
+    every = found.select(F.explode("items").alias("i")).select("i.value", "i.kind", F.explode("i.ctx").alias("ctx"))
     # graph edges: how often each value stands in each context
-    edges = staged(every.where("ctx <> 0").groupBy("ctx", "value", "kind").agg(F.count(F.lit(1)).alias("n")))
-    wide = edges.select("ctx", "value").distinct().groupBy("ctx").agg(F.count(F.lit(1)).alias("values")).where(
-        F.col("values") >= MIN_SUPPORT).select("ctx")
-    wide = staged(wide)
-    bits = np.zeros(1 << BITMAP_BITS, bool)
-    bits[wide.mapInArrow(_set_bits, "bit long").distinct().toArrow().column("bit").to_numpy()] = True   # at most 2^24 numbers
-    bitmap = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
+    edges = staged(every.groupBy("ctx", "value", "kind").agg(F.count(F.lit(1)).alias("n")))
+    wide = staged(edges.groupBy("ctx").agg((F.min("value") < F.max("value")).alias("several"), F.sum("n").alias("held"))
+                  .where("several").select("ctx", "held"))
+    bitmap = spark.sparkContext.broadcast(np.packbits(_bitmap(wide)).tobytes())
     total = (docs.select("text").mapInArrow(_count_contexts(bitmap), "ctx long, n long")
              .groupBy("ctx").agg(F.sum("n").alias("total")))
-    total = staged(total.join(wide, "ctx"))
+    # identifiers of several words, or several in a word, are not among the counted places
+    total = wide.join(total, "ctx", "left").select("ctx", F.greatest("held", F.coalesce("total", F.lit(0))).alias("total"))
     graph = staged(edges.join(total, "ctx"))
 
     def down(c: Column) -> Column:
         return F.floor(c * 10 ** DIGITS) / 10 ** DIGITS
 
+    enough = F.lit(False)
+    for least, values in SUPPORT:
+        enough = enough | ((F.col("confidence") >= least) & (F.col("values") >= values))
+    found_here = (F.col("kind") < 0) | (F.col("kind") == ID)
+    seeds = graph.where("kind >= 0").withColumn("c", F.lit(1.0))
     new = None     # discovered so far, for every kind: (value, kind, confidence)
     while True:
-        known = graph.where("kind >= 0").withColumn("c", F.lit(1.0))
+        known = seeds
         if new is not None:
             known = known.unionByName(graph.where("kind < 0").drop("kind").join(
-                new.withColumnRenamed("confidence", "c"), "value").select(*known.columns))
+                new.where(F.length("value") >= FIRM).withColumnRenamed("confidence", "c"), "value").select(*seeds.columns))
         accepted = (known.groupBy("ctx", "kind").agg(
             down(F.sum(F.col("n") * F.col("c")) / F.max("total") + 1e-9).alias("confidence"), F.count_distinct("value").alias("values"))
-            .where((F.col("values") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE)).select("ctx", "kind", "confidence"))
+            .where(enough).select("ctx", "kind", "confidence"))
         accepted = staged(accepted)
-        now = staged(graph.where("kind < 0").select("ctx", "value").join(accepted, "ctx")
+        now = staged(graph.where(found_here).select("ctx", "value").join(accepted, "ctx")
                      .groupBy("value", "kind").agg(F.max("confidence").alias("confidence")))
         same = now.isEmpty() if new is None else now.join(new, ["value", "kind", "confidence"], "left_anti").isEmpty()
         new = now
@@ -260,11 +298,15 @@ def find(docs: DataFrame) -> DataFrame:
     """Per input row: doc_id, base and added spans as arrays of
     (kind number, start, end), each by kind, then start."""
     found = extract(docs)
-    _, new = patterns(docs, found)
-    base = F.array_sort(F.transform(F.filter("items", lambda x: x["kind"] >= 0),
+    accepted, new = patterns(docs, found)
+    base = F.array_sort(F.transform(F.filter("items", lambda x: x["kind"].between(0, len(BASE_KINDS) - 1)),
                                     lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))))
-    tokens = found.select("uid", F.explode("items").alias("i")).select("uid", "i.*").where("kind < 0").drop("kind")
-    added = (tokens.join(new.select("value", "kind"), "value")
+    tokens = (found.select("uid", F.explode("items").alias("i")).select("uid", "i.*")
+              .where((F.col("kind") < 0) | (F.col("kind") == ID)).drop("kind"))
+    place = ["uid", "start", "end"]
+    here = tokens.select(*place, F.explode("ctx").alias("ctx")).join(accepted, "ctx").select(*place, "kind", "confidence")
+    firm = tokens.join(new.where(F.length("value") >= FIRM), "value").select(*place, "kind", "confidence")
+    added = (here.unionByName(firm).groupBy(*place).agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
              .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added")))
     # of a run and its parts only the longest discovered one
     inside = lambda x: F.exists("added", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"])

@@ -137,10 +137,10 @@ def op6_quality(spark, sf_dir):
 @query("op10_pii")
 def op10_pii(spark, sf_dir):
     """Base and discovered spans of personal data of every document."""
-    from shelfwise.llm.pii import KINDS, find, joined
+    from shelfwise.llm.pii import BASE_KINDS, find, joined
     out = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(F.array_remove(F.transform("base", lambda x: F.when(x["kind"] == F.lit(k), 1).otherwise(0)), 0))
-              .cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+              .cast("long").alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)]
     return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                       joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
