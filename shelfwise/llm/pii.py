@@ -30,7 +30,8 @@ are reported only where a pattern confirms them.
 Defined results: offsets are code points, ends exclusive; null text counts as
 empty and has no spans; a value found as two kinds takes the more confident,
 then the first listed; repeated rows get equal spans; in place of
-words before the start of a text, contexts hold a mark; an empty table gives no rows.
+words before the start or after the end of a text, contexts hold a mark, and
+marks alone are no context; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -143,7 +144,9 @@ def _items(text: str, raw: np.ndarray) -> list[dict]:
         lo = max(k - 2, 0)
         left = np.concatenate([np.full(2 - (k - lo), START), word_hashes(low, starts[lo:k], ends[lo:k])])
         right = word_hashes(low, starts[m + 1:m + 2], ends[m + 1:m + 2]) if m + 1 < len(starts) else np.array([END])
-        ctx = [int(h.view(np.int64)[0]) for h in _contexts(left[:1], left[1:], right)]
+        # marks alone say nothing
+        words_there = (k > 0, k > 0, m + 1 < len(starts), k > 0 or m + 1 < len(starts))
+        ctx = [int(h.view(np.int64)[0]) for h, some in zip(_contexts(left[:1], left[1:], right), words_there) if some]
         value = value.lower()
         value = value if len(value) <= LONG_VALUE else sha256_hex(value.encode())
         out.append({"kind": kind, "start": int(a), "end": int(b), "value": value, "ctx": ctx})
