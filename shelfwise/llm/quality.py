@@ -2,15 +2,18 @@
 
 Each text gets a histogram of character classes and one of common words. Both
 are compared with the reference of the text's language by Jensen-Shannon
-distance (base 2, so 0 to 1); a text far from its language is rejected. Every
+distance (base 2, so 0 to 1); a text far from its language is rejected. How far
+words may stray is taken from each language: a text without any common word is
+always beyond it. Every
 text is judged; below CLASS_CHARS characters or JUDGED_WORDS words the largest
 distance grows by what a histogram of so few draws strays from its reference
 (its expected squared distance is proportional to 1 / length).
 
 The references are the corpus's own: the sum over all documents of a language
-of their histograms, where a document weighs at most WEIGHT_CAP characters or
-words so that one long text does not set the reference. They are one row per
-language and are gathered by a partial aggregate.
+of their shares, each weighing with the square root of its length, so that every
+document counts whole and no long one sets the reference. They are one row per
+language and are gathered by a partial aggregate; up to BROADCAST_LANGUAGES of
+them (a kilobyte each) go to every task, and documents are not shuffled.
 
 Per-document counts stay inside the row (no row per word); the histograms are
 written once to the shared folder and the verdict is a second pass over those
@@ -41,12 +44,15 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Verdict: largest distances of texts of at least so many characters and words.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.32
+#: A language whose reference is at least so far from a text without any common
+#: word has a limit of its own, this share of that distance.
+BARE_DISTANCE, BARE_SHARE = 0.25, 0.97
 CLASS_CHARS, JUDGED_WORDS = 400, 100
 #: Growth of the squared distance with 1 / length: four times (characters come in
 #: clumps) the expected 6 / (8 ln 2) of 7 classes; for words about the rise
 #: of the upper quantiles of shorter texts at sf0.1.
 CLASS_NOISE, WORD_NOISE = 4.33, 2.0
-WEIGHT_CAP = 5000.0
+BROADCAST_LANGUAGES = 10_000
 
 
 def _pairs(x: Column, step: int, n: Column) -> Column:
@@ -135,30 +141,34 @@ def references(m: DataFrame, names: dict[str, int]) -> DataFrame:
     sums = []
     for c, n in names.items():
         total = F.aggregate(F.col(c), F.lit(0.0), lambda s, x: s + x)
-        weight = F.when(total > 0, F.least(total, F.lit(WEIGHT_CAP)) / total).otherwise(0.0)
+        weight = F.when(total > 0, 1 / F.sqrt(total)).otherwise(0.0)
         sums += [F.sum(F.round(F.col(c)[i] * weight * scale).cast("long")).cast("double").alias(f"{c}{i}") for i in range(n)]
     r = m.groupBy("lang").agg(*sums)
-    return r.select(F.col("lang").alias("ref_lang"),
-                    *[_share(F.array(*[f"{c}{i}" for i in range(n)])).alias(f"ref_{c}") for c, n in names.items()])
+    r = r.select(F.col("lang").alias("ref_lang"),
+                 *[_share(F.array(*[f"{c}{i}" for i in range(n)])).alias(f"ref_{c}") for c, n in names.items()])
+    bare = js_distance(F.array(F.lit(1.0), *[F.lit(0.0)] * (names["common"] - 1)), F.col("ref_common"))
+    return r.withColumn("bare", bare).withColumn("word_limit", F.when(F.col("bare") >= BARE_DISTANCE, F.col("bare") * BARE_SHARE)
+                                                 .otherwise(MAX_WORD_DISTANCE)).drop("bare")
 
 
-def _largest(distance: float, noise: float, n: Column, full: int) -> Column:
+def _largest(distance: Column, noise: float, n: Column, full: int) -> Column:
     """Largest distance of a text of length n: ``distance`` from length ``full`` on."""
     more = noise * (1 / F.greatest(n, F.lit(1)) - 1 / full)
-    return F.when(n >= full, F.lit(distance)).otherwise(F.sqrt(distance ** 2 + more))
+    return F.when(n >= full, distance).otherwise(F.sqrt(distance * distance + more))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, base counts, base_failed, both distances and the verdict ``kept``."""
     m = staged(measures(docs))
     refs = references(m, {"classes": 7, "common": len(COMMON_WORDS) + 1})
-    # languages: a few rows; joined by shuffle when there are many, AQE broadcasts what it measures as small
+    refs = staged(refs)
+    refs = F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs       # beyond, a shuffle by language
     j = m.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    j = j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars",
+    j = j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "word_limit",
                  base_failed.alias("base_failed"),
                  js_distance(_share(F.col("classes")), F.col("ref_classes")).alias("class_distance"),
                  js_distance(_share(F.col("common")), F.col("ref_common")).alias("word_distance"))
-    far = ((F.col("class_distance") > _largest(MAX_CLASS_DISTANCE, CLASS_NOISE, F.col("chars"), CLASS_CHARS))
-           | (F.col("word_distance") > _largest(MAX_WORD_DISTANCE, WORD_NOISE, F.col("n_words"), JUDGED_WORDS)))
-    return j.withColumn("kept", ~F.col("base_failed") & ~far)
+    far = ((F.col("class_distance") > _largest(F.lit(MAX_CLASS_DISTANCE), CLASS_NOISE, F.col("chars"), CLASS_CHARS))
+           | (F.col("word_distance") > _largest(F.col("word_limit"), WORD_NOISE, F.col("n_words"), JUDGED_WORDS)))
+    return j.withColumn("kept", ~F.col("base_failed") & ~far).drop("word_limit")
