@@ -12,9 +12,11 @@ are reported only where a pattern confirms them.
    two words left, the word right, and the words left and right. Neighbouring
    tokens of digits, brackets and the like on one line are also taken together,
    as one identifier; a span inside a longer added one is left out.
-2. Contexts with two or more different values may become patterns. A second pass
-   counts how often those contexts stand around any word at all. The contexts
-   travel as a bitmap of fixed size; counts are then joined to them exactly.
+2. Contexts with two or more different known instances may become patterns. A
+   pass over the texts counts how often those contexts stand around any word at
+   all; contexts that come up in a later round are counted then, so the counted
+   ones follow the evidence, not all numbers of the corpus. Contexts travel as a
+   bitmap of fixed size; counts are then joined to them exactly.
 3. Spark scores the graph of patterns and instances in rounds: a pattern's
    confidence for a kind is the confidence of the instances seen in it over all
    its occurrences, an instance's confidence is that of its best pattern (seeds
@@ -55,6 +57,8 @@ SUPPORT = ((1.0, 2), (0.9, 3), (0.8, 5))
 FIRM = 6
 DIGITS = 6             # decimals of confidences, rounded down, so that rounds come to an end
 BITMAP_BITS = 24       # 2 MB, whatever the corpus
+#: Context counts that a task holds (16 bytes each).
+HELD = 1 << 20
 #: Longer values are known by their digest.
 LONG_VALUE = 200
 
@@ -210,8 +214,18 @@ def _bit(ctx: np.ndarray) -> np.ndarray:
 
 
 def _count_contexts(bitmap):
+    """Counts of the marked contexts over a task's texts, added up in the task;
+    from HELD different ones on they are passed on and counting starts afresh."""
     def run(batches):
         bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).astype(bool)
+        parts, size = [], 0
+
+        def added():
+            ctx, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            return ctx, np.bincount(at, np.concatenate([p[1] for p in parts]), len(ctx)).astype(np.int64)
+
+        def rows(ctx, n):
+            return pa.RecordBatch.from_arrays([pa.array(ctx, pa.int64()), pa.array(n, pa.int64())], names=["ctx", "n"])
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             low = LOWER[raw]
@@ -226,9 +240,18 @@ def _count_contexts(bitmap):
                           np.concatenate([np.full(2 * len(row), START), np.full(len(row), END)]))
             # places of the words themselves
             at = np.arange(n.sum()) + np.repeat(3 * np.arange(len(row)) + 2, n)
-            every = np.concatenate(_contexts(w[at - 2], w[at - 1], w[at + 1])).view(np.int64)
-            ctx, n = np.unique(every[bits[_bit(every)]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ctx, pa.int64()), pa.array(n, pa.int64())], names=["ctx", "n"])
+            for one in _contexts(w[at - 2], w[at - 1], w[at + 1]):
+                one = one.view(np.int64)
+                parts.append(np.unique(one[bits[_bit(one)]], return_counts=True))
+                size += len(parts[-1][0])
+            if size > HELD:
+                parts = [added()]
+                size = len(parts[0][0])
+                if size > HELD // 2:
+                    yield rows(*parts[0])
+                    parts, size = [], 0
+        if parts:
+            yield rows(*added())
     return run
 
 
@@ -260,14 +283,15 @@ def patterns(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     every = found.select(F.explode("items").alias("i")).select("i.value", "i.kind", F.explode("i.ctx").alias("ctx"))
     # graph edges: how often each value stands in each context
     edges = staged(every.groupBy("ctx", "value", "kind").agg(F.count(F.lit(1)).alias("n")))
-    wide = staged(edges.groupBy("ctx").agg((F.min("value") < F.max("value")).alias("several"), F.sum("n").alias("held"))
-                  .where("several").select("ctx", "held"))
-    bitmap = spark.sparkContext.broadcast(np.packbits(_bitmap(wide)).tobytes())
-    total = (docs.select("text").mapInArrow(_count_contexts(bitmap), "ctx long, n long")
-             .groupBy("ctx").agg(F.sum("n").alias("total")))
-    # identifiers of several words, or several in a word, are not among the counted places
-    total = wide.join(total, "ctx", "left").select("ctx", F.greatest("held", F.coalesce("total", F.lit(0))).alias("total"))
-    graph = staged(edges.join(total, "ctx"))
+    held = staged(edges.groupBy("ctx").agg(F.sum("n").alias("held")))
+
+    def totals(contexts: DataFrame) -> DataFrame:
+        """(ctx, total): how often the contexts stand around a word."""
+        bitmap = spark.sparkContext.broadcast(np.packbits(_bitmap(contexts)).tobytes())
+        n = docs.select("text").mapInArrow(_count_contexts(bitmap), "ctx long, n long").groupBy("ctx").agg(F.sum("n").alias("n"))
+        # identifiers of several words, or several in a word, are not among the counted places
+        return staged(contexts.join(held, "ctx").join(n, "ctx", "left")
+                      .select("ctx", F.greatest("held", F.coalesce("n", F.lit(0))).alias("total")))
 
     def down(c: Column) -> Column:
         return F.floor(c * 10 ** DIGITS) / 10 ** DIGITS
@@ -276,18 +300,25 @@ def patterns(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     for least, values in SUPPORT:
         enough = enough | ((F.col("confidence") >= least) & (F.col("values") >= values))
     found_here = (F.col("kind") < 0) | (F.col("kind") == ID)
-    seeds = graph.where("kind >= 0").withColumn("c", F.lit(1.0))
+    seeds = edges.where("kind >= 0").withColumn("c", F.lit(1.0))
     new = None     # discovered so far, for every kind: (value, kind, confidence)
+    total = None   # contexts counted so far
     while True:
         known = seeds
         if new is not None:
-            known = known.unionByName(graph.where("kind < 0").drop("kind").join(
+            known = known.unionByName(edges.where("kind < 0").drop("kind").join(
                 new.where(F.length("value") >= FIRM).withColumnRenamed("confidence", "c"), "value").select(*seeds.columns))
-        accepted = (known.groupBy("ctx", "kind").agg(
+        several = known.groupBy("ctx").agg((F.min("value") < F.max("value")).alias("several")).where("several").select("ctx")
+        several = staged(several if total is None else several.join(total, "ctx", "left_anti"))
+        if total is None:
+            total = totals(several)
+        elif not several.isEmpty():
+            total = staged(total.unionByName(totals(several)))
+        accepted = (known.join(total, "ctx").groupBy("ctx", "kind").agg(
             down(F.sum(F.col("n") * F.col("c")) / F.max("total") + 1e-9).alias("confidence"), F.count_distinct("value").alias("values"))
             .where(enough).select("ctx", "kind", "confidence"))
         accepted = staged(accepted)
-        now = staged(graph.where(found_here).select("ctx", "value").join(accepted, "ctx")
+        now = staged(edges.where(found_here).select("ctx", "value").join(accepted, "ctx")
                      .groupBy("value", "kind").agg(F.max("confidence").alias("confidence")))
         same = now.isEmpty() if new is None else now.join(new, ["value", "kind", "confidence"], "left_anti").isEmpty()
         new = now

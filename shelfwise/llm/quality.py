@@ -122,7 +122,8 @@ def _guarded(a: Column) -> Column:
 
 def _share(a: Column) -> Column:
     total = F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(a, lambda x: F.when(total > 0, x / total).otherwise(0.0))
+    # the sum is bound once, not added up again for every element
+    return F.get(F.transform(F.array(total), lambda t: F.transform(a, lambda x: F.when(t > 0, x / t).otherwise(0.0))), F.lit(0))
 
 
 def js_distance(p: Column, q: Column) -> Column:
