@@ -28,13 +28,12 @@ def _week_sql(day: str) -> str:
 
 
 # ---------------------------------------------------------------- sales fact
-def sales(spark, d, item_mod: int | None = None) -> DataFrame:
+def sales(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
-    item = F.col("l_partkey") % item_mod if item_mod else F.col("l_partkey")
     units = F.col("l_quantity").cast("int")
     sales_amt = F.col("l_extendedprice").cast("decimal(18,2)")
     return li.select(
-        item.alias("item"),
+        F.col("l_partkey").alias("item"),
         F.col("l_suppkey").alias("store"),
         F.col("l_shipdate").alias("day"),
         S.fiscal_week_label(F.col("l_shipdate")).alias("week"),
@@ -55,9 +54,8 @@ def sales(spark, d, item_mod: int | None = None) -> DataFrame:
     )
 
 
-def sales_sql(item_mod: int | None = None) -> str:
-    item = f"l_partkey % {item_mod}" if item_mod else "l_partkey"
-    return f"""SELECT {item} AS item, l_suppkey AS store, l_shipdate AS day,
+def sales_sql() -> str:
+    return f"""SELECT l_partkey AS item, l_suppkey AS store, l_shipdate AS day,
   {_week_sql('l_shipdate')} AS week, l_linestatus AS channel, l_orderkey AS order_key,
   l_linenumber AS line, CAST(l_quantity AS INTEGER) AS units,
   CASE WHEN l_linenumber = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS units_ly,
@@ -69,8 +67,35 @@ FROM lineitem"""
 
 
 # ------------------------------------------------------------ website feed
-# One row per (day, item): counts of event types stand in for web metrics.
-WEB_METRICS = ["pip_visits", "pip_visits_ly", "orders_ty", "orders_ly", "current_cost", "avg_rating"]
+# One row per (day, item): counts and sums of events stand in for web metrics,
+# as SQL text that both engines accept. The first 17 are those that the wide
+# fact distributes; a user stands for an item, so items grow with the data.
+def _count(cond: str) -> str:
+    return f"count_if({cond})"
+
+
+def _sum(cond: str) -> str:
+    return f"coalesce(sum(CASE WHEN {cond} THEN value END), 0)"
+
+
+WEBSITE = {
+    "product_interaction_conversion": _sum("event_type = 'purchase'"),
+    "product_interaction_conversion_ly": _sum("event_type = 'signup'"),
+    "pip_conversion_rate": _sum("event_type = 'purchase' AND value >= 50"),
+    "pip_conversion_rate_ly": _sum("event_type = 'signup' AND value >= 50"),
+    "display_avg_rating": _count("event_type = 'error'"),
+    **{f"display_{k}_star_reviews": _count(f"event_type = 'purchase' AND event_id % 5 = {k - 1}") for k in range(1, 6)},
+    "non_buyable_views": _count("event_type = 'view' AND value < 20"),
+    "non_buyable_views_ly": _count("event_type = 'click' AND value < 20"),
+    "current_cost": "sum(value)",
+    "pip_visits": _count("event_type = 'view'"),
+    "pip_visits_ly": _count("event_type = 'click'"),
+    "product_interaction_visits": _count("event_type = 'view' AND value >= 20"),
+    "product_interaction_visits_ly": _count("event_type = 'click' AND value >= 20"),
+    "orders_ty": _count("event_type = 'purchase'"),
+    "orders_ly": _count("event_type = 'signup'"),
+}
+WEB_METRICS = list(WEBSITE)[:17]
 
 
 def website(spark, d) -> DataFrame:
@@ -78,32 +103,21 @@ def website(spark, d) -> DataFrame:
     # wall-clock day of a timestamp_ntz (a date round trip; date_trunc would
     # return a session-time-zone timestamp)
     day = (F.col("ts") - F.expr("INTERVAL 26 YEARS")).cast("date").cast("timestamp_ntz")
-    g = (ev.select(day.alias("day"), (F.col("user_id") % 60).alias("item"),
+    g = (ev.select(day.alias("day"), F.col("user_id").alias("item"), "event_id",
                    "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
          .groupBy("day", "item")
-         .agg(F.count_if(F.col("event_type") == "view").alias("pip_visits"),
-              F.count_if(F.col("event_type") == "click").alias("pip_visits_ly"),
-              F.count_if(F.col("event_type") == "purchase").alias("orders_ty"),
-              F.count_if(F.col("event_type") == "signup").alias("orders_ly"),
-              F.sum("value").alias("current_cost"),
-              F.count_if(F.col("event_type") == "error").alias("avg_rating")))
+         .agg(*[F.expr(e).alias(m) for m, e in WEBSITE.items()]))
     return g.select("day", S.fiscal_week_label(F.col("day")).alias("week"), "item",
-                    *[F.col(m).cast("double").alias(m) for m in WEB_METRICS])
+                    *[F.col(m).cast("double").alias(m) for m in WEBSITE])
 
 
 def website_sql() -> str:
     return f"""SELECT day, {_week_sql('day')} AS week, item,
-  CAST(pip_visits AS DOUBLE) AS pip_visits, CAST(pip_visits_ly AS DOUBLE) AS pip_visits_ly,
-  CAST(orders_ty AS DOUBLE) AS orders_ty, CAST(orders_ly AS DOUBLE) AS orders_ly,
-  CAST(current_cost AS DOUBLE) AS current_cost, CAST(avg_rating AS DOUBLE) AS avg_rating
-FROM (SELECT date_trunc('day', ts - INTERVAL 26 YEARS) AS day, user_id % 60 AS item,
-        count(*) FILTER (WHERE event_type = 'view') AS pip_visits,
-        count(*) FILTER (WHERE event_type = 'click') AS pip_visits_ly,
-        count(*) FILTER (WHERE event_type = 'purchase') AS orders_ty,
-        count(*) FILTER (WHERE event_type = 'signup') AS orders_ly,
-        sum(CAST(value AS DECIMAL(18,2))) AS current_cost,
-        count(*) FILTER (WHERE event_type = 'error') AS avg_rating
-      FROM events GROUP BY 1, 2)"""
+  {', '.join(f'CAST({m} AS DOUBLE) AS {m}' for m in WEBSITE)}
+FROM (SELECT day, item, {', '.join(f'{e} AS {m}' for m, e in WEBSITE.items())}
+      FROM (SELECT date_trunc('day', ts - INTERVAL 26 YEARS) AS day, user_id AS item, event_id, event_type,
+              CAST(value AS DECIMAL(18,2)) AS value FROM events)
+      GROUP BY 1, 2)"""
 
 
 # ------------------------------------------------------ classification feed

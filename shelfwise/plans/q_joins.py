@@ -166,16 +166,16 @@ _WEB_TOTALS_SQL = f"""SELECT week, item, {', '.join(f'CAST(sum(CAST({m} AS DECIM
 FROM ({B.website_sql()}) GROUP BY week, item"""
 
 
-@query("key_spine", sql=f"""SELECT week, item FROM ({B.sales_sql(50)})
+@query("key_spine", sql=f"""SELECT week, item FROM ({B.sales_sql()})
 UNION SELECT week, item FROM ({B.website_sql()})""")
 def key_spine(spark, d):
     """Distinct (week, item) pairs seen in sales or website."""
-    return E.key_spine(B.sales(spark, d, 50), B.website(spark, d), ["week", "item"])
+    return E.key_spine(B.sales(spark, d), B.website(spark, d), ["week", "item"])
 
 
-DIST_SQL = f"""WITH sp AS (SELECT week, item FROM ({B.sales_sql(50)}) UNION SELECT week, item FROM ({B.website_sql()})),
+DIST_SQL = f"""WITH sp AS (SELECT week, item FROM ({B.sales_sql()}) UNION SELECT week, item FROM ({B.website_sql()})),
 f AS (SELECT sp.week, sp.item, s.store, s.day, s.order_key, s.line, CAST(s.sales AS DOUBLE) AS sales
-      FROM sp LEFT JOIN ({B.sales_sql(50)}) s ON sp.week = s.week AND sp.item = s.item),
+      FROM sp LEFT JOIN ({B.sales_sql()}) s ON sp.week = s.week AND sp.item = s.item),
 n AS (SELECT week, item, count(*) AS n FROM f GROUP BY week, item),
 w AS ({_WEB_TOTALS_SQL})
 SELECT f.*, {', '.join(f'CASE WHEN n.n > 0 THEN w.{t} / n.n ELSE w.{t} END AS {t}' for t in TOTALS)}
@@ -184,7 +184,7 @@ LEFT JOIN w ON f.week = w.week AND f.item = w.item"""
 
 
 def distribution_sales(spark, d):
-    return B.sales(spark, d, 50).select("week", "item", "store", "day", "order_key", "line",
+    return B.sales(spark, d).select("week", "item", "store", "day", "order_key", "line",
                                         F.col("sales").cast("double").alias("sales"))
 
 
