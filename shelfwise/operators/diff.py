@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import cut_lineage
-
 # The change labels of the reference, in its report order.
 NEW_COMBO = "New OMSID/DC Combo"
 REPLEN_CHANGE = "Replenishment Change OMSID/DC"
@@ -34,21 +32,18 @@ def normalise_snapshot(df: DataFrame, id_col: str = "omsid", dc_col: str = "dc",
                                            F.lit("nan")))
 
 
-def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col: str = "dc",
+def labelled_keys(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col: str = "dc",
                   flags: Sequence[str] = ("ntwk_replen", "dc_replen"),
-                  inventory: Sequence[str] = ("oh_qty", "oo_qty"),
-                  label_col: str = "change_type") -> DataFrame:
-    """The four change labels. Rows of an id missing from high come from
-    low; the other labels emit the high rows of the flagged key / id once
-    per label (one row may carry several labels).
-
-    Each snapshot is aggregated once to one row per (id, DC) key; all label
-    decisions are made on those key rows (a full outer join of the two key
-    tables plus id-level facts over it), and each snapshot is read a
-    second time only to emit its labelled rows. A pair (low row, high row)
-    with an ON -> OFF change exists exactly when some low row of the key is
-    ON and some high row is OFF, so no row pairs are formed."""
-    low, high = normalise_snapshot(low, id_col, dc_col), normalise_snapshot(high, id_col, dc_col)
+                  inventory: Sequence[str] = ("oh_qty", "oo_qty")) -> DataFrame:
+    """One row per (id, DC) key of two normalised snapshots: its rows on each
+    side (``l_rows``, ``h_rows``; null: none), the label of its low rows
+    (``low_label``) and the list of labels of its high rows (``high_labels``).
+
+    Each snapshot is aggregated once to one row per key; all decisions
+    are made on those key rows (a full outer join of the two key tables plus
+    id-level facts over it). A pair (low row, high row) with an ON -> OFF change
+    exists exactly when some low row of the key is ON and some high row is OFF,
+    so no row pairs are formed."""
     keys = [id_col, dc_col]
     inv = [c for c in inventory if c in low.columns and c in high.columns]
 
@@ -59,12 +54,12 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
             all_off = e if all_off is None else all_off & e
         inv_sum = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in inv), F.lit(0.0))
         return df.groupBy(*keys).agg(
-            F.lit(True).alias(f"{p}_in"),
+            F.count("*").alias(f"{p}_rows"),
             *[F.coalesce(F.max(F.col(f) == state), F.lit(False)).alias(f"{p}_{f}") for f in flags],
             F.bool_and(all_off).alias(f"{p}_off"), F.sum(inv_sum).alias(f"{p}_inv"))
 
     kk = key_stats(low, "l", "ON").join(key_stats(high, "h", "OFF"), keys, "full_outer")
-    in_l, in_h = F.coalesce(F.col("l_in"), F.lit(False)), F.coalesce(F.col("h_in"), F.lit(False))
+    in_l, in_h = F.col("l_rows").isNotNull(), F.col("h_rows").isNotNull()
     # id-level facts beside each key row: a window over the key table, whose
     # partitions hold one row per DC of an id (a handful), however many
     # snapshot rows the id has; the key table is used once, not recomputed
@@ -82,39 +77,68 @@ def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col
     for f in flags:
         e = F.col(f"l_{f}") & F.col(f"h_{f}")
         changed = e if changed is None else changed | e
-    labelled = kk.select(
-        *keys,
-        F.when(in_l & missing, F.lit(MISSING_ID)).alias("_low_label"),
+    return kk.select(
+        *keys, "l_rows", "h_rows",
+        F.when(in_l & missing, F.lit(MISSING_ID)).alias("low_label"),
         F.filter(F.array(F.when(in_h & ~in_l, F.lit(NEW_COMBO)),
                          F.when(in_h & in_l & F.coalesce(changed, F.lit(False)), F.lit(REPLEN_CHANGE)),
                          F.when(in_h & F.coalesce(zero, F.lit(False)), F.lit(ZERO_INVENTORY))),
-                 lambda x: x.isNotNull()).alias("_high_labels"))
+                 lambda x: x.isNotNull()).alias("high_labels"))
 
-    # the labelled key table feeds both emissions; it is one row per key,
-    # far smaller than the snapshots, so it is checkpointed once instead of
-    # being recomputed (re-reading both snapshots) for each side
-    labelled = cut_lineage(labelled.filter(F.col("_low_label").isNotNull() | (F.size("_high_labels") > 0)))
-    lo_keys = labelled.filter(F.col("_low_label").isNotNull()).select(*keys, F.col("_low_label").alias(label_col))
-    hi_keys = labelled.filter(F.size("_high_labels") > 0).select(
-        *keys, F.explode("_high_labels").alias(label_col))
-    out_low = low.join(lo_keys, keys, "inner")
-    out_high = high.join(hi_keys, keys, "inner")
-    cols = [*low.columns, label_col]
-    return out_low.select(*cols).unionByName(out_high.select(*cols))
 
+def snapshot_diff(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col: str = "dc",
+                  flags: Sequence[str] = ("ntwk_replen", "dc_replen"),
+                  inventory: Sequence[str] = ("oh_qty", "oo_qty"),
+                  label_col: str = "change_type") -> DataFrame:
+    """The four change labels. Rows of an id missing from high come from
+    low; the other labels emit the high rows of the flagged key / id once
+    per label (one row may carry several labels).
 
-def change_counts(changes: DataFrame, label_col: str = "change_type") -> DataFrame:
-    """Rows per label with every expected label present (zero-filled).
-    The label list is a fixed four-row frame, so the join is a broadcast."""
-    spark = changes.sparkSession
-    labels = spark.createDataFrame([(i, l) for i, l in enumerate(CHANGE_LABELS)],
-                                   "label_order int, change_type string")
-    counts = changes.groupBy(label_col).agg(F.count("*").alias("n"))
+    The rows of both snapshots meet the labelled key table in one join, so the
+    key table is computed once and building the frame runs no job."""
+    low, high = normalise_snapshot(low, id_col, dc_col), normalise_snapshot(high, id_col, dc_col)
+    cols, keys = low.columns, [id_col, dc_col]
+    labels = labelled_keys(low, high, id_col, dc_col, flags, inventory).select(
+        *keys, F.array_compact(F.array("low_label")).alias("_low"), F.col("high_labels").alias("_high"))
+    labels = labels.filter((F.size("_low") > 0) | (F.size("_high") > 0))
+    rows = low.withColumn("_is_low", F.lit(True)).unionByName(high.select(*cols).withColumn("_is_low", F.lit(False)))
+    return rows.join(labels, keys, "inner").select(
+        *cols, F.explode(F.when(F.col("_is_low"), F.col("_low")).otherwise(F.col("_high"))).alias(label_col))
+
+
+def _every_label(counts: DataFrame, label_col: str) -> DataFrame:
+    """Counts (label, n) with every expected label present (zero-filled). The
+    label list is a fixed four-row frame, so the join is a broadcast."""
+    labels = counts.sparkSession.createDataFrame(list(enumerate(CHANGE_LABELS)), "label_order int, change_type string")
     return (F.broadcast(labels).join(counts, labels.change_type == counts[label_col], "left")
             .select(labels.label_order, labels.change_type, F.coalesce(F.col("n"), F.lit(0)).alias("count"))
             .orderBy("label_order"))
 
 
+def change_counts(changes: DataFrame, label_col: str = "change_type") -> DataFrame:
+    """Rows per label of a comparison, zero-filled."""
+    return _every_label(changes.groupBy(label_col).agg(F.count("*").alias("n")), label_col)
+
+
+def count_changes(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col: str = "dc", **options) -> DataFrame:
+    """A18 straight from two snapshots: the labelled rows are counted by the
+    key table's row counts and never built. Equal to ``change_counts`` of ``snapshot_diff``."""
+    k = labelled_keys(normalise_snapshot(low, id_col, dc_col), normalise_snapshot(high, id_col, dc_col),
+                      id_col, dc_col, **options)
+    each = k.select(F.explode(F.concat(
+        F.array(F.struct(F.col("low_label").alias("label"), F.col("l_rows").alias("n"))),
+        F.transform("high_labels", lambda x: F.struct(x.alias("label"), F.col("h_rows").alias("n"))))).alias("e"))
+    counts = each.where(F.col("e.label").isNotNull()).groupBy(F.col("e.label").alias("_label")).agg(F.sum("e.n").alias("n"))
+    return _every_label(counts, "_label")
+
+
+def zero_inventory(low: DataFrame, high: DataFrame, id_col: str = "omsid", dc_col: str = "dc", **options) -> DataFrame:
+    """Ids labelled ZERO_INVENTORY, from the key table alone."""
+    k = labelled_keys(normalise_snapshot(low, id_col, dc_col), normalise_snapshot(high, id_col, dc_col),
+                      id_col, dc_col, **options)
+    return k.filter(F.array_contains("high_labels", ZERO_INVENTORY)).select(id_col).distinct().orderBy(id_col)
+
+
 def zero_inventory_ids(changes: DataFrame, id_col: str = "omsid", label_col: str = "change_type") -> DataFrame:
     return (changes.filter(F.col(label_col) == ZERO_INVENTORY).select(id_col).distinct()
             .orderBy(id_col))

@@ -305,14 +305,14 @@ SELECT l.label_order, l.change_type, coalesce(c.n, 0) AS count
 FROM ({_LABELS_SQL}) l LEFT JOIN (SELECT change_type, count(*) AS n FROM diff GROUP BY change_type) c
   ON l.change_type = c.change_type""")
 def snapshot_change_counts(spark, d):
-    """Rows per change label, zero-filled."""
-    return DF.change_counts(snapshot_diff_df(spark, d))
+    """Rows per change label, zero-filled, from the key table's counts."""
+    return DF.count_changes(B.snapshot(spark, d, 1997), B.snapshot(spark, d, 1998))
 
 
 @query("zero_inventory_items", sql=f"""{SNAP_DIFF_SQL}
 SELECT DISTINCT omsid FROM diff WHERE change_type = '{DF.ZERO_INVENTORY}'""")
 def zero_inventory_items(spark, d):
-    return DF.zero_inventory_ids(snapshot_diff_df(spark, d))
+    return DF.zero_inventory(B.snapshot(spark, d, 1997), B.snapshot(spark, d, 1998))
 
 
 # ---------------------------------------------------------------------- C13

@@ -135,6 +135,10 @@ def test_snapshot_diff_labels(spark):
                           (6, "DC60", DF.NEW_COMBO)])
     counts = {r.change_type: r["count"] for r in DF.change_counts(out).collect()}
     assert counts == {DF.NEW_COMBO: 2, DF.REPLEN_CHANGE: 1, DF.ZERO_INVENTORY: 1, DF.MISSING_ID: 1}
+    assert DF.count_changes(low, high).collect() == DF.change_counts(out).collect()
+    nothing = low.limit(0)
+    assert {r["count"] for r in DF.count_changes(nothing, nothing).collect()} == {0}
+    assert DF.zero_inventory(nothing, high).count() == 0
     same = DF.snapshot_diff(low, low)
     assert same.count() == 0 and DF.change_counts(same).filter("count > 0").count() == 0
 

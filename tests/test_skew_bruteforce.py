@@ -141,3 +141,9 @@ def test_snapshot_diff_against_loops(spark, rnd):
         got.add((side, r.row_id, r.change_type))
     assert got == _brute_diff(low, high)
     assert out.count() == len(got)
+    # counts and ids from the key table equal those of the emitted rows
+    by_key = DF.count_changes(lo, hi, inventory=("oh_qty",)).collect()
+    assert by_key == DF.change_counts(out).collect()
+    assert {r["count"] for r in by_key} != {0}
+    zero = DF.zero_inventory(lo, hi, inventory=("oh_qty",)).collect()
+    assert zero and zero == DF.zero_inventory_ids(out).collect()
