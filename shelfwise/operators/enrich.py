@@ -74,13 +74,13 @@ def distribute_evenly(fact: DataFrame, metrics_by_key: DataFrame, keys: Sequence
     with metrics but no fact row gives one row with the metrics whole (the
     key spine of the reference = fact keys union metric keys).
 
-    Per-key work happens on one row per key: the row count is a partial
-    aggregate, joined with the metrics by a full outer join of the two key
-    tables; the fact rows are joined once with that key table (a hot key is
-    split by AQE's skew handling)."""
+    Per-key work happens on one row per key with metrics: it gets the fact's
+    row count (a partial aggregate), and the fact rows are joined once with
+    that table, however many keys the fact has besides (a hot key is split by
+    AQE's skew handling)."""
     keys = list(keys)
     cnt = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
-    info = metrics_by_key.join(cnt, keys, "full_outer")
+    info = metrics_by_key.join(cnt, keys, "left")
     rows = fact.join(info.filter(F.col("_n").isNotNull()), keys, "left")
     rows = rows.withColumns({m: F.col(m) / F.col("_n") for m in metrics}).drop("_n")
     extra = info.filter(F.col("_n").isNull()).drop("_n")
