@@ -25,6 +25,7 @@ columns beyond those named are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from html import unescape
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,10 +44,8 @@ RULES = [
      r"|body|html|head|blockquote|pre|form)\b[^>]*>", "\n"),
     (r"</?[a-zA-Z!?][^>]*>", ""),
 ]
-#: Entities of the SQL form, which knows no others, in order; the ampersand comes
-#: last so nothing is decoded twice.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&")]
+#: A character reference, as HTML reads it (the SQL form finds the same spans).
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 SPACING = [("[ \\t\\r\\f\\x0B ]+", " "), (r" ?\n ?", "\n"), (r"\n\n+", "\n"), (r"^\s+|\s+$", "")]
 
 
@@ -131,16 +130,49 @@ def write(records: DataFrame, path: str) -> None:
     rows.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
-def _sql_text(expr: str) -> str:
-    def q(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _reference_table() -> str:
+    """(name, put) rows of HTML's named references and of the numbers that do not
+    stand for their own character."""
+    rows = list(html5.items()) + [(f"#{n}", unescape(f"&#{n};")) for n in range(160) if unescape(f"&#{n};") != chr(n)]
+    return ", ".join(f"({_quoted(name)}, {_quoted(put)})" for name, put in rows)
+
+
+def _sql_text(column: str) -> str:
+    """Query of (src, plain) for the distinct values of ``column`` in ``r``: tags go by the
+    rules, the text is cut at its references, each is looked up (a number by its
+    value, a name whole or else by its longest known beginning) and put back."""
+    cut = "src"
     for pattern, put in RULES:
-        expr = f"regexp_replace({expr}, {q(pattern)}, {q(put)}, 'g')"
-    for entity, put in ENTITIES:
-        expr = f"replace({expr}, {q(entity)}, {q(put)})"
+        cut = f"regexp_replace({cut}, {_quoted(pattern)}, {_quoted(put)}, 'g')"
+    joined = "string_agg(before || coalesce(put, ''), '' ORDER BY i)"
     for pattern, put in SPACING:
-        expr = f"regexp_replace({expr}, {q(pattern)}, {q(put)}, 'g')"
-    return expr
+        joined = f"regexp_replace({joined}, {_quoted(pattern)}, {_quoted(put)}, 'g')"
+    pattern = _quoted(REFERENCE)
+    return f"""
+  SELECT src, {joined} AS plain FROM (
+    SELECT s.src, s.i, s.before, CASE
+      WHEN s.ref IS NULL THEN ''
+      WHEN s.ref LIKE '#%' THEN coalesce(named.put, CASE
+        WHEN s.num IS NULL OR s.num > 1114111 OR s.num BETWEEN 55296 AND 57343 THEN chr(65533)
+        WHEN s.num BETWEEN 1 AND 31 AND s.num NOT IN (9, 10, 12, 13) OR s.num BETWEEN 127 AND 159
+          OR s.num BETWEEN 64976 AND 65007 OR s.num % 65536 >= 65534 THEN ''
+        ELSE chr(s.num::INTEGER) END)
+      WHEN named.put IS NOT NULL THEN named.put
+      ELSE coalesce((SELECT max_by(n.put || substr(s.ref, length(n.name) + 1), length(n.name)) FROM named n
+                     WHERE n.name NOT LIKE '#%' AND starts_with(s.ref, n.name)), '&' || s.ref) END AS put
+    FROM (SELECT src, i, before, ref, num, CASE WHEN ref LIKE '#%' THEN '#' || num ELSE ref END AS key FROM (
+      SELECT src, i, before, ref, CASE
+        WHEN regexp_matches(ref, '^#[xX]') THEN TRY_CAST('0x' || regexp_replace(regexp_replace(ref, ';$', ''), '^#[xX]0*', '0') AS BIGINT)
+        WHEN ref LIKE '#%' THEN TRY_CAST(regexp_replace(substr(ref, 2), ';$', '') AS BIGINT) END AS num
+      FROM (SELECT src, unnest(range(1, len(pieces) + 1)) AS i, unnest(pieces) AS before,
+                   unnest(list_concat(refs, [NULL])) AS ref
+            FROM (SELECT src, regexp_split_to_array(cut, {pattern}) AS pieces, regexp_extract_all(cut, {pattern}, 1) AS refs
+                  FROM (SELECT src, {cut} AS cut FROM (SELECT DISTINCT {column} AS src FROM r)))))) s
+    LEFT JOIN named ON named.name = s.key) GROUP BY src"""
 
 
 def oracle() -> str:
@@ -148,21 +180,24 @@ def oracle() -> str:
     uuid = lambda n: (f"'<urn:uuid:' || substr(md5({n}),1,8) || '-' || substr(md5({n}),9,4) || '-' || substr(md5({n}),13,4)"
                       f" || '-' || substr(md5({n}),17,4) || '-' || substr(md5({n}),21,12) || '>'")
     return f"""
-WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+WITH named(name, put) AS (VALUES {_reference_table()}),
+p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
 r AS (
   SELECT page_id, url AS target_uri, h, {uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || coalesce(url, '') || '|' || md5(h)")} AS refers_to,
          'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
            || 'Content-Length: ' || strlen(h)::VARCHAR AS http_headers, 'sha256:' || sha256(h) AS payload_digest,
          regexp_extract(h, '(?is)<title[^>]*>(.*?)</title', 1) AS title FROM p),
+titles AS ({_sql_text("title")}),
+bodies AS ({_sql_text("h")}),
 k AS (
-  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
-         'title: ' || {_sql_text("title")} || chr(13) || chr(10)
+  SELECT r.*, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+         'title: ' || plain || chr(13) || chr(10)
          || 'language: ' || regexp_extract(h, '(?i)<html[^>]*\\blang=["'']?([a-z-]+)', 1) || chr(13) || chr(10)
          || 'links: ' || len(regexp_extract_all(h, '(?i)<a\\s[^>]*href='))::VARCHAR || chr(13) || chr(10)
          || 'source-payload-digest: ' || payload_digest || chr(13) || chr(10) || 'source-headers:' || chr(13) || chr(10)
-         || http_headers || chr(13) || chr(10) AS block FROM r
+         || http_headers || chr(13) || chr(10) AS block FROM r JOIN titles ON title = src
   UNION ALL
-  SELECT *, 'conversion', 'text/plain; charset=utf-8', {_sql_text("h")} FROM r)
+  SELECT r.*, 'conversion', 'text/plain; charset=utf-8', plain FROM r JOIN bodies ON h = src)
 SELECT page_id, record_type, {uuid("record_type || '|' || refers_to")} AS record_id, refers_to, target_uri, content_type,
        strlen(block)::BIGINT AS content_length, 'sha256:' || sha256(block) AS block_digest, payload_digest, http_headers, block
 FROM k

@@ -1,5 +1,6 @@
 """Toxicity, licences, quality, personal data, near copies, derivatives, pipeline."""
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -123,6 +124,78 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([(r["toxicity"] >= 0.5) == bool(r["toxic"]) for r in rows]) > 0.97
 
 
+def plain_pass(rows, state):
+    """One pass of FTRL-proximal over (coordinates, label) rows, a coordinate at a time."""
+    z, n = (dict(x) for x in state)
+    def weight(c):
+        l1 = 0.0 if c == toxicity.BIAS else toxicity.L1
+        if abs(z.get(c, 0.0)) <= l1:
+            return 0.0
+        rate = (toxicity.BETA + math.sqrt(n.get(c, 0.0))) / toxicity.ALPHA + toxicity.L2
+        return -(z[c] - math.copysign(l1, z[c])) / rate
+    for coords, y in rows:
+        coords = [*coords, toxicity.BIAS]
+        w = {c: weight(c) for c in coords}
+        p = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values())))))
+        for c in coords:
+            g, before = p - y, n.get(c, 0.0)
+            n[c] = before + g * g
+            z[c] = z.get(c, 0.0) + g - (math.sqrt(n[c]) - math.sqrt(before)) / toxicity.ALPHA * w[c]
+    return z, n
+
+
+@pytest.mark.parametrize("size", [300, 1700])      # one shard, and three whose states are averaged
+def test_fit_equals_plain_ftrl(spark, size):
+    docs, labels = toxic_corpus(spark, size)
+    place = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64("doc_id")).collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    shards = max(1, size // toxicity.LEAST_SHARD_ROWS)
+    dealt = [[] for _ in range(shards)]
+    for r in sorted(docs.collect(), key=lambda r: place[r["doc_id"]]):
+        coords = toxicity.features(pa.array([r["text"]])) & ((1 << toxicity.KEY) - 1)
+        dealt[(place[r["doc_id"]] >> 20) % shards].append((coords.tolist(), toxic[r["doc_id"]]))
+    state = {}, {}
+    for _ in range(toxicity.ROUNDS):
+        after = [plain_pass(rows, state) for rows in dealt]
+        state = tuple({c: state[k].get(c, 0.0) + sum(a[k].get(c, 0.0) - state[k].get(c, 0.0) for a in after) / shards
+                       for c in set().union(*(a[k] for a in after))} for k in (0, 1))
+    z, n = state
+    want = {}
+    for c in z:
+        l1 = 0.0 if c == toxicity.BIAS else toxicity.L1
+        if abs(z[c]) > l1:
+            want[c] = -(z[c] - math.copysign(l1, z[c])) / ((toxicity.BETA + math.sqrt(n[c])) / toxicity.ALPHA + toxicity.L2)
+    coords, weights = toxicity.fit(docs, labels)
+    got = dict(zip(coords.tolist(), weights.tolist()))
+    sure = {c for c in want if abs(want[c]) > 1e-5}        # fixed-point averages may move a weight at the edge of L1
+    assert len(sure) > 30 and sure <= set(got)
+    assert all(abs(w - want.get(c, 0.0)) < 1e-5 for c, w in got.items())
+
+
+def plain_features(text):
+    """The features of a text as tuples of words, or of a beginning and its occurrence."""
+    words = ["".join(ch for ch in w if ch.isalnum() or ord(ch) > 126).lower() for w in re.split(r"[\x20\x09-\x0D]+", text)]
+    words = [w for w in words if w]
+    out = set(map(tuple, zip(words))) | {(1, *p) for p in zip(words, words[1:])} | {(2, *p) for p in zip(words, words[2:])}
+    for length in toxicity.BEGINNINGS:
+        heads = Counter(w[:length] for w in words if len(w) > length)
+        out |= {("begins", h, k) for h, count in heads.items() for k in range(min(count, toxicity.TIMES))}
+    return out
+
+
+def test_features_equal_plain_features():
+    texts = ["", "one", "One two, three!", "a b a b a b", "compound compounds compounded compounding", "x-y (z) x y z", prose(77, 60)]
+    got = [frozenset((toxicity.features(pa.array([t])) & ((1 << toxicity.KEY) - 1)).tolist()) for t in texts]
+    plain = [plain_features(t) for t in texts]
+    at = {}
+    for feature in sorted(set().union(*plain), key=repr):     # each feature's coordinate lies in just the texts that have it
+        common = frozenset.intersection(*(g for g, p in zip(got, plain) if feature in p))
+        at[feature] = common - frozenset().union(*(g for g, p in zip(got, plain) if feature not in p))
+    assert all(at.values()) and [len(g) for g in got] == [len(p) for p in plain]
+    together = (toxicity.features(pa.array(texts)) >> toxicity.KEY).tolist()
+    assert [together.count(i) for i in range(len(texts))] == [len(p) for p in plain]
+
+
 def test_toxicity_edges(spark, edge, none, clashing):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     nulls = spark.createDataFrame([(1, 1, None), (None, 1, 1), (2, 0, 1), (3, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
@@ -390,6 +463,24 @@ def test_entities_and_dates(spark):
     assert got[2, "metadata"]["date"] is None
 
 
+def test_references_in_sql(spark):
+    import duckdb
+    forms = ["Caf&eacute; &#8217;", "&#x27;a&#X27; &rsquo;&euro; &#233", "&amp;lt; &amp;amp;&amp;", "&nosuch; &notit; &not;&copyx &copy", "&#x1F389;&#150;",
+             "&#0; &#13; &#1; &#xD800; &#1114112; &#99999999999999999999; &#xFDD0; &#x1FFFE; &#x0000000000000000000000041;",
+             "&", "&&amp;&", "&#; &#x; &;", "&NotEqualTilde; &CounterClockwiseContourIntegral;", "it's &apos;&quot;&#39;", "&nbsp;x&nbsp;", "&ampamp; &lt&gt", "",
+             "日本&eacute;語&#x65E5;"]
+    rows = [(i, f"u{i}", f"<title>{t}</title><p>{t}</p>") for i, t in enumerate(forms)] + [(90, None, None), (91, "u", "&eacute;"), (91, "u", "&eacute;")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [r.asDict() for r in warc.derivatives(warc.responses(pages)).drop("date").collect()]
+    con = duckdb.connect()
+    con.register("pages", pages.toArrow())
+    want = con.sql(warc.oracle())
+    want = [dict(zip(want.columns, r)) for r in want.fetchall()]
+    order = lambda rows: sorted(rows, key=lambda r: (r["page_id"], r["record_type"]))
+    for a, b in zip(order(got), order(want), strict=True):
+        assert a == b
+
+
 # ---- pipeline and queries -------------------------------------------------------
 
 def test_pipeline_stages(spark):
