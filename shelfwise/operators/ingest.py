@@ -37,13 +37,14 @@ class FeedSpec:
     steps: tuple = ()               # DataFrame -> DataFrame steps after typing (they see ``_file`` and ``_row``)
     widen: dict = field(default_factory=dict)   # stored columns to widen before new rows are appended (P9)
     header_row: int = 1             # above 1: a sheet's export whose header sits there (S9)
+    expected_rows: tuple = ()       # (least, most) rows of a file after the steps; beyond them the audit warns
 
 
 #: Most files of a feed whose rows are counted in flight.
 OBSERVED = 200
 
 AUDIT = ("feed string, file string, rows_removed bigint, rows_added bigint, final_row_count bigint, "
-         "version string, backup_version string, conditions string, error string")
+         "version string, backup_version string, conditions string, error string, warning string")
 
 
 def numbered(df: DataFrame, names: list[str], file_col: str = "_file", number: str = "_n") -> DataFrame:
@@ -76,13 +77,20 @@ def counted(marked: DataFrame, files: int, name: str) -> tuple[DataFrame, Callab
     return marked.observe(seen, *each), counts
 
 
+def range_warning(spec: FeedSpec, rows: int) -> str | None:
+    """C14: what the audit says of a file with fewer or more rows than its feed should have."""
+    if not spec.expected_rows or spec.expected_rows[0] <= rows <= spec.expected_rows[1]:
+        return None
+    return f"expected {spec.expected_rows[0]} to {spec.expected_rows[1]} rows, got {rows}"
+
+
 def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedSpec,
                 conditions: dict | None = None, match: str = "cross") -> list[tuple]:
     """One feed: publish its merged table, return one audit row per file."""
     target = f"{tables_dir}/{spec.name}"
     found = FS.list_files(spark, f"{drop_dir}/{FS.any_case_glob(spec.prefix, '.csv')}")
     if not found:
-        return [(spec.name, None, 0, 0, None, None, None, None, "no files")]
+        return [(spec.name, None, 0, 0, None, None, None, None, "no files", None)]
     paths = [p for p, _ in found]
     if spec.header_row > 1:
         batch = FS.read_preamble_csv(spark, paths, spec.header_row, with_file=True)
@@ -111,7 +119,8 @@ def ingest_feed(spark: SparkSession, drop_dir: str, tables_dir: str, spec: FeedS
     used = None if conditions is None else str(conditions)
     for n, name in enumerate(names, 1):
         rows += added.get(n, 0) - gone.get(n, 0)
-        audit.append((spec.name, name, gone.get(n, 0), added.get(n, 0), rows, version, backup, used, None))
+        audit.append((spec.name, name, gone.get(n, 0), added.get(n, 0), rows, version, backup, used, None,
+                      range_warning(spec, added.get(n, 0))))
     return audit
 
 
@@ -119,11 +128,13 @@ def ingest(spark: SparkSession, drop_dir: str, tables_dir: str, specs: list[Feed
            conditions: dict | None = None, match: str = "cross") -> DataFrame:
     """C14: run every feed and return the audit table: per file the rows it
     removed and added and the table's row count after it, the published
-    version, the version before it (the backup), the conditions, the error."""
+    version, the version before it (the backup), the conditions, the error, and a
+    warning where a file's rows lie outside the feed's ``expected_rows`` (it is
+    published all the same)."""
     audit = []
     for spec in specs:
         try:
             audit += ingest_feed(spark, drop_dir, tables_dir, spec, conditions.get(spec.name) if conditions else None, match)
         except Exception as e:          # one failing feed is reported, the others still run
-            audit.append((spec.name, None, 0, 0, None, None, None, None, str(e)))
+            audit.append((spec.name, None, 0, 0, None, None, None, None, str(e), None))
     return spark.createDataFrame(audit, AUDIT)

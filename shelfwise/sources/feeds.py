@@ -270,6 +270,9 @@ def fg_status_steps(df: DataFrame) -> DataFrame:
     return first_per_key(df.withColumn("Basic-Dash", S.concat_code("Basic", "Dash")), ["_file", "UPC"], ["_row"])
 
 
+FG_ROWS = (15000, 20000)      # fixed values: rows of a finished-goods report
+
+
 def feed_specs() -> list[FeedSpec]:
     def make(name, prefix, text, **more):
         types, dates = _spec(text)
@@ -283,7 +286,7 @@ def feed_specs() -> list[FeedSpec]:
         make("BA_scorecard", "ba scorecard", SCORECARD, header_row=28),
         make("online_stores", "onlinestores", STORES),
         make("calendar", "pythoncalendar", CALENDAR),
-        make("fg_status", "fg status report", FG_STATUS, steps=(fg_status_steps,)),
+        make("fg_status", "fg status report", FG_STATUS, steps=(fg_status_steps,), expected_rows=FG_ROWS),
     ]
 
 

@@ -272,6 +272,7 @@ def test_seven_feeds_and_the_merged_catalogue(spark, tmp_path):
     audit = feeds.run(spark, drop, tables).collect()
     assert not [r for r in audit if r.error], [r.error for r in audit if r.error]
     assert {r.feed for r in audit} == {f.name for f in feeds.feed_specs()} and len(audit) == 8
+    assert {r.feed: r.warning for r in audit if r.warning} == {"fg_status": "expected 15000 to 20000 rows, got 1"}
     get = lambda t: SK.read_published(spark, f"{tables}/{t}").collect()
     w = get("online_website_anaylsis")[0]
     assert w["order count TY"] == 2.0 and w["online product interaction conversion rate"] == 0.5 and w["day"].day == 15
