@@ -294,3 +294,77 @@ def price_list_merge(spark, d):
     out = JB.price_list(price_pages(spark, d), "page_no", "html", dict(_TABLE_COLS))
     out = out.withColumn("row_no", F.col("row_no").cast("bigint"))
     return out.select("price_file", "full_upc", "upc", "upc_plus", "item", "description", "page_no", "row_no")
+
+
+# Whole price lists: every column of the export, per column its header, the name of the
+# result and the cell's text (read alike by Spark and DuckDB).
+_PART11 = "lpad(CAST(p_partkey AS STRING), 11, '0')"
+PRICE_CELLS = [
+    ("UPC", "upc", f"CASE WHEN p_partkey % 13 = 0 THEN '' WHEN p_partkey % 2 = 0 THEN '=\"' || {_PART11} || '\"' ELSE {_PART11} END"),
+    ("UPC +", "upc_plus", "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_size % 10 AS STRING) END"),
+    ("UPC Inner Pack I25", "upc_inner_pack", f"'1' || {_PART11}"),
+    ("UPC Standard Pack I25", "upc_standard_pack", f"'=\"5' || {_PART11} || '\"'"),
+    ("Item", "item", "CASE WHEN p_partkey % 26 = 0 THEN '' ELSE p_name END"),
+    ("Life Cycle", "life_cycle", "CASE p_size % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Phase Out' ELSE 'New' END"),
+    ("Description", "description", "p_type || ' <i>' || p_brand || '</i>'"),
+    ("Customer Item", "customer_item", "CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'C' || CAST(p_partkey AS STRING) END"),
+    ("PPC / ICC", "ppc_icc", "'ICC ' || CAST(p_partkey % 31 AS STRING)"),
+    ("UOM", "uom", "CASE WHEN p_size % 2 = 0 THEN 'EA' ELSE 'PK' END"),
+    ("Net Price", "net_price", "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)"),
+    ("List Price", "list_price", "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 2 AS STRING)"),
+    ("End Date", "end_date", "'12/31/' || CAST(2024 + p_size % 3 AS STRING)"),
+    ("Std Pk (SPW)", "std_pk", "CAST(p_size AS STRING)"),
+    ("Inner Pk (IPW)", "inner_pk", "CAST(p_size % 7 AS STRING)"),
+    ("Ctns per Tier", "ctns_per_tier", "CAST(p_partkey % 12 AS STRING)"),
+    ("Tiers per Pallet", "tiers_per_pallet", "CAST(p_partkey % 9 AS STRING)"),
+    ("Length", "length", "CAST(p_partkey % 17 AS STRING) || '.5'"),
+    ("Height", "height", "CAST(p_partkey % 19 AS STRING) || '.25'"),
+    ("Depth", "depth", "CAST(p_partkey % 23 AS STRING) || '.75'"),
+    ("Cube", "cube", "CAST((p_partkey % 17) * (p_partkey % 19) * (p_partkey % 23) AS STRING)"),
+    ("Weight", "weight", "CASE WHEN p_partkey % 11 = 0 THEN ' ' ELSE CAST(p_size * 3 AS STRING) END"),
+    ("Pack Validation", "pack_validation", "CASE WHEN p_partkey % 8 = 0 THEN 'N' ELSE 'Y' END"),
+    ("Nafta", "nafta", "CASE WHEN p_partkey % 3 = 0 THEN 'N' ELSE 'Y' END"),
+    ("COO", "coo", "CASE p_partkey % 3 WHEN 0 THEN 'CN' WHEN 1 THEN 'MX' ELSE 'US' END"),
+]
+_OLD_LACK = ("nafta", "coo")      # not in the lists of odd pages
+
+
+def price_lists(spark, d):
+    """Price-list pages of ``part`` with all columns. Odd pages are an older form: the
+    columns from right to left, two missing, two that no result takes; every fifth
+    page has no description."""
+    p = B.table(spark, d, "part").selectExpr("p_partkey", f"p_partkey DIV {PAGE_SIZE} AS page_no",
+                                             *[f"{cell} AS {name}" for _, name, cell in PRICE_CELLS])
+
+    def layout(cells, mark):
+        return F.concat(F.lit("<tr>"), *[F.concat(F.lit(f"<{mark}>"), c, F.lit(f"</{mark}>")) for c in cells], F.lit("</tr>"))
+    old = [(h, n) for h, n, _ in reversed(PRICE_CELLS) if n not in _OLD_LACK]
+    new_row, old_row = layout([F.col(n) for _, n, _ in PRICE_CELLS], "td"), layout([F.lit("t"), *[F.col(n) for _, n in old], F.lit("c")], "td")
+    new_head = layout([F.lit(h) for h, _, _ in PRICE_CELLS], "th")
+    old_head = layout([F.lit("Trade1"), *[F.lit(h) for h, _ in old], F.lit("Comm Code")], "th")
+    is_old = F.col("page_no") % 2 == 1
+    rows = p.select("page_no", "p_partkey", F.when(is_old, old_row).otherwise(new_row).alias("tr"))
+    pages = rows.groupBy("page_no").agg(F.expr("listagg(tr, '') WITHIN GROUP (ORDER BY p_partkey)").alias("body"))
+    told = F.when(F.col("page_no") % 5 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("<p>Description : <b>Price list "), F.col("page_no").cast("string"), F.lit("</b></p>\n")))
+    return pages.select("page_no", F.concat(told, F.lit("<table>"), F.when(is_old, old_head).otherwise(new_head), F.col("body"),
+                                            F.lit("</table>")).alias("html"))
+
+
+def _price_cell_sql(name: str, cell: str) -> str:
+    text = _clean_sql(f"NULLIF(trim(regexp_replace({cell}, '<[^>]+>', '', 'g')), '')")
+    return f"CASE WHEN page_no % 2 = 1 THEN NULL ELSE {text} END AS {name}" if name in _OLD_LACK else f"{text} AS {name}"
+
+
+@query("price_lists_whole", sql=f"""WITH p AS (
+  SELECT *, p_partkey // {PAGE_SIZE} AS page_no,
+    row_number() OVER (PARTITION BY p_partkey // {PAGE_SIZE} ORDER BY p_partkey) AS row_no FROM part),
+cl AS (SELECT page_no, row_no, {', '.join(_price_cell_sql(n, c) for _, n, c in PRICE_CELLS)} FROM p)
+SELECT CASE WHEN page_no % 5 = 0 THEN 'page_' || CAST(page_no AS VARCHAR) ELSE 'Price list ' || CAST(page_no AS VARCHAR) END AS price_file,
+  {_full_upc_sql('upc', 'upc_plus')} AS full_upc, {', '.join(n for _, n, _ in PRICE_CELLS)}, page_no, row_no
+FROM cl WHERE upc IS NOT NULL OR item IS NOT NULL""")
+def price_lists_whole(spark, d):
+    """C10 with all 25 columns of the price export, from lists of two forms: columns
+    found by header, missing ones null, other ones left out."""
+    out = JB.price_list(price_lists(spark, d), "page_no", "html", {h: n for h, n, _ in PRICE_CELLS})
+    return out.select("price_file", "full_upc", *[n for _, n, _ in PRICE_CELLS], "page_no", F.col("row_no").cast("bigint").alias("row_no"))

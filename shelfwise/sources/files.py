@@ -300,10 +300,16 @@ def html_tables(df: DataFrame, id_col: str, html_col: str, must_have: Sequence[s
     has_all = lambda g: F.size(F.array_except(names, named(g))) == 0
     # a table whose text lacks a name cannot be it; the others are laid out
     may = F.filter(G.tables(F.col(html_col)), lambda t: F.forall(names, lambda m: F.contains(G.text_of(t), m)))
-    x = df.select(id_col, *keep, F.transform(may, lambda t: G.grid(G.cells(t))).alias("_grids"))
-    x = x.select(id_col, *keep, F.get(F.filter("_grids", has_all), F.lit(0)).alias("_rows")).filter(F.col("_rows").isNotNull())
-    x = x.select(id_col, *keep, G.header_names(named(F.col("_rows"))).alias("header"), F.posexplode("_rows").alias("row_no", "cells"))
-    return x.filter(F.col("row_no") > 0).select(id_col, *keep, "row_no", "header", "cells")
+    grids = F.filter(F.transform(may, lambda t: G.grid(G.cells(t))), has_all)
+
+    def below(g, header):
+        return F.transform(F.slice(g, F.lit(2), F.greatest(F.size(g) - 1, F.lit(0))), lambda c, i: F.struct(
+            (i + 1).alias("row_no"), header.alias("header"), c.alias("cells")))
+    # one expression, exploded as it is: tables and header are found once a document, not
+    # again in a filter on them or for every row
+    with_header = F.transform(F.slice(grids, 1, 1), lambda g: F.flatten(
+        F.transform(F.array(G.header_names(named(g))), lambda header: below(g, header))))
+    return df.select(id_col, *keep, F.inline(F.flatten(with_header)))
 
 
 def html_rows(df: DataFrame, id_col: str, html_col: str, columns: Sequence[str],

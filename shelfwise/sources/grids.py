@@ -53,7 +53,9 @@ def cells(table: Column) -> Column:
     def span(attributes: Column, name: str, most: int) -> Column:
         n = F.regexp_extract(attributes, rf"(?i)\b{name}\s*=\s*[\"']?\s*([0-9]+)", 1).try_cast("int")
         whole = F.lit(most) if name == "rowspan" else F.lit(1)
-        return F.least(F.when(n == 0, whole).otherwise(F.coalesce(n, F.lit(1))), F.lit(most))
+        wide = F.least(F.when(n == 0, whole).otherwise(F.coalesce(n, F.lit(1))), F.lit(most))
+        # most cells have no span: no pattern to try, and no failing cast, which costs an exception
+        return F.when(F.contains(F.lower(attributes), F.lit("span")), wide).otherwise(F.lit(1))
 
     def row(tr: Column) -> Column:
         attributes = F.regexp_extract_all(tr, F.lit(_CELL), F.lit(1))
@@ -65,7 +67,8 @@ def cells(table: Column) -> Column:
 
 def grid(rows: Column) -> Column:
     """Array of rows, each an array of texts by column, from rows of
-    :func:`cells`. The state is the columns that cells of earlier rows still cover."""
+    :func:`cells`. The state is the columns that cells of earlier rows still cover;
+    a table without spans needs none."""
     none = F.array().cast("array<struct<text:string,left:int>>")
 
     def covered(carry: Column, i: Column) -> Column:
@@ -107,7 +110,12 @@ def grid(rows: Column) -> Column:
         return F.get(F.transform(F.array(line(s["carry"], row)), joined), F.lit(0))
 
     start = F.struct(F.array().cast(_LINES).alias("grid"), none.alias("carry"))
-    return F.aggregate(rows, start, step, lambda s: s["grid"])
+
+    def laid_out(rows):
+        spans = F.exists(rows, lambda row: F.exists(row, lambda c: (c["columns"] > 1) | (c["rows"] > 1)))
+        return F.when(spans, F.aggregate(rows, start, step, lambda s: s["grid"])).otherwise(
+            F.transform(rows, lambda row: F.transform(row, lambda c: c["text"])))
+    return F.get(F.transform(F.array(rows), laid_out), F.lit(0))
 
 
 def header_names(header: Column) -> Column:
