@@ -38,6 +38,7 @@ COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})(?:[T ]?([0-9]{2})([0-9]{2})([0-9]{2}
 NUMBERS = r"^([0-9]{1,2})([/.-])([0-9]{1,2})\2" + _YEAR + _REST
 DAY_NAME = r"(?i)^" + _WEEKDAY + r"([0-9]{1,2})(?:st|nd|rd|th)?(?:\s+|-|\.\s*|/)" + _NAME + r"(?:,?\s+|-|/)" + _YEAR + _REST
 NAME_DAY = r"(?i)^" + _WEEKDAY + _NAME + r"(?:\s+|-)([0-9]{1,2})(?:st|nd|rd|th)?(?:,?\s+|-)" + _YEAR + _REST
+KINDS = {"iso": ISO, "numbers": NUMBERS, "compact": COMPACT, "slashed": SLASHED, "name_day": NAME_DAY, "day_name": DAY_NAME}
 CLOCK = r"(?i)(:[0-9]{2}(?:\.[0-9]{1,6})?|\s[0-9]{1,2})\s*([ap])\.?m\.?$"
 
 
@@ -51,12 +52,45 @@ def _trimmed(c) -> Column:
     return F.trim(c.cast("string"))
 
 
-def _named(t: Column, form: str, to: str) -> Column:
-    """year-month-day of a form with the month's name."""
-    def number(x):
-        at = F.position(F.lower(F.regexp_extract(x, r"-([A-Za-z]{3})", 1)), F.lit(_MONTHS))
-        return F.regexp_replace(x, r"-[A-Za-z.]+-", F.concat(F.lit("-"), ((at + 2) / 3).cast("int").cast("string"), F.lit("-")))
-    return _let(F.regexp_replace(t, form, to), number)
+def _kind(t: Column) -> Column:
+    """The family of forms of a cell; a cell fits one at most, null: none."""
+    (first, form), *more = KINDS.items()
+    out = F.when(t.rlike(form), first)
+    for kind, form in more:
+        out = out.when(t.rlike(form), kind)
+    return out
+
+
+def _bare(t: Column) -> Column:
+    """The cell without the AM or PM of a 12-hour time; other than the cell only if there is one."""
+    return F.when(t.contains("m") | t.contains("M"), F.regexp_replace(t, CLOCK, "$1")).otherwise(t)
+
+
+def _ordered(t: Column, kind: Column, bare: Column, first: Column) -> Column:
+    """A cell in year-month-day order, the time behind it."""
+    compact = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, COMPACT, "$1-$2-$3 $4:$5:$6"), r"\s?::$", ""), ":$", "")
+    name = F.when(kind == "name_day", F.regexp_extract(bare, NAME_DAY, 1)).otherwise(F.regexp_extract(bare, DAY_NAME, 2))
+    number = ((F.position(F.lower(F.substring(name, 1, 3)), F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string")
+    named = F.when(kind == "name_day", F.regexp_replace(bare, NAME_DAY, "$3-$1-$2 ")).otherwise(F.regexp_replace(bare, DAY_NAME, "$3-$2-$1 "))
+    return (F.when(kind == "iso", bare)
+            .when(kind == "numbers", F.regexp_replace(bare, F.lit(NUMBERS), F.when(first, "$4-$3-$1 ").otherwise("$4-$1-$3 ")))
+            .when(kind == "compact", compact)
+            .when(kind == "slashed", F.regexp_replace(bare, SLASHED, "$1-$2-$3 "))
+            .when(t.rlike(LIKELY), F.regexp_replace(named, F.lit(r"-[A-Za-z.]+-"), F.concat(F.lit("-"), number, F.lit("-")))))
+
+
+def _cast(ymd: Column) -> Column:
+    """Timestamp of a cell in order, the century put before a year of two digits."""
+    year = F.substring(ymd, 1, 2)
+    return (F.when(F.substring(ymd, 3, 1) != "-", ymd).when(year <= "68", F.concat(F.lit("20"), ymd))
+            .otherwise(F.concat(F.lit("19"), ymd))).try_cast("timestamp_ntz")
+
+
+def _clocked(t: Column, bare: Column, at: Column) -> Column:
+    """The timestamp with a 12-hour time, whose hour must be 1 to 12, moved to its half of the day."""
+    pm = F.lower(F.regexp_extract(t, CLOCK, 2)) == "p"
+    hours = F.when(pm, 12).otherwise(0) - F.when(F.hour(at) == 12, 12).otherwise(0)
+    return F.when(bare == t, at).when(F.hour(at).between(1, 12), at + F.make_dt_interval(hours=hours))
 
 
 def to_timestamp_lenient(c, day_first: Column | bool = False) -> Column:
@@ -64,39 +98,22 @@ def to_timestamp_lenient(c, day_first: Column | bool = False) -> Column:
     :func:`with_dates` makes it."""
     first = day_first if isinstance(day_first, Column) else F.lit(day_first)
 
-    def ordered(t: Column) -> Column:
-        return (F.when(t.rlike(ISO), t)
-                .when(t.rlike(NUMBERS), F.when(first, F.regexp_replace(t, NUMBERS, "$4-$3-$1 "))
-                      .otherwise(F.regexp_replace(t, NUMBERS, "$4-$1-$3 ")))
-                .when(t.rlike(COMPACT), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, COMPACT, "$1-$2-$3 $4:$5:$6"),
-                                                                          r"\s?::$", ""), ":$", ""))
-                .when(t.rlike(SLASHED), F.regexp_replace(t, SLASHED, "$1-$2-$3 "))
-                .when(t.rlike(NAME_DAY), _named(t, NAME_DAY, "$3-$1-$2 "))
-                .when(t.rlike(DAY_NAME), _named(t, DAY_NAME, "$3-$2-$1 ")))
-
-    def century(t: Column) -> Column:
-        return (F.when(~t.rlike("^[0-9]{2}-"), t).when(t.rlike("^(6[0-8]|[0-5])"), F.concat(F.lit("20"), t))
-                .otherwise(F.concat(F.lit("19"), t)))
-
-    def parsed(t: Column) -> Column:
-        return _let(ordered(t), lambda x: F.trim(century(x))).try_cast("timestamp_ntz")
-
-    def clock(t: Column) -> Column:
-        """A 12-hour time: the hour must be 1 to 12."""
-        pm = F.lower(F.regexp_extract(t, CLOCK, 2)) == "p"
-
-        def moved(at: Column) -> Column:
-            hour = F.hour(at)
-            shift = F.when(pm & (hour < 12), 12).when(~pm & (hour == 12), -12).otherwise(0)
-            return F.when(hour.between(1, 12), at + F.make_dt_interval(hours=shift))
-        return _let(parsed(F.regexp_replace(t, CLOCK, "$1")), moved)
-
-    # ISO cells are read outright (that cast does not throw); the rest only if it can be a date
+    def parsed(t: Column, kind: Column, bare: Column) -> Column:
+        return _let(_let(_ordered(t, kind, bare, first), _cast), lambda at: _clocked(t, bare, at))
+
+    # ISO cells are read outright (that cast does not throw)
     text = _trimmed(c)
-    other = F.when(text.rlike(LIKELY), _let(text, lambda t: F.when(t.rlike(CLOCK), clock(t)).otherwise(parsed(t))))
+    other = _let(text, lambda t: _let(_kind(t), lambda kind: F.when(kind.isNotNull(), _let(_bare(t), lambda bare: parsed(t, kind, bare)))))
     return F.coalesce(F.when(text.rlike(ISO), text.try_cast("timestamp_ntz")), other)
 
 
+def _steps(df: DataFrame, *steps: dict) -> DataFrame:
+    """Columns added in steps: what a step makes is computed once, however often the next one uses it."""
+    for step in steps:
+        df = df.withColumns(step)
+    return df
+
+
 def _readable(t: Column) -> tuple[Column, Column]:
     """Whether an all-number date can be read month first, and day first."""
     month, day = "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
@@ -128,19 +145,34 @@ def with_dates(df: DataFrame, columns: Sequence[str], by: str | None = None) ->
     return out.withColumns(parsed).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def _read(df: DataFrame, first: Column) -> DataFrame:
+    """Adds ``_at``, the timestamp of ``_text`` with its ``_kind``: what :func:`to_timestamp_lenient`
+    does, in steps that are compiled, where its lambdas are interpreted. One column a
+    frame: several would make a method that the JVM no longer compiles."""
+    text, kind, bare, read = (F.col(c) for c in ("_text", "_kind", "_bare", "_read"))
+    return _steps(df, {"_bare": F.when(kind.isNotNull(), _bare(text))}, {"_ymd": _ordered(text, kind, bare, first)},
+                  {"_read": _cast(F.col("_ymd"))}, {"_at": _clocked(text, bare, read)})
+
+
 def date_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: cells, blank cells, the order of its all-number dates,
-    cells of each family of forms, cells that no form or no calendar day fits."""
-    forms = {"iso": ISO, "numbers": NUMBERS, "compact": COMPACT, "slashed": SLASHED, "named": NAME_DAY + "|" + DAY_NAME}
+    cells of each family of forms, cells that no form or no calendar day fits.
+
+    A cell is read once. An order loses the all-number dates that it cannot
+    read; where both can, day and month are at most 12 and only the time
+    decides, which is the same in either order."""
     texts = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _trimmed(F.col(f"`{c}`")).alias("t")) for c in columns])).alias("x")
-    month, day = _readable(F.col("x.t"))
-    some = F.col("x.t").isNotNull() & (F.col("x.t") != "")
-    as_month, as_day = to_timestamp_lenient(F.col("x.t")), to_timestamp_lenient(F.col("x.t"), True)
-    sums = [F.count(F.lit(1)).alias("cells"), F.count_if(~some).alias("blank"), F.count_if(month).alias("_month"),
-            F.count_if(day).alias("_day"), F.count_if(some & as_month.isNull()).alias("_lost_m"),
-            F.count_if(some & as_day.isNull()).alias("_lost_d"),
-            *[F.count_if(F.col("x.t").rlike(p)).alias(n) for n, p in forms.items()]]
-    out = df.select(texts).groupBy(F.col("x.column").alias("column")).agg(*sums)
+    text, kind, at = F.col("_text"), F.col("_kind"), F.col("_at")
+    month, day = (F.when(kind == "numbers", x) for x in _readable(text))
+    cells = _steps(df.select(texts).select("x.column", F.col("x.t").alias("_text")), {"_kind": _kind(text)}, {"_month": month, "_day": day})
+    cells = _read(cells, ~F.col("_month"))
+    some, numbers = text.isNotNull() & (text != ""), F.coalesce(kind == "numbers", F.lit(False))
+    forms = {"iso": ["iso"], "numbers": ["numbers"], "compact": ["compact"], "slashed": ["slashed"], "named": ["name_day", "day_name"]}
+    sums = [F.count(F.lit(1)).alias("cells"), F.count_if(~some).alias("blank"), F.count_if("_month").alias("_month"), F.count_if("_day").alias("_day"),
+            F.count_if(some & (at.isNull() | (numbers & ~F.col("_month")))).alias("_lost_m"),
+            F.count_if(some & (at.isNull() | (numbers & ~F.col("_day")))).alias("_lost_d"),
+            *[F.count_if(kind.isin(kinds)).alias(n) for n, kinds in forms.items()]]
+    out = cells.groupBy("column").agg(*sums)
     first = F.col("_day") > F.col("_month")
     return out.select("column", "cells", "blank", F.when(first, DAY_FIRST).otherwise(MONTH_FIRST).alias("day_order"), *forms,
                       F.when(first, F.col("_lost_d")).otherwise(F.col("_lost_m")).alias("lost"))

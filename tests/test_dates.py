@@ -65,6 +65,26 @@ def test_the_order_that_reads_more_wins(spark):
     assert (rep["uk"]["lost"], rep["none"]["lost"], rep["none"]["blank"], rep["none"]["cells"]) == (0, 1, 2, 3)
 
 
+@pytest.mark.parametrize("more", ["25/12/2024", "12/25/2024"])
+def test_report_counts_the_cells_that_the_parser_loses(spark, more):
+    times = ["", " 3:05 PM", " 13:05 pm", " 25:00", " 12:05 a.m."]
+    days = [*FORMS, "3/4/2024", "25.4.24", "4/25/24", "31/02/1996", "2/30/1996", "0/5/2024", "13-13-2024", "29 Feb 2023", "soon"]
+    texts = [d + t for d in days for t in times] + BAD + [more] * 500
+    df = spark.createDataFrame([(t, "x") for t in texts], "t string, other string")
+    rep = {r["column"]: r for r in D.date_report(df, ["t", "other"]).collect()}
+    first = more == "25/12/2024"
+    got = parsed(spark, texts, first)
+    assert (rep["t"]["day_order"], rep["t"]["cells"]) == (D.DAY_FIRST if first else D.MONTH_FIRST, len(texts))
+    assert rep["t"]["lost"] == sum(at is None and bool((t or "").strip(" ")) for t, at in zip(texts, got))
+    assert (rep["other"]["lost"], rep["other"]["cells"], rep["other"]["day_order"]) == (len(texts), len(texts), D.MONTH_FIRST)
+
+
+def test_report_reads_a_cell_once_in_compiled_code(spark):
+    df = spark.createDataFrame([("1/2/2024", "x")], "a string, b string")
+    plan = D.date_report(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == 1 and "lambda" not in plan
+
+
 def test_files_have_orders_of_their_own(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,day\n1,25/12/2024\n2,3/4/2024\n")
     (tmp_path / "b.csv").write_text("id,day\n3,12/25/2024\n4,3/4/2024\n")
