@@ -516,4 +516,4 @@ def test_pipeline_stages(spark):
 def test_every_operator_is_registered():
     import __spark_entry__ as E
     names = {m[1] for n in E.queries() if (m := re.match(r"op(\d+)_", n))}
-    assert names == {str(i) for i in range(1, 11)} and "pipeline" in E.queries()
+    assert names == {str(i) for i in range(1, 14)} and "pipeline" in E.queries()
